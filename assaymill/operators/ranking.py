@@ -112,3 +112,17 @@ def record_breakers(df: DataFrame, keys: list[str], order: str, value: str, chun
     joined = null_safe_join(local, tops, [*keys, "_chunk"])
     return (joined.where(F.col("_before").isNull() | (F.col(value) > F.col("_before")))
             .drop("_chunk", "_best", "_before"))
+
+
+def top_per_group(df: DataFrame, keys: list[str], order: list, k: int, salt_on: list[str],
+                  name: str | None = None, salts: int = 64) -> DataFrame:
+    """First `k` rows per group. A hot group is first thinned in `salts` pieces, so no task sorts all of it.
+
+    `name` adds the position; k is part of the operator's meaning (a preview, a sample, a budget).
+    """
+    piece = F.pmod(F.xxhash64(*salt_on), F.lit(salts))
+    w = Window.partitionBy(*keys, "_salt").orderBy(*order)
+    thin = df.withColumn("_salt", piece).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
+    w = Window.partitionBy(*keys).orderBy(*order)
+    out = thin.drop("_salt", "_rn").withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
+    return out.withColumnRenamed("_rn", name) if name else out.drop("_rn")
