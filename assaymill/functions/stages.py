@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from assaymill import dims
-from assaymill.functions.genes import literal_map
 from assaymill.functions.numbers import first_int
 
 # Day spellings, tried in this order.
@@ -89,13 +88,16 @@ def literal_array_map(mapping: dict) -> Column:
         x for k, vs in mapping.items() for x in (F.lit(k), F.array(*[F.lit(v) for v in vs]))])
 
 
-def map_sample(title: Column, source: Column, ranges: Column) -> Column:
-    """Stage assignment of one sample by day and alias; NULL where neither decides."""
-    text = F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(source, F.lit("")))
-    day, alias = extract_day(text), extract_stage_alias(text)
-    by_day = day_to_stage(day, ranges)
-    by_alias = alias_to_stage(alias, ranges)
+def sample_text(title: Column, source: Column) -> Column:
+    """Text of a sample that names its day and stage."""
+    return F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(source, F.lit("")))
 
+
+def assigned_stage(day: Column, alias: Column, by_day: Column, by_alias: Column) -> Column:
+    """Stage assignment of a sample; NULL where neither day nor alias decides.
+
+    All four are columns computed beforehand: inside array functions an expression would run per element.
+    """
     def row(stage, at, label, confidence):
         return F.struct(
             stage["stage_name"].alias("stage_name"), stage["stage_number"].alias("stage_number"),
@@ -107,7 +109,3 @@ def map_sample(title: Column, source: Column, ranges: Column) -> Column:
         .when(by_day.isNotNull(), row(by_day, day, by_day["stage_name"], 0.7))
         .when(by_alias.isNotNull(), row(by_alias, by_alias["start_day"], alias, 0.7))
     )
-
-
-def category_map(mapping: dict) -> Column:
-    return literal_map(mapping)

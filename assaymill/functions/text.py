@@ -94,20 +94,19 @@ def methods_snippet(text: Column, width: int = 2000) -> Column:
 
 def balanced_json(text: Column) -> Column:
     """The outermost `{...}` that closes first, as text; NULL where none closes."""
-    tail = F.when(F.instr(text, F.lit("{")) > 0, F.substr(text, F.instr(text, F.lit("{"))))
-    steps = F.transform(
-        F.regexp_extract_all(tail, F.lit(r"[{}]"), F.lit(0)), lambda b: F.when(b == "{", 1).otherwise(-1))
-    # The closing brace is the first one at which the running sum is zero.
+    opened = F.instr(text, F.lit("{"))
+    tail = F.when(opened > 0, F.substring(text, opened, F.length(text)))
+    pieces = F.regexp_extract_all(tail, F.lit(r"[^{}]*[{}]"), F.lit(0))
+    # The closing brace ends the first piece at which the running sum of braces is zero.
     state = F.aggregate(
-        steps,
+        pieces,
         F.struct(F.lit(0).alias("depth"), F.lit(0).alias("seen"), F.lit(0).alias("stop")),
-        lambda s, d: F.struct(
-            (s["depth"] + d).alias("depth"), (s["seen"] + 1).alias("seen"),
-            F.when((s["stop"] == 0) & (s["depth"] + d == 0), s["seen"] + 1).otherwise(s["stop"]).alias("stop")),
+        lambda s, p: F.struct(
+            (s["depth"] + F.when(p.endswith("{"), 1).otherwise(-1)).alias("depth"), (s["seen"] + 1).alias("seen"),
+            F.when((s["stop"] == 0) & p.endswith("}") & (s["depth"] == 1), s["seen"] + 1)
+            .otherwise(s["stop"]).alias("stop")),
     )
-    stop = state["stop"]
-    pattern = F.concat(F.lit(r"(?s)^((?:[^{}]*[{}]){"), stop.cast("string"), F.lit("})"))
-    return F.when(stop > 0, F.regexp_extract(tail, pattern, 1))
+    return F.when(state["stop"] > 0, F.array_join(F.slice(pieces, F.lit(1), state["stop"]), ""))
 
 
 def salvage_json(text: Column) -> Column:

@@ -36,23 +36,6 @@ def terms_in_text(terms: DataFrame, texts: DataFrame) -> DataFrame:
         "grounded", is_grounded(F.col("term"), F.col("aliases"), F.col("_low"))).drop("_low")
 
 
-def terms_anywhere(terms: DataFrame, texts: DataFrame, text_key: str) -> DataFrame:
-    """Which of a small set of terms `(term_id, term)` each text contains.
-
-    The terms travel as one literal array, read once from a table whose size is checked; every text is
-    scanned in place, so no text is copied per term and nothing is joined.
-    """
-    rows = terms.select("term_id", "term").limit(MAX_TERMS + 1).collect()
-    if len(rows) > MAX_TERMS:
-        raise ValueError(f"more than {MAX_TERMS} terms: match by paper with terms_in_text instead")
-    array = F.array(*[F.struct(F.lit(r[0]).alias("term_id"), F.lit(r[1].lower()).alias("needle")) for r in rows])
-    low = texts.select(text_key, F.lower("text").alias("_low"), array.alias("_terms"))
-    hits = F.filter("_terms", lambda t: _found(t["needle"], F.col("_low")))
-    return low.select(text_key, F.explode(F.transform(hits, lambda t: t["term_id"])).alias("term_id"))
-
-
-MAX_TERMS = 2_000
-
 # Stage lists and the name field of their items, with the category used in reports.
 STAGE_LISTS = [("growth_factors", "name", "growth_factor"), ("small_molecules", "name", "small_molecule"),
                ("stage_markers", "marker_name", "marker")]
@@ -79,10 +62,12 @@ def ground_protocols(protocols: DataFrame, texts: DataFrame,
             F.lit(category).alias("category"), i[field].alias("term"),
             F.coalesce(stage, F.lit("?")).alias("stage"), F.lit("not_found_in_text").alias("reason")))
 
+    def kept(items, field, category):
+        return F.coalesce(F.filter(items, lambda i: keep(i, field, category)), F.array())
+
     def cleaned_stage(s):
         for column, field, category in STAGE_LISTS:
-            s = s.withField(column, F.coalesce(
-                F.filter(s[column], lambda i, f=field, c=category: keep(i, f, c)), F.array()))
+            s = s.withField(column, kept(s[column], field, category))
         return s
 
     none = F.array().cast("array<struct<category:string,term:string,stage:string,reason:string>>")
@@ -94,7 +79,7 @@ def ground_protocols(protocols: DataFrame, texts: DataFrame,
     return (joined.withColumn("removals", report)
             .withColumn("endpoint_assessment", F.when(
                 F.col("endpoint_assessment").isNotNull(), F.col("endpoint_assessment").withField(
-                    "markers", F.coalesce(F.filter(ends, lambda i: keep(i, "marker_name", "marker")), F.array()))))
+                    "markers", kept(ends, "marker_name", "marker"))))
             .withColumn("stages", F.transform("stages", cleaned_stage)).drop("_low"))
 
 

@@ -34,7 +34,12 @@ def stage_of_day(points: DataFrame, protocols: DataFrame, overflow: bool = True)
 
 
 def sample_pairs(samples: DataFrame, accessions: DataFrame, protocols: DataFrame) -> DataFrame:
-    """Every sample of a paper's own or ambiguous series with every staged protocol of that paper."""
+    """Every sample of a paper's own or ambiguous series with every staged protocol of that paper.
+
+    Day and alias are read from a sample's text once, before it meets its protocols.
+    """
+    text = S.sample_text(F.col("sample_title"), F.col("source_name"))
+    samples = samples.withColumn("day", S.extract_day(text)).withColumn("alias", S.extract_stage_alias(text))
     acc = (accessions.where(F.col("context").isin("own_data", "ambiguous"))
            .select(F.col("id").alias("geo_accession_id"), "paper_id"))
     pr = (with_ranges(protocols.where(F.size("stages") > 0))
@@ -44,10 +49,12 @@ def sample_pairs(samples: DataFrame, accessions: DataFrame, protocols: DataFrame
 
 def tier1(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(mapped, unmapped) sample-protocol pairs by day and stage words."""
-    tried = pairs.withColumn("_m", S.map_sample(F.col("sample_title"), F.col("source_name"), F.col("ranges")))
+    tried = pairs.withColumn("_d", S.day_to_stage(F.col("day"), F.col("ranges")))
+    tried = tried.withColumn("_a", F.when(F.col("_d").isNull(), S.alias_to_stage(F.col("alias"), F.col("ranges"))))
+    tried = tried.withColumn("_m", S.assigned_stage(F.col("day"), F.col("alias"), F.col("_d"), F.col("_a")))
     mapped = tried.where(F.col("_m").isNotNull()).select(
         F.col("id").alias("geo_sample_id"), "protocol_id", "_m.*")
-    return mapped, tried.where(F.col("_m").isNull()).drop("_m")
+    return mapped, tried.where(F.col("_m").isNull()).drop("_m", "_d", "_a")
 
 
 def tier2(unmapped: DataFrame, answers: DataFrame) -> DataFrame:

@@ -45,7 +45,7 @@ def _positions(ranks: DataFrame, value: str, piece: int = 10_000) -> DataFrame:
     short = ranks.where(F.col("ties") <= piece).select(F.explode(F.sequence(first, last)).alias("pos"), value)
     starts = ranks.where(F.col("ties") > piece).select(
         F.explode(F.sequence(first, last, F.lit(piece).cast("bigint"))).alias("_from"), last.alias("_to"), value)
-    cut_up = starts.repartition().select(
+    cut_up = starts.repartition("_from", value).select(
         F.explode(F.sequence(F.col("_from"), F.least(F.col("_from") + piece - 1, F.col("_to")))).alias("pos"), value)
     return short.unionByName(cut_up)
 

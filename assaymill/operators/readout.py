@@ -10,6 +10,7 @@ from assaymill.functions import genes
 from assaymill.functions.genes import literal_map
 from assaymill.operators import ranking
 from assaymill.operators.expression import panel_values
+from assaymill.session import cut
 
 KEYS = ["protocol_id", "pmc_id", "doi", "protocol_arm", "gene_symbol", "time_point_day", "unit"]
 
@@ -75,7 +76,9 @@ def rank_readouts(traj: DataFrame, agg: DataFrame, hot_rows: int = ranking.HOT_R
 
     A gene's series are a 47th of all at least, so its medians are taken by position, not in a buffer.
     """
-    traj = traj.withColumn("_abs", F.abs("log2fc"))
+    # Five small aggregates read these columns; they are written once instead of derived five times.
+    traj = cut(traj.select("gene_symbol", "protocol_id", "follows_expected", "dynamic_range",
+                           F.abs("log2fc").alias("_abs")))
     stats = traj.groupBy("gene_symbol").agg(
         F.countDistinct("protocol_id").alias("n_protocols_temporal"),
         F.sum(F.col("follows_expected").cast("int")).alias("n_follow_expected"),
@@ -149,6 +152,17 @@ def within_protocol_profile(agg: DataFrame, genes_shown: list[str] | None = None
             .agg(F.avg("_norm").alias("mean_norm"), F.stddev_samp("_norm").alias("std_norm")))
 
 
+def analyze(values: DataFrame, papers: DataFrame, protocols: DataFrame) -> dict[str, DataFrame]:
+    """All readout tables. The aggregate, far smaller than the measurements, is written once for its readers."""
+    agg = cut(aggregate(values, papers, protocols))
+    traj = trajectories(agg)
+    ranked = rank_readouts(traj, agg)
+    points = timepoints(traj, agg)
+    return {"aggregate": agg, "trajectories": traj, "ranking": ranked, "timepoints": points,
+            "heatmap": heatmap(agg, ranked), "profile": within_protocol_profile(agg),
+            "summary": summary(agg, ranked, points)}
+
+
 def summary(agg: DataFrame, ranked: DataFrame, points: DataFrame) -> DataFrame:
     """Lines of the text summary, in order."""
     head = agg.agg(

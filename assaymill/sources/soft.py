@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def _lines(text: Column) -> Column:
-    return F.transform(F.split(text, r"\r?\n"), F.trim)
+    return F.transform(F.split(text, r"\r?\n"), lambda l: F.trim(l))
 
 
 def _values(lines: Column, prefix: str) -> Column:
@@ -42,21 +42,26 @@ def samples(texts: DataFrame) -> DataFrame:
     records = F.split(F.concat(F.lit("\n"), F.col("soft")), r"\n\s*(?=\^SAMPLE)")
     r = texts.select("accession", F.posexplode(records).alias("pos", "rec")).where("pos > 0")
     r = r.withColumn("_l", _lines(F.col("rec")))
-    traits = _values(F.col("_l"), "!Sample_characteristics_ch")
-    # A repeated key keeps its last value, as does a dictionary.
-    pair = F.transform(traits, lambda t: F.struct(
-        F.trim(F.substring_index(t, ":", 1)).alias("k"),
-        F.when(t.contains(":"), F.trim(F.regexp_replace(t, r"^[^:]*:", ""))).otherwise(t).alias("v")))
-    keys = F.array_distinct(F.transform(pair, lambda p: p["k"]))
-    vals = F.transform(keys, lambda k: F.try_element_at(F.filter(pair, lambda p: p["k"] == k), F.lit(-1))["v"])
-    relation = F.filter(_values(F.col("_l"), "!Sample_relation"), lambda x: x.rlike("SRA:|SRX"))
-    sra = F.filter(F.transform(relation, lambda x: F.regexp_extract(x, r"(SRX\d+|SRR\d+)", 1)), lambda x: x != "")
-    return r.select(
+    # Each step is a column of its own: an array expression inside a lambda would run once per element.
+    r = r.select(
         "accession", _last(_values(F.col("_l"), "^SAMPLE")).alias("gsm_id"),
         _last(_values(F.col("_l"), "!Sample_title")).alias("sample_title"),
         _last(_values(F.col("_l"), "!Sample_source_name")).alias("source_name"),
         _last(_values(F.col("_l"), "!Sample_description")).alias("description"),
-        F.map_from_arrays(keys, vals).alias("characteristics"), _last(sra).alias("sra_accession"),
+        _values(F.col("_l"), "!Sample_characteristics_ch").alias("_traits"),
+        F.array_join(F.filter(_values(F.col("_l"), "!Sample_relation"), lambda x: x.rlike("SRA:|SRX")), "\n")
+        .alias("_relations"))
+    r = r.withColumn("_keys", F.transform("_traits", lambda t: F.trim(F.substring_index(t, ":", 1))))
+    r = r.withColumn("_vals", F.transform("_traits", lambda t: F.when(
+        t.contains(":"), F.trim(F.regexp_replace(t, r"^[^:]*:", ""))).otherwise(t)))
+    r = r.withColumn("_names", F.array_distinct("_keys"))
+    # A repeated key keeps its last value.
+    r = r.withColumn("_kept", F.transform("_names", lambda k: F.get(F.filter(
+        F.reverse(F.arrays_zip("_keys", "_vals")), lambda z: z["_keys"] == k), F.lit(0))["_vals"]))
+    runs = F.regexp_extract_all("_relations", F.lit(r"(SRX\d+|SRR\d+)"), F.lit(1))
+    return r.select(
+        "accession", "gsm_id", "sample_title", "source_name", "description",
+        F.map_from_arrays("_names", "_kept").alias("characteristics"), _last(runs).alias("sra_accession"),
     ).where("gsm_id <> ''")
 
 

@@ -100,8 +100,11 @@ def named_column(header: Column, patterns: list[str]) -> Column:
     """Column equal to a pattern, else one that contains it; blanks and dots count as underscores."""
     low = F.transform(header, lambda h: F.regexp_replace(F.lower(F.trim(h)), r"[ .]", "_"))
     exact = [F.array_position(low, F.lit(p)) for p in patterns]
-    part = [F.array_position(F.transform(low, lambda h, p=p: F.contains(h, F.lit(p))), F.lit(True)) for p in patterns]
-    return _index(exact + part)
+
+    def containing(p):
+        return F.array_position(F.transform(low, lambda h: F.contains(h, F.lit(p))), F.lit(True))
+
+    return _index(exact + [containing(p) for p in patterns])
 
 
 def classify(parsed: DataFrame) -> DataFrame:
