@@ -16,22 +16,37 @@ def literal_map(mapping: dict) -> Column:
 
 def strip(c: Column) -> Column:
     """Remove any white space at both ends."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.trim(c, F.lit(" \t\n\r\f\v"))
 
 
 def resolve_alias(name: Column) -> Column:
     """Canonical symbol of a gene name: Ensembl (version dropped), Entrez digits, `_chrN` suffix, alias."""
     upper = F.upper(strip(name))
-    bare = F.regexp_replace(upper, r"^(ENSG[^.]*)\..*$", "$1")
-    plain = F.regexp_replace(bare, r"_CHR\w*$", "")
+    bare = F.when(upper.startswith("ENSG"), F.substring_index(upper, ".", 1)).otherwise(upper)
+    plain = F.when(bare.contains("_CHR"), F.regexp_replace(bare, r"_CHR\w*$", "")).otherwise(bare)
     return F.coalesce(
-        F.when(bare.startswith("ENSG"), F.try_element_at(literal_map(dims.ENSEMBL_TO_SYMBOL), bare)),
-        F.when(bare.rlike(r"^\d+$"), F.try_element_at(literal_map(dims.ENTREZ_TO_SYMBOL), bare)),
+        F.when(upper.startswith("ENSG"), F.try_element_at(literal_map(dims.ENSEMBL_TO_SYMBOL), bare)),
+        F.when(upper.between("0", "9z"), F.try_element_at(literal_map(dims.ENTREZ_TO_SYMBOL), bare)),
         F.try_element_at(literal_map(dims.GENE_ALIASES), plain),
         plain,
     )
 
 
+def lookup_key(name: Column) -> Column:
+    """Key of a name in `lookup_rows`; names with a `_chrN` suffix only match symbols and aliases."""
+    upper = F.upper(strip(name))
+    bare = F.when(upper.startswith("ENSG"), F.substring_index(upper, ".", 1)).otherwise(upper)
+    return F.when(bare.contains("_CHR"), F.concat(F.lit("_CHR:"), F.regexp_replace(bare, r"_CHR\w*$", ""))).otherwise(bare)
+
+
+def lookup_rows() -> list[tuple[str, str]]:
+    """(key, symbol) of every spelling that means a panel gene."""
+    names = {g: g for g in dims.PANEL}
+    names.update({a: s for a, s in dims.GENE_ALIASES.items() if s in names})
+    rows = list(names.items()) + [(f"_CHR:{n}", s) for n, s in names.items()]
+    return rows + list(dims.ENSEMBL_TO_SYMBOL.items()) + list(dims.ENTREZ_TO_SYMBOL.items())
+
+
 def in_panel(symbol: Column) -> Column:
     """True for canonical panel symbols."""
     return symbol.isin(dims.PANEL)

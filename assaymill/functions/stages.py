@@ -36,25 +36,23 @@ def extract_stage_alias(text: Column) -> Column:
 
 def stage_duration(duration: Column) -> Column:
     """Whole days of a duration given as number or text such as `3-5 days`; missing is 0."""
-    return F.coalesce(first_int(duration.cast("string")), F.lit(0))
+    whole = duration.try_cast("int")
+    return F.when(whole >= 0, whole).otherwise(F.coalesce(first_int(duration.cast("string")), F.lit(0)))
 
 
 def stage_ranges(stages: Column, name: str = "stage_name", duration: str = "duration_days") -> Column:
-    """Cumulative inclusive day ranges of an ordered array of stages."""
-    days = F.transform(stages, lambda s: stage_duration(s[duration]))
-
-    def one(s, i):
-        start = F.aggregate(F.slice(days, F.lit(1), i), F.lit(0), lambda acc, d: acc + d)
-        length = F.get(days, i)
-        return F.struct(
-            (i + 1).alias("stage_number"),
-            F.coalesce(s[name], F.concat(F.lit("stage_"), (i + 1).cast("string"))).alias("stage_name"),
-            start.alias("start_day"),
-            (start + length).alias("end_day"),
-            length.alias("duration_days"),
-        )
-
-    return F.transform(stages, one)
+    """Cumulative inclusive day ranges of an ordered array of stages, in one fold over it."""
+    def step(acc, s):
+        n, length = acc["n"] + 1, stage_duration(s[duration])
+        one = F.struct(
+            n.alias("stage_number"),
+            F.coalesce(s[name], F.concat(F.lit("stage_"), n.cast("string"))).alias("stage_name"),
+            acc["total"].alias("start_day"), (acc["total"] + length).alias("end_day"), length.alias("duration_days"))
+        return F.struct(n.alias("n"), (acc["total"] + length).alias("total"),
+                        F.concat(acc["out"], F.array(one)).alias("out"))
+
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("total"), F.array().cast(RANGE_TYPE).alias("out"))
+    return F.aggregate(stages, start, step)["out"]
 
 
 def day_to_stage(day: Column, ranges: Column, overflow: bool = True) -> Column:

@@ -248,38 +248,39 @@ def sections(shredded: DataFrame) -> DataFrame:
         F.coalesce(F.size(in_sec), F.lit(0)).alias("tables_found"))
 
 
-def budgeted_text(title: Column, abstract: Column, secs: Column, budget: int = dims.PAPER_BUDGET) -> Column:
-    """Paper text within a budget: sections by priority while they fit; must-have ones are cut, others skipped.
+def with_budgeted_text(df: DataFrame, budget: int = dims.PAPER_BUDGET, name: str = "full_text") -> DataFrame:
+    """`df` (title, abstract, sections) with the paper's text within a budget.
 
-    The fold tracks only how much of each block to take; the text is put together once at the end.
+    Sections come by priority while they fit; must-have ones are cut, others skipped. The fold only tracks how
+    much of each block to take; the text is put together once at the end.
     """
-    header = F.concat(F.lit("# "), title, F.lit("\n\n## Abstract\n"), abstract, F.lit("\n\n"))
-    ordered = F.array_sort(F.transform(secs, lambda s, i: F.struct(
-        T.section_priority(s["title"]).alias("priority"), i.alias("i"),
-        F.concat(F.lit("## "), s["title"], F.lit("\n"), s["text"], F.lit("\n\n")).alias("block"))))
     marker = "\n\n[... truncated ...]\n"
+    header = F.concat(F.lit("# "), F.col("title"), F.lit("\n\n## Abstract\n"), F.col("abstract"), F.lit("\n\n"))
+    d = df.withColumn("_head", header).withColumn("_blocks", F.array_sort(F.transform("sections", lambda s, i: F.struct(
+        T.section_priority(s["title"]).alias("priority"), i.alias("i"),
+        F.concat(F.lit("## "), s["title"], F.lit("\n"), s["text"], F.lit("\n\n")).alias("block")))))
+    d = d.withColumn("_sizes", F.transform("_blocks", lambda s: F.struct(
+        (s["priority"] <= 1).alias("must"), F.length(s["block"]).alias("size"))))
 
     def step(acc, s):
-        size = F.length(s["block"])
         room = F.lit(budget) - acc["total"]
-        fits = size <= room
-        cut = ~fits & (s["priority"] <= 1) & (room > 200)
-        take = F.when(fits, size).when(cut, room - 50).otherwise(F.lit(-1))
-        used = F.when(fits, size).when(cut, room - 50 + len(marker)).otherwise(F.lit(0))
+        fits = s["size"] <= room
+        cut = ~fits & s["must"] & (room > 200)
+        take = F.when(fits, s["size"]).when(cut, room - 50).otherwise(F.lit(-1))
+        used = F.when(fits, s["size"]).when(cut, room - 50 + len(marker)).otherwise(F.lit(0))
         return F.struct((acc["total"] + used).alias("total"), F.concat(acc["takes"], F.array(take)).alias("takes"))
 
-    start = F.struct(F.length(header).alias("total"), F.array().cast("array<int>").alias("takes"))
-    takes = F.aggregate(ordered, start, step)["takes"]
-    parts = F.zip_with(ordered, takes, lambda s, k: F.when(k >= F.length(s["block"]), s["block"]).when(
-        k >= 0, F.concat(F.substring(s["block"], F.lit(1), k), F.lit(marker))).otherwise(F.lit("")))
-    return F.concat(header, F.array_join(parts, ""))
+    start = F.struct(F.length("_head").alias("total"), F.array().cast("array<int>").alias("takes"))
+    d = d.withColumn("_takes", F.aggregate("_sizes", start, step)["takes"])
+    parts = F.transform("_blocks", lambda s, i: F.when(
+        F.get("_takes", i) >= F.get("_sizes", i)["size"], s["block"]).when(F.get("_takes", i) >= 0, F.concat(
+            F.substring(s["block"], F.lit(1), F.get("_takes", i)), F.lit(marker))).otherwise(F.lit("")))
+    return d.withColumn(name, F.concat("_head", F.array_join(parts, ""))).drop("_head", "_blocks", "_sizes", "_takes")
 
 
 def papers_text(shredded: DataFrame, budget: int = dims.PAPER_BUDGET) -> DataFrame:
     """Parsed papers with their budgeted full text."""
-    d = sections(shredded).withColumn("full_text", budgeted_text(
-        F.col("title"), F.col("abstract"), F.col("sections"), budget))
-    return d.withColumn("char_count", F.length("full_text"))
+    return with_budgeted_text(sections(shredded), budget).withColumn("char_count", F.length("full_text"))
 
 
 def references(shredded: DataFrame) -> DataFrame:

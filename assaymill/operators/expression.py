@@ -20,11 +20,21 @@ def first_by(order: list[Column], columns: list[str]) -> Column:
     return F.min(F.struct(*keys, *[F.col(c) for c in columns]))
 
 
+def panel_lookup(spark) -> DataFrame:
+    """(name_key, symbol) of the panel's spellings: about two hundred fixed rows."""
+    rows = ", ".join(f"('{k}', '{v}')" for k, v in genes.lookup_rows())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(name_key, symbol)")
+
+
 def panel_values(values: DataFrame) -> DataFrame:
-    """Measurements of panel genes under their canonical symbol; the raw spelling stays in `raw_symbol`."""
-    resolved = values.withColumn("raw_symbol", F.col("gene_symbol"))
-    resolved = resolved.withColumn("gene_symbol", genes.resolve_alias(F.col("gene_symbol")))
-    return resolved.where(genes.in_panel(F.col("gene_symbol")))
+    """Measurements of panel genes under their canonical symbol.
+
+    One broadcast hash lookup of a fixed table both filters and renames; the same as nested expressions made
+    code too large for the JIT compiler.
+    """
+    keyed = values.withColumn("name_key", genes.lookup_key(F.col("gene_symbol")))
+    hit = keyed.join(F.broadcast(panel_lookup(values.sparkSession)), "name_key")
+    return hit.withColumn("gene_symbol", F.col("symbol")).select(*values.columns)
 
 
 def best_values(values: DataFrame, resolve: bool = True, parity: bool = False) -> DataFrame:

@@ -59,7 +59,7 @@ def _peel(edges: DataFrame, cut_every: int = 4) -> tuple[list[DataFrame], DataFr
     points at it; an edge stays while its source does.
     """
     levels, left, k = [], edges, 0
-    while not _empty(left):
+    while True:
         targets = left.select(F.col("dst").alias("id")).distinct()
         free = left.select(F.col("src").alias("id")).distinct().join(targets, "id", "left_anti")
         free = cut(free)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from assaymill import dims
@@ -11,31 +11,30 @@ from assaymill.functions.genes import strip
 from assaymill.operators.ranking import top_per_group
 
 
-def combined_text(parts: Column, budget: int = dims.SUPPLEMENT_BUDGET) -> Column:
-    """Text of an ordered array of (filename, text) within a budget.
+def with_combined_text(df: DataFrame, budget: int = dims.SUPPLEMENT_BUDGET, name: str = "supplement_text") -> DataFrame:
+    """`df` with the text of its ordered `parts` (filename, text) within a budget.
 
     The first block that does not fit is cut if more than 200 characters are left, and ends the text.
     """
     marker = "\n[... truncated ...]\n"
-    usable = F.filter(parts, lambda p: strip(F.coalesce(p["text"], F.lit(""))) != "")
-    blocks = F.transform(usable, lambda p: F.concat(
-        F.lit("\n## Supplement: "), p["filename"], F.lit("\n\n"), strip(p["text"]), F.lit("\n")))
-    lengths = F.transform(blocks, F.length)
+    usable = F.filter("parts", lambda p: strip(F.coalesce(p["text"], F.lit(""))) != "")
+    d = df.withColumn("_blocks", F.transform(usable, lambda p: F.concat(
+        F.lit("\n## Supplement: "), p["filename"], F.lit("\n\n"), strip(p["text"]), F.lit("\n"))))
 
-    def step(acc, n):
-        fits = acc["open"] & (acc["total"] + n <= budget)
+    def step(acc, b):
+        fits = acc["open"] & (acc["total"] + F.length(b) <= budget)
         return F.struct(
-            F.when(fits, acc["total"] + n).otherwise(acc["total"]).alias("total"),
+            F.when(fits, acc["total"] + F.length(b)).otherwise(acc["total"]).alias("total"),
             F.when(fits, acc["taken"] + 1).otherwise(acc["taken"]).alias("taken"),
             fits.alias("open"))
 
-    end = F.aggregate(lengths, F.struct(
-        F.lit(0).alias("total"), F.lit(0).alias("taken"), F.lit(True).alias("open")), step)
-    head = F.array_join(F.slice(blocks, F.lit(1), end["taken"]), "")
-    room = F.lit(budget) - end["total"]
-    over = F.get(blocks, end["taken"])
+    d = d.withColumn("_end", F.aggregate("_blocks", F.struct(
+        F.lit(0).alias("total"), F.lit(0).alias("taken"), F.lit(True).alias("open")), step))
+    room = F.lit(budget) - F.col("_end.total")
+    over = F.get("_blocks", F.col("_end.taken"))
     tail = F.when(over.isNotNull() & (room > 200), F.concat(F.substring(over, F.lit(1), room - 50), F.lit(marker)))
-    return F.concat(head, F.coalesce(tail, F.lit("")))
+    head = F.array_join(F.slice("_blocks", F.lit(1), F.col("_end.taken")), "")
+    return d.withColumn(name, F.concat(head, F.coalesce(tail, F.lit("")))).drop("_blocks", "_end")
 
 
 def paper_supplements(files: DataFrame, budget: int = dims.SUPPLEMENT_BUDGET) -> DataFrame:
@@ -53,8 +52,8 @@ def paper_supplements(files: DataFrame, budget: int = dims.SUPPLEMENT_BUDGET) ->
         Window.partitionBy("paper_id").orderBy("filename").rowsBetween(Window.unboundedPreceding, -1))
     shown = first.withColumn("_start", F.coalesce(before, F.lit(0))).where(F.col("_start") <= budget).select(
         "paper_id", F.struct("filename", "text").alias("p"))
-    return shown.groupBy("paper_id").agg(F.array_sort(F.collect_list("p")).alias("parts")).select(
-        "paper_id", combined_text(F.col("parts"), budget).alias("supplement_text"))
+    parts = shown.groupBy("paper_id").agg(F.array_sort(F.collect_list("p")).alias("parts"))
+    return with_combined_text(parts, budget).drop("parts")
 
 
 def table_markdown(df: DataFrame, key: list[str], order: list[str], columns: list[str], limit: int = 200) -> DataFrame:

@@ -206,8 +206,9 @@ def budget_fold(spark, sf):
     d = table(spark, sf, "documents").selectExpr(
         "CAST(floor(doc_id / 8) AS BIGINT) AS k", f"named_struct('i', doc_id, 'title', {TITLES}, 'text', text) AS s")
     p = d.groupBy("k").agg(F.array_sort(F.collect_list("s")).alias("sections"))
-    full = documents.budgeted_text(F.concat(F.lit("T"), F.col("k").cast("string")), F.lit("abs"), F.col("sections"), 9000)
-    return p.select("k", full.alias("t")).select("k", F.length("t").alias("chars"), F.md5("t").alias("digest"))
+    p = p.withColumn("title", F.concat(F.lit("T"), F.col("k").cast("string"))).withColumn("abstract", F.lit("abs"))
+    t = documents.with_budgeted_text(p, 9000)
+    return t.select("k", F.length("full_text").alias("chars"), F.md5("full_text").alias("digest"))
 
 
 @query("supplement_fold",

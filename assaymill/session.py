@@ -47,3 +47,12 @@ def cut(df: DataFrame) -> DataFrame:
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a plan, in bytes."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def spread(df: DataFrame, bytes_per_task: int = 64 * 1024 * 1024) -> DataFrame:
+    """Shuffle a small input over all cores ahead of work that costs far more than reading it.
+
+    An input large enough to fill the cores with its own splits is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if plan_bytes(df) < cores * bytes_per_task else df

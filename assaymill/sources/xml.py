@@ -5,11 +5,12 @@ from __future__ import annotations
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assaymill.operators.documents import BLOCKS
+from assaymill.session import spread
 
 NODE = ("struct<pos:int,stop:int,parent:int,depth:int,shield:int,tag:string,attrs:map<string,string>,"
         "text:string,tail:string,start:int,length:int>")
@@ -20,60 +21,76 @@ def _local(name: str) -> str:
     return name.rsplit("}", 1)[-1]
 
 
-def _shred_one(xml: str) -> tuple[list[tuple] | None, str | None]:
-    """Nodes in document order and the text of the whole, or Nones for markup that does not parse.
+def _shred_one(xml: str, out: list[list]) -> str | None:
+    """Append one article's nodes, in document order, to the field lists of `out`; returns its plain text.
 
     `stop` is the position of a node's last descendant, `shield` that of its outermost block ancestor (-1: none);
-    `start`/`length` delimit its text inside the plain text.
+    `start`/`length` delimit its text inside the plain text. Markup that does not parse gives None.
     """
     try:
         root = ET.fromstring(xml)
     except ET.ParseError:
-        return None, None
-    nodes: list[list] = []
-    plain: list[str] = []
-    size = 0
-
-    def emit(t: str | None) -> None:
-        nonlocal size
-        if t:
-            plain.append(t)
-            size += len(t)
-
+        return None
+    pos_, stop_, parent_, depth_, shield_, tag_, attrs_, text_, tail_, start_, length_ = out
+    base, plain, size = len(pos_), [], 0
     stack = [(root, -1, 0, -1, None)]
     while stack:
         el, parent, depth, shield, done = stack.pop()
         if done is not None:
-            nodes[done][1], nodes[done][10] = len(nodes) - 1, size - nodes[done][9]
-            if depth:
-                emit(el.tail)
+            stop_[base + done] = len(pos_) - base - 1
+            length_[base + done] = size - start_[base + done]
+            if depth and el.tail:
+                plain.append(el.tail)
+                size += len(el.tail)
             continue
-        pos, tag = len(nodes), _local(el.tag) if isinstance(el.tag, str) else "#"
-        attrs = {_local(k): v for k, v in el.attrib.items()}
-        nodes.append([pos, pos, parent, depth, shield, tag, attrs, el.text or "",
-                      (el.tail or "") if depth else "", size, 0])
-        emit(el.text)
+        pos, tag = len(pos_) - base, _local(el.tag) if isinstance(el.tag, str) else "#"
+        row = (pos, pos, parent, depth, shield, tag, [(_local(k), v) for k, v in el.attrib.items()],
+               el.text or "", (el.tail or "") if depth else "", size, 0)
+        for column, value in zip(out, row):
+            column.append(value)
+        if el.text:
+            plain.append(el.text)
+            size += len(el.text)
         inner = pos if shield < 0 and tag in BLOCKS else shield
         stack.append((el, parent, depth, shield, pos))
         stack.extend((c, pos, depth + 1, inner, None) for c in reversed(el))
-    return [tuple(n) for n in nodes], "".join(plain)
+    return "".join(plain)
+
+
+_INT, _STR = pa.int32(), pa.string()
+_FIELDS = [("pos", _INT), ("stop", _INT), ("parent", _INT), ("depth", _INT), ("shield", _INT), ("tag", _STR),
+           ("attrs", pa.map_(_STR, _STR)), ("text", _STR), ("tail", _STR), ("start", _INT), ("length", _INT)]
+
+
+def _shred_batch(texts: list) -> tuple[pa.Array, pa.Array]:
+    """Node lists and plain texts of some articles as Arrow arrays, without a Python object per nested value."""
+    out: list[list] = [[] for _ in _FIELDS]
+    offsets, plains = [], []
+    for x in texts:
+        at = len(out[0])
+        plain = _shred_one(x, out) if isinstance(x, str) else None
+        offsets.append(at if plain is not None else None)
+        plains.append(plain)
+    flat = pa.StructArray.from_arrays([pa.array(v, t) for v, (_, t) in zip(out, _FIELDS)], [n for n, _ in _FIELDS])
+    ends = pa.array(offsets + [len(out[0])], pa.int32())
+    return pa.ListArray.from_arrays(ends, flat), pa.array(plains, _STR)
 
 
-def shred(docs: DataFrame, column: str = "xml") -> DataFrame:
+def shred(docs: DataFrame, column: str = "xml", rows_at_once: int = 128) -> DataFrame:
     """`docs` with `nodes` and `plain` in place of the markup column; NULL where it does not parse."""
     keep = [f for f in docs.schema.fields if f.name != column]
     names = [f.name for f in keep]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keep] + [SHRED])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            pairs = [_shred_one(x) if isinstance(x, str) else (None, None) for x in b[column]]
-            out = b[names].copy()
-            out["nodes"] = [p[0] for p in pairs]
-            out["plain"] = [p[1] for p in pairs]
-            yield out
+            for at in range(0, b.num_rows, rows_at_once):
+                part = b.slice(at, rows_at_once)
+                nodes, plain = _shred_batch(part.column(column).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(n) for n in names] + [nodes, plain], names + ["nodes", "plain"])
 
-    return docs.mapInPandas(run, schema)
+    return spread(docs.select(*names, column)).mapInArrow(run, schema)
 
 
 def read_articles(spark: SparkSession, folder: str) -> DataFrame:
