@@ -53,7 +53,8 @@ def in_panel(symbol: Column) -> Column:
 
 
 def is_target_gene(name: Column) -> Column:
-    return in_panel(resolve_alias(name))
+    """Whether a name means a panel gene: one hash-set test on its key."""
+    return lookup_key(name).isin([k for k, _ in lookup_rows()])
 
 
 def category(symbol: Column) -> Column:
