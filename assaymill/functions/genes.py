@@ -16,7 +16,7 @@ def literal_map(mapping: dict) -> Column:
 
 def strip(c: Column) -> Column:
     """Remove any white space at both ends."""
-    return F.trim(c, F.lit(" \t\n\r\f\v"))
+    return F.btrim(c, F.lit(" \t\n\r\f\v"))
 
 
 def resolve_alias(name: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assaymill import dims
@@ -46,7 +46,6 @@ def summary(results: DataFrame, min_rated: int = 5) -> DataFrame:
         F.coalesce("triage_category", F.lit("unknown")).alias("category"), "rating").agg(
             F.count(F.lit(1)).alias("c"), F.sum(F.coalesce("extraction_confidence", F.lit(0.0))).alias("conf"))
     rated = cells.where(F.col("rating") != "skip").withColumn("score", rating_score(F.col("rating")) * F.col("c"))
-    n_rated = rated.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("_rated"))
 
     def part(df, section, key, value):
         return df.select(F.lit(section).alias("section"), key.alias("key"), value.alias("value"), F.col("n"))
@@ -60,8 +59,10 @@ def summary(results: DataFrame, min_rated: int = 5) -> DataFrame:
                            section, F.col(column), F.col("v")))
     frames.append(part(cells.groupBy("rating").agg(F.sum("c").alias("n")), "rating", F.col("rating"),
                        F.lit(None).cast("double")))
-    by_rating = (rated.groupBy("rating").agg((F.sum("conf") / F.sum("c")).alias("v"), F.sum("c").alias("n"))
-                 .crossJoin(F.broadcast(n_rated)).where(F.col("_rated") >= min_rated))
+    # One row per rating, five at most.
+    by_rating = rated.groupBy("rating").agg((F.sum("conf") / F.sum("c")).alias("v"), F.sum("c").alias("n"))
+    by_rating = by_rating.withColumn("_rated", F.sum("n").over(Window.partitionBy(F.lit(0)))).where(
+        F.col("_rated") >= min_rated)
     frames.append(part(by_rating, "confidence", F.col("rating"), F.col("v")))
     out = frames[0]
     for f in frames[1:]:

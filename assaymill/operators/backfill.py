@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from assaymill.functions import text as T
 from assaymill.functions.stages import extract_day
+from assaymill.operators.joins import left_lookup
 
 
 def comparison(values: DataFrame) -> DataFrame:
@@ -19,7 +20,7 @@ def comparison(values: DataFrame) -> DataFrame:
     wanted = (values.where(F.col("comparison").isNull() & (F.col("source_type") == "supplement_table")
                            & F.col("source_detail").ilike("%DEG%"))
               .select("source_detail").distinct().withColumn("_hit", F.lit(True)))
-    j = values.join(wanted, "source_detail", "left")
+    j = left_lookup(values, wanted, ["source_detail"])
     fill = F.when(F.col("_hit"), label)
     return j.withColumn("comparison", F.coalesce("comparison", fill)).select(*values.columns)
 
@@ -34,7 +35,7 @@ def day_from_mapping(values: DataFrame, mappings: DataFrame) -> DataFrame:
     """Day of a sample mapping with the same protocol and label; of several the earliest."""
     days = (mappings.where(F.col("time_point_day").isNotNull() & (F.col("condition_label") != ""))
             .groupBy("protocol_id", "condition_label").agg(F.min("time_point_day").alias("_day")))
-    return (values.join(days, ["protocol_id", "condition_label"], "left")
+    return (left_lookup(values, days, ["protocol_id", "condition_label"])
             .withColumn("time_point_day", F.coalesce("time_point_day", "_day")).select(*values.columns))
 
 
@@ -44,28 +45,31 @@ def day_coverage(values: DataFrame) -> DataFrame:
         "percent", F.col("has_day") * F.lit(100.0) / F.nullif(F.col("total"), F.lit(0)))
 
 
-def repository_records(records: DataFrame, accessions: DataFrame, samples: DataFrame) -> DataFrame:
-    """Organism and sample list of GEO records from the accession tables, where empty.
-
-    Sample lists are gathered for the accessions that still need one only.
-    """
-    needs = records.where((F.col("repository") == "GEO") & F.col("sample_metadata").isNull()).select(
-        "paper_id", F.col("accession").alias("gse_id")).distinct()
-    acc = accessions.select(F.col("id").alias("geo_accession_id"), "paper_id", "gse_id",
+def repository_records(records: DataFrame, accessions: DataFrame) -> DataFrame:
+    """Organism of GEO records from the accession table, where empty."""
+    acc = accessions.select("paper_id", F.col("gse_id").alias("accession"), F.lit("GEO").alias("repository"),
                             F.col("organism").alias("_organism"))
-    lists = (samples.join(acc.join(needs, ["paper_id", "gse_id"], "left_semi").select("geo_accession_id"),
-                          "geo_accession_id", "left_semi")
-             .groupBy("geo_accession_id").agg(F.array_sort(F.collect_list(F.struct(
-                 F.col("gsm_id"), F.col("sample_title").alias("title"), F.col("source_name").alias("source"))))
-                 .alias("_samples")))
-    src = acc.join(lists, "geo_accession_id", "left").drop("geo_accession_id")
-    j = records.join(src, (records["paper_id"] == src["paper_id"]) & (records["accession"] == src["gse_id"])
-                     & (records["repository"] == "GEO"), "left").drop(src["paper_id"]).drop("gse_id")
+    j = records.join(acc, ["paper_id", "accession", "repository"], "left")
     return (j.withColumn("organism", F.coalesce(F.nullif(F.col("organism"), F.lit("")), "_organism"))
-            .withColumn("sample_metadata", F.coalesce("sample_metadata", "_samples"))
             .select(*records.columns))
 
 
+def repository_samples(records: DataFrame, accessions: DataFrame, samples: DataFrame,
+                       known: DataFrame | None = None) -> DataFrame:
+    """Sample rows `(paper_id, accession, gsm_id, title, source)` of GEO records that have none in `known` yet.
+
+    Rows of their own instead of a list inside the record: one series may have most of all samples.
+    """
+    todo = records.where(F.col("repository") == "GEO").select("paper_id", F.col("accession").alias("gse_id"))
+    if known is not None:
+        todo = todo.join(known.select("paper_id", F.col("accession").alias("gse_id")), ["paper_id", "gse_id"], "left_anti")
+    acc = accessions.select(F.col("id").alias("geo_accession_id"), "paper_id", "gse_id").join(
+        todo, ["paper_id", "gse_id"], "left_semi")
+    return samples.join(acc, "geo_accession_id").select(
+        "paper_id", F.col("gse_id").alias("accession"), "gsm_id", F.col("sample_title").alias("title"),
+        F.col("source_name").alias("source"))
+
+
 def paths_from_listing(papers: DataFrame, listing: DataFrame) -> DataFrame:
     """Supplement folder and text path of papers from a listing `(pmc_id, supplement_dir, supplement_text_path)`."""
     found = listing.select("pmc_id", F.col("supplement_dir").alias("_dir"), F.col("supplement_text_path").alias("_txt"))

@@ -9,6 +9,7 @@ from assaymill import dims
 from assaymill.functions import reagents as R
 from assaymill.functions import stages as S
 from assaymill.operators import expression as E
+from assaymill.operators.joins import left_lookup
 
 
 def protocols_sheet(protocols: DataFrame, papers: DataFrame) -> DataFrame:
@@ -88,7 +89,7 @@ def all_expression_sheet(values: DataFrame, papers: DataFrame, protocols: DataFr
     pr = protocols.select(F.col("id").alias("protocol_id"), "protocol_arm")
     columns = ["gene_symbol", "value", "unit", "condition_label", "time_point_day", "comparison", "padj",
                "source_type", "source_detail", "confidence"]
-    return values.join(p, "paper_id").join(pr, "protocol_id", "left").select(
+    return left_lookup(values.join(p, "paper_id"), pr, ["protocol_id"]).select(
         "pmc_id", "doi", "protocol_arm", *[c for c in columns if c in values.columns])
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from assaymill import dims
 from assaymill.functions import genes
+from assaymill.operators.joins import left_lookup
 
 
 def protocol_key(protocol_id: Column, paper_id: Column) -> Column:
@@ -70,7 +71,7 @@ def protocol_matrix(values: DataFrame, papers: DataFrame, protocols: DataFrame,
         *[F.max(F.when(F.col("gene_symbol") == g, F.col("value"))).alias(g) for g in columns or dims.PANEL])
     p = papers.select(F.col("id").alias("paper_id"), "pmc_id")
     pr = protocols.select(F.col("id").alias("protocol_id"), "protocol_arm")
-    return wide.join(p, "paper_id").join(pr, "protocol_id", "left")
+    return left_lookup(wide.join(p, "paper_id"), pr, ["protocol_id"])
 
 
 def stage_means(values: DataFrame, mappings: DataFrame, by_day: bool = False) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaymill import dims
+from assaymill.operators.joins import left_lookup
 from assaymill.operators.ranking import numbered
 from assaymill.session import cut
 
@@ -20,8 +21,7 @@ def resolve_references(refs: DataFrame, papers: DataFrame, by=("doi", "pmid", "p
     """References `(paper_id, doi, pmid, pmc_id)` with the in-corpus paper they name, identifiers in order."""
     j = refs
     for c in by:
-        o = _owner(papers, c)
-        j = j.join(o, j[c] == o[f"_{c}"], "left").drop(f"_{c}")
+        j = left_lookup(j, _owner(papers, c).withColumnRenamed(f"_{c}", c), [c])
     ref = F.coalesce(*[F.col(f"_id_{c}") for c in by])
     return (j.withColumn("referenced_id", ref).drop(*[f"_id_{c}" for c in by])
             .withColumn("in_corpus", F.col("referenced_id").isNotNull()))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaymill.functions import text as T
+from assaymill.operators.joins import contained_in
 from assaymill.operators.ranking import numbered
 
 # How a reference is named in a flag's details.
@@ -97,21 +98,22 @@ def reference_id(number: Column) -> Column:
 def match_files(files: DataFrame, refs: DataFrame) -> DataFrame:
     """Reference of each dropped file `(filename)`: exact suggested name first, else the first fuzzy match by id.
 
-    A person drops the files, so both sides are small; only if the references are, are they broadcast by Spark.
+    A file matches if its name holds a reference's DOI, the DOI's second half or the suggested name, or is
+    itself part of the suggested name.
     """
-    f = files.select("filename", F.lower("filename").alias("_name"))
-    f = f.withColumn("_stem", F.replace("_name", F.lit(".pdf"), F.lit("")))
+    f = files.select("filename", F.replace(F.lower("filename"), F.lit(".pdf"), F.lit("")).alias("_stem"),
+                     F.lower("filename").alias("_name"))
+    want = F.replace(F.lower("suggested_filename"), F.lit(".pdf"), F.lit(""))
     r = refs.select(
-        "id", "doi", F.lower("suggested_filename").alias("_suggested"),
-        F.replace(F.lower("suggested_filename"), F.lit(".pdf"), F.lit("")).alias("_want"),
+        "id", "doi", F.lower("suggested_filename").alias("_suggested"), want.alias("_want"),
         F.lower(F.replace("doi", F.lit("/"), F.lit("__"))).alias("_slug"),
         F.nullif(F.lower(F.regexp_extract("doi", r"^[^/]*/(.*)$", 1)), F.lit("")).alias("_suffix"))
     exact = f.join(r, f["_name"] == r["_suggested"]).select("filename", "id", "doi", F.lit(0).alias("_prio"))
-    fuzzy_on = (F.coalesce(F.contains(f["_stem"], r["_slug"]), F.lit(False))
-                | F.coalesce(F.contains(f["_stem"], r["_suffix"]), F.lit(False))
-                | F.contains(f["_stem"], r["_want"]) | F.contains(r["_want"], f["_stem"]))
     rest = f.join(exact.select("filename"), "filename", "left_anti")
-    fuzzy = rest.join(r, fuzzy_on).select("filename", "id", "doi", F.lit(1).alias("_prio"))
+    needles = r.select("id", "doi", F.explode(F.array_distinct(F.array("_slug", "_suffix", "_want"))).alias("_needle"))
+    inside = contained_in(rest, "_stem", needles.where("_needle <> ''"), "_needle").select("filename", "id", "doi")
+    around = contained_in(r, "_want", rest.select("filename", "_stem"), "_stem").select("filename", "id", "doi")
+    fuzzy = inside.unionByName(around).withColumn("_prio", F.lit(1))
     return (exact.unionByName(fuzzy).groupBy("filename").agg(F.min(F.struct("_prio", "id", "doi")).alias("x"))
             .select("filename", "x.id", "x.doi"))
 

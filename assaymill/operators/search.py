@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from assaymill import dims
 from assaymill.functions import text as T
 from assaymill.functions.reagents import stage_summary
+from assaymill.operators.joins import left_lookup
 
 RESULT = ["paper_id", "pmc_id", "doi", "title", "protocol_id", "protocol_arm", "extraction_confidence"]
 
@@ -53,7 +54,10 @@ def search_cache(cache: DataFrame, query: str, limit: int = 5) -> DataFrame:
     by_doi = (cache.where(F.col("doi") == _doi(query)).orderBy(F.desc(F.length("full_text"))).limit(1)
               .select("doi", "pmc_id", "title",
                       F.concat(F.left("full_text", F.lit(500)), F.lit("...")).alias("text_preview")))
-    return by_doi.unionByName(by_title.join(by_doi.limit(1).select(F.lit(1).alias("_any")), F.lit(True), "left_anti"))
+    both = by_doi.withColumn("_prio", F.lit(0)).unionByName(by_title.withColumn("_prio", F.lit(1)))
+    # At most limit + 1 rows are left: the best kind of hit stays.
+    first = F.min("_prio").over(Window.partitionBy(F.lit(0)))
+    return both.withColumn("_first", first).where("_prio = _first").drop("_prio", "_first")
 
 
 def reference_texts(requests: DataFrame, cache: DataFrame, papers: DataFrame) -> DataFrame:
@@ -64,7 +68,8 @@ def reference_texts(requests: DataFrame, cache: DataFrame, papers: DataFrame) ->
     best = (cache.where("full_text <> ''").groupBy("doi").agg(F.max_by(F.struct("title", "full_text"), F.length("full_text")).alias("c")))
     by_doi = papers.where("full_text IS NOT NULL").groupBy("doi").agg(F.max_by(F.struct("title", "full_text"), "id").alias("d"))
     by_pmid = papers.where("full_text IS NOT NULL").groupBy("pmid").agg(F.max_by(F.struct("title", "full_text"), "id").alias("p"))
-    j = requests.join(best, "doi", "left").join(by_doi, "doi", "left").join(by_pmid, "pmid", "left")
+    j = left_lookup(left_lookup(requests, best, ["doi"]), by_doi, ["doi"])
+    j = left_lookup(j, by_pmid, ["pmid"])
     hit = F.coalesce("c", "d", "p")
     return j.select(
         "doi", "pmid", hit["title"].alias("title"), T.truncate(hit["full_text"], dims.REFERENCE_BUDGET).alias("text"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from assaymill import dims
@@ -60,11 +60,13 @@ def triage_histogram(log: DataFrame) -> DataFrame:
     """
     g = log.groupBy("category").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.coalesce("error", F.lit("")) != "").alias("e"))
-    total = g.agg(F.sum("n").alias("t"), F.sum("e").alias("errors"))
-    cats = g.where(F.coalesce("category", F.lit("")) != "").select("category", "n")
-    errors = total.where("errors > 0").select(F.lit("errors").alias("category"), F.col("errors").alias("n"))
-    return (cats.unionByName(errors).crossJoin(F.broadcast(total.select("t")))
-            .select("category", "n", (F.col("n") * F.lit(100.0) / F.col("t")).alias("percent")))
+    over_all = Window.partitionBy(F.lit(0))
+    g = g.withColumn("t", F.sum("n").over(over_all))
+    cats = g.where(F.coalesce("category", F.lit("")) != "").select("category", "n", "t")
+    errors = g.agg(F.sum("e").alias("n"), F.max("t").alias("t")).where("n > 0").select(
+        F.lit("errors").alias("category"), "n", "t")
+    return cats.unionByName(errors).select(
+        "category", "n", (F.col("n") * F.lit(100.0) / F.col("t")).alias("percent"))
 
 
 def classification_counts(results: DataFrame) -> DataFrame:

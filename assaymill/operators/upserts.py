@@ -73,8 +73,7 @@ RNASEQ_METADATA = dict.fromkeys(
 REPOSITORY_METADATA = {
     "repository": "overwrite", "project_title": "coalesce", "organism": "coalesce", "data_type": "coalesce",
     "platform": "coalesce", "sample_count": "coalesce", "has_processed_matrix": "max",
-    "supplementary_files": "coalesce", "sample_metadata": "coalesce", "fetch_status": "overwrite",
-    "raw_response": "coalesce",
+    "supplementary_files": "coalesce", "fetch_status": "overwrite", "raw_response": "coalesce",
 }
 
 

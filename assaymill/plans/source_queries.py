@@ -304,12 +304,12 @@ RECORDS = ("rec AS (SELECT o_custkey AS paper_id, 'GSE' || o_orderkey AS accessi
 def backfill_repository(spark, sf):
     o = table(spark, sf, "orders")
     rec = o.selectExpr("o_custkey AS paper_id", "'GSE' || o_orderkey AS accession", "CASE WHEN o_orderkey % 3 = 0 THEN 'SRA' ELSE 'GEO' END AS repository",
-                       "CASE WHEN o_orderkey % 2 = 0 THEN 'set' END AS organism",
-                       "CAST(NULL AS array<struct<gsm_id:string,title:string,source:string>>) AS sample_metadata")
+                       "CASE WHEN o_orderkey % 2 = 0 THEN 'set' END AS organism")
     acc = o.selectExpr("o_orderkey AS id", "o_custkey AS paper_id", "'GSE' || o_orderkey AS gse_id", "'Homo sapiens' AS organism")
     s = _lines(spark, sf).selectExpr("l_orderkey AS geo_accession_id", "'GSM' || l_linenumber AS gsm_id", "'t' AS sample_title", "'s' AS source_name")
-    out = backfill.repository_records(rec, acc, s)
-    return out.select("accession", "organism", F.when(F.col("sample_metadata").isNotNull(), F.size("sample_metadata")).alias("n_samples"))
+    counts = backfill.repository_samples(rec, acc, s).groupBy("accession").agg(F.count(F.lit(1)).cast("int").alias("n_samples"))
+    return backfill.repository_records(rec, acc).join(counts, "accession", "left").select("accession", "organism", "n_samples")
+
 
 @query("stage_summary", A.sql(
     "SELECT pr.id, string_agg(stage_name || ' (' || duration_days || 'd): Activin A' || CASE WHEN l_linenumber % 2 = 0 THEN ', CHIR99021' ELSE '' END, ' / ' ORDER BY l_linenumber) "

@@ -68,8 +68,9 @@ TABLES: dict[str, str] = {
         "paper_id bigint, accession string, repository string, project_title string, organism string, data_type string, "
         "platform string, sample_count int, has_processed_matrix boolean, "
         "supplementary_files array<struct<filename:string,url:string,file_type:string,has_count_matrix:boolean>>, "
-        "sample_metadata array<struct<gsm_id:string,title:string,source:string>>, fetch_status string, "
-        "raw_response string, created_at timestamp"),
+        "fetch_status string, raw_response string, created_at timestamp"),
+    # key: paper_id, accession, gsm_id; rows of their own, as one series may have most of all samples
+    "repository_samples": "paper_id bigint, accession string, gsm_id string, title string, source string",
     # append only
     "expression_values": (
         "id bigint, paper_id bigint, protocol_id bigint, gene_symbol string, gene_alias string, value double, unit string, "
