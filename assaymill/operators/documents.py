@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from assaymill import dims
 from assaymill.functions import text as T
 from assaymill.functions.genes import strip
+from assaymill.session import settle
 
 def below(n: Column, nodes: Column) -> Column:
     """Descendants of a node."""
@@ -237,7 +238,7 @@ def sections(shredded: DataFrame) -> DataFrame:
     tables = pick(in_body, "table-wrap")
     in_sec = F.filter(tables, lambda t: F.exists(
         pick(in_body, "sec", parent=F.col("_body.pos")), lambda s: (s["pos"] < t["pos"]) & (t["pos"] <= s["stop"])))
-    return d.select(
+    return settle(d.select(
         "path",
         F.coalesce(_id_text(ids, "pmcid"), F.regexp_replace(_base(F.col("path")), r"\.xml$", "")).alias("pmc_id"),
         F.coalesce(full(first(pick(meta_in, "article-title")), plain), F.lit("")).alias("title"),
@@ -245,7 +246,7 @@ def sections(shredded: DataFrame) -> DataFrame:
         F.transform(titles, joined).alias("sections"),
         F.exists("_secs", lambda s: T.section_class(s["title"]) == "methods").alias("has_methods"),
         (F.size("_inline") > 0).alias("has_supplement_inline"),
-        F.coalesce(F.size(in_sec), F.lit(0)).alias("tables_found"))
+        F.coalesce(F.size(in_sec), F.lit(0)).alias("tables_found")))
 
 
 def with_budgeted_text(df: DataFrame, budget: int = dims.PAPER_BUDGET, name: str = "full_text") -> DataFrame:
@@ -280,7 +281,7 @@ def with_budgeted_text(df: DataFrame, budget: int = dims.PAPER_BUDGET, name: str
 
 def papers_text(shredded: DataFrame, budget: int = dims.PAPER_BUDGET) -> DataFrame:
     """Parsed papers with their budgeted full text."""
-    return with_budgeted_text(sections(shredded), budget).withColumn("char_count", F.length("full_text"))
+    return settle(with_budgeted_text(sections(shredded), budget)).withColumn("char_count", F.length("full_text"))
 
 
 def references(shredded: DataFrame) -> DataFrame:
@@ -310,11 +311,11 @@ def references(shredded: DataFrame) -> DataFrame:
     in_group = F.filter(in_name, lambda s: F.get(n, F.get(n, s["parent"])["parent"])["tag"] == "person-group")
     surname = F.coalesce(first(in_group), first(in_name), first(surnames))["text"]
     label = first(pick(F.col("_in"), "label", parent=F.col("r.pos")))["text"]
-    out = r.select(
+    out = settle(r.select(
         "path", "ref_no", pub_id("doi").alias("doi"), pub_id("pmid").alias("pmid"),
         pub_id("pmcid", "pmc").alias("pmc_id"), full(tag1("article-title", "source"), plain).alias("title"),
         strip(surname).alias("first_author_surname"), strip(first(pick(scope, "year"))["text"]).alias("year"),
-        F.regexp_replace(strip(label), r"^[.\[\]()]+|[.\[\]()]+$", "").alias("label"))
+        F.regexp_replace(strip(label), r"^[.\[\]()]+|[.\[\]()]+$", "").alias("label")))
 
     def given(c):
         return F.coalesce(F.col(c), F.lit("")) != ""

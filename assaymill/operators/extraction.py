@@ -18,6 +18,7 @@ from assaymill import dims
 from assaymill.functions import text as T
 from assaymill.functions.genes import strip
 from assaymill.operators.ranking import top_per_group
+from assaymill.session import settle
 
 Model = Callable[[list[dict]], dict]
 MAX_RETRIES = 3
@@ -166,7 +167,7 @@ def retry_errors(records: DataFrame) -> DataFrame:
 def arms(structures: DataFrame) -> DataFrame:
     """Protocol arms of pass-1 replies `(paper_id, reply)`; a reply without arms stands for one main protocol."""
     schema = "protocol_arms array<struct<arm_id:string,arm_description:string,is_optimized:boolean,base_protocol_referenced:string>>"
-    s = structures.withColumn("_json", T.salvage_json(F.col("reply"))).where("_json IS NOT NULL")
+    s = settle(structures.withColumn("_json", T.salvage_json(F.col("reply")))).where("_json IS NOT NULL")
     main = F.array(F.struct(
         F.lit("arm_1").alias("arm_id"), F.lit("main protocol").alias("arm_description"),
         F.lit(True).alias("is_optimized"), F.lit(None).cast("string").alias("base_protocol_referenced")))
@@ -191,7 +192,7 @@ PROTOCOL_SCHEMA = (
 
 def protocols_from_replies(answers: DataFrame, keep: list[str]) -> DataFrame:
     """Protocol rows from pass-2 replies; fenced or embedded JSON is salvaged, the rest is dropped."""
-    a = answers.withColumn("_json", T.salvage_json(F.col("reply"))).where("_json IS NOT NULL")
+    a = settle(answers.withColumn("_json", T.salvage_json(F.col("reply")))).where("_json IS NOT NULL")
     return a.select(*keep, F.from_json("_json", PROTOCOL_SCHEMA).alias("p")).select(*keep, "p.*").withColumn(
         "pass_number", F.lit(2))
 
@@ -257,7 +258,7 @@ def merge_supplement(protocols: DataFrame, updates: DataFrame) -> DataFrame:
 def review_rows(answers: DataFrame) -> DataFrame:
     """Review replies as protocol rows: the findings live as JSON in the notes."""
     schema = "extraction_confidence double"
-    a = answers.withColumn("_json", T.salvage_json(F.col("reply"))).where("_json IS NOT NULL")
+    a = settle(answers.withColumn("_json", T.salvage_json(F.col("reply")))).where("_json IS NOT NULL")
     parts = {"protocol_references": "protocol_references", "protocol_comparisons": "protocol_comparisons",
              "methodological_insights": "methodological_insights",
              "differentiation_papers": "differentiation_papers_in_references"}

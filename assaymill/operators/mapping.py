@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assaymill.functions import stages as S
+from assaymill.session import settle
 
 MAPPING_COLUMNS = ["geo_sample_id", "protocol_id", "stage_name", "stage_number", "time_point_day",
                    "condition_label", "mapping_confidence", "mapping_method"]
@@ -52,6 +53,7 @@ def tier1(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
     tried = pairs.withColumn("_d", S.day_to_stage(F.col("day"), F.col("ranges")))
     tried = tried.withColumn("_a", F.when(F.col("_d").isNull(), S.alias_to_stage(F.col("alias"), F.col("ranges"))))
     tried = tried.withColumn("_m", S.assigned_stage(F.col("day"), F.col("alias"), F.col("_d"), F.col("_a")))
+    tried = settle(tried)
     mapped = tried.where(F.col("_m").isNotNull()).select(
         F.col("id").alias("geo_sample_id"), "protocol_id", "_m.*")
     return mapped, tried.where(F.col("_m").isNull()).drop("_m", "_d", "_a")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -56,3 +57,12 @@ def spread(df: DataFrame, bytes_per_task: int = 64 * 1024 * 1024) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if plan_bytes(df) < cores * bytes_per_task else df
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Compute the columns here, once.
+
+    A filter on a computed column is pushed below it by repeating its expression. Where that expression is
+    a document parse, the repetition costs more than the rows it drops: a generator in between stops it.
+    """
+    return df.select(F.explode(F.array(F.struct(*df.columns))).alias("_row")).select("_row.*")
