@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from assaymill.functions import genes
 from assaymill.functions.numbers import to_double, unquote
+from assaymill.session import settle
 
 
 def _lines(content: Column) -> Column:
@@ -27,15 +28,15 @@ def tables(files: DataFrame) -> DataFrame:
     """(path, samples, body, platform): the table between its header and its end marker or first blank line."""
     f = files.withColumn("_l", _lines(F.col("content")))
     at = F.array_position(F.transform("_l", lambda l: l.startswith('"ID_REF"')), True).cast("int")
-    f = f.withColumn("_at", at).where("_at > 0")
+    f = settle(f.withColumn("_at", at)).where("_at > 0")
     f = f.withColumn("_rest", F.slice("_l", F.col("_at") + 1, F.size("_l")))
     end = F.array_position(F.transform("_rest", lambda l: (F.trim(l) == "") | l.startswith(
         "!series_matrix_table_end")), True).cast("int")
     body = F.when(end > 0, F.slice("_rest", F.lit(1), end - 1)).otherwise(F.col("_rest"))
     head = F.slice("_l", F.lit(1), F.col("_at"))
-    return f.select(
+    return settle(f.select(
         "path", _values(F.get("_l", F.col("_at") - 1)).alias("samples"), body.alias("body"),
-        F.nullif(F.regexp_extract(_first(head, "!Series_platform_id"), r"GPL\d+", 0), F.lit("")).alias("platform"))
+        F.nullif(F.regexp_extract(_first(head, "!Series_platform_id"), r"GPL\d+", 0), F.lit("")).alias("platform")))
 
 
 def sample_titles(files: DataFrame) -> DataFrame:

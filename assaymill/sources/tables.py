@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from assaymill.functions import genes
 from assaymill.functions.numbers import to_double, unquote
 from assaymill.functions.text import cell, markdown_row
+from assaymill.session import settle
 
 
 def lines(content: Column) -> Column:
@@ -37,10 +38,10 @@ def cells(line: Column, delimiter: Column) -> Column:
 def parse(files: DataFrame) -> DataFrame:
     """`files` with `header` and `rows` (arrays of cells) in place of the content."""
     f = files.withColumn("_d", sniff_delimiter(F.col("content"))).withColumn("_lines", lines(F.col("content")))
-    f = f.where(F.size("_lines") > 0)
-    return f.withColumn("header", cells(F.get("_lines", F.lit(0)), F.col("_d"))).withColumn(
+    f = settle(f).where(F.size("_lines") > 0)
+    return settle(f.withColumn("header", cells(F.get("_lines", F.lit(0)), F.col("_d"))).withColumn(
         "rows", F.transform(F.slice("_lines", F.lit(2), F.size("_lines")), lambda l: cells(l, F.col("_d")))
-    ).drop("_d", "_lines", "content")
+    ).drop("_d", "_lines", "content"))
 
 
 def gene_column(rows: Column, width: Column, sample: int = 1000) -> Column:
@@ -57,7 +58,7 @@ def count_cells(parsed: DataFrame) -> DataFrame:
 
     Cells that are no numbers give NULL.
     """
-    p = parsed.withColumn("_g", gene_column(F.col("rows"), F.size("header")))
+    p = settle(parsed.withColumn("_g", gene_column(F.col("rows"), F.size("header"))))
     g = F.col("_g")
     wanted = F.filter("rows", lambda r: F.coalesce(genes.is_target_gene(F.get(r, g)), F.lit(False)))
     r = p.select("path", "header", "_g", F.posexplode(wanted).alias("_row", "r"))
@@ -124,14 +125,15 @@ def classify(parsed: DataFrame) -> DataFrame:
         .when((numeric >= 3) & (F.size("header") >= 5) & is_number, "count_matrix")
         .when(any_like("pathway|go_term|kegg|enrichment"), "pathway_table")
         .when(any_like("sample|condition|treatment"), "sample_metadata").otherwise("other"))
-    return parsed.withColumn("kind", kind)
+    return settle(parsed.withColumn("kind", kind))
 
 
 def deg_rows(parsed: DataFrame) -> DataFrame:
     """(path, gene, gene_symbol, log2fc, padj, basemean) of panel genes in differential expression tables."""
-    p = parsed.withColumn("_g", header_gene_column(F.col("header"), F.col("rows"))).where("_g IS NOT NULL")
+    p = settle(parsed.withColumn("_g", header_gene_column(F.col("header"), F.col("rows")))).where("_g IS NOT NULL")
     for name, patterns in (("_fc", FOLD_HEADERS), ("_p", PADJ_HEADERS), ("_m", MEAN_HEADERS)):
         p = p.withColumn(name, named_column(F.col("header"), patterns))
+    p = settle(p)
     r = p.select("path", "_g", "_fc", "_p", "_m", F.explode(F.filter(
         "rows", lambda x: F.coalesce(genes.is_target_gene(F.get(x, F.col("_g"))), F.lit(False)))).alias("r"))
     gene = F.get("r", F.col("_g"))
@@ -142,7 +144,7 @@ def deg_rows(parsed: DataFrame) -> DataFrame:
 
 def expression_cells(parsed: DataFrame) -> DataFrame:
     """(path, gene, gene_symbol, sample, value) of supplement matrices; annotation columns are no samples."""
-    p = parsed.withColumn("_g", header_gene_column(F.col("header"), F.col("rows"))).where("_g IS NOT NULL")
+    p = settle(parsed.withColumn("_g", header_gene_column(F.col("header"), F.col("rows")))).where("_g IS NOT NULL")
     r = p.select("path", "header", "_g", F.posexplode(F.filter(
         "rows", lambda x: F.coalesce(genes.is_target_gene(F.get(x, F.col("_g"))), F.lit(False)))).alias("_row", "r"))
     r = r.withColumn("gene", F.get("r", F.col("_g")))
