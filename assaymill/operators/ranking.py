@@ -99,7 +99,8 @@ def numbered(df: DataFrame, order: list, name: str, start: int = 1) -> DataFrame
 def record_breakers(df: DataFrame, keys: list[str], order: str, value: str, chunk: int = 100_000) -> DataFrame:
     """Rows whose value exceeds that of every earlier row of their group.
 
-    A group is cut into chunks of the order column; a row must beat its chunk so far and all chunks before.
+    A group is cut into chunks of the order column, a write position counted upwards; a row must beat its chunk
+    so far and all chunks before.
     """
     cut_up = df.withColumn("_chunk", F.floor(F.col(order) / chunk))
     inside = (Window.partitionBy(*keys, "_chunk").orderBy(order)

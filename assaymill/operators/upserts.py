@@ -85,14 +85,16 @@ def cache_longest(old: DataFrame, new: DataFrame, order: str = "seq", chunk: int
     columns = ["doi", "pmc_id", "title", "full_text", "source"]
     both = old.select(*columns, F.lit(-1).cast("bigint").alias("_seq")).unionByName(
         new.select(*columns, F.col(order).cast("bigint").alias("_seq")))
-    # Every row counts for the running maximum, but only its length travels through the windows.
-    sized = both.where("doi <> ''").withColumn("_len", F.length("full_text"))
-    kept = record_breakers(sized.withColumn("_len", F.coalesce("_len", F.lit(0))), ["doi"], "_seq", "_len", chunk)
+    # Only lengths travel through the windows; the texts of the rows they single out are read after.
+    keyed = both.where("doi <> ''")
+    sized = keyed.select("doi", "_seq", F.coalesce(F.length("full_text"), F.lit(0)).alias("_len"))
+    winners = record_breakers(sized, ["doi"], "_seq", "_len", chunk).select("doi", "_seq")
+    kept = keyed.join(winners, ["doi", "_seq"], "left_semi")
     seq = F.col("_seq")
-    keyed = kept.groupBy("doi").agg(
+    merged = kept.groupBy("doi").agg(
         latest_present("pmc_id", seq).alias("pmc_id"), latest_present("title", seq).alias("title"),
         latest("full_text", seq).alias("full_text"), latest("source", seq).alias("source"))
-    return keyed.select(*columns).unionByName(both.where("doi IS NULL OR doi = ''").select(*columns))
+    return merged.select(*columns).unionByName(both.where("doi IS NULL OR doi = ''").select(*columns))
 
 
 def longest_text(cache: DataFrame, key: str = "doi") -> DataFrame:
