@@ -178,7 +178,7 @@ def upsert_keep_first(spark, sf):
 
 @query("cache_longest", A.sql(
     "SELECT doi, (list(title ORDER BY seq DESC) FILTER (WHERE title IS NOT NULL))[1] AS title, "
-    "MAX(len) AS text_length, (list(source ORDER BY seq DESC))[1] AS source FROM rec GROUP BY doi",
+    "CAST(MAX(len) AS INTEGER) AS text_length, (list(source ORDER BY seq DESC))[1] AS source FROM rec GROUP BY doi",
     "d AS (SELECT doc_id AS seq, lang || '/' || source AS doi, CASE WHEN doc_id % 3 = 0 THEN 'T' || doc_id END AS title, "
     "length(text) AS len, 's' || doc_id AS source FROM documents)",
     "rec AS (SELECT * FROM (SELECT *, MAX(len) OVER (PARTITION BY doi ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) "
@@ -192,7 +192,7 @@ def cache_longest(spark, sf):
 
 
 @query("longest_text",
-       "SELECT doi, text_length, title FROM (SELECT lang || '/' || source AS doi, length(text) AS text_length, 'T' || doc_id AS title, "
+       "SELECT doi, text_length, title FROM (SELECT lang || '/' || source AS doi, CAST(length(text) AS INTEGER) AS text_length, 'T' || doc_id AS title, "
        "ROW_NUMBER() OVER (PARTITION BY lang, source ORDER BY length(text) DESC, 'T' || doc_id) AS rn FROM documents) q WHERE rn = 1")
 def longest_text(spark, sf):
     c = table(spark, sf, "documents").selectExpr("lang || '/' || source AS doi", "'T' || doc_id AS title", "text AS full_text")

@@ -201,7 +201,7 @@ PRIORITY = "CASE doc_id % 6 WHEN 0 THEN 5 WHEN 1 THEN 0 WHEN 2 THEN 1 WHEN 3 THE
        "f AS (SELECT DISTINCT k, CAST(0 AS BIGINT) AS i, '# T' || CAST(k AS BIGINT) || chr(10) || chr(10) || '## Abstract' || chr(10) || 'abs' || chr(10) || chr(10) AS t FROM s "
        "UNION ALL SELECT f.k, s.i, CASE WHEN length(f.t) + length(s.b) <= 9000 THEN f.t || s.b WHEN s.p <= 1 AND 9000 - length(f.t) > 200 THEN "
        "f.t || left(s.b, 9000 - length(f.t) - 50) || chr(10) || chr(10) || '[... truncated ...]' || chr(10) ELSE f.t END FROM f JOIN s ON s.k = f.k AND s.i = f.i + 1) "
-       "SELECT CAST(k AS BIGINT) AS k, length(t) AS chars, md5(t) AS digest FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY k ORDER BY i DESC) AS rn FROM f) q WHERE rn = 1")
+       "SELECT CAST(k AS BIGINT) AS k, CAST(length(t) AS INTEGER) AS chars, md5(t) AS digest FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY k ORDER BY i DESC) AS rn FROM f) q WHERE rn = 1")
 def budget_fold(spark, sf):
     d = table(spark, sf, "documents").selectExpr(
         "CAST(floor(doc_id / 8) AS BIGINT) AS k", f"named_struct('i', doc_id, 'title', {TITLES}, 'text', text) AS s")
@@ -218,7 +218,7 @@ def budget_fold(spark, sf):
        "f AS (SELECT DISTINCT k, CAST(0 AS BIGINT) AS i, '' AS t, TRUE AS o FROM s UNION ALL SELECT f.k, s.i, CASE WHEN NOT f.o THEN f.t WHEN length(f.t) + length(s.b) <= 40000 "
        "THEN f.t || s.b WHEN 40000 - length(f.t) > 200 THEN f.t || left(s.b, 40000 - length(f.t) - 50) || chr(10) || '[... truncated ...]' || chr(10) ELSE f.t END, "
        "f.o AND length(f.t) + length(s.b) <= 40000 FROM f JOIN s ON s.k = f.k AND s.i = f.i + 1) "
-       "SELECT CAST(k AS BIGINT) AS paper_id, length(t) AS chars, md5(t) AS digest FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY k ORDER BY i DESC) AS rn FROM f) q WHERE rn = 1")
+       "SELECT CAST(k AS BIGINT) AS paper_id, CAST(length(t) AS INTEGER) AS chars, md5(t) AS digest FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY k ORDER BY i DESC) AS rn FROM f) q WHERE rn = 1")
 def supplement_fold(spark, sf):
     f = table(spark, sf, "documents").selectExpr(
         "CAST(floor(doc_id / 20) AS BIGINT) AS paper_id", "'f' || doc_id || '.txt' AS filename", "text")
@@ -284,7 +284,7 @@ PAPER = ("'# Paper ' || doc_id || chr(10) || chr(10) || '## Abstract' || chr(10)
 
 
 @query("xml_full_text",
-       f"SELECT 'PMC' || doc_id AS pmc_id, length(t) AS char_count, md5(t) AS digest, TRUE AS has_methods, 1 AS tables_found FROM (SELECT doc_id, {PAPER} AS t FROM documents) q")
+       f"SELECT 'PMC' || doc_id AS pmc_id, CAST(length(t) AS INTEGER) AS char_count, md5(t) AS digest, TRUE AS has_methods, 1 AS tables_found FROM (SELECT doc_id, {PAPER} AS t FROM documents) q")
 def xml_full_text(spark, sf):
     p = documents.papers_text(shred(articles(spark, sf).drop("paper_id")))
     return p.select("pmc_id", "char_count", F.md5("full_text").alias("digest"), "has_methods", "tables_found")
