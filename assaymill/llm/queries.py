@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assaymill.llm import bpe
+from assaymill.llm import bpe, decontaminate, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -36,3 +36,35 @@ def vocabulary() -> tuple[dict[bytes, int], str]:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.with_tokens(docs, *vocabulary(), keep_text=False, keep_ids=False)
+
+
+#: Words as the contracts define them, as a DuckDB expression over a text.
+SQL_WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+             r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+
+@query("op4_decontaminate", f"""
+WITH d AS (SELECT doc_id, {SQL_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {SQL_WORDS} AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, n, array_to_string(w[p:p + n - 1], ' ') AS win FROM (
+         SELECT item_id, w, least(len(w), 13) AS n, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS p FROM b WHERE len(w) > 0)),
+dw AS (SELECT doc_id, n, p, array_to_string(w[p:p + n - 1], ' ') AS win FROM (
+         SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
+hits AS (SELECT doc_id, p, n, item_id FROM dw JOIN bw USING (n, win)),
+places AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS place FROM hits) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN places USING (doc_id) LEFT JOIN named USING (doc_id)
+""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.annotate(docs, table(spark, sf_dir, "benchmark"), keep_text=False)
+
+
+@query("op10_simhash_balls")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.clusters(docs, keep_text=False).select("doc_id", "fingerprint", "component_id")
