@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from assaymill.llm import bpe, decontaminate, simhash
+from assaymill.llm import bpe, decontaminate, language, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -64,6 +65,15 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.annotate(docs, table(spark, sf_dir, "benchmark"), keep_text=False)
 
 
+@query("op9_language_id")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    learned = language.learn(docs)
+    held_out = F.coalesce(language.fold() == language.HELD_OUT, F.lit(False))
+    return (language.predict(docs.select("doc_id", "text"), learned, keep_text=False)
+            .select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected"))
+
+
 @query("op10_simhash_balls")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
