@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaymill.llm import bpe, decontaminate, language, simhash
+from assaymill.llm import bpe, decontaminate, language, licenses, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -44,6 +44,38 @@ SQL_WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNO
              r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
 
 
+def _license_check() -> str:
+    rows = ", ".join(f"({i}, '{label}', {licenses.template_words(t)})" for i, (label, t) in enumerate(licenses.TEMPLATES))
+    return f"""
+WITH d AS (SELECT doc_id, text, {SQL_WORDS} AS w FROM documents),
+t(template, label, words) AS (VALUES {rows}),
+places AS (
+  SELECT doc_id, p - 1 AS place, CASE WHEN w[p] = 'mit' THEN 'mit' ELSE 'apache' END AS label
+  FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS p FROM d) WHERE w[p] IN ('mit', 'apache') AND w[p + 1] = 'license'
+  UNION ALL
+  SELECT doc_id, p - 1, 'gpl' FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS p FROM d)
+  WHERE w[p] = 'general' AND w[p + 1] = 'public' AND w[p + 2] = 'license'),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS text FROM d WHERE text IS NOT NULL),
+sets AS (SELECT doc_id, list_distinct({SQL_WORDS}) AS held FROM lines),
+found AS (SELECT doc_id, label, len(list_intersect(held, words)) / len(words) AS share FROM sets, t
+          WHERE len(list_intersect(held, words)) >= ceil({licenses.THRESHOLD} * len(words))),
+base AS (SELECT doc_id, count(*) AS n, min(place) AS a, max(place) AS b, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+         FROM places GROUP BY doc_id),
+every AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+          FROM (SELECT doc_id, label FROM places UNION ALL SELECT doc_id, label FROM found) GROUP BY doc_id),
+best AS (SELECT doc_id, max(share) AS share FROM found GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, a::BIGINT AS first_word, b::BIGINT AS last_word,
+       coalesce(base.labels, '') AS base_labels, coalesce(every.labels, '') AS labels,
+       CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0)::DOUBLE END AS score
+FROM d LEFT JOIN base USING (doc_id) LEFT JOIN every USING (doc_id) LEFT JOIN best USING (doc_id)
+"""
+
+
+@query("op3_license_scan", _license_check())
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op4_decontaminate", f"""
 WITH d AS (SELECT doc_id, {SQL_WORDS} AS w FROM documents),
 b AS (SELECT item_id, {SQL_WORDS} AS w FROM benchmark),
@@ -65,6 +97,40 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.annotate(docs, table(spark, sf_dir, "benchmark"), keep_text=False)
 
 
+def _secret_check() -> str:
+    assign = (r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"""
+              r"""["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""")
+    patterns = [("assign", assign, 2, 8), ("access", "AKIA[A-Z0-9]+", 0, 16), ("hex", "[0-9a-f]+", 0, 32), ("owner", "[A-Za-z0-9_-]{20,}", 0, 20)]
+    parts = "\n  UNION ALL ".join(f"""
+  SELECT doc_id, source, {i} AS kind, '{name}' AS name, {least} AS least, unnest(range(1, len(m) + 1)) AS i, m, v, b FROM (
+    SELECT doc_id, source, regexp_extract_all(text, '{p}', 0) AS m, regexp_extract_all(text, '{p}', {g}) AS v,
+           string_split_regex(text, '{p}') AS b FROM d)""" for i, (name, p, g, least) in enumerate(patterns))
+    return f"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+rows AS ({parts}),
+spans AS (SELECT doc_id, source, kind, name, least, v[i] AS value, length(m[i]) AS size,
+                 sum(length(b[i]) + length(m[i])) OVER (PARTITION BY doc_id, kind ORDER BY i) AS finish FROM rows),
+cand AS (SELECT *, (finish - size)::BIGINT AS start FROM spans WHERE length(value) >= least AND (kind < 3 OR (
+           regexp_matches(value, '[0-9]') AND regexp_matches(value, '[a-z]') AND regexp_matches(value, '[A-Z]')))),
+own AS (SELECT value, count(DISTINCT source) AS n_owners FROM cand GROUP BY value),
+kept AS (SELECT doc_id, kind, start, name || ':' || start || ':' || finish::BIGINT AS span, n_owners <= 1 AS live
+         FROM cand JOIN own USING (value) WHERE kind < 3 OR n_owners <= 1),
+per AS (SELECT doc_id, count(*) FILTER (kind = 0) AS a, count(*) FILTER (kind = 1) AS k, count(*) FILTER (kind = 2) AS h,
+               string_agg(span, ',' ORDER BY start, kind) FILTER (kind < 3) AS base, string_agg(span, ',' ORDER BY start, kind) AS spans,
+               count(*) FILTER (live) AS live, count(*) FILTER (NOT live) AS copied FROM kept GROUP BY doc_id)
+SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(k, 0)::BIGINT AS n_access, coalesce(h, 0)::BIGINT AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(live, 0)::BIGINT AS n_live,
+       coalesce(copied, 0)::BIGINT AS n_copied
+FROM d LEFT JOIN per USING (doc_id)
+"""
+
+
+@query("op7_secret_scan", _secret_check())
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return secrets.scan(docs).drop("source")
+
+
 @query("op9_language_id")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
