@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaymill.llm import bpe, decontaminate, language, licenses, secrets, simhash
+from assaymill.llm import bpe, decontaminate, language, licenses, neighbours, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -131,6 +131,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(docs).drop("source")
 
 
+@query("op8_cross_polytope")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors, size = neighbours.usable(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return neighbours.search(vectors, vectors.where(F.col("vec_id") % 20 == 0), size)
+
+
 @query("op9_language_id")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
