@@ -68,20 +68,26 @@ WORD_BYTE = np.zeros(256, bool)
 WORD_BYTE[48:58] = WORD_BYTE[97:123] = WORD_BYTE[128:] = True
 
 
+#: As WORD_BYTE, with runs of ASCII punctuation as words of their own (kind 2).
+WORD_OR_MARK = WORD_BYTE.astype(np.uint8)
+WORD_OR_MARK[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = 2
+
+
 class Words:
-    """The words of a chunk: byte ranges `start:end` in the lower-cased bytes `low`, and the row of each."""
+    """The words of a chunk: byte ranges `start:end` in the lower-cased bytes `low`, and the row of each.
+
+    A word is a run of bytes of one kind within a row; kind 0 separates.
+    """
 
-    def __init__(self, buf: np.ndarray, offs: np.ndarray, word_byte: np.ndarray = WORD_BYTE):
+    def __init__(self, buf: np.ndarray, offs: np.ndarray, kinds: np.ndarray = WORD_BYTE):
         self.low = LOWER[buf]
-        inside = word_byte[self.low]
-        edge = np.zeros(len(buf) + 1, bool)  # a row starts here
-        edge[offs] = True
-        before = np.empty_like(inside)
-        before[:1], before[1:] = False, inside[:-1]
-        after = np.empty_like(inside)
-        after[-1:], after[:-1] = False, inside[1:]
-        self.start = np.flatnonzero(inside & (~before | edge[:-1]))
-        self.end = np.flatnonzero(inside & (~after | edge[1:])) + 1
+        kind = kinds[self.low]
+        cut = np.ones(len(buf) + 1, bool)  # between bytes of unlike kinds, and at the edges of rows
+        cut[1:-1] = kind[1:] != kind[:-1]
+        cut[offs] = True
+        inside = kind != 0
+        self.start = np.flatnonzero(inside & cut[:-1])
+        self.end = np.flatnonzero(inside & cut[1:]) + 1
         self.row = np.searchsorted(offs, self.start, side="right") - 1
         self.n_rows = len(offs) - 1
 
