@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaymill.llm import bpe, decontaminate, language, licenses, neighbours, resampling, secrets, simhash
+from assaymill.llm import bpe, decontaminate, language, licenses, neighbours, repeats, resampling, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -103,6 +103,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.annotate(docs, table(spark, sf_dir, "benchmark"), keep_text=False)
 
 
+@query("op6_repeated_strings")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+
+
 def _secret_check() -> str:
     assign = (r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"""
               r"""["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""")
