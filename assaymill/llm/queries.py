@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaymill.llm import bpe, decontaminate, language, licenses, neighbours, repeats, resampling, secrets, simhash
+from assaymill.llm import bpe, decontaminate, html, language, licenses, neighbours, repeats, resampling, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -103,6 +103,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.annotate(docs, table(spark, sf_dir, "benchmark"), keep_text=False)
 
 
+@query("op5_html_text")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extract(pages, html.fit(pages))
+
+
 @query("op6_repeated_strings")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
