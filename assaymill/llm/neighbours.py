@@ -10,7 +10,7 @@ vector to the longest one's length.
 
 Index and probes meet by (table, first axis); the second axis is matched inside. A query travels with the score of its 20th best
 in a sample of SAMPLE vectors (a documented bound, broadcast): candidates below that can't be among its nearest, and are not
-sent on. The sample's own best are candidates too, so a table of at most SAMPLE vectors is searched in full. An axis with
+sent on, and of each axis at most the 20 best: what a query gathers is bounded by its probes. The sample's own best are candidates too, so a table of at most SAMPLE vectors is searched in full. An axis with
 more than `hot_rows` vectors is split by a hash of the id, with the queries sent to each part.
 
 Vectors that are null, zero, of another length than the longest, or that hold null or non-finite components take no part, nor do
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 TABLES = 16
 PROBES = 128
-SAMPLE = 4096
+SAMPLE = 1 << 14
 NEAREST = 20
 HOT_ROWS = 1 << 14
 SEED = 17
