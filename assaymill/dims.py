@@ -23,59 +23,107 @@ GENE_ALIASES: dict[str, str] = {
     "CK19": "KRT19", "CK7": "KRT7", "EPCAM": "EPCAM", "SMA": "ACTA2", "ALPHA-SMA": "ACTA2",
 }
 
-# Public identifiers of the panel genes, "symbol ensembl entrez".
-_GENE_IDS = """
-POU5F1 ENSG00000204531 5460
-NANOG ENSG00000111704 79923
-SOX2 ENSG00000181449 6657
-LIN28A ENSG00000131914 79727
-SOX17 ENSG00000164736 64321
-FOXA2 ENSG00000125798 3170
-CXCR4 ENSG00000163508 7852
-GATA4 ENSG00000136574 2626
-EOMES ENSG00000135925 8320
-GSC ENSG00000173542 145258
-MIXL1 ENSG00000185155 83881
-HNF4A ENSG00000101076 3172
-AFP ENSG00000081051 174
-TBX3 ENSG00000135111 6926
-PROX1 ENSG00000117707 5629
-HNF1B ENSG00000108753 6928
-ONECUT1 ENSG00000169856 3175
-ONECUT2 ENSG00000119547 9480
-HHEX ENSG00000152049 3087
-ALB ENSG00000163898 213
-CYP3A4 ENSG00000160868 1576
-CYP1A2 ENSG00000140505 1544
-CYP2C9 ENSG00000138109 1559
-CYP2D6 ENSG00000186377 1565
-CYP2E1 ENSG00000130649 1571
-SERPINA1 ENSG00000197249 5265
-TTR ENSG00000118271 7276
-TDO2 ENSG00000151790 6999
-TAT ENSG00000198650 6898
-ASGR1 ENSG00000141505 432
-SLC10A1 ENSG00000100652 6554
-SLCO1B1 ENSG00000134538 10599
-UGT1A1 ENSG00000241635 54658
-ADH1A ENSG00000187758 124
-ALDOB ENSG00000136872 229
-CYP3A7 ENSG00000067064 1551
-H19 ENSG00000130600 283120
-DLK1 ENSG00000185559 8788
-GPC3 ENSG00000082781 2719
-KRT19 ENSG00000171345 3880
-KRT7 ENSG00000135480 3855
-SOX9 ENSG00000125398 6662
-EPCAM ENSG00000119888 4072
-VIM ENSG00000026025 7431
-ACTA2 ENSG00000107796 59
-COL1A1 ENSG00000108821 1277
-S100A4 ENSG00000196154 6275
-"""
-_ids = [line.split() for line in _GENE_IDS.split("\n") if line]
-ENSEMBL_TO_SYMBOL = {ensembl: symbol for symbol, ensembl, _ in _ids}
-ENTREZ_TO_SYMBOL = {entrez: symbol for symbol, _, entrez in _ids}
+# Public Ensembl ids of the panel genes.
+ENSEMBL_TO_SYMBOL: dict[str, str] = {
+    "ENSG00000204531": "POU5F1",
+    "ENSG00000111704": "NANOG",
+    "ENSG00000181449": "SOX2",
+    "ENSG00000131914": "LIN28A",
+    "ENSG00000164736": "SOX17",
+    "ENSG00000125798": "FOXA2",
+    "ENSG00000163508": "CXCR4",
+    "ENSG00000136574": "GATA4",
+    "ENSG00000135925": "EOMES",
+    "ENSG00000173542": "GSC",
+    "ENSG00000185155": "MIXL1",
+    "ENSG00000101076": "HNF4A",
+    "ENSG00000081051": "AFP",
+    "ENSG00000135111": "TBX3",
+    "ENSG00000117707": "PROX1",
+    "ENSG00000108753": "HNF1B",
+    "ENSG00000169856": "ONECUT1",
+    "ENSG00000119547": "ONECUT2",
+    "ENSG00000152049": "HHEX",
+    "ENSG00000163898": "ALB",
+    "ENSG00000160868": "CYP3A4",
+    "ENSG00000140505": "CYP1A2",
+    "ENSG00000138109": "CYP2C9",
+    "ENSG00000186377": "CYP2D6",
+    "ENSG00000130649": "CYP2E1",
+    "ENSG00000197249": "SERPINA1",
+    "ENSG00000118271": "TTR",
+    "ENSG00000151790": "TDO2",
+    "ENSG00000198650": "TAT",
+    "ENSG00000141505": "ASGR1",
+    "ENSG00000100652": "SLC10A1",
+    "ENSG00000134538": "SLCO1B1",
+    "ENSG00000241635": "UGT1A1",
+    "ENSG00000187758": "ADH1A",
+    "ENSG00000136872": "ALDOB",
+    "ENSG00000067064": "CYP3A7",
+    "ENSG00000130600": "H19",
+    "ENSG00000185559": "DLK1",
+    "ENSG00000082781": "GPC3",
+    "ENSG00000171345": "KRT19",
+    "ENSG00000135480": "KRT7",
+    "ENSG00000125398": "SOX9",
+    "ENSG00000119888": "EPCAM",
+    "ENSG00000026025": "VIM",
+    "ENSG00000107796": "ACTA2",
+    "ENSG00000108821": "COL1A1",
+    "ENSG00000196154": "S100A4",
+}
+
+# Public Entrez ids of the panel genes.
+ENTREZ_TO_SYMBOL: dict[str, str] = {
+    "5460": "POU5F1",
+    "79923": "NANOG",
+    "6657": "SOX2",
+    "79727": "LIN28A",
+    "64321": "SOX17",
+    "3170": "FOXA2",
+    "7852": "CXCR4",
+    "2626": "GATA4",
+    "8320": "EOMES",
+    "145258": "GSC",
+    "83881": "MIXL1",
+    "3172": "HNF4A",
+    "174": "AFP",
+    "6926": "TBX3",
+    "5629": "PROX1",
+    "6928": "HNF1B",
+    "3175": "ONECUT1",
+    "9480": "ONECUT2",
+    "3087": "HHEX",
+    "213": "ALB",
+    "1576": "CYP3A4",
+    "1544": "CYP1A2",
+    "1559": "CYP2C9",
+    "1565": "CYP2D6",
+    "1571": "CYP2E1",
+    "5265": "SERPINA1",
+    "7276": "TTR",
+    "6999": "TDO2",
+    "6898": "TAT",
+    "432": "ASGR1",
+    "6554": "SLC10A1",
+    "10599": "SLCO1B1",
+    "54658": "UGT1A1",
+    "124": "ADH1A",
+    "229": "ALDOB",
+    "1551": "CYP3A7",
+    "283120": "H19",
+    "8788": "DLK1",
+    "2719": "GPC3",
+    "3880": "KRT19",
+    "3855": "KRT7",
+    "6662": "SOX9",
+    "4072": "EPCAM",
+    "7431": "VIM",
+    "59": "ACTA2",
+    "1277": "COL1A1",
+    "6275": "S100A4",
+}
 
 PANEL: list[str] = sorted({g for genes in TARGET_GENES.values() for g in genes})
 
@@ -97,15 +145,36 @@ EXPECTED_DIRECTION["AFP"] = "transient_up"
 # Weight of a direction in the readout score.
 DIRECTION_WEIGHT = {"up": 1.0, "down": 0.9, "transient_up": 0.95, "low": 0.3, "variable": 0.3}
 
-# Stage label <- phrases found in sample titles.
-STAGE_ALIASES: dict[str, list[str]] = {
-    "pre_treatment": ["ipsc", "esc", "hesc", "undifferentiated", "pluripotent", "stem cell", "d0", "day0"],
-    "definitive_endoderm": ["de", "definitive endoderm", "definitive_endoderm", "endoderm"],
-    "hepatic_endoderm": ["he", "hepatic endoderm", "hepatic specification", "hepatic_endoderm"],
-    "hepatoblast": ["hb", "hepatoblast", "hepatic progenitor", "hepatic_progenitor", "hp"],
-    "mature_hepatocyte": [
-        "hlc", "ihep", "hepatocyte-like", "hepatocyte like", "mature hepatocyte", "maturation", "hepatocyte",
-    ],
+# Phrase found in sample titles -> stage label.
+STAGE_ALIASES: dict[str, str] = {
+    "ipsc": "pre_treatment",
+    "esc": "pre_treatment",
+    "hesc": "pre_treatment",
+    "undifferentiated": "pre_treatment",
+    "pluripotent": "pre_treatment",
+    "stem cell": "pre_treatment",
+    "d0": "pre_treatment",
+    "day0": "pre_treatment",
+    "de": "definitive_endoderm",
+    "definitive endoderm": "definitive_endoderm",
+    "definitive_endoderm": "definitive_endoderm",
+    "endoderm": "definitive_endoderm",
+    "he": "hepatic_endoderm",
+    "hepatic endoderm": "hepatic_endoderm",
+    "hepatic specification": "hepatic_endoderm",
+    "hepatic_endoderm": "hepatic_endoderm",
+    "hb": "hepatoblast",
+    "hepatoblast": "hepatoblast",
+    "hepatic progenitor": "hepatoblast",
+    "hepatic_progenitor": "hepatoblast",
+    "hp": "hepatoblast",
+    "hlc": "mature_hepatocyte",
+    "ihep": "mature_hepatocyte",
+    "hepatocyte-like": "mature_hepatocyte",
+    "hepatocyte like": "mature_hepatocyte",
+    "mature hepatocyte": "mature_hepatocyte",
+    "maturation": "mature_hepatocyte",
+    "hepatocyte": "mature_hepatocyte",
 }
 
 # Stage label -> words looked for in a protocol's stage names.
@@ -130,7 +199,7 @@ SECTION_WORDS: dict[str, list[str]] = {
 SECTION_PRIORITY = {"abstract": 0, "methods": 0, "results": 1, "supplementary": 3,
                     "introduction": 4, "discussion": 5}
 
-# Text budgets in characters.
+# Text budgets in characters that a prompt may be held to; nothing is cut unless one is passed.
 PAPER_BUDGET = 120_000
 SUPPLEMENT_BUDGET = 40_000
 REFERENCE_BUDGET = 60_000

@@ -29,8 +29,7 @@ def extract_day(text: Column) -> Column:
 def extract_stage_alias(text: Column) -> Column:
     """Label of the longest stage phrase contained in the text; equal lengths in listed order."""
     low = F.lower(text)
-    pairs = [(phrase, label) for label, phrases in dims.STAGE_ALIASES.items() for phrase in phrases]
-    pairs.sort(key=lambda p: -len(p[0]))
+    pairs = sorted(dims.STAGE_ALIASES.items(), key=lambda p: -len(p[0]))
     return F.coalesce(*[F.when(low.contains(phrase), F.lit(label)) for phrase, label in pairs])
 
 

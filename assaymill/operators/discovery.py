@@ -12,11 +12,11 @@ HIT = ["paper_id", "accession", "context", "source", "surrounding_text", "pos"]
 
 def mine_text(docs: DataFrame, text: str = "text", source: str = "supplement") -> DataFrame:
     """Accessions of a text with their first place and surroundings; supplements are the paper's own material."""
-    found = docs.where(F.col(text).rlike(A.ACCESSION)).select(
-        "paper_id", text, F.posexplode(A.find_all(F.col(text))).alias("pos", "accession"))
+    hits = F.transform(A.find_all(F.col(text)), lambda a: F.struct(
+        a.alias("accession"), A.snippet(F.col(text), a).alias("surrounding_text")))
+    found = docs.where(F.col(text).rlike(A.ACCESSION)).select("paper_id", F.posexplode(hits).alias("pos", "h"))
     return found.select(
-        "paper_id", "accession", F.lit("own_data").alias("context"), F.lit(source).alias("source"),
-        A.snippet(F.col(text), F.col("accession")).alias("surrounding_text"), "pos")
+        "paper_id", "h.accession", F.lit("own_data").alias("context"), F.lit(source).alias("source"), "h.surrounding_text", "pos")
 
 
 def mine_markup(papers: DataFrame) -> DataFrame:
@@ -27,28 +27,32 @@ def mine_markup(papers: DataFrame) -> DataFrame:
     def own(n):
         return F.concat_ws(" ", F.nullif(n["text"], F.lit("")), F.nullif(n["tail"], F.lit("")))
 
-    hits = papers.select(
-        "paper_id", "nodes", "plain",
-        F.explode(F.filter("nodes", lambda n: own(n).rlike(A.ACCESSION))).alias("n"))
-    hits = hits.withColumn("_own", own(F.col("n")))
-    hits = hits.withColumn("_up", F.filter(
-        "nodes", lambda m: (m["pos"] < F.col("n.pos")) & (m["stop"] >= F.col("n.pos"))))
-
     def body(m):
         return F.substring("plain", m["start"] + 1, m["length"])
 
     cites = F.array(*map(F.lit, ["ref-list", "ref", "mixed-citation", "element-citation"]))
-    in_refs = F.exists("_up", lambda m: F.array_contains(cites, m["tag"]))
-    title_of = F.filter("nodes", lambda t: t["tag"] == "title")
-    in_availability = F.exists("_up", lambda m: (m["tag"] == "sec") & (
-        F.coalesce(m["attrs"]["sec-type"], F.lit("")).rlike("data[-_]availability")
-        | F.exists(title_of, lambda t: (t["parent"] == m["pos"]) & t["text"].rlike(A.AVAILABILITY_TITLES))))
-    nearest = F.slice("_up", F.greatest(F.size("_up") - 1, F.lit(1)), F.lit(2))
-    around = F.concat_ws(" ", F.when(F.col("n.text") != "", body(F.col("n"))), F.transform(nearest, body))
-    context = (F.when(in_refs, "referenced").when(in_availability, "own_data")
-               .otherwise(A.context_from_words(around)))
-    placed = hits.select("paper_id", "_own", F.col("n.pos").alias("_node"), context.alias("context"))
-    each = placed.select("*", F.posexplode(A.find_all(F.col("_own"))).alias("_i", "accession"))
+    title_of = F.filter("nodes", lambda t: (t["tag"] == "title") & t["text"].rlike(A.AVAILABILITY_TITLES))
+
+    def ancestors(n):
+        return F.filter("nodes", lambda m: (m["pos"] < n["pos"]) & (m["stop"] >= n["pos"]))
+
+    def context(n, up):
+        in_refs = F.exists(up, lambda m: F.array_contains(cites, m["tag"]))
+        in_availability = F.exists(up, lambda m: (m["tag"] == "sec") & (
+            F.coalesce(m["attrs"]["sec-type"], F.lit("")).rlike("data[-_]availability")
+            | F.exists("_titles", lambda t: t["parent"] == m["pos"])))
+        nearest = F.slice(up, F.greatest(F.size(up) - 1, F.lit(1)), F.lit(2))
+        around = F.concat_ws(" ", F.when(n["text"] != "", body(n)), F.transform(nearest, body))
+        return (F.when(in_refs, "referenced").when(in_availability, "own_data").otherwise(A.context_from_words(around)))
+
+    def placed(n):
+        """Node, own text and context of an element; its ancestors are found once."""
+        return F.get(F.transform(F.array(ancestors(n)), lambda up: F.struct(
+            n["pos"].alias("_node"), own(n).alias("_own"), context(n, up).alias("context"))), F.lit(0))
+
+    found = F.transform(F.filter("nodes", lambda n: own(n).rlike(A.ACCESSION)), placed)
+    each = (papers.where("nodes IS NOT NULL").withColumn("_titles", title_of).select("paper_id", F.explode(found).alias("h"))
+            .select("paper_id", "h.*").select("*", F.posexplode(A.find_all(F.col("_own"))).alias("_i", "accession")))
     row = F.struct("_node", "_i", "context",
                    A.snippet(F.col("_own"), F.col("accession")).alias("surrounding_text"))
     first = each.groupBy("paper_id", "accession").agg(F.min(row).alias("x"))

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assaymill import dims
 from assaymill.functions import text as T
 from assaymill.functions.genes import strip
 from assaymill.session import settle
@@ -117,15 +116,18 @@ def section_markdown(sec: Column, nodes: Column, plain: Column) -> Column:
     """Markdown of a section: its blocks in document order, with the raw text between them."""
     inside = F.filter(below(sec, nodes), lambda n: n["shield"] <= sec["pos"])
 
+    def once(value, use):
+        """`use` of a value that is computed once."""
+        return F.get(F.transform(F.array(value), use), F.lit(0))
+
     def opened(n):
-        depth = F.least(F.size(F.filter(nodes, lambda m: (m["tag"] == "sec") & (m["pos"] > sec["pos"])
-                                        & (m["pos"] < n["pos"]) & (m["stop"] >= n["pos"]))) + 2, F.lit(6))
+        depth = F.least(n["secs"] - sec["secs"] + 1, F.lit(6))
         words = full(n, plain)
         block = (
             F.when(n["tag"] == "title", F.when(words != "", F.concat(
                 F.lit("\n"), F.repeat(F.lit("#"), depth), F.lit(" "), words, F.lit("\n"))).otherwise(F.lit("")))
-            .when(n["tag"] == "p", F.when(paragraph(n, nodes, plain) != "", F.concat(
-                F.lit("\n"), paragraph(n, nodes, plain), F.lit("\n"))).otherwise(F.lit("")))
+            .when(n["tag"] == "p", once(paragraph(n, nodes, plain), lambda t: F.when(
+                t != "", F.concat(F.lit("\n"), t, F.lit("\n"))).otherwise(F.lit(""))))
             .when(n["tag"] == "table-wrap", _table_wrap(n, nodes, plain))
             .when(n["tag"] == "fig", _figure(n, nodes, plain))
             .when(n["tag"] == "list", _list(n, nodes, plain))
@@ -249,10 +251,10 @@ def sections(shredded: DataFrame) -> DataFrame:
         F.coalesce(F.size(in_sec), F.lit(0)).alias("tables_found")))
 
 
-def with_budgeted_text(df: DataFrame, budget: int = dims.PAPER_BUDGET, name: str = "full_text") -> DataFrame:
-    """`df` (title, abstract, sections) with the paper's text within a budget.
+def with_budgeted_text(df: DataFrame, budget: int | None = None, name: str = "full_text") -> DataFrame:
+    """`df` (title, abstract, sections) with the paper's text, whole unless a budget is given.
 
-    Sections come by priority while they fit; must-have ones are cut, others skipped. The fold only tracks how
+    With one, sections come by priority while they fit; must-have ones are cut, others skipped. The fold only tracks how
     much of each block to take; the text is put together once at the end.
     """
     marker = "\n\n[... truncated ...]\n"
@@ -260,6 +262,9 @@ def with_budgeted_text(df: DataFrame, budget: int = dims.PAPER_BUDGET, name: str
     d = df.withColumn("_head", header).withColumn("_blocks", F.array_sort(F.transform("sections", lambda s, i: F.struct(
         T.section_priority(s["title"]).alias("priority"), i.alias("i"),
         F.concat(F.lit("## "), s["title"], F.lit("\n"), s["text"], F.lit("\n\n")).alias("block")))))
+    if budget is None:
+        whole = F.array_join(F.transform("_blocks", lambda s: s["block"]), "")
+        return d.withColumn(name, F.concat("_head", whole)).drop("_head", "_blocks")
     d = d.withColumn("_sizes", F.transform("_blocks", lambda s: F.struct(
         (s["priority"] <= 1).alias("must"), F.length(s["block"]).alias("size"))))
 
@@ -279,43 +284,45 @@ def with_budgeted_text(df: DataFrame, budget: int = dims.PAPER_BUDGET, name: str
     return d.withColumn(name, F.concat("_head", F.array_join(parts, ""))).drop("_head", "_blocks", "_sizes", "_takes")
 
 
-def papers_text(shredded: DataFrame, budget: int = dims.PAPER_BUDGET) -> DataFrame:
-    """Parsed papers with their budgeted full text."""
+def papers_text(shredded: DataFrame, budget: int | None = None) -> DataFrame:
+    """Parsed papers with their full text, cut only to a budget that is asked for."""
     return settle(with_budgeted_text(sections(shredded), budget)).withColumn("char_count", F.length("full_text"))
 
 
 def references(shredded: DataFrame) -> DataFrame:
     """Reference list entries with ids, title, label, first author and year; kept if they can be matched."""
     n, plain = F.col("nodes"), F.col("plain")
-    r = shredded.where("nodes IS NOT NULL").select(
-        "path", "nodes", "plain", F.posexplode(pick(n, "ref")).alias("ref_no", "r"))
-    inside = below(F.col("r"), n)
-    r = r.withColumn("_in", inside)
-
-    def pub_id(*kinds):
-        hits = F.filter("_in", lambda x: (x["tag"] == "pub-id") & x["attrs"]["pub-id-type"].isin(*kinds))
-        return strip(F.try_element_at(hits, F.lit(-1))["text"])
-
-    def tag1(*tags):
-        return F.coalesce(*[first(pick(F.col("_in"), t)) for t in tags])
-
-    cite = tag1("element-citation", "mixed-citation", "nlm-citation", "citation")
-    r = r.withColumn("_scope", F.coalesce(F.when(cite.isNotNull(), below(cite, n)), F.col("_in")))
-    scope = F.col("_scope")
-
-    def parent_tag(x):
-        return F.get(n, x["parent"])["tag"]
-
-    surnames = pick(scope, "surname")
-    in_name = F.filter(surnames, lambda s: parent_tag(s) == "name")
-    in_group = F.filter(in_name, lambda s: F.get(n, F.get(n, s["parent"])["parent"])["tag"] == "person-group")
-    surname = F.coalesce(first(in_group), first(in_name), first(surnames))["text"]
-    label = first(pick(F.col("_in"), "label", parent=F.col("r.pos")))["text"]
-    out = settle(r.select(
-        "path", "ref_no", pub_id("doi").alias("doi"), pub_id("pmid").alias("pmid"),
-        pub_id("pmcid", "pmc").alias("pmc_id"), full(tag1("article-title", "source"), plain).alias("title"),
-        strip(surname).alias("first_author_surname"), strip(first(pick(scope, "year"))["text"]).alias("year"),
-        F.regexp_replace(strip(label), r"^[.\[\]()]+|[.\[\]()]+$", "").alias("label")))
+
+    def entry(r):
+        inside = below(r, n)
+
+        def pub_id(*kinds):
+            hits = F.filter(inside, lambda x: (x["tag"] == "pub-id") & x["attrs"]["pub-id-type"].isin(*kinds))
+            return strip(F.try_element_at(hits, F.lit(-1))["text"])
+
+        def tag1(*tags):
+            return F.coalesce(*[first(pick(inside, t)) for t in tags])
+
+        cite = tag1("element-citation", "mixed-citation", "nlm-citation", "citation")
+        scope = F.coalesce(F.when(cite.isNotNull(), below(cite, n)), inside)
+
+        def parent_tag(x):
+            return F.get(n, x["parent"])["tag"]
+
+        surnames = pick(scope, "surname")
+        in_name = F.filter(surnames, lambda s: parent_tag(s) == "name")
+        in_group = F.filter(in_name, lambda s: F.get(n, F.get(n, s["parent"])["parent"])["tag"] == "person-group")
+        surname = F.coalesce(first(in_group), first(in_name), first(surnames))["text"]
+        label = first(pick(inside, "label", parent=r["pos"]))["text"]
+        return F.struct(
+            pub_id("doi").alias("doi"), pub_id("pmid").alias("pmid"), pub_id("pmcid", "pmc").alias("pmc_id"),
+            full(tag1("article-title", "source"), plain).alias("title"), strip(surname).alias("first_author_surname"),
+            strip(first(pick(scope, "year"))["text"]).alias("year"),
+            F.regexp_replace(strip(label), r"^[.\[\]()]+|[.\[\]()]+$", "").alias("label"))
+
+    entries = F.transform(pick(n, "ref"), entry)
+    out = (shredded.where("nodes IS NOT NULL").select("path", F.posexplode(entries).alias("ref_no", "_entry"))
+           .select("path", "ref_no", "_entry.*"))
 
     def given(c):
         return F.coalesce(F.col(c), F.lit("")) != ""
@@ -331,18 +338,22 @@ SKIPPED_FILES = [".tif", ".tiff", ".png", ".jpg", ".jpeg", ".gif", ".bmp", ".svg
 def supplement_manifest(shredded: DataFrame, skip: list[str] | None = None) -> DataFrame:
     """Supplementary files an article names, with label and caption; images are left out."""
     n, plain = F.col("nodes"), F.col("plain")
-    s = shredded.where("nodes IS NOT NULL").select(
-        "path", "nodes", "plain", F.explode(pick(n, "supplementary-material")).alias("s"))
-    s = s.withColumn("_in", below(F.col("s"), n))
-    media = first(pick(F.col("_in"), "media", parent=F.col("s.pos")))
-    href = F.coalesce(F.nullif(F.col("s.attrs")["href"], F.lit("")), F.nullif(media["attrs"]["href"], F.lit("")))
-    s = s.withColumn("filename", F.substring_index(href, "/", -1)).where("filename IS NOT NULL")
+
+    def entry(s):
+        inside = below(s, n)
+        media = first(pick(inside, "media", parent=s["pos"]))
+        href = F.coalesce(F.nullif(s["attrs"]["href"], F.lit("")), F.nullif(media["attrs"]["href"], F.lit("")))
+        return F.struct(
+            F.substring_index(href, "/", -1).alias("filename"),
+            F.coalesce(strip(first(pick(inside, "label", parent=s["pos"]))["text"]), F.lit("")).alias("label"),
+            F.coalesce(full(first(pick(inside, "caption")), plain), F.lit("")).alias("caption"))
+
+    s = (shredded.where("nodes IS NOT NULL")
+         .select("path", F.explode(F.transform(pick(n, "supplementary-material"), entry)).alias("s"))
+         .select("path", "s.*").where("filename IS NOT NULL"))
     ext = F.lower(F.regexp_extract("filename", r"[^.](\.[^.]*)$", 1))
-    return s.select(
-        "path", "filename", ext.alias("extension"),
-        F.coalesce(strip(first(pick(F.col("_in"), "label", parent=F.col("s.pos")))["text"]), F.lit("")).alias("label"),
-        F.coalesce(full(first(pick(F.col("_in"), "caption")), plain), F.lit("")).alias("caption"),
-    ).where(~F.col("extension").isin(skip or SKIPPED_FILES))
+    return (s.select("path", "filename", ext.alias("extension"), "label", "caption")
+            .where(~F.col("extension").isin(skip or SKIPPED_FILES)))
 
 
 def split_article_set(raw: DataFrame, column: str = "raw") -> DataFrame:

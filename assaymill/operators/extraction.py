@@ -115,13 +115,15 @@ def supplement_prompt(title: Column, protocol: Column, supplement: Column) -> Co
                     F.lit("\n\n---\n\nSupplementary Materials:\n\n"), supplement)
 
 
-def rnaseq_prompt(text: Column, accessions: Column, supplement: Column) -> Column:
-    """Paper text and supplement within their budgets, with the known series as a hint."""
+def rnaseq_prompt(text: Column, accessions: Column, supplement: Column, budget: int | None = None, supplement_budget: int | None = None) -> Column:
+    """Paper text and supplement, whole unless budgets in characters are given, with the known series as a hint."""
+    text = text if budget is None else F.left(text, F.lit(budget))
+    part = supplement if supplement_budget is None else F.left(supplement, F.lit(supplement_budget))
     hint = F.when(F.size(accessions) > 0, F.concat(
         F.lit("\n\nKnown GEO accessions for this paper: "), F.array_join(accessions, ", ")))
     extra = F.when(F.coalesce(supplement, F.lit("")) != "", F.concat(
-        F.lit("\n\nSupplementary text:\n"), F.left(supplement, F.lit(dims.SUPPLEMENT_BUDGET))))
-    return F.concat(F.lit("Paper text:\n"), F.left(text, F.lit(dims.PAPER_BUDGET)),
+        F.lit("\n\nSupplementary text:\n"), part))
+    return F.concat(F.lit("Paper text:\n"), text,
                     F.coalesce(hint, F.lit("")), F.coalesce(extra, F.lit("")))
 
 

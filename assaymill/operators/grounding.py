@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from assaymill.functions import text as T
 from assaymill.operators.discovery import mine_text
+from assaymill.operators.ranking import null_safe_join
 
 
 def _found(alias: Column, low: Column) -> Column:
@@ -30,10 +31,16 @@ def alias_map(aliases: dict[str, list[str]]) -> Column:
 
 
 def terms_in_text(terms: DataFrame, texts: DataFrame) -> DataFrame:
-    """(paper_id, term, aliases) tested against the text of the same paper."""
+    """(paper_id, term, aliases) tested against the text of the same paper.
+
+    A paper's terms meet its text as one array, are tested inside the row, and only the outcomes are exploded: the text
+    is neither joined nor copied per term.
+    """
+    others = [c for c in terms.columns if c != "paper_id"]
+    per = terms.groupBy("paper_id").agg(F.collect_list(F.struct(*others)).alias("_terms"))
     low = texts.select("paper_id", F.lower("text").alias("_low"))
-    return terms.join(low, "paper_id").withColumn(
-        "grounded", is_grounded(F.col("term"), F.col("aliases"), F.col("_low"))).drop("_low")
+    tested = F.transform("_terms", lambda t: t.withField("grounded", is_grounded(t["term"], t["aliases"], F.col("_low"))))
+    return per.join(low, "paper_id").select("paper_id", F.explode(tested).alias("_t")).select("paper_id", "_t.*")
 
 
 # Stage lists and the name field of their items, with the category used in reports.
@@ -105,19 +112,27 @@ def removal_totals(grounded: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.size("removals")), F.lit(0)).alias("removed"))
 
 
-def top_removed(counts: DataFrame, n: int = 20) -> DataFrame:
-    return counts.orderBy(F.desc("n"), "category", "term").limit(n)
+def top_removed(counts: DataFrame, n: int | None = None) -> DataFrame:
+    """Removed terms by frequency; all of them unless a number is asked for."""
+    ordered = counts.orderBy(F.desc("n"), "category", "term")
+    return ordered if n is None else ordered.limit(n)
 
 
 def verify_in_text(accessions: DataFrame, texts: DataFrame) -> DataFrame:
     """Tier 1: is the accession in the paper's markup, else in its supplement? `texts`: paper_id, xml, supplement."""
-    j = accessions.join(texts.select("paper_id", "xml", "supplement"), "paper_id", "left")
-    in_xml = F.coalesce(F.contains("xml", F.col("gse_id")), F.lit(False))
-    in_supplement = F.coalesce(F.contains("supplement", F.col("gse_id")), F.lit(False))
-    return j.select(
-        *accessions.columns, F.when(in_xml | in_supplement, "verified").otherwise("not_in_text").alias("tier1_status"),
-        F.when(in_xml, "xml").when(in_supplement, "supplement").alias("found_source"),
-        F.col("xml").isNotNull().alias("has_xml"))
+    per = accessions.groupBy("paper_id").agg(F.collect_list(F.struct(*accessions.columns)).alias("_rows"))
+    both = null_safe_join(per, texts.where("paper_id IS NOT NULL").select("paper_id", "xml", "supplement"), ["paper_id"], "left")
+
+    def test(a):
+        in_xml = F.coalesce(F.contains("xml", a["gse_id"]), F.lit(False))
+        in_supplement = F.coalesce(F.contains("supplement", a["gse_id"]), F.lit(False))
+        return F.struct(
+            *[a[c].alias(c) for c in accessions.columns],
+            F.when(in_xml | in_supplement, "verified").otherwise("not_in_text").alias("tier1_status"),
+            F.when(in_xml, "xml").when(in_supplement, "supplement").alias("found_source"),
+            F.col("xml").isNotNull().alias("has_xml"))
+
+    return both.select(F.explode(F.transform("_rows", test)).alias("_r")).select("_r.*")
 
 
 def tier1_totals(verified: DataFrame) -> DataFrame:

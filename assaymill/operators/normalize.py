@@ -7,17 +7,11 @@ from pyspark.sql import functions as F
 
 from assaymill.operators import ranking
 from assaymill.operators.expression import widen
-from assaymill.session import cut
 
 
-def rank_percentile(long: DataFrame, group: list[str], value: str = "value",
-                    hot_rows: int = ranking.HOT_ROWS) -> DataFrame:
-    """Average rank / number of present values within (group, gene); missing stays missing.
-
-    The input is read for its largest group, its ranks and the join back: it is written once for that.
-    """
-    long = cut(long)
-    r = ranking.with_value_ranks(long, [*group, "gene_symbol"], value, hot_rows)
+def rank_percentile(long: DataFrame, group: list[str], value: str = "value") -> DataFrame:
+    """Average rank / number of present values within (group, gene); missing stays missing."""
+    r = ranking.with_value_ranks(long, [*group, "gene_symbol"], value)
     norm = ranking.percent_rank_average(F.col("below"), F.col("ties"), F.col("n"))
     return r.withColumn("norm", norm).drop("below", "ties", "n")
 
@@ -30,15 +24,13 @@ def within_group_relative(long: DataFrame, group: list[str], value: str = "value
             .withColumn("norm", F.col(value) / F.col("_top")).drop("_top"))
 
 
-def quantile(long: DataFrame, row_keys: list[str], value: str = "value",
-             hot_rows: int = ranking.HOT_ROWS) -> DataFrame:
+def quantile(long: DataFrame, row_keys: list[str], value: str = "value") -> DataFrame:
     """Quantile normalisation across genes: the mean of the k-th smallest values replaces rank k.
 
     `row_keys` identify a matrix row, so that (row, gene) is unique. A run of equal values covers the sorted
     positions below+1 .. below+ties; positions are joined per gene run, never per pair of rows.
     """
-    long = cut(long)
-    ranks = ranking.value_ranks(long, ["gene_symbol"], value, hot_rows)
+    ranks = ranking.value_ranks(long, ["gene_symbol"], value)
     means = _positions(ranks, value).groupBy("pos").agg(F.avg(value).alias("norm"))
     pos = F.floor(F.col("below") + (F.col("ties") + 1) / F.lit(2.0)).alias("pos")
     lookup = (ranks.select("gene_symbol", value, pos).join(means, "pos").drop("pos"))

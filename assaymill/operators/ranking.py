@@ -1,8 +1,8 @@
 """Exact ranks, medians and running maxima that hold when one group has most of the rows.
 
 A window partitioned by a hot key puts that key into one task. The operators here first
-collapse equal values (partial aggregation), and only where the largest group is still big
-cut it into value ranges whose totals are added up.
+collapse equal values (partial aggregation), then cut every group into value ranges whose totals
+are added up.
 """
 
 from __future__ import annotations
@@ -12,25 +12,27 @@ from pyspark.sql import functions as F
 
 from assaymill.session import cut
 
-HOT_ROWS = 2_000_000
+#: Value ranges per unit of the inverse hyperbolic sine, in which a group's values are cut.
+RANGES = 256
 
 
-def value_ranks(df: DataFrame, keys: list[str], value: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """One row per (keys, value): `below` smaller non-null rows, `ties` equal ones, `n` rows in the group."""
+def value_range(value: Column) -> Column:
+    """The range of a number: a whole number that never falls as the value grows, NaN last."""
+    x = value.cast("double")
+    return F.when(F.isnan(x), F.lit(1 << 62)).otherwise(F.floor(F.asinh(x) * RANGES).cast("bigint"))
+
+
+def value_ranks(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """One row per (keys, value): `below` smaller non-null rows, `ties` equal ones, `n` rows in the group.
+
+    Equal values are summed map-side, then ranked inside ranges of the value; the totals of the ranges before are added.
+    A range is a function of the value alone, so nothing is sampled or written for it and a group of any size is spread
+    over some thousands of ranges.
+    """
     counts = (df.where(F.col(value).isNotNull())
-              .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("ties")))
+              .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("ties")).withColumn("_part", value_range(F.col(value))))
     by_keys = [F.col(k) for k in keys] or [F.lit(0)]
-    largest = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("c")).agg(F.max("c")).first()[0] or 0
-    if largest <= hot_rows:
-        w = Window.partitionBy(*by_keys)
-        before = w.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-        return counts.select(
-            "*", F.coalesce(F.sum("ties").over(before), F.lit(0)).alias("below"), F.sum("ties").over(w).alias("n"))
-
-    # Value ranges, fixed on reliable storage: both branches below must see the same ones.
-    parts = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ranged = cut(counts.repartitionByRange(parts, *keys, value).withColumn("_part", F.spark_partition_id()))
-    totals = ranged.groupBy(*keys, "_part").agg(F.sum("ties").alias("_rows"))
+    totals = counts.groupBy(*keys, "_part").agg(F.sum("ties").alias("_rows"))
     over_parts = Window.partitionBy(*by_keys).orderBy("_part")
     totals = totals.select(
         *keys, "_part",
@@ -39,7 +41,7 @@ def value_ranks(df: DataFrame, keys: list[str], value: str, hot_rows: int = HOT_
         F.sum("_rows").over(Window.partitionBy(*by_keys)).alias("n"))
     inside = (Window.partitionBy(*by_keys, "_part").orderBy(value)
               .rowsBetween(Window.unboundedPreceding, -1))
-    ranged = ranged.withColumn("_inside", F.coalesce(F.sum("ties").over(inside), F.lit(0)))
+    ranged = counts.withColumn("_inside", F.coalesce(F.sum("ties").over(inside), F.lit(0)))
     joined = null_safe_join(ranged, totals, [*keys, "_part"])
     return joined.select(*keys, value, "ties", (F.col("_offset") + F.col("_inside")).alias("below"), "n")
 
@@ -54,9 +56,9 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def with_value_ranks(df: DataFrame, keys: list[str], value: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def with_value_ranks(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """`df` with `below`, `ties` and `n`; rows whose value is missing keep NULLs."""
-    return null_safe_join(df, value_ranks(df, keys, value, hot_rows), [*keys, value], "left")
+    return null_safe_join(df, value_ranks(df, keys, value), [*keys, value], "left")
 
 
 def percent_rank_average(below: Column, ties: Column, n: Column) -> Column:
@@ -64,9 +66,9 @@ def percent_rank_average(below: Column, ties: Column, n: Column) -> Column:
     return (below + (ties + 1) / F.lit(2.0)) / n
 
 
-def grouped_median(df: DataFrame, keys: list[str], value: str, name: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def grouped_median(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
     """Exact median per group (mean of the middle two), by position instead of a buffer of all values."""
-    r = value_ranks(df, keys, value, hot_rows)
+    r = value_ranks(df, keys, value)
     low, high = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
 
     def covers(p):

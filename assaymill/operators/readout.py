@@ -71,22 +71,23 @@ def trajectories(agg: DataFrame, min_days: int = 2) -> DataFrame:
     return t.withColumn("follows_expected", F.coalesce(follows, F.lit(False))).drop("_mean")
 
 
-def rank_readouts(traj: DataFrame, agg: DataFrame, hot_rows: int = ranking.HOT_ROWS) -> DataFrame:
+def rank_readouts(traj: DataFrame, agg: DataFrame) -> DataFrame:
     """Genes by composite score of consistency, fold change, coverage and range.
 
     A gene's series are a 47th of all at least, so its medians are taken by position, not in a buffer.
     """
-    # Five small aggregates read these columns; they are written once instead of derived five times.
-    traj = cut(traj.select("gene_symbol", "protocol_id", "follows_expected", "dynamic_range",
-                           F.abs("log2fc").alias("_abs")))
+    traj = traj.select("gene_symbol", "protocol_id", "follows_expected", "dynamic_range", F.abs("log2fc").alias("_abs"))
     stats = traj.groupBy("gene_symbol").agg(
         F.countDistinct("protocol_id").alias("n_protocols_temporal"),
         F.sum(F.col("follows_expected").cast("int")).alias("n_follow_expected"),
         F.avg("_abs").alias("mean_abs_log2fc"))
-    fold = ranking.grouped_median(traj, ["gene_symbol"], "_abs", "median_abs_log2fc", hot_rows)
-    span = ranking.grouped_median(traj, ["gene_symbol"], "dynamic_range", "median_dynamic_range", hot_rows)
+    both = traj.select("gene_symbol", F.inline(F.array(
+        F.struct(F.lit("fold").alias("_which"), F.col("_abs").alias("_value")), F.struct(F.lit("span").alias("_which"), F.col("dynamic_range").alias("_value")))))
+    medians = ranking.grouped_median(both, ["gene_symbol", "_which"], "_value", "_median").groupBy("gene_symbol").agg(
+        F.max(F.when(F.col("_which") == "fold", F.col("_median"))).alias("median_abs_log2fc"),
+        F.max(F.when(F.col("_which") == "span", F.col("_median"))).alias("median_dynamic_range"))
     total = agg.groupBy("gene_symbol").agg(F.countDistinct("protocol_id").alias("n_protocols_total"))
-    g = stats.join(fold, "gene_symbol").join(span, "gene_symbol").join(total, "gene_symbol")
+    g = stats.join(medians, "gene_symbol").join(total, "gene_symbol")
     g = g.withColumn("category", genes.category(F.col("gene_symbol")))
     g = g.withColumn("expected_direction", genes.expected_direction(F.col("gene_symbol")))
     g = g.withColumn("consistency", F.col("n_follow_expected") / F.col("n_protocols_temporal"))
@@ -124,10 +125,10 @@ def timepoints(traj: DataFrame, agg: DataFrame) -> DataFrame:
         "n_protocols", (F.col("_rn") == 1).alias("is_optimal_day"))
 
 
-def heatmap(agg: DataFrame, ranked: DataFrame, top: int = 15, last_day: int = 42) -> DataFrame:
-    """Row-normalised mean expression of the top readouts by day, long form."""
-    genes_top = ranked.where(F.col("rank") <= top).select("gene_symbol", "rank")
-    m = (agg.where(F.col("time_point_day") <= last_day)
+def heatmap(agg: DataFrame, ranked: DataFrame, top: int | None = None, last_day: int | None = None) -> DataFrame:
+    """Row-normalised mean expression of the readouts by day, long form; of the `top` ones or up to a day where asked."""
+    genes_top = (ranked if top is None else ranked.where(F.col("rank") <= top)).select("gene_symbol", "rank")
+    m = ((agg if last_day is None else agg.where(F.col("time_point_day") <= last_day))
          .groupBy("gene_symbol", "time_point_day").agg(F.avg("mean_value").alias("mean_value")))
     peak = m.groupBy("gene_symbol").agg(F.max("mean_value").alias("_top"))
     return (m.join(peak, "gene_symbol").join(genes_top, "gene_symbol")
@@ -135,20 +136,25 @@ def heatmap(agg: DataFrame, ranked: DataFrame, top: int = 15, last_day: int = 42
                     (F.col("mean_value") / F.nullif(F.col("_top"), F.lit(0.0))).alias("relative")))
 
 
+# Marker genes of the trajectory figure.
+FIGURE_GENES = ["POU5F1", "NANOG", "SOX17", "FOXA2", "HNF4A", "AFP", "ALB", "CYP3A4"]
+
+
 def within_protocol_profile(agg: DataFrame, genes_shown: list[str] | None = None, min_days: int = 3,
-                            last_day: int = 42) -> DataFrame:
-    """Mean and deviation over protocols of each protocol's own max-normalised series, per gene and day."""
-    # Marker genes of the trajectory figure.
-    genes_shown = genes_shown or ["POU5F1", "NANOG", "SOX17", "FOXA2", "HNF4A", "AFP", "ALB", "CYP3A4"]
+                            last_day: int | None = None) -> DataFrame:
+    """Mean and deviation over protocols of each protocol's own max-normalised series, per gene and day.
+
+    All genes and days, unless some genes (`FIGURE_GENES` for the trajectory figure) or a last day are given.
+    """
     long_enough = (agg.groupBy("protocol_id").agg(F.countDistinct("time_point_day").alias("d"))
                    .where(F.col("d") >= min_days))
-    m = (agg.where(F.col("gene_symbol").isin(genes_shown)).join(long_enough, "protocol_id", "left_semi")
+    m = ((agg if genes_shown is None else agg.where(F.col("gene_symbol").isin(genes_shown))).join(long_enough, "protocol_id", "left_semi")
          .groupBy("gene_symbol", "protocol_id", "time_point_day").agg(F.avg("mean_value").alias("mean_value")))
     top = m.groupBy("gene_symbol", "protocol_id").agg(F.max("mean_value").alias("_top"))
     n = m.join(top, ["gene_symbol", "protocol_id"]).withColumn(
         "_norm", F.when(F.col("_top") > 0, F.col("mean_value") / F.nullif(F.col("_top"), F.lit(0.0)))
         .otherwise(F.lit(0.0)))
-    return (n.where(F.col("time_point_day") <= last_day).groupBy("gene_symbol", "time_point_day")
+    return ((n if last_day is None else n.where(F.col("time_point_day") <= last_day)).groupBy("gene_symbol", "time_point_day")
             .agg(F.avg("_norm").alias("mean_norm"), F.stddev_samp("_norm").alias("std_norm")))
 
 
@@ -170,9 +176,9 @@ def summary(agg: DataFrame, ranked: DataFrame, points: DataFrame) -> DataFrame:
         F.countDistinct("gene_symbol").alias("g")).select(F.explode(F.array(
             F.struct(F.lit(0).alias("part"), F.lit(0).alias("pos"),
                      F.format_string("Total aggregated measurements: %,d", "n").alias("line")),
-            F.struct(F.lit(0), F.lit(1), F.format_string("Protocols with expression data: %d", "p")),
-            F.struct(F.lit(0), F.lit(2), F.format_string("Genes in panel: %d", "g")),
-            F.struct(F.lit(0), F.lit(3), F.format_string("Protocols with temporal (multi-day) data: %d", "p")),
+            *[F.struct(F.lit(0).alias("part"), F.lit(pos).alias("pos"), F.format_string(text, column).alias("line")) for pos, text, column in [
+                (1, "Protocols with expression data: %d", "p"), (2, "Genes in panel: %d", "g"),
+                (3, "Protocols with temporal (multi-day) data: %d", "p")]],
         )).alias("x")).select("x.*")
     top = ranked.where(F.col("rank") <= 10).select(
         F.lit(1).alias("part"), F.col("rank").alias("pos"),

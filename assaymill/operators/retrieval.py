@@ -37,31 +37,34 @@ def best_probe(rows: DataFrame) -> DataFrame:
     return rows.join(best, ["file", "gene_symbol", "probe"], "left_semi")
 
 
-def merge_files(rows: DataFrame, max_samples: int = 500) -> DataFrame:
+def merge_files(rows: DataFrame, wide_samples: int = 500) -> DataFrame:
     """Values of a series merged over its files `(gse_id, file_no, gene_symbol, sample, value)`.
 
-    A later file overrides a sample. A gene with more than 500 samples marks single-cell data: then the whole
-    series is dropped, as a rule of the data, not a cap.
+    A later file overrides a sample. `wide` marks the series in which some gene has more than `wide_samples` samples, as
+    single-cell data has; no row is dropped for it.
     """
     merged = rows.groupBy("gse_id", "gene_symbol", "sample").agg(
         F.max_by(F.struct(F.col("value").alias("v")), "file_no")["v"].alias("value"))
     wide = (merged.groupBy("gse_id", "gene_symbol").agg(F.count(F.lit(1)).alias("c"))
-            .where(F.col("c") > max_samples).select("gse_id"))
-    return merged.join(wide, "gse_id", "left_anti")
+            .groupBy("gse_id").agg((F.max("c") > wide_samples).alias("wide")))
+    return merged.join(wide, "gse_id")
 
 
-def candidate_files(files: DataFrame, max_files: int = 5, max_bytes: int = 100_000_000) -> DataFrame:
+def candidate_files(files: DataFrame, max_files: int | None = None, max_bytes: int | None = None) -> DataFrame:
     """Files of a series worth parsing `(gse_id, filename, size)`: count-like tables, else any packed table.
 
-    At most five per series are tried, in listing order, and none above 100 MB.
+    All of them, unless a number per series (in listing order) or a size is given.
     """
     f = files.where(~F.col("filename").rlike(A.SKIP_FILE))
     f = f.withColumn("_named", F.col("filename").rlike(A.TABULAR_FILE) & F.col("filename").rlike(A.COUNT_FILE))
     any_named = f.groupBy("gse_id").agg(F.bool_or("_named").alias("_any"))
     f = f.join(any_named, "gse_id").where(
         F.when(F.col("_any"), F.col("_named")).otherwise(F.col("filename").rlike(A.PACKED_TABULAR_FILE)))
-    return (top_per_group(f, ["gse_id"], ["filename"], max_files, ["filename"])
-            .where(F.coalesce("size", F.lit(0)) <= max_bytes).drop("_named", "_any"))
+    if max_files is not None:
+        f = top_per_group(f, ["gse_id"], ["filename"], max_files, ["filename"])
+    if max_bytes is not None:
+        f = f.where(F.coalesce("size", F.lit(0)) <= max_bytes)
+    return f.drop("_named", "_any")
 
 
 def measurements(cells: DataFrame, path: str, unit: str | None = None, lookup: DataFrame | None = None) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from assaymill import dims
 from assaymill.functions import text as T
 from assaymill.functions.reagents import stage_summary
 from assaymill.operators.joins import left_lookup
@@ -60,10 +59,11 @@ def search_cache(cache: DataFrame, query: str, limit: int = 5) -> DataFrame:
     return both.withColumn("_first", first).where("_prio = _first").drop("_prio", "_first")
 
 
-def reference_texts(requests: DataFrame, cache: DataFrame, papers: DataFrame) -> DataFrame:
+def reference_texts(requests: DataFrame, cache: DataFrame, papers: DataFrame, budget: int | None = None) -> DataFrame:
     """Text of requested references `(doi, pmid)` from the cache, else the corpus; the rest must be fetched.
 
-    `papers` carries `full_text`. Only references asked for are read; one text per identifier is kept.
+    `papers` carries `full_text`. Only references asked for are read; one text per identifier is kept, whole
+    unless a budget in characters is given.
     """
     best = (cache.where("full_text <> ''").groupBy("doi").agg(F.max_by(F.struct("title", "full_text"), F.length("full_text")).alias("c")))
     by_doi = papers.where("full_text IS NOT NULL").groupBy("doi").agg(F.max_by(F.struct("title", "full_text"), "id").alias("d"))
@@ -72,5 +72,5 @@ def reference_texts(requests: DataFrame, cache: DataFrame, papers: DataFrame) ->
     j = left_lookup(j, by_pmid, ["pmid"])
     hit = F.coalesce("c", "d", "p")
     return j.select(
-        "doi", "pmid", hit["title"].alias("title"), T.truncate(hit["full_text"], dims.REFERENCE_BUDGET).alias("text"),
+        "doi", "pmid", hit["title"].alias("title"), (hit["full_text"] if budget is None else T.truncate(hit["full_text"], budget)).alias("text"),
         F.when(F.col("c").isNotNull(), "cache").when(hit.isNotNull(), "in_corpus").otherwise("fetch").alias("source"))

@@ -5,22 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from assaymill import dims
 from assaymill.functions import text as T
 from assaymill.functions.genes import strip
 from assaymill.operators.ranking import top_per_group
 
 
-def with_combined_text(df: DataFrame, budget: int = dims.SUPPLEMENT_BUDGET, name: str = "supplement_text") -> DataFrame:
-    """`df` with the text of its ordered `parts` (filename, text) within a budget.
+def with_combined_text(df: DataFrame, budget: int | None = None, name: str = "supplement_text") -> DataFrame:
+    """`df` with the text of its ordered `parts` (filename, text), whole unless a budget is given.
 
-    The first block that does not fit is cut if more than 200 characters are left, and ends the text.
+    With one, the first block that does not fit is cut if more than 200 characters are left, and ends the text.
     """
     marker = "\n[... truncated ...]\n"
     usable = F.filter("parts", lambda p: strip(F.coalesce(p["text"], F.lit(""))) != "")
     d = df.withColumn("_blocks", F.transform(usable, lambda p: F.concat(
         F.lit("\n## Supplement: "), p["filename"], F.lit("\n\n"), strip(p["text"]), F.lit("\n"))))
 
+    if budget is None:
+        return d.withColumn(name, F.array_join("_blocks", "")).drop("_blocks")
+
     def step(acc, b):
         fits = acc["open"] & (acc["total"] + F.length(b) <= budget)
         return F.struct(
@@ -37,13 +39,16 @@ def with_combined_text(df: DataFrame, budget: int = dims.SUPPLEMENT_BUDGET, name
     return d.withColumn(name, F.concat(head, F.coalesce(tail, F.lit("")))).drop("_blocks", "_end")
 
 
-def paper_supplements(files: DataFrame, budget: int = dims.SUPPLEMENT_BUDGET) -> DataFrame:
+def paper_supplements(files: DataFrame, budget: int | None = None) -> DataFrame:
     """(paper_id, supplement_text) from files `(paper_id, filename, text)`, in file name order.
 
-    Only files that can still start within the budget are gathered: a block has a least length, which bounds
+    With a budget only files that can still start within it are gathered: a block has a least length, which bounds
     how many fit, and a running length drops the rest.
     """
     f = files.where(strip(F.coalesce("text", F.lit(""))) != "").withColumn("text", strip(F.col("text")))
+    if budget is None:
+        every = f.groupBy("paper_id").agg(F.array_sort(F.collect_list(F.struct("filename", "text"))).alias("parts"))
+        return with_combined_text(every).drop("parts")
     smallest = len("\n## Supplement: \n\n\n") + 2
     first = top_per_group(f.withColumn("text", F.left("text", F.lit(budget))), ["paper_id"], ["filename"],
                           budget // smallest + 1, ["filename"])
@@ -56,15 +61,16 @@ def paper_supplements(files: DataFrame, budget: int = dims.SUPPLEMENT_BUDGET) ->
     return with_combined_text(parts, budget).drop("parts")
 
 
-def table_markdown(df: DataFrame, key: list[str], order: list[str], columns: list[str], limit: int = 200) -> DataFrame:
-    """Markdown table per key from rows in order; as in a preview, the first 200 rows of each table are shown.
+def table_markdown(df: DataFrame, key: list[str], order: list[str], columns: list[str], limit: int | None = None) -> DataFrame:
+    """Markdown table per key from rows in order; a preview of `limit` rows where one is asked for.
 
-    Row texts are ranked before they are gathered, so a long table never collects more than the preview.
+    Row texts are ranked before a preview is gathered, so it never collects more than it shows.
     """
     cells = F.array(*[T.cell(F.col(c).cast("string")) for c in columns])
     rows = df.select(*key, *order, T.markdown_row(cells).alias("line"))
-    rows = top_per_group(rows, key, order, limit, order, "_rn")
-    body = rows.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("_rn", "line"))).alias("r"))
+    if limit is not None:
+        rows = top_per_group(rows, key, order, limit, order)
+    body = rows.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(*order, "line"))).alias("r"))
     head = ["| " + " | ".join(c.replace("|", "\\|").strip() for c in columns) + " |",
             "| " + " | ".join("---" for _ in columns) + " |"]
     return body.select(*key, F.concat_ws(

@@ -202,8 +202,8 @@ def readout_timepoints(spark, sf):
 @query("heatmap_norm", A.sql(
     "SELECT CAST(rk.rank AS INTEGER) AS rank, m.gene_symbol, m.day, ROUND(m.mv, 6) AS mean_value, "
     "ROUND(m.mv / NULLIF(MAX(m.mv) OVER (PARTITION BY m.gene_symbol), 0), 6) AS relative FROM (SELECT gene_symbol, "
-    "time_point_day AS day, AVG(mean_value) AS mv FROM agg WHERE time_point_day <= 42 GROUP BY 1, 2) m "
-    "JOIN rk USING (gene_symbol) WHERE rk.rank <= 15", A.EV, A.PA, A.PR, AGG, TRAJ, RANK))
+    "time_point_day AS day, AVG(mean_value) AS mv FROM agg GROUP BY 1, 2) m "
+    "JOIN rk USING (gene_symbol)", A.EV, A.PA, A.PR, AGG, TRAJ, RANK))
 def heatmap_norm(spark, sf):
     agg = cut(_agg(spark, sf))
     ranked = readout.rank_readouts(readout.trajectories(agg), agg)
@@ -213,14 +213,36 @@ def heatmap_norm(spark, sf):
 @query("within_protocol_norm", A.sql(
     "SELECT gene_symbol, time_point_day, ROUND(AVG(n), 6) AS mean_norm, ROUND(STDDEV_SAMP(n), 6) AS std_norm FROM (SELECT *, "
     "CASE WHEN MAX(mv) OVER (PARTITION BY gene_symbol, protocol_id) > 0 THEN mv / MAX(mv) OVER (PARTITION BY gene_symbol, protocol_id) "
-    "ELSE 0 END AS n FROM (SELECT gene_symbol, protocol_id, time_point_day, AVG(mean_value) AS mv FROM agg WHERE gene_symbol IN "
-    "('POU5F1', 'SOX17', 'HNF4A', 'ALB') AND protocol_id IN (SELECT protocol_id FROM agg GROUP BY 1 HAVING "
-    "COUNT(DISTINCT time_point_day) >= 3) GROUP BY 1, 2, 3) q) q WHERE time_point_day <= 42 GROUP BY 1, 2",
+    "ELSE 0 END AS n FROM (SELECT gene_symbol, protocol_id, time_point_day, AVG(mean_value) AS mv FROM agg WHERE protocol_id IN (SELECT protocol_id FROM agg GROUP BY 1 HAVING "
+    "COUNT(DISTINCT time_point_day) >= 3) GROUP BY 1, 2, 3) q) q GROUP BY 1, 2",
     A.EV, A.PA, A.PR, AGG))
 def within_protocol_norm(spark, sf):
     return rounded(readout.within_protocol_profile(_agg(spark, sf)), "mean_norm", "std_norm")
 
 
+SUMMARY = ("cats AS (SELECT rk.*, CASE gene_symbol WHEN 'POU5F1' THEN 'pluripotency' WHEN 'SOX17' THEN 'definitive_endoderm' WHEN 'HNF4A' THEN "
+           "'hepatic_progenitor' WHEN 'ALB' THEN 'mature_hepatocyte' ELSE 'mesenchymal' END AS category FROM rk), "
+           "hd AS (SELECT COUNT(*) AS n, COUNT(DISTINCT protocol_id) AS p, COUNT(DISTINCT gene_symbol) AS g FROM agg)")
+
+
+@query("readout_summary", A.sql(
+    "SELECT 0 AS part, CAST(pos AS INTEGER) AS pos, line FROM (SELECT 0 AS pos, 'Total aggregated measurements: ' || format('{:,}', n) AS line FROM hd "
+    "UNION ALL SELECT 1, 'Protocols with expression data: ' || p FROM hd UNION ALL SELECT 2, 'Genes in panel: ' || g FROM hd "
+    "UNION ALL SELECT 3, 'Protocols with temporal (multi-day) data: ' || p FROM hd) q UNION ALL "
+    "SELECT 1, CAST(rank AS INTEGER), '  ' || rank || ' ' || gene_symbol || ' ' || category || ' ' || np FROM cats WHERE rank <= 10 UNION ALL "
+    "SELECT 2, 0, '  ' || gene_symbol || ' day ' || day || ' ' || n_protocols FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY gene_symbol ORDER BY "
+    "CASE expected_direction WHEN 'down' THEN mean_value WHEN 'low' THEN -n_protocols ELSE -mean_value END NULLS LAST, day) AS rn FROM ds) q WHERE rn = 1 UNION ALL "
+    "SELECT 3, CAST(rank AS INTEGER), '  ' || d || ': ' || gene_symbol FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY d ORDER BY rank) AS k FROM cats) q "
+    "WHERE (d = 'up' AND k <= 5) OR (d IN ('down', 'transient_up') AND k <= 3)",
+    A.EV, A.PA, A.PR, AGG, TRAJ, RANK, TIMEPOINTS, SUMMARY))
+def readout_summary(spark, sf):
+    """The lines of the summary; their rounded figures, which other queries check, are left out."""
+    tables = readout.analyze(A.values(spark, sf), A.papers(spark, sf), A.protocols(spark, sf))
+    plain = F.regexp_replace("line", r"^( *)(\d+)\. (\S+) +category=(\S+) .* n_protos=(\d+)$", "  $2 $3 $4 $5")
+    plain = F.regexp_replace(plain, r"^  (\S+) +→ day +(\d+) .* n_protocols=(\d+)\)$", "  $1 day $2 $3")
+    return tables["summary"].select("part", "pos", F.regexp_replace(plain, r" \(consistency=.*$", "").alias("line"))
+
+
 @query("multi_day_protocols", A.sql(
     "SELECT protocol_id, COUNT(DISTINCT time_point_day) AS n_days FROM ev WHERE protocol_id IS NOT NULL AND "
     "time_point_day IS NOT NULL GROUP BY 1 HAVING COUNT(DISTINCT time_point_day) >= 2", A.EV))

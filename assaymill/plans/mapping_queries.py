@@ -14,11 +14,42 @@ from assaymill.plans.expression_queries import SHOWN, rounded
 from assaymill.plans.registry import query
 
 
+# The check spells the phrases out itself, longest first, so that a wrong table does not pass.
+STAGE_SQL = (
+    "CASE "
+    "WHEN contains({low}, 'hepatic specification') THEN 'hepatic_endoderm' "
+    "WHEN contains({low}, 'definitive endoderm') THEN 'definitive_endoderm' "
+    "WHEN contains({low}, 'definitive_endoderm') THEN 'definitive_endoderm' "
+    "WHEN contains({low}, 'hepatic progenitor') THEN 'hepatoblast' "
+    "WHEN contains({low}, 'hepatic_progenitor') THEN 'hepatoblast' "
+    "WHEN contains({low}, 'mature hepatocyte') THEN 'mature_hepatocyte' "
+    "WHEN contains({low}, 'undifferentiated') THEN 'pre_treatment' "
+    "WHEN contains({low}, 'hepatic endoderm') THEN 'hepatic_endoderm' "
+    "WHEN contains({low}, 'hepatic_endoderm') THEN 'hepatic_endoderm' "
+    "WHEN contains({low}, 'hepatocyte-like') THEN 'mature_hepatocyte' "
+    "WHEN contains({low}, 'hepatocyte like') THEN 'mature_hepatocyte' "
+    "WHEN contains({low}, 'pluripotent') THEN 'pre_treatment' "
+    "WHEN contains({low}, 'hepatoblast') THEN 'hepatoblast' "
+    "WHEN contains({low}, 'maturation') THEN 'mature_hepatocyte' "
+    "WHEN contains({low}, 'hepatocyte') THEN 'mature_hepatocyte' "
+    "WHEN contains({low}, 'stem cell') THEN 'pre_treatment' "
+    "WHEN contains({low}, 'endoderm') THEN 'definitive_endoderm' "
+    "WHEN contains({low}, 'ipsc') THEN 'pre_treatment' "
+    "WHEN contains({low}, 'hesc') THEN 'pre_treatment' "
+    "WHEN contains({low}, 'day0') THEN 'pre_treatment' "
+    "WHEN contains({low}, 'ihep') THEN 'mature_hepatocyte' "
+    "WHEN contains({low}, 'esc') THEN 'pre_treatment' "
+    "WHEN contains({low}, 'hlc') THEN 'mature_hepatocyte' "
+    "WHEN contains({low}, 'd0') THEN 'pre_treatment' "
+    "WHEN contains({low}, 'de') THEN 'definitive_endoderm' "
+    "WHEN contains({low}, 'he') THEN 'hepatic_endoderm' "
+    "WHEN contains({low}, 'hb') THEN 'hepatoblast' "
+    "WHEN contains({low}, 'hp') THEN 'hepatoblast' "
+    "END")
+
+
 def _literal(column: str, low: str) -> str:
-    pairs = [(p, label) for label, ps in dims.STAGE_ALIASES.items() for p in ps]
-    pairs.sort(key=lambda x: -len(x[0]))
-    whens = " ".join(f"WHEN contains({low}, '{p}') THEN '{label}'" for p, label in pairs)
-    return f"CASE {whens} END AS {column}"
+    return f"{STAGE_SQL.format(low=low)} AS {column}"
 
 
 DAY_SQL = ("CAST(COALESCE(NULLIF(regexp_extract({t}, '(?:^|[\\s_\\-])[Dd]ay[\\s_\\-]*(\\d+)', 1), ''), "

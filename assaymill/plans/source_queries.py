@@ -118,13 +118,13 @@ def deg_table(spark, sf):
        "WITH g AS (SELECT l_suppkey AS gse_id, CASE l_linenumber % 2 WHEN 0 THEN 'ALB' ELSE 'AFP' END AS gene_symbol, 's' || l_partkey AS sample, "
        "l_quantity AS value, l_orderkey * 10 + l_linenumber AS file_no, l_extendedprice FROM lineitem), "
        "m AS (SELECT gse_id, gene_symbol, sample, arg_max(value, file_no * 1000000 + value) AS value FROM (SELECT gse_id, gene_symbol, sample, file_no, MAX(value) AS value FROM g GROUP BY 1, 2, 3, 4) q GROUP BY 1, 2, 3) "
-       "SELECT * FROM m WHERE gse_id NOT IN (SELECT gse_id FROM m GROUP BY gse_id, gene_symbol HAVING COUNT(*) > 310)")
+       "SELECT *, gse_id IN (SELECT gse_id FROM m GROUP BY gse_id, gene_symbol HAVING COUNT(*) > 310) AS wide FROM m")
 def merge_files(spark, sf):
     rows = table(spark, sf, "lineitem").selectExpr(
         "l_suppkey AS gse_id", "CASE l_linenumber % 2 WHEN 0 THEN 'ALB' ELSE 'AFP' END AS gene_symbol", "'s' || l_partkey AS sample",
         "l_quantity AS value", "l_orderkey * 10 + l_linenumber AS file_no")
     rows = rows.groupBy("gse_id", "gene_symbol", "sample", "file_no").agg(F.max("value").alias("value"))
-    return retrieval.merge_files(rows, max_samples=310)
+    return retrieval.merge_files(rows, wide_samples=310)
 
 @query("measurements", A.sql(
     "SELECT ln.l_orderkey AS paper_id, CASE l_linenumber WHEN 1 THEN 'ALB' WHEN 2 THEN 'POU5F1' ELSE 'HNF4A' END AS gene_symbol, "

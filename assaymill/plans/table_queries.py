@@ -304,7 +304,9 @@ def search_corpus_title(spark, sf):
 @query("reference_texts", A.sql(
     "SELECT doi, pmid, CASE WHEN EXISTS (SELECT 1 FROM documents d WHERE '10.1000/x' || d.doc_id = q.doi AND d.doc_id % 2 = 0) THEN 'cache' "
     "WHEN EXISTS (SELECT 1 FROM documents d WHERE d.doc_id % 2 = 1 AND ('10.1000/x' || d.doc_id = q.doi OR CAST(30000000 + d.doc_id AS VARCHAR) = q.pmid)) "
-    "THEN 'in_corpus' ELSE 'fetch' END AS source FROM q",
+    "THEN 'in_corpus' ELSE 'fetch' END AS source, (SELECT MAX(md5(d.text)) FROM documents d WHERE (d.doc_id % 2 = 0 AND '10.1000/x' || d.doc_id = q.doi) "
+    "OR (d.doc_id % 2 = 1 AND '10.1000/x' || d.doc_id = q.doi) OR (d.doc_id % 2 = 1 AND CAST(30000000 + d.doc_id AS VARCHAR) = q.pmid "
+    "AND NOT EXISTS (SELECT 1 FROM documents e WHERE '10.1000/x' || e.doc_id = q.doi))) AS digest FROM q",
     "q AS (SELECT DISTINCT CASE WHEN o_orderkey % 3 = 0 THEN '10.1000/x' || (o_orderkey % 2000) END AS doi, "
     "CAST(30000000 + o_orderkey % 1700 AS VARCHAR) AS pmid FROM orders)"))
 def reference_texts(spark, sf):
@@ -315,7 +317,8 @@ def reference_texts(spark, sf):
     cache = d.where("doc_id % 2 = 0").selectExpr("'10.1000/x' || doc_id AS doi", "'t' AS title", "text AS full_text")
     corpus = d.where("doc_id % 2 = 1").selectExpr(
         "doc_id AS id", "'10.1000/x' || doc_id AS doi", "CAST(30000000 + doc_id AS STRING) AS pmid", "'t' AS title", "text AS full_text")
-    return search.reference_texts(asked, cache, corpus).select("doi", "pmid", "source")
+    return search.reference_texts(asked, cache, corpus).select(
+        "doi", "pmid", "source", F.md5("text").alias("digest"))
 
 
 # -- statistics and audit --------------------------------------------------------------------------------------

@@ -36,9 +36,9 @@ def mine_accessions(spark, sf):
 # Hits of three strategies for overlapping series of a paper.
 HITS = ("h AS (SELECT doc_id % 200 AS paper_id, 'GSE' || (1000 + doc_id % 70) AS accession, CASE doc_id % 3 WHEN 0 THEN 'ambiguous' WHEN 1 THEN 'referenced' "
         "ELSE 'own_data' END AS context, CASE doc_id % 4 WHEN 0 THEN 'elink' WHEN 1 THEN 'supplement' ELSE 'xml' END AS source, "
-        "left(text, 30) AS surrounding_text FROM documents)")
+        "text AS surrounding_text FROM documents)")
 MERGED = ("r AS (SELECT *, CASE context WHEN 'own_data' THEN 3 WHEN 'referenced' THEN 2 ELSE 1 END AS rk, CASE source WHEN 'xml' THEN 1 WHEN 'supplement' THEN 2 "
-          "ELSE 3 END AS nth FROM h), mg AS (SELECT paper_id, accession, arg_min(context, -rk * 10 + nth) AS context, concat_ws('+', MAX(CASE WHEN source = 'xml' THEN source END), "
+          "ELSE 3 END AS nth FROM h), mg AS (SELECT paper_id, accession, arg_min(context, -rk * 10 + nth) AS context, MIN({'r': -rk, 'n': nth, 'c': context, 's': surrounding_text}).s AS words, concat_ws('+', MAX(CASE WHEN source = 'xml' THEN source END), "
           "MAX(CASE WHEN source = 'supplement' THEN source END), MAX(CASE WHEN source = 'elink' THEN source END)) AS source, COUNT(DISTINCT source) AS ns FROM r GROUP BY 1, 2)")
 
 
@@ -46,13 +46,14 @@ def _hits(spark, sf):
     return table(spark, sf, "documents").selectExpr(
         "doc_id % 200 AS paper_id", "'GSE' || (1000 + doc_id % 70) AS accession",
         "CASE doc_id % 3 WHEN 0 THEN 'ambiguous' WHEN 1 THEN 'referenced' ELSE 'own_data' END AS context",
-        "CASE doc_id % 4 WHEN 0 THEN 'elink' WHEN 1 THEN 'supplement' ELSE 'xml' END AS source", "left(text, 30) AS surrounding_text")
+        "CASE doc_id % 4 WHEN 0 THEN 'elink' WHEN 1 THEN 'supplement' ELSE 'xml' END AS source", "text AS surrounding_text")
 
 
 @query("merge_hits", A.sql(
-    "SELECT paper_id, accession, context, source FROM mg", HITS, MERGED))
+    "SELECT paper_id, accession, context, source, md5(words) AS digest FROM mg", HITS, MERGED))
 def merge_hits(spark, sf):
-    return discovery.merge_hits(_hits(spark, sf)).select("paper_id", "accession", "context", "source")
+    return discovery.merge_hits(_hits(spark, sf)).select(
+        "paper_id", "accession", "context", "source", F.md5("surrounding_text").alias("digest"))
 
 
 @query("hit_confidence", A.sql(
@@ -178,13 +179,14 @@ def accession_partition(spark, sf):
 
 @query("rediscovery",
        "SELECT DISTINCT doc_id AS paper_id, 'GSE' || (CASE n WHEN 0 THEN 10000 + doc_id % 500 ELSE 20000 + doc_id END) AS gse_id FROM documents, range(2) t(n) "
-       "WHERE doc_id % 3 = 2 AND NOT (n = 0 AND doc_id % 2 = 0)")
+       "WHERE doc_id % 3 = 2 AND NOT (n = 0 AND doc_id % 2 = 0) UNION SELECT doc_id, 'GSE' || (40000 + doc_id) FROM documents WHERE doc_id % 3 = 2")
 def rediscovery(spark, sf):
     lost = _texts(spark, sf).where("paper_id % 3 = 2").withColumnRenamed("text", "supplement")
-    nothing = discovery.mine_text(_texts(spark, sf).limit(0))
+    markup = table(spark, sf, "documents").selectExpr("doc_id AS paper_id", "text || ' GSE' || (40000 + doc_id) AS text")
+    markup = discovery.mine_text(markup, source="xml")
     known = table(spark, sf, "documents").where("doc_id % 2 = 0").selectExpr(
         "doc_id AS paper_id", "'GSE' || (10000 + doc_id % 500) AS gse_id")
-    return grounding.rediscover(lost, nothing, known)
+    return grounding.rediscover(lost, markup, known)
 
 
 # -- budgets ---------------------------------------------------------------------------------------------------
@@ -222,10 +224,19 @@ def budget_fold(spark, sf):
 def supplement_fold(spark, sf):
     f = table(spark, sf, "documents").selectExpr(
         "CAST(floor(doc_id / 20) AS BIGINT) AS paper_id", "'f' || doc_id || '.txt' AS filename", "text")
-    s = supplements.paper_supplements(f)
+    s = supplements.paper_supplements(f, 40_000)
     return s.select("paper_id", F.length("supplement_text").alias("chars"), F.md5("supplement_text").alias("digest"))
 
 
+@query("supplement_texts",
+       "SELECT CAST(floor(doc_id / 20) AS BIGINT) AS paper_id, md5(string_agg(chr(10) || '## Supplement: f' || doc_id || '.txt' || chr(10) || chr(10) || regexp_replace(text, '^\\s+|\\s+$', '', 'g') "
+       "|| chr(10), '' ORDER BY 'f' || doc_id || '.txt')) AS digest FROM documents WHERE regexp_replace(text, '^\\s+|\\s+$', '', 'g') <> '' GROUP BY 1")
+def supplement_texts(spark, sf):
+    f = table(spark, sf, "documents").selectExpr(
+        "CAST(floor(doc_id / 20) AS BIGINT) AS paper_id", "'f' || doc_id || '.txt' AS filename", "text")
+    return supplements.paper_supplements(f).select("paper_id", F.md5("supplement_text").alias("digest"))
+
+
 @query("section_class",
        f"SELECT doc_id, {TITLES} AS title, CASE doc_id % 6 WHEN 0 THEN 'discussion' WHEN 1 THEN 'methods' WHEN 2 THEN 'results' WHEN 3 THEN 'introduction' "
        f"WHEN 4 THEN 'supplementary' ELSE 'results' END AS kind, {PRIORITY} AS priority FROM documents")
@@ -236,8 +247,7 @@ def section_class(spark, sf):
 
 @query("markdown_table",
        "SELECT p_brand, '| p_name | p_type | p_size |' || chr(10) || '| --- | --- | --- |' || chr(10) || string_agg('| ' || replace(p_name, ' ', '\\|') || ' | ' || p_type || ' | ' || "
-       "CASE WHEN p_size % 5 = 0 THEN '' ELSE CAST(p_size AS VARCHAR) END || ' |', chr(10) ORDER BY p_partkey) AS markdown FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS rn "
-       "FROM part) q WHERE rn <= 200 GROUP BY p_brand")
+       "CASE WHEN p_size % 5 = 0 THEN '' ELSE CAST(p_size AS VARCHAR) END || ' |', chr(10) ORDER BY p_partkey) AS markdown FROM part GROUP BY p_brand")
 def markdown_table(spark, sf):
     p = table(spark, sf, "part").selectExpr(
         "p_partkey", "p_brand", "replace(p_name, ' ', '|') AS p_name", "p_type", "CASE WHEN p_size % 5 <> 0 THEN p_size END AS p_size")
@@ -269,11 +279,15 @@ def articles(spark, sf):
     return d.select("paper_id", F.concat(F.lit("x/PMC"), F.col("paper_id"), F.lit(".xml")).alias("path"), xml.alias("xml"))
 
 
+def _shredded(spark, sf):
+    return shred(articles(spark, sf), partitions=spark.sparkContext.defaultParallelism)
+
+
 @query("xml_metadata",
        "SELECT 'x/PMC' || doc_id || '.xml' AS path, 'PMC' || doc_id AS pmc_id, '10.1/' || doc_id AS doi, CAST(NULL AS VARCHAR) AS pmid, 'Paper ' || doc_id AS title, "
        "'In ' || lang AS abstract, 'research-article' AS article_type FROM documents")
 def xml_metadata(spark, sf):
-    return documents.metadata(shred(articles(spark, sf).drop("paper_id")))
+    return documents.metadata(_shredded(spark, sf).drop("paper_id"))
 
 
 CLEAN = r"regexp_replace(text, '[^\x{09}\x{0A}\x{20}-\x{FFFD}]', '', 'g')"
@@ -286,7 +300,7 @@ PAPER = ("'# Paper ' || doc_id || chr(10) || chr(10) || '## Abstract' || chr(10)
 @query("xml_full_text",
        f"SELECT 'PMC' || doc_id AS pmc_id, CAST(length(t) AS INTEGER) AS char_count, md5(t) AS digest, TRUE AS has_methods, 1 AS tables_found FROM (SELECT doc_id, {PAPER} AS t FROM documents) q")
 def xml_full_text(spark, sf):
-    p = documents.papers_text(shred(articles(spark, sf).drop("paper_id")))
+    p = documents.papers_text(_shredded(spark, sf).drop("paper_id"))
     return p.select("pmc_id", "char_count", F.md5("full_text").alias("digest"), "has_methods", "tables_found")
 
 
@@ -294,7 +308,7 @@ def xml_full_text(spark, sf):
        "SELECT 'x/PMC' || doc_id || '.xml' AS path, '10.9/' || (doc_id % 7) AS doi, 'Old GSE' || (doc_id + 30000) AS title, 'Doe' AS first_author_surname, '2010' AS year, '1' AS label "
        "FROM documents")
 def xml_references(spark, sf):
-    return documents.references(shred(articles(spark, sf).drop("paper_id"))).select(
+    return documents.references(_shredded(spark, sf).drop("paper_id")).select(
         "path", "doi", "title", "first_author_surname", "year", "label")
 
 
@@ -302,13 +316,13 @@ def xml_references(spark, sf):
        "SELECT doc_id AS paper_id, 'GSE' || (doc_id + 10000) AS accession, 'own_data' AS context FROM documents UNION ALL "
        "SELECT doc_id, 'GSE' || (doc_id + 30000), 'referenced' FROM documents")
 def xml_accessions(spark, sf):
-    return discovery.mine_markup(shred(articles(spark, sf))).select("paper_id", "accession", "context")
+    return discovery.mine_markup(_shredded(spark, sf)).select("paper_id", "accession", "context")
 
 
 @query("xml_supplements",
        "SELECT 'x/PMC' || doc_id || '.xml' AS path, 's' || doc_id || '.csv' AS filename, '.csv' AS extension, 'S1' AS label, 'Sup' AS caption FROM documents")
 def xml_supplements(spark, sf):
-    return documents.supplement_manifest(shred(articles(spark, sf).drop("paper_id")))
+    return documents.supplement_manifest(_shredded(spark, sf).drop("paper_id"))
 
 
 @query("xml_article_set",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,13 +30,17 @@ def configure(builder):
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is set (tests)."""
+    """The shared folder the cluster names. One process alone (`local`) may set a temporary one; a cluster must name its own."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     folder = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
-    sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="assaymill-ckpt-"))
+    if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError(f"{CHECKPOINT_CONF} is not set: it must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="assaymill-ckpt-")
+    sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
 
@@ -45,20 +50,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan, in bytes."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def spread(df: DataFrame, bytes_per_task: int = 64 * 1024 * 1024) -> DataFrame:
-    """Shuffle a small input over all cores ahead of work that costs far more than reading it.
-
-    An input large enough to fill the cores with its own splits is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if plan_bytes(df) < cores * bytes_per_task else df
-
-
 def settle(df: DataFrame) -> DataFrame:
     """Compute the columns here, once.
 

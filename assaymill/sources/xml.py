@@ -10,9 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assaymill.operators.documents import BLOCKS
-from assaymill.session import spread
-
-NODE = ("struct<pos:int,stop:int,parent:int,depth:int,shield:int,tag:string,attrs:map<string,string>,"
+NODE = ("struct<pos:int,stop:int,parent:int,depth:int,shield:int,secs:int,tag:string,attrs:map<string,string>,"
         "text:string,tail:string,start:int,length:int>")
 SHRED = f"nodes array<{NODE}>, plain string"
 
@@ -24,18 +22,19 @@ def _local(name: str) -> str:
 def _shred_one(xml: str, out: list[list]) -> str | None:
     """Append one article's nodes, in document order, to the field lists of `out`; returns its plain text.
 
-    `stop` is the position of a node's last descendant, `shield` that of its outermost block ancestor (-1: none);
+    `stop` is the position of a node's last descendant, `shield` that of its outermost block ancestor (-1: none), `secs` the
+    number of sections around it;
     `start`/`length` delimit its text inside the plain text. Markup that does not parse gives None.
     """
     try:
         root = ET.fromstring(xml)
     except ET.ParseError:
         return None
-    pos_, stop_, parent_, depth_, shield_, tag_, attrs_, text_, tail_, start_, length_ = out
+    pos_, stop_, parent_, depth_, shield_, secs_, tag_, attrs_, text_, tail_, start_, length_ = out
     base, plain, size = len(pos_), [], 0
-    stack = [(root, -1, 0, -1, None)]
+    stack = [(root, -1, 0, -1, 0, None)]
     while stack:
-        el, parent, depth, shield, done = stack.pop()
+        el, parent, depth, shield, secs, done = stack.pop()
         if done is not None:
             stop_[base + done] = len(pos_) - base - 1
             length_[base + done] = size - start_[base + done]
@@ -44,7 +43,7 @@ def _shred_one(xml: str, out: list[list]) -> str | None:
                 size += len(el.tail)
             continue
         pos, tag = len(pos_) - base, _local(el.tag) if isinstance(el.tag, str) else "#"
-        row = (pos, pos, parent, depth, shield, tag, [(_local(k), v) for k, v in el.attrib.items()],
+        row = (pos, pos, parent, depth, shield, secs, tag, [(_local(k), v) for k, v in el.attrib.items()],
                el.text or "", (el.tail or "") if depth else "", size, 0)
         for column, value in zip(out, row):
             column.append(value)
@@ -52,13 +51,13 @@ def _shred_one(xml: str, out: list[list]) -> str | None:
             plain.append(el.text)
             size += len(el.text)
         inner = pos if shield < 0 and tag in BLOCKS else shield
-        stack.append((el, parent, depth, shield, pos))
-        stack.extend((c, pos, depth + 1, inner, None) for c in reversed(el))
+        stack.append((el, parent, depth, shield, secs, pos))
+        stack.extend((c, pos, depth + 1, inner, secs + (tag == "sec"), None) for c in reversed(el))
     return "".join(plain)
 
 
 _INT, _STR = pa.int32(), pa.string()
-_FIELDS = [("pos", _INT), ("stop", _INT), ("parent", _INT), ("depth", _INT), ("shield", _INT), ("tag", _STR),
+_FIELDS = [("pos", _INT), ("stop", _INT), ("parent", _INT), ("depth", _INT), ("shield", _INT), ("secs", _INT), ("tag", _STR),
            ("attrs", pa.map_(_STR, _STR)), ("text", _STR), ("tail", _STR), ("start", _INT), ("length", _INT)]
 
 
@@ -76,8 +75,11 @@ def _shred_batch(texts: list) -> tuple[pa.Array, pa.Array]:
     return pa.ListArray.from_arrays(ends, flat), pa.array(plains, _STR)
 
 
-def shred(docs: DataFrame, column: str = "xml", rows_at_once: int = 128) -> DataFrame:
-    """`docs` with `nodes` and `plain` in place of the markup column; NULL where it does not parse."""
+def shred(docs: DataFrame, column: str = "xml", rows_at_once: int = 128, partitions: int | None = None) -> DataFrame:
+    """`docs` with `nodes` and `plain` in place of the markup column; NULL where it does not parse.
+
+    `partitions` deals the articles out first, for inputs with fewer splits than cores.
+    """
     keep = [f for f in docs.schema.fields if f.name != column]
     names = [f.name for f in keep]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keep] + [SHRED])
@@ -90,7 +92,8 @@ def shred(docs: DataFrame, column: str = "xml", rows_at_once: int = 128) -> Data
                 yield pa.RecordBatch.from_arrays(
                     [part.column(n) for n in names] + [nodes, plain], names + ["nodes", "plain"])
 
-    return spread(docs.select(*names, column)).mapInArrow(run, schema)
+    source = docs.select(*names, column)
+    return (source.repartition(partitions) if partitions else source).mapInArrow(run, schema)
 
 
 def read_articles(spark: SparkSession, folder: str) -> DataFrame:

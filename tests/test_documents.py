@@ -107,3 +107,13 @@ def test_hits_merge(spark):
     assert {r["geo_status"] for r in discovery.geo_status(
         spark.createDataFrame([(1, None), (2, None)], "id long, geo_status string"), discovery.score_hits(discovery.merge_hits(hits))).collect()} == {
         "linked", "checked_none"}
+
+
+def test_readout_summary_has_every_part(spark):
+    from assaymill.operators import readout
+    from assaymill.plans import adapters
+    sf = "/root/testdata/sf0.001"
+    tables = readout.analyze(adapters.values(spark, sf), adapters.papers(spark, sf), adapters.protocols(spark, sf))
+    assert set(tables) == {"aggregate", "trajectories", "ranking", "timepoints", "heatmap", "profile", "summary"}
+    rows = tables["summary"].collect()
+    assert {r["part"] for r in rows} == {0, 1, 2, 3} and all(r["line"] for r in rows)
