@@ -26,16 +26,6 @@ def first_int(text: Column) -> Column:
     return F.nullif(F.regexp_extract(text, r"(\d+)", 1), F.lit("")).try_cast("int")
 
 
-def clean_nan(value: Column) -> Column:
-    """NaN to NULL, so that means and maxima skip it."""
-    return F.when(~F.isnan(value), value)
-
-
 def ratio(a: Column, b: Column) -> Column:
     """a / b, NULL where b is 0."""
     return a / F.nullif(b, F.lit(0.0))
-
-
-def or_default(value: Column, zero, default) -> Column:
-    """Zero or empty counts as missing."""
-    return F.coalesce(F.nullif(value, F.lit(zero)), F.lit(default) if not isinstance(default, Column) else default)

@@ -83,13 +83,13 @@ def append_note(old: Column, note: Column) -> Column:
     return F.regexp_replace(joined, r"^[ |]+|[ |]+$", "")
 
 
-def methods_snippet(text: Column, width: int = 2000) -> Column:
-    """The text from its methods heading on, else from the start."""
+def methods_snippet(text: Column, width: int | None = None) -> Column:
+    """The text from its methods heading on, else from the start; `width` characters of it where that is given."""
     # Headings, tried in this order.
     heads = ["## Methods", "## Materials and Methods", "## METHODS", "## Experimental Procedures",
              "## Materials and methods"]
     at = F.coalesce(*[F.nullif(F.instr(text, F.lit(h)), F.lit(0)) for h in heads], F.lit(1))
-    return F.substring(text, at, F.lit(width))
+    return F.substring(text, at, F.length(text) if width is None else F.lit(width))
 
 
 def balanced_json(text: Column) -> Column:

@@ -40,7 +40,8 @@ def wanted_references(waiting: DataFrame, refs: DataFrame | None = None) -> Data
     """(key, doi, description, protocol_id, pmc_id) of every reference a waiting protocol needs.
 
     A protocol's references are the DOIs named in its paywall flags, those its flags resolve to, and its base
-    protocol; without any, a slug of the first description stands in.
+    protocol; without any, the first description stands in: a readable slug and a hash of the whole text, so that two
+    references that start alike keep their own keys.
     """
     flags = F.filter("incomplete_flags", lambda f: f["reason"] == "behind_paywall_reference")
     w = waiting.withColumn("_details", F.transform(flags, lambda f: F.coalesce(f["details"], F.lit(""))))
@@ -63,7 +64,7 @@ def wanted_references(waiting: DataFrame, refs: DataFrame | None = None) -> Data
     no_doi = w.where(F.size("_dois") == 0)
     desc = F.coalesce("_first", F.lit("unknown reference"))
     return with_doi.unionByName(no_doi.select(
-        F.concat(F.lit("no_doi__"), T.slug(desc)).alias("key"), F.lit(None).cast("string").alias("doi"),
+        F.concat(F.lit("no_doi__"), T.slug(desc), F.lit("_"), F.left(F.md5(desc), F.lit(12))).alias("key"), F.lit(None).cast("string").alias("doi"),
         desc.alias("description"), "protocol_id", "pmc_id"))
 
 

@@ -19,7 +19,7 @@ RANGES = 256
 def value_range(value: Column) -> Column:
     """The range of a number: a whole number that never falls as the value grows, NaN last."""
     x = value.cast("double")
-    return F.when(F.isnan(x), F.lit(1 << 62)).otherwise(F.floor(F.asinh(x) * RANGES).cast("bigint"))
+    return F.when(F.isnan(x), F.lit((1 << 63) - 1)).otherwise(F.floor(F.asinh(x) * RANGES).cast("bigint"))
 
 
 def value_ranks(df: DataFrame, keys: list[str], value: str) -> DataFrame:

@@ -328,7 +328,7 @@ WANTED = ("wt AS (SELECT o_orderkey AS protocol_id, 'PMC' || o_custkey AS pmc_id
           "wr AS (SELECT protocol_id, pmc_id, '10.5555/b' || (o_custkey % 20) AS doi, '10.5555/b' || (o_custkey % 20) AS key, d AS description FROM wt WHERE pay AND m = 1 UNION ALL "
           "SELECT protocol_id, pmc_id, base, base, CASE WHEN pay THEN d ELSE '' END FROM wt WHERE base IS NOT NULL UNION ALL "
           "SELECT protocol_id, pmc_id, NULL, 'no_doi__' || CASE m WHEN 2 THEN 'tayeb_et_al_' || (2000 + o_custkey % 5) WHEN 3 THEN 'unknown_ref' ELSE "
-          "'see_10_5_a' || (o_custkey % 9) || '_gone' END, d FROM wt WHERE pay AND base IS NULL AND m <> 1)")
+          "'see_10_5_a' || (o_custkey % 9) || '_gone' END || '_' || left(md5(d), 12), d FROM wt WHERE pay AND base IS NULL AND m <> 1)")
 
 def _wanted(spark, sf):
     w = table(spark, sf, "orders").selectExpr(

@@ -1,7 +1,6 @@
-"""Alias tables of reagents and markers: from a JSON file, or from naming rules.
+"""Alias tables of reagents and markers: from a JSON file, from naming rules, or the built-in ones.
 
-A JSON file `{category: {canonical: [alias, …]}}` is what grounding should be given. Without one, aliases follow
-from the canonical names by rule.
+A JSON file is `{category: {canonical: [alias, …]}}`, on any storage that Spark reads.
 """
 
 from __future__ import annotations
@@ -12,6 +11,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assaymill import reagents
+
 CATEGORY = {"growth_factors": "growth_factor", "small_molecules": "small_molecule", "markers": "marker"}
 _GREEK = {"α": ("a", "alpha"), "β": ("b", "beta"), "γ": ("g", "gamma")}
 
@@ -28,13 +29,17 @@ def rule_aliases(name: str) -> list[str]:
     return sorted(f for f in forms if f)
 
 
+BUILT_IN = {"growth_factor": reagents.GROWTH_FACTORS, "small_molecule": reagents.SMALL_MOLECULES, "marker": reagents.MARKERS}
+
+
 def load_alias_tables(path: str | None = None, names: dict[str, list[str]] | None = None) -> dict:
-    """Alias tables by report category, from a JSON file or by rule from the names given."""
+    """Alias tables by report category: of a JSON file, by rule from the names given, or else the built-in ones."""
     if path:
-        with open(path, encoding="utf-8") as f:
-            raw = json.load(f)
+        text = SparkSession.active().read.option("wholetext", True).text(path).first()  # one file of some hundred names
+        raw = json.loads(text["value"])
         return {CATEGORY[c]: {k: list(v) for k, v in raw.get(c, {}).items()} for c in CATEGORY}
-    names = names or {}
+    if names is None:
+        return {c: {k: sorted({k.lower(), *vs}) for k, vs in t.items()} for c, t in BUILT_IN.items()}
     return {c: {n: rule_aliases(n) for n in names.get(c, [])} for c in CATEGORY.values()}
 
 

@@ -11,8 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Size guard of the text readers, and the kinds each reader takes.
-MAX_BYTES = 50 * 1024 * 1024
+# The kinds each reader takes.
 TEXT_KINDS = ["csv", "tsv", "txt"]
 OFFICE_KINDS = ["docx", "pptx", "xlsx", "xls", "doc", "ppt"]
 EXPRESSION_KINDS = ["xlsx", "xls", "csv", "tsv", "txt"]
@@ -30,28 +29,31 @@ def extension(name: Column) -> Column:
     return F.lower(F.regexp_extract(name, r"[^.]\.([^.]*)$", 1))
 
 
-def usable(files: DataFrame, kinds: list[str], max_bytes: int = MAX_BYTES) -> DataFrame:
-    """Files of the given kinds, not hidden and within the size guard."""
-    return files.where(F.col("extension").isin(kinds) & ~F.col("name").startswith(".")
-                       & (F.col("length") <= max_bytes))
+def _within(size: str, max_bytes: int | None) -> Column:
+    return F.lit(True) if max_bytes is None else F.col(size) <= max_bytes
+
+
+def usable(files: DataFrame, kinds: list[str], max_bytes: int | None = None) -> DataFrame:
+    """Files of the given kinds, not hidden; up to a size where one is given."""
+    return files.where(F.col("extension").isin(kinds) & ~F.col("name").startswith(".") & _within("length", max_bytes))
 
 
 def expression_files(files: DataFrame) -> DataFrame:
     return usable(files, EXPRESSION_KINDS)
 
 
-def texts(spark: SparkSession, folder: str, pattern: str = "*", max_bytes: int = MAX_BYTES) -> DataFrame:
-    """(path, content) of whole text files; gzip is read through. Oversized files are left out by their size."""
+def texts(spark: SparkSession, folder: str, pattern: str = "*", max_bytes: int | None = None) -> DataFrame:
+    """(path, content) of whole text files; gzip is read through. Files above `max_bytes` are left out where that is given."""
     return (spark.read.format("text").option("wholetext", True).option("recursiveFileLookup", True)
             .option("pathGlobFilter", pattern).load(folder)
-            .where(F.col("_metadata.file_size") <= max_bytes)
+            .where(_within("_metadata.file_size", max_bytes))
             .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content")))
 
 
-def contents(spark: SparkSession, folder: str, pattern: str = "*", max_bytes: int = MAX_BYTES) -> DataFrame:
-    """(path, content) of binary files within the size guard."""
+def contents(spark: SparkSession, folder: str, pattern: str = "*", max_bytes: int | None = None) -> DataFrame:
+    """(path, content) of binary files, up to a size where one is given."""
     return (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-            .load(folder).where(F.col("length") <= max_bytes).select("path", "content"))
+            .load(folder).where(_within("length", max_bytes)).select("path", "content"))
 
 
 def _members(path: str, blob: bytes) -> list[tuple[str, bytes]]:

@@ -111,10 +111,11 @@ def workbook_rows(office: DataFrame) -> DataFrame:
                     .alias("sheet"), F.col("_no").alias("sheet_no"), rows.alias("rows"))
 
 
-def workbook_markdown(office: DataFrame, limit: int = 200) -> DataFrame:
-    """(path, text): each sheet's first 200 rows as a table under its name."""
+def workbook_markdown(office: DataFrame, limit: int | None = None) -> DataFrame:
+    """(path, text): each sheet as a table under its name, of its first `limit` rows where that is given."""
     w = workbook_rows(office).where(F.size("rows") > 1)
-    safe = F.transform(F.slice("rows", 1, limit + 1), lambda r: F.transform(
+    shown = F.col("rows") if limit is None else F.slice("rows", 1, limit + 1)
+    safe = F.transform(shown, lambda r: F.transform(
         r, lambda c: F.replace(F.replace(c, F.lit("|"), F.lit("\\|")), F.lit("\n"), F.lit(" "))))
     one = F.concat(F.lit("### Sheet: "), F.col("sheet"), F.lit("\n\n"), markdown_table(safe))
     return w.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("sheet_no", one.alias("t")))).alias("x")).select(

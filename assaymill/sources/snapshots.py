@@ -1,4 +1,8 @@
-"""Tables as numbered snapshot folders: a merge reads one snapshot and writes the next."""
+"""Tables as numbered snapshot folders: a merge reads one snapshot and writes the next.
+
+A step that changes several tables writes their snapshots and then one commit row that names them all; `committed` reads
+the tables of the last commit, so a step that dies in between leaves no half of its changes behind.
+"""
 
 from __future__ import annotations
 
@@ -35,6 +39,31 @@ def write_next(df: DataFrame, folder: str) -> int:
     return n
 
 
+COMMITS = "_commits"
+
+
+def commit(spark: SparkSession, root: str, changes: dict[str, DataFrame]) -> None:
+    """Write the next snapshot of each table below `root`, then the commit that makes all of them current."""
+    current = committed(spark, root)
+    current |= {name: write_next(df, f"{root}/{name}") for name, df in changes.items()}
+    rows = [(name, version) for name, version in sorted(current.items())]
+    write_next(spark.createDataFrame(rows, "name string, version int").coalesce(1), f"{root}/{COMMITS}")
+
+
+def committed(spark: SparkSession, root: str) -> dict[str, int]:
+    """Table name -> version of the last commit."""
+    last = latest(spark, f"{root}/{COMMITS}")
+    return {} if last is None else {r["name"]: r["version"] for r in last.collect()}  # one row per table
+
+
+def at_commit(spark: SparkSession, root: str, versions: dict[str, int], name: str, schema: StructType | str | None = None) -> DataFrame | None:
+    """A table as of a commit; one that no commit names is read at its newest snapshot."""
+    if name not in versions:
+        return latest(spark, f"{root}/{name}", schema)
+    df = spark.read.parquet(f"{root}/{name}/v{versions[name]}")
+    return align(df, schema) if schema is not None else df
+
+
 def align(df: DataFrame, schema: StructType | str) -> DataFrame:
     """Columns of a schema in its order; those a table does not have yet are NULL, extra ones are kept at the end."""
     if isinstance(schema, str):

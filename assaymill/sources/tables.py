@@ -19,11 +19,10 @@ def lines(content: Column) -> Column:
     return F.filter(F.split(content, r"\r?\n"), lambda l: l != "")
 
 
-def sniff_delimiter(content: Column, window: int = 4096) -> Column:
-    """Tab if there is one near the start, else the more frequent of semicolon and comma."""
-    head = F.left(content, F.lit(window))
-    semis, commas = F.length(F.regexp_replace(head, "[^;]", "")), F.length(F.regexp_replace(head, "[^,]", ""))
-    return (F.when(head.contains("\t"), "\t").when((semis > 0) & (semis > commas), ";")
+def sniff_delimiter(content: Column) -> Column:
+    """Tab if there is one, else the more frequent of semicolon and comma in the whole content."""
+    semis, commas = F.regexp_count(content, F.lit(";")), F.regexp_count(content, F.lit(","))
+    return (F.when(content.contains("\t"), "\t").when((semis > 0) & (semis > commas), ";")
             .when(commas > 0, ",").otherwise("\t"))
 
 
@@ -44,12 +43,10 @@ def parse(files: DataFrame) -> DataFrame:
     ).drop("_d", "_lines", "content"))
 
 
-def gene_column(rows: Column, width: Column, sample: int = 1000) -> Column:
-    """Index of the column with the most panel genes in up to 1000 evenly spaced rows; the first if none has any."""
-    step = F.greatest(F.floor(F.size(rows) / sample), F.lit(1)).cast("int")
-    some = F.slice(F.filter(rows, lambda r, i: F.pmod(i, step) == 0), F.lit(1), F.lit(sample))
+def gene_column(rows: Column, width: Column) -> Column:
+    """Index of the column with the most panel genes over all rows; the first if none has any."""
     hits = F.transform(F.sequence(F.lit(0), F.greatest(width - 1, F.lit(0))), lambda c: F.size(F.filter(
-        some, lambda r: F.coalesce(genes.is_target_gene(F.get(r, c)), F.lit(False)))))
+        rows, lambda r: F.coalesce(genes.is_target_gene(F.get(r, c)), F.lit(False)))))
     return (F.array_position(hits, F.array_max(hits)) - 1).cast("int")
 
 
@@ -88,13 +85,14 @@ def _index(tests: list[Column]) -> Column:
 
 
 def header_gene_column(header: Column, rows: Column) -> Column:
-    """Gene column by its name, else the first column if it looks like symbols or Ensembl ids."""
+    """Gene column by its name, else the first column if five values and half of all look like symbols or Ensembl ids."""
     low = F.transform(header, lambda h: F.lower(F.trim(h)))
     named = _index([F.array_position(low, F.lit(n)) for n in GENE_HEADERS])
-    some = F.slice(F.filter(F.transform(rows, lambda r: F.trim(F.get(r, F.lit(0)))), lambda v: v != ""), 1, 10)
+    some = F.filter(F.transform(rows, lambda r: F.trim(F.get(r, F.lit(0)))), lambda v: v != "")
+    enough = F.greatest(F.lit(5), F.size(some) / 2)
     symbols = F.size(F.filter(some, lambda v: v.rlike(r"^[A-Z][A-Z0-9]{1,15}$")))
     ensembl = F.size(F.filter(some, lambda v: v.startswith("ENSG")))
-    return F.coalesce(named, F.when((symbols >= 5) | (ensembl >= 5), 0))
+    return F.coalesce(named, F.when((symbols >= enough) | (ensembl >= enough), 0))
 
 
 def named_column(header: Column, patterns: list[str]) -> Column:
@@ -109,15 +107,15 @@ def named_column(header: Column, patterns: list[str]) -> Column:
 
 
 def classify(parsed: DataFrame) -> DataFrame:
-    """Kind of each table: deg_list, count_matrix, pathway_table, sample_metadata or other."""
+    """Kind of each table: deg_list, count_matrix, pathway_table, sample_metadata or other; values are judged over all rows."""
     low = F.transform("header", lambda h: F.lower(F.trim(h)))
 
     def any_like(pattern):
         return F.exists(low, lambda h: h.rlike(pattern))
 
     numeric = F.size(F.filter(low, lambda h: ~h.rlike("gene|symbol|name|id|description|chr")))
-    second = F.transform(F.slice("rows", 1, 5), lambda r: F.get(r, F.lit(1)))
-    is_number = F.forall(second, lambda v: (v == "") | to_double(v).isNotNull())
+    odd = F.size(F.filter("rows", lambda r: (F.get(r, F.lit(1)) != "") & to_double(F.get(r, F.lit(1))).isNull()))
+    is_number = odd * 10 <= F.size("rows")
     kind = (
         F.when((F.size("header") < 2) | (F.size("rows") == 0), "other")
         .when(any_like("log2|fold|logfc") & any_like(r"padj|fdr|pvalue|p\.value|p_value"), "deg_list")
@@ -157,10 +155,11 @@ def expression_cells(parsed: DataFrame) -> DataFrame:
         "path", "gene", "gene_symbol", F.col("z.h").alias("sample"), to_double(F.col("z.v")).alias("value"))
 
 
-def preview_markdown(parsed: DataFrame, limit: int = 200) -> DataFrame:
-    """(path, markdown) of the first 200 rows of each table."""
+def preview_markdown(parsed: DataFrame, limit: int | None = None) -> DataFrame:
+    """(path, markdown) of each table, of its first `limit` rows where that is given."""
     head = markdown_row(F.transform("header", cell))
     rule = markdown_row(F.transform("header", lambda h: F.lit("---")))
-    body = F.transform(F.slice("rows", 1, limit), lambda r: markdown_row(F.transform(r, cell)))
+    shown = F.col("rows") if limit is None else F.slice("rows", 1, limit)
+    body = F.transform(shown, lambda r: markdown_row(F.transform(r, cell)))
     return parsed.where(F.size("rows") > 0).select(
         "path", F.array_join(F.concat(F.array(head, rule), body), "\n").alias("markdown"))

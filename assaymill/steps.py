@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assaymill import schemas
-from assaymill.operators import (backfill, crossref, discovery, documents, export, expression, graph, grounding, mapping,
-                                 normalize, readout, stats, upserts, worklists)
-from assaymill.session import configure
-from assaymill.sources import aliases, jsonl, snapshots, soft, xml
+from assaymill.operators import (backfill, crossref, discovery, documents, export, expression, extraction, graph, grounding, mapping,
+                                 normalize, readout, stats, supplements, upserts, worklists)
+from assaymill.session import configure, cut
+from assaymill.sources import aliases, files, jsonl, office, snapshots, soft, xml
 from assaymill.sources.repositories import fetch
 
 log = logging.getLogger(__name__)
@@ -35,24 +35,57 @@ def bootstrap(t: Tables, o: dict) -> Tables:
             "triage_results": t["triage_results"].unionByName(results, allowMissingColumns=True)}
 
 
+def _limited(todo: DataFrame, o: dict) -> DataFrame:
+    """A worklist, of one paper or of at most `limit` papers in id order where that is asked for."""
+    if o.get("single"):
+        todo = todo.where(F.col("pmc_id") == o["single"])
+    return todo.orderBy("id").limit(o["limit"]) if o.get("limit") else todo
+
+
+def _articles(papers: DataFrame, o: dict) -> DataFrame:
+    """(paper_id, pmc_id, path, xml) of the given papers (`id`, `pmc_id`); other files are dropped before anything is parsed."""
+    pmc = F.regexp_extract("path", r"([^/]+)\.xml$", 1)
+    articles = xml.read_articles(papers.sparkSession, o["xml_folder"]).withColumn("pmc_id", pmc)
+    return papers.select(F.col("id").alias("paper_id"), "pmc_id").join(articles, "pmc_id")
+
+
 def convert_text(t: Tables, o: dict) -> Tables:
-    """Articles to budgeted markdown; the text lives in `paper_texts`, the paper points to it."""
-    todo = worklists.needing_text(t["papers"]).select(F.col("id").alias("paper_id"), "pmc_id")
-    parsed = documents.papers_text(xml.shred(xml.read_articles(todo.sparkSession, o["xml_folder"])))
-    texts = todo.join(parsed.where("full_text <> ''"), "pmc_id").select(
-        "paper_id", F.col("full_text").alias("text"), "abstract")
+    """Articles to whole markdown texts; they live in `paper_texts`, the papers point to them."""
+    todo = _limited(worklists.needing_text(t["papers"]), o)
+    parsed = documents.papers_text(xml.shred(_articles(todo, o).select("path", "xml"), partitions=o.get("partitions")))
+    own = F.regexp_extract("path", r"([^/]+)\.xml$", 1)
+    texts = cut(todo.select(F.col("id").alias("paper_id"), F.col("pmc_id").alias("_own")).join(
+        parsed.where("full_text <> ''").withColumn("_own", own), "_own").select(
+        "paper_id", F.col("full_text").alias("text"), "abstract"))
     done = texts.select(F.col("paper_id").alias("id"), F.concat(F.lit("paper_texts/"), "paper_id").alias("parsed_text_path"))
     return {"paper_texts": upserts.append_absent(t["paper_texts"], texts, ["paper_id"]),
             "papers": upserts.patch(t["papers"], done, "id", ["parsed_text_path"])}
 
 
+def read_supplements(t: Tables, o: dict) -> Tables:
+    """Supplement texts of each paper from the files below its folder (`.../PMC123_supp/...`), whole and in file name order."""
+    if not o.get("supplement_folder"):
+        return {}
+    spark = t["papers"].sparkSession
+    owner = F.regexp_extract("path", r"/(PMC\d+)(?:_supp)?/", 1)
+    every = files.texts(spark, o["supplement_folder"], "*.{csv,tsv,txt}").select(
+        owner.alias("pmc_id"), F.substring_index("path", "/", -1).alias("filename"), F.col("content").alias("text"))
+    if o.get("office_converter") is not None:
+        blobs = files.contents(spark, o["supplement_folder"], "*.{docx,pptx,pdf}")
+        every = every.unionByName(office.convert(blobs, o["office_converter"]).select(
+            owner.alias("pmc_id"), F.substring_index("path", "/", -1).alias("filename"), "text"))
+    todo = _limited(t["papers"].where("supplement_text_path IS NULL"), o).select(F.col("id").alias("paper_id"), "pmc_id")
+    texts = cut(supplements.paper_supplements(todo.join(every, "pmc_id").select("paper_id", "filename", "text")))
+    done = texts.select(F.col("paper_id").alias("id"), F.concat(F.lit("paper_supplements/"), "paper_id").alias("supplement_text_path"))
+    return {"paper_supplements": upserts.append_absent(t["paper_supplements"], texts, ["paper_id"]),
+            "papers": upserts.patch(t["papers"], done, "id", ["supplement_text_path"])}
+
+
 def order_papers(t: Tables, o: dict) -> Tables:
     """Processing priority from the citation graph."""
-    spark = t["papers"].sparkSession
-    path_id = t["papers"].select(F.col("id").alias("paper_id"), "pmc_id")
-    refs = documents.references(xml.shred(xml.read_articles(spark, o["xml_folder"])))
-    pmc = F.regexp_extract("path", r"([^/]+)\.xml$", 1)
-    refs = refs.withColumn("_own", pmc).join(path_id.withColumnRenamed("pmc_id", "_own"), "_own").select(
+    refs = cut(documents.references(xml.shred(_articles(t["papers"].where("pmc_id IS NOT NULL"), o).select("path", "xml"), partitions=o.get("partitions"))))
+    own = t["papers"].select(F.col("id").alias("paper_id"), F.col("pmc_id").alias("_own"))
+    refs = refs.withColumn("_own", F.regexp_extract("path", r"([^/]+)\.xml$", 1)).join(own, "_own").select(
         "paper_id", "doi", "pmid", "pmc_id")
     order = graph.processing_order(graph.citation_edges(refs, t["papers"]), graph.extractable(t["papers"]))
     return {"papers": upserts.patch(t["papers"], order, "id", ["processing_priority"]),
@@ -60,10 +93,17 @@ def order_papers(t: Tables, o: dict) -> Tables:
 
 
 def discover_series(t: Tables, o: dict) -> Tables:
-    """Accessions in articles, scored, with series records where a transport is given."""
-    todo = worklists.needing_geo(t["papers"])
-    texts = t["paper_texts"].join(todo.select(F.col("id").alias("paper_id")), "paper_id", "left_semi")
-    merged = discovery.merge_hits(discovery.mine_text(texts, source="xml"))
+    """Accessions where they stand in articles, in supplements and in link answers, scored, with series records where a transport is given."""
+    todo = _limited(worklists.needing_geo(t["papers"]), o)
+    ids = todo.select(F.col("id").alias("paper_id"))
+    if o.get("xml_folder"):
+        hits = discovery.mine_markup(xml.shred(_articles(todo, o).select("paper_id", "xml"), partitions=o.get("partitions")))
+    else:  # without markup nothing tells own from cited series
+        hits = discovery.mine_text(t["paper_texts"].join(ids, "paper_id", "left_semi"), source="xml").withColumn("context", F.lit("ambiguous"))
+    hits = hits.unionByName(discovery.mine_text(t["paper_supplements"].join(ids, "paper_id", "left_semi"), "supplement_text"))
+    if o.get("links") is not None:
+        hits = hits.unionByName(discovery.linked_records(o["links"].join(ids, "paper_id", "left_semi")))
+    merged = discovery.merge_hits(hits)
     series = None
     if o.get("transport"):
         keys = merged.where(F.col("accession").startswith("GSE")).select("accession").distinct()
@@ -78,19 +118,52 @@ def discover_series(t: Tables, o: dict) -> Tables:
     return {"geo_accessions": rows, "papers": upserts.patch(t["papers"], status, "id", ["geo_status"])}
 
 
+def _sources(t: Tables, o: dict) -> DataFrame:
+    """(paper_id, xml, supplement): all that an accession may stand in. The markup itself where there is a folder, else the whole text."""
+    known = t["geo_accessions"].select(F.col("paper_id").alias("id")).distinct()
+    text = t["paper_texts"].select("paper_id", "text")
+    if o.get("xml_folder"):
+        papers = t["papers"].select("id", "pmc_id").join(known, "id", "left_semi")
+        markup = _articles(papers, o).select("paper_id", "xml")
+        text = text.join(markup, "paper_id", "full").select("paper_id", F.coalesce("xml", "text").alias("text"))
+    own = t["paper_supplements"].select("paper_id", F.col("supplement_text").alias("supplement"))
+    return text.withColumnRenamed("text", "xml").join(own, "paper_id", "full")
+
+
 def ground_accessions(t: Tables, o: dict) -> Tables:
-    """Drop accessions that stand nowhere in their paper, with their samples and mappings."""
-    texts = t["paper_texts"].select("paper_id", F.col("text").alias("xml"), F.lit(None).cast("string").alias("supplement"))
-    verified = grounding.verify_in_text(t["geo_accessions"], texts)
+    """Drop accessions that stand nowhere in their paper or its supplement, with their samples and mappings."""
+    verified = grounding.verify_in_text(t["geo_accessions"], _sources(t, o))
     _, doomed = grounding.partition_accessions(t["geo_accessions"], verified)
     a, s, m = upserts.delete_accessions(t["geo_accessions"], t["geo_samples"], t["geo_sample_stage_mappings"], doomed)
     return {"geo_accessions": a, "geo_samples": s, "geo_sample_stage_mappings": m}
 
 
+def extract_protocols(t: Tables, o: dict) -> Tables:
+    """Protocols of pending papers by the `model`: the arms of a paper first, then a protocol for each arm."""
+    if not o.get("model"):
+        return {}
+    prompts = {"structure": "List the protocol arms as JSON.", "arm": "Extract the protocol arm as JSON.", **(o.get("systems") or {})}
+    todo = _limited(worklists.for_extraction(t["papers"]), o).select(F.col("id").alias("paper_id"), "title")
+    texts = todo.join(t["paper_texts"].select("paper_id", "text"), "paper_id")
+    asked = extraction.ask(texts.select(
+        "paper_id", F.lit(prompts["structure"]).alias("system"), extraction.structure_prompt(F.col("title"), F.col("text")).alias("prompt")), o["model"])
+    arms = cut(extraction.arms(asked.where("call_error IS NULL")))
+    per_arm = texts.join(arms, "paper_id").select(
+        "paper_id", F.col("arm_id").alias("protocol_arm"), F.lit(prompts["arm"]).alias("system"), extraction.arm_prompt(
+            F.col("title"), F.col("arm_id"), F.coalesce("arm_description", F.lit("")), F.col("structure"), F.col("text")).alias("prompt"))
+    replies = extraction.ask(per_arm, o["model"]).where("call_error IS NULL").drop("call_error")
+    found = cut(extraction.protocols_from_replies(replies, ["paper_id", "protocol_arm"]).withColumn("id", F.xxhash64("paper_id", "protocol_arm")))
+    rows = snapshots.align(found, schemas.TABLES["protocols"])
+    done = found.select(F.col("paper_id").alias("id")).distinct().withColumn("extraction_status", F.lit("completed"))
+    kept = t["protocols"].join(rows.select("id"), "id", "left_anti")
+    return {"protocols": kept.unionByName(rows, allowMissingColumns=True),
+            "papers": upserts.patch(t["papers"], done, "id", ["extraction_status"])}
+
+
 def ground_protocols(t: Tables, o: dict) -> Tables:
-    """Remove reagents and markers the paper never mentions."""
+    """Remove reagents and markers that neither the paper nor its supplement mentions."""
     tables = aliases.load_alias_tables(o.get("alias_file"), o.get("alias_names"))
-    texts = t["paper_texts"].select("paper_id", "text", F.lit(None).cast("string").alias("supplement_text"))
+    texts = t["paper_texts"].select("paper_id", "text").join(t["paper_supplements"], "paper_id", "left")
     g = grounding.note_removals(grounding.ground_protocols(t["protocols"], texts, tables))
     changed = ["stages", "endpoint_assessment", "extraction_notes"]
     return {"protocols": upserts.patch(t["protocols"], g.where(F.size("removals") > 0), "id", changed)}
@@ -167,29 +240,36 @@ def analyze_readouts(t: Tables, o: dict) -> Tables:
 
 
 STEPS: list[tuple[float, str, Callable[[Tables, dict], Tables]]] = [
-    (1, "bootstrap", bootstrap), (2, "convert_text", convert_text), (5, "order_papers", order_papers),
-    (6, "discover_series", discover_series), (6.5, "ground_accessions", ground_accessions),
+    (1, "bootstrap", bootstrap), (2, "convert_text", convert_text), (4, "read_supplements", read_supplements),
+    (5, "order_papers", order_papers), (6, "discover_series", discover_series), (6.5, "ground_accessions", ground_accessions),
+    (7, "extract_protocols", extract_protocols),
     (8, "ground_protocols", ground_protocols), (9, "map_samples", map_samples), (10, "statistics", statistics),
     (12, "cross_reference", cross_reference), (13, "backfill_values", backfill_values), (14, "integrate", integrate),
     (15, "export", export_sheets), (16, "readouts", analyze_readouts),
 ]
-EXTRA_TABLES = {"paper_texts": "paper_id bigint, text string, abstract string"}
+EXTRA_TABLES = {"paper_texts": "paper_id bigint, text string, abstract string",
+                "paper_supplements": "paper_id bigint, supplement_text string"}
 
 
 def load(spark: SparkSession, root: str) -> Tables:
-    """Newest snapshots of all tables below a folder; missing ones are empty."""
-    return {n: snapshots.latest(spark, f"{root}/{n}", ddl) for n, ddl in {**schemas.TABLES, **EXTRA_TABLES}.items()}
+    """All tables below a folder as of the last commit; missing ones are empty."""
+    versions = snapshots.committed(spark, root)
+    return {n: snapshots.at_commit(spark, root, versions, n, ddl) for n, ddl in {**schemas.TABLES, **EXTRA_TABLES}.items()}
 
 
 def run(spark: SparkSession, root: str, options: dict, start: float = 0, only: float | None = None) -> list[str]:
-    """Run the steps from `start`, or one; returns the names of those that succeeded."""
+    """Run the steps from `start`, or one; returns the names of those that succeeded. A dry run computes and counts, and writes nothing."""
     done = []
     for number, name, step in STEPS:
         if (only is not None and number != only) or (only is None and number < start):
             continue
         try:
-            for table, df in step(load(spark, root), options).items():
-                snapshots.write_next(df, f"{root}/{table}")
+            changes = step(load(spark, root), options)
+            if options.get("dry_run"):
+                for table, df in changes.items():
+                    log.info("step %g (%s) would write %d rows to %s", number, name, df.count(), table)
+            elif changes:
+                snapshots.commit(spark, root, changes)
         except Exception:
             log.exception("step %g (%s) failed; start again from it", number, name)
             break
@@ -204,7 +284,12 @@ def main() -> None:
     p.add_argument("--only-step", type=float)
     p.add_argument("--triage-log")
     p.add_argument("--xml-folder")
+    p.add_argument("--supplement-folder")
     p.add_argument("--alias-file")
+    p.add_argument("--limit", type=int, help="papers per step at most")
+    p.add_argument("--single", help="PMC id of the one paper to work on")
+    p.add_argument("--dry-run", action="store_true")
+    p.add_argument("--partitions", type=int, help="tasks to deal articles to before parsing")
     p.add_argument("--export-folder", default="exports")
     p.add_argument("--normalize", choices=["rank", "quantile", "relative"], default="rank")
     p.add_argument("--min-genes", type=int, default=3)

@@ -26,11 +26,16 @@ def drain(stream: DataFrame, merge: Callable[[DataFrame, int], None], checkpoint
         availableNow=True).start().awaitTermination()
 
 
-def first_per_key(table: str, key: list[str]) -> Callable[[DataFrame, int], None]:
-    """Merge that keeps the first record per key, as an import does: the snapshot is its state, not memory."""
+def first_per_key(table: str, key: list[str], order: str | None = None) -> Callable[[DataFrame, int], None]:
+    """Merge that keeps the first record per key, as an import does: the snapshot is its state, not memory.
+
+    Inside a batch the first is that of the least `order` value, or the least record where a log has no order column.
+    """
     def merge(batch: DataFrame, _: int) -> None:
         rest = [c for c in batch.columns if c not in key]
-        one = batch.groupBy(*key).agg(F.first(F.struct(*rest)).alias("x")).select(*key, "x.*")
+        whole = F.struct(*rest)
+        first = F.min(whole) if order is None else F.min_by(whole, F.struct(order, whole))
+        one = batch.groupBy(*key).agg(first.alias("x")).select(*key, "x.*")
         old = snapshots.latest(batch.sparkSession, table)
         snapshots.write_next(one if old is None else upserts.append_absent(old, one, key), table)
     return merge

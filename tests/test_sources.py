@@ -83,8 +83,8 @@ def test_previews(spark):
     assert tables.preview_markdown(tables.parse(frame(spark, text))).first()["markdown"] == (
         "| Gene | Expression |\n| --- | --- |\n| A\\|B |  |\n| C | 2 |")
     df = spark.createDataFrame([(1, i, str(i)) for i in range(250)], "k int, i int, v string")
-    md = supplements.table_markdown(df, ["k"], ["i"], ["v"]).first()["markdown"]
-    assert md.count("\n") == 201 and md.endswith("| 199 |")
+    whole, preview = (supplements.table_markdown(df, ["k"], ["i"], ["v"], limit).first()["markdown"] for limit in (None, 200))
+    assert whole.count("\n") == 251 and whole.endswith("| 249 |") and preview.count("\n") == 201 and preview.endswith("| 199 |")
 
 
 def test_series_matrix(spark):
