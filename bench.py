@@ -13,7 +13,8 @@ HEADLINE = [
     "readout_ranking", "best_value_per_protocol_gene", "expression_matrix_wide", "rank_pct_norm", "quantile_norm",
     "readout_timepoints", "day_to_stage", "tier1_mapping", "stage_matrix", "upsert_coalesce", "cache_longest",
     "reference_resolution", "topo_levels", "mine_accessions", "ground_terms", "budget_fold", "xml_full_text",
-    "series_matrix", "soft_records", "audit_sample", "export_stage_expression",
+    "series_matrix", "soft_records", "audit_sample", "export_stage_expression", "xml_references", "xml_accessions", "best_probe",
+    "supplement_fold", "processing_order", "export_stage_expression_wide", "readout_summary",
 ]
 
 

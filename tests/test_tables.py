@@ -93,7 +93,11 @@ def test_tier1_and_tier2(spark):
 def test_candidate_files(spark):
     f = spark.createDataFrame([("A", "x_RAW.tar", 1), ("A", "b_counts.txt.gz", 10), ("A", "a_tpm.csv", 200_000_000), ("B", "plain.txt.gz", 5), ("B", "plain.txt", 5)],
                               "gse_id string, filename string, size long")
-    assert rows(retrieval.candidate_files(f).select("gse_id", "filename"), "gse_id") == [("A", "b_counts.txt.gz"), ("B", "plain.txt.gz")]
+    every = sorted((r["gse_id"], r["filename"]) for r in retrieval.candidate_files(f).collect())
+    assert every == [("A", "a_tpm.csv"), ("A", "b_counts.txt.gz"), ("B", "plain.txt.gz")]
+    small = sorted((r["gse_id"], r["filename"]) for r in retrieval.candidate_files(f, max_bytes=100_000_000).collect())
+    assert small == [("A", "b_counts.txt.gz"), ("B", "plain.txt.gz")]
+    assert [r["filename"] for r in retrieval.candidate_files(f.where("gse_id = 'A'"), max_files=1).collect()] == ["a_tpm.csv"]
 
 
 def test_deg_measurements(spark):
