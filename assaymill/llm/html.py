@@ -75,6 +75,7 @@ class Tree(HTMLParser):
         self.linked: list[int] = [0]
         self.stack: list[tuple[str, int]] = []  # open elements: (tag, block they are in)
         self.hidden = self.links = 0
+        self.found: list[tuple[int, str]] | None = None
         self.feed(html)
         self.close()
 
@@ -145,8 +146,10 @@ class Tree(HTMLParser):
 
     def blocks(self) -> list[tuple[int, str]]:
         """(block, text) of each run that has text."""
-        found = [(b, " ".join("".join(s).split())) for b, s in self.runs]
-        return [(b, t) for b, t in found if t]
+        if self.found is None:
+            every = [(b, " ".join("".join(s).split())) for b, s in self.runs]
+            self.found = [(b, t) for b, t in every if t]
+        return self.found
 
 
 def words_of(attrs) -> set[str]:
@@ -280,12 +283,22 @@ def kept_blocks(tree: Tree, odds: np.ndarray) -> np.ndarray:
     return out
 
 
+def main_texts(pages: list[str], trees: Trees | None) -> list[str]:
+    """The main text of each page; all blocks of the pages pass the trees together."""
+    if trees is None or not pages:
+        return [""] * len(pages)
+    parsed = [Tree(html) for html in pages]
+    odds = trees.log_odds(np.concatenate([features(tree) for tree in parsed]))
+    out, at = [], 0
+    for tree in parsed:
+        kept = kept_blocks(tree, odds[at:at + len(tree.tag)])
+        at += len(tree.tag)
+        out.append("\n\n".join(t for b, t in tree.blocks() if kept[b]))
+    return out
+
+
 def main_text(html: str, trees: Trees | None) -> str:
-    tree = Tree(html)
-    if trees is None:
-        return ""
-    kept = kept_blocks(tree, trees.log_odds(features(tree)))
-    return "\n\n".join(t for b, t in tree.blocks() if kept[b])
+    return main_texts([html], trees)[0]
 
 
 def extract(pages: DataFrame, trees: Trees | None, keep_html: bool = False) -> DataFrame:
@@ -296,8 +309,8 @@ def extract(pages: DataFrame, trees: Trees | None, keep_html: bool = False) -> D
     kept = [f for f in pages.schema.fields if f.name not in ADDED and (keep_html or f.name != "html")]
 
     def run(batches):
-        for part in arrowtext.chunks(batches, "html"):
-            found = [main_text(h, shared.value) for h in arrowtext.texts(part.column("html"))]
+        for part in arrowtext.chunks(batches, "html", limit=1 << 20):
+            found = main_texts(arrowtext.texts(part.column("html")), shared.value)
             yield pa.RecordBatch.from_arrays([*[part.column(f.name) for f in kept], pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())],
                                              [*[f.name for f in kept], *ADDED])
 
