@@ -5,7 +5,7 @@ likeness among its siblings, and the meaning of its tag and attribute tokens and
 odds that a block belongs to the article. Decoding maximises the summed log likelihood over all keep/drop choices in which no
 kept block lies in a dropped one, by one pass up and one down the tree.
 
-The trees are fitted on the blocks of at most `max_pages` pages (lowest hash of the id first; a documented sample), labelled by
+The trees are fitted on the blocks of at most `max_pages` pages (of the lowest hashes; a documented sample), labelled by
 rules on tags and attribute tokens. Each sample page is fitted as it is, with boilerplate of other kinds grafted in, and with its
 semantic features masked, so that shape decides where names don't.
 
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assaymill.llm import arrowtext
+from assaymill.llm import arrowtext, sampling
 from assaymill.llm.boosting import Trees
 
 MAX_PAGES = 150
@@ -252,8 +252,8 @@ def grafted(html: str, texts: list[str], rng: random.Random) -> str:
 
 def fit(pages: DataFrame, max_pages: int = MAX_PAGES) -> Trees | None:
     """The trees from a bounded sample of the pages; none if no page has a block."""
-    rows = (pages.where(F.col("html").isNotNull() & (F.length("html") <= MAX_SAMPLE_CHARS)).select("page_id", "html")
-            .orderBy(F.xxhash64("page_id"), "page_id", "html").limit(max_pages).collect())
+    usable = pages.where(F.col("html").isNotNull() & (F.length("html") <= MAX_SAMPLE_CHARS))
+    rows = sampling.by_hash(usable.select("page_id", "html"), max_pages).to_pylist()
     rng, x, y, w = random.Random(5), [], [], []
     texts = [t for r in rows for _, t in Tree(r["html"]).blocks()] or ["text"]
     texts = [t.replace("<", "").replace("&", "") for t in rng.sample(texts, min(500, len(texts)))]

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from assaymill.llm import sampling
+
 TABLES = 16
 PROBES = 128
 SAMPLE = 1 << 14
@@ -110,7 +112,7 @@ def search(vectors: DataFrame, queries: DataFrame, size: int, most: int = NEARES
     if low is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rotations = Rotations(size, high, high - low <= 1e-5 * high, tables)
-    picked = vectors.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(sample).toArrow()
+    picked = sampling.by_hash(vectors, sample)
     shared = spark.sparkContext.broadcast((picked["vec_id"].to_numpy(), matrix(picked["v"]), rotations))
     place = "table int, axis int, vec_id long, other int, v array<double>"
 

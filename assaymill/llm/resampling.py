@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assaymill import session
-from assaymill.llm import arrowtext
+from assaymill.llm import arrowtext, sampling
 
 BUCKETS = 1 << 18
 MAX_TARGET = 200_000
@@ -79,7 +79,7 @@ def good_ids(labels: DataFrame, most: int = MAX_TARGET) -> tuple[np.ndarray, flo
     one = (labels.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), (
         (F.coalesce("quality", F.lit(0)) == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).alias("good")).groupBy("doc_id").agg(F.min("good").alias("good")))
     share = one.agg(F.avg(F.col("good").cast("double"))).first()[0]
-    ids = one.where("good").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select("doc_id").toArrow()["doc_id"].to_numpy()
+    ids = sampling.by_hash(one.where("good").select("doc_id"), most)["doc_id"].to_numpy()
     return np.sort(ids), 1.0 if share is None else share
 
 
