@@ -8,10 +8,12 @@ with the original vectors in double precision.
 Inner products of vectors of unequal length are searched as cosines after one coordinate is added that brings every indexed
 vector to the longest one's length.
 
-Index and probes meet by (table, first axis); the second axis is matched inside. A query travels with the score of its 20th best
-in a sample of SAMPLE vectors (a documented bound, broadcast): candidates below that can't be among its nearest, and are not
-sent on, and of each axis at most the 20 best: what a query gathers is bounded by its probes. The sample's own best are candidates too, so a table of at most SAMPLE vectors is searched in full. An axis with
-more than `hot_rows` vectors is split by a hash of the id, with the queries sent to each part.
+Index and probes meet by (table, first axis); the second axis is matched inside. Only what the tables find is in the answer, at
+every size. A query travels with the score of its BOUND-th best in a sample of SAMPLE vectors (broadcast; the sample gives no
+candidates): what is found below that is not sent on, and of each axis at most the 20 best: what a query gathers is bounded by its
+probes. BOUND counts in the whole table, several times 20, so that 20 found ones remain above it; of a sampled table it is
+lowered by the sample's share, to 20 at least. An axis with more than `hot_rows` vectors is split by a hash of the id, with the
+queries sent to each part.
 
 Vectors that are null, zero, of another length than the longest, or that hold null or non-finite components take no part, nor do
 null ids. Of rows that repeat an id, the vectors are all indexed and the best one counts. Equal scores go to the smaller id.
@@ -20,6 +22,8 @@ Extra columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -28,8 +32,9 @@ from pyspark.sql import functions as F
 from assaymill.llm import sampling
 
 TABLES = 16
-PROBES = 128
+PROBES = 512
 SAMPLE = 1 << 14
+BOUND = 64
 NEAREST = 20
 HOT_ROWS = 1 << 14
 SEED = 17
@@ -108,12 +113,13 @@ def search(vectors: DataFrame, queries: DataFrame, size: int, most: int = NEARES
     """(query_id, rank, vec_id, score) for usable `queries` against usable `vectors` (see `usable`)."""
     spark = vectors.sparkSession
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    low, high = vectors.agg(F.min(length), F.max(length)).first()
+    low, high, n_ids = vectors.agg(F.min(length), F.max(length), F.approx_count_distinct("vec_id")).first()
     if low is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rotations = Rotations(size, high, high - low <= 1e-5 * high, tables)
     picked = sampling.by_hash(vectors, sample)
     shared = spark.sparkContext.broadcast((picked["vec_id"].to_numpy(), matrix(picked["v"]), rotations))
+    bound = max(most, math.ceil(max(BOUND, 3 * most) * min(1.0, picked.num_rows / n_ids)))
     place = "table int, axis int, vec_id long, other int, v array<double>"
 
     def index(batches):
@@ -132,9 +138,9 @@ def search(vectors: DataFrame, queries: DataFrame, size: int, most: int = NEARES
             units = rot.units(q, query=True)
             least = np.full(len(q), -np.inf)
             for i in range(len(q)):
-                near, score = best_of(q[i], mine[i], ids, x, most, -np.inf)
+                near, score = best_of(q[i], mine[i], ids, x, bound, -np.inf)
                 distinct = len(np.unique(near)) == len(near)
-                least[i] = score[-1] if len(near) == most and distinct else -np.inf
+                least[i] = score[-1] if len(near) == bound and distinct else -np.inf
             for t in range(tables):
                 a, b = rot.scores(units, 2 * t), rot.scores(units, 2 * t + 1)
                 both = (a[:, :, None] + b[:, None, :]).reshape(len(q), -1)
@@ -151,14 +157,6 @@ def search(vectors: DataFrame, queries: DataFrame, size: int, most: int = NEARES
                     pa.array([r[3] for r in rows], pa.list_(pa.int32())), part.column("v").take(pa.array(at)), pa.array(least[at])],
                     ["table", "axis", "query_id", "others", "q", "least"])
 
-    def sampled(batches):
-        ids, x, _ = shared.value
-        for part in batches:
-            q, mine = matrix(part.column("v")), part.column("vec_id").to_numpy()
-            found = [best_of(q[i], mine[i], ids, x, most, -np.inf) for i in range(len(q))]
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(mine, [len(f[0]) for f in found])), pa.array(np.concatenate([f[0] for f in found] or [mine[:0]])),
-                                              pa.array(np.concatenate([f[1] for f in found] or [q[:0, 0]]))], ["query_id", "vec_id", "score"])
-
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         ids, out = left["vec_id"].to_numpy(), []
         if len(ids) and right.num_rows:
@@ -188,8 +186,7 @@ def search(vectors: DataFrame, queries: DataFrame, size: int, most: int = NEARES
     right = parted(probed).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
     key = ["table", "axis", "part"]
     met = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(meet, "query_id long, vec_id long, score double")
-    found = met.union(queries.mapInArrow(sampled, "query_id long, vec_id long, score double"))
-    one = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    one = met.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (one.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
             .select("query_id", "rank", "vec_id", "score"))

@@ -59,6 +59,25 @@ def test_small_tables_are_searched_in_full(spark):
     assert recall(got, brute(ids, x, ids[ids % 20 == 0])) == 1.0
 
 
+@pytest.mark.parametrize("name", ["sf0.01", "sf0.1"])
+def test_the_tables_alone_find_the_answer(spark, name):
+    sf = f"/root/testdata/{name}"
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet").collect()
+    ids, x = np.array([r["vec_id"] for r in rows]), np.array([r["embedding"] for r in rows], float)
+    got = queries.QUERIES["op8_cross_polytope"](spark, sf).collect()
+    assert len(got) == 20 * (ids % 20 == 0).sum()
+    assert recall(got, brute(ids, x, ids[ids % 20 == 0])) >= 0.9
+
+
+def test_the_sample_changes_no_answer(spark):
+    rng = np.random.default_rng(8)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(1500, 32)))], "vec_id long, embedding array<double>")
+    vectors, size = neighbours.usable(df)
+    asked = vectors.where("vec_id % 50 = 0")
+    answers = [sorted(tuple(r) for r in neighbours.search(vectors, asked, size, probes=64, sample=sample).collect()) for sample in (30, 1 << 14)]
+    assert answers[0] == answers[1] and len(answers[0]) == 30 * 20
+
+
 def test_rows_that_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0, 0.0]), (20, [0.0, 2.0, 0.0]), (40, None), (60, [0.0, 0.0, 0.0]), (80, [nan, 1.0, 0.0]), (1, [inf, 0.0, 0.0]),
