@@ -131,6 +131,12 @@ def links(fingerprints: DataFrame, radius: int = RADIUS, hot_rows: int = HOT_ROW
     return split.groupBy("prefix", "part").applyInArrow(run, "a long, b long").distinct()
 
 
+def with_components(nodes: DataFrame, radius: int, hot_rows: int) -> DataFrame:
+    """`nodes`, one row for each fingerprint `fp`, with `component`, a fingerprint that stands for all that are linked."""
+    found = components.components(links(nodes.select("fp"), radius, hot_rows))
+    return nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+
 def clusters(docs: DataFrame, keep_text: bool = True, radius: int = RADIUS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """`docs` with `fingerprint` (16 hex digits) and `component_id`, the smallest doc_id reachable over links."""
     docs = docs.drop("fingerprint", "component_id")
@@ -138,8 +144,7 @@ def clusters(docs: DataFrame, keep_text: bool = True, radius: int = RADIUS, hot_
     marked = marked if keep_text else session.cut(marked)
     ids = session.cut(marked.select("doc_id", "fp")) if keep_text else marked.select("doc_id", "fp")
     nodes = session.cut(ids.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    found = components.components(links(nodes.select("fp"), radius, hot_rows))
-    classes = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    classes = with_components(nodes, radius, hot_rows)
     least = classes.groupBy("component").agg(F.min("least").alias("component_id"))
     named = classes.join(least, "component").select("fp", "component_id")
     return (marked.join(named, "fp").withColumn("fingerprint", F.lpad(F.lower(F.hex("fp")), 16, "0"))
@@ -147,12 +152,17 @@ def clusters(docs: DataFrame, keep_text: bool = True, radius: int = RADIUS, hot_
 
 
 def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """One document of each component: the one whose id is the component's. Of rows that repeat an id the least stays.
+    """One document of each component: that of the least id (null ids last), then fingerprint, then hash of id and text.
 
-    The winner is chosen among ids and fingerprints; texts meet it in a join on the id, and are not gathered by group.
+    A row is known by that hash, so null and repeated ids part nothing and join nothing. Of rows equal in both the least stays. The
+    winner is chosen among ids and fingerprints; texts meet it in a join on the hash, and are not gathered by group.
     """
-    found = clusters(docs.select("doc_id", "text"), keep_text=False, radius=radius)
-    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_id")
-    winners = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(name).distinct()
-    kept = docs.select("*", name).join(winners, "_id", "left_semi")
-    return kept.groupBy("_id").agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
+    told = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in ("doc_id", "text")]
+    key = F.sha2(F.concat_ws("\n", *told), 256).alias("_key")
+    marked = with_fingerprints(docs.select("doc_id", "text", key), keep_text=False)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key")).alias("first")
+    nodes = session.cut(marked.groupBy("fp").agg(first))
+    best = F.min(F.struct("first.none", "first.doc_id", "fp", "first._key")).alias("best")
+    winners = with_components(nodes, radius, HOT_ROWS).groupBy("component").agg(best).select("best._key")
+    kept = docs.select("*", key).join(winners, "_key", "left_semi")
+    return kept.groupBy("_key").agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")

@@ -90,6 +90,16 @@ def test_null_ids_and_empty_table(spark):
     assert simhash.clusters(df.limit(0)).count() == 0
 
 
+def test_keep_one_with_null_and_repeated_ids(spark):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("abcdefghij") * 3 + str(rng.randrange(900)) for _ in range(40)) for _ in range(6)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (3, texts[3]), (5, texts[4]), (None, texts[4]), (7, texts[5]),
+            (7, texts[5])]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    want = [(None, texts[0]), (None, texts[1]), (5, texts[2]), (3, texts[3]), (5, texts[4]), (7, texts[5])]
+    assert sorted((r["text"], r["doc_id"]) for r in kept) == sorted((t, i) for i, t in want)
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (5, 5)], "a long, b long")
     got = {r["node"]: r["component"] for r in components.components(edges).collect()}
