@@ -38,7 +38,9 @@ ADDED = ["text", "n_chars"]
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Never text of a page.
-HIDDEN = frozenset("script style head noscript template iframe object svg math select textarea".split())
+HIDDEN = frozenset("script style head title noscript template iframe object svg math select textarea".split())
+#: What a head may hold; any other tag or text ends one that is open.
+IN_HEAD = frozenset("html head base link meta title script style noscript template".split())
 BLOCKS = frozenset(
     "html body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre "
     "figure figcaption nav header footer aside form fieldset details summary address center hgroup dialog button".split())
@@ -93,7 +95,15 @@ class Tree(HTMLParser):
             if tag in BLOCKS:
                 self._border()
 
+    def _leave_head(self, tag: str) -> None:
+        """End a head whose end tag is left out: at what can't be in it, and at the body whatever is open."""
+        if tag == "body" or (self.stack and self.stack[-1][0] == "head" and tag not in IN_HEAD):
+            at = next((i for i, (open_tag, _) in enumerate(self.stack) if open_tag == "head"), None)
+            if at is not None:
+                self._pop(at)
+
     def handle_starttag(self, tag, attrs):
+        self._leave_head(tag)
         if tag in VOID:
             if tag == "br":
                 self.runs[-1][1].append(" ")
@@ -128,17 +138,22 @@ class Tree(HTMLParser):
             self._pop(found)
 
     def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
+        if tag in ("svg", "math"):
+            self._leave_head(tag)
+        else:
+            self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
                 self._pop(i)
                 return
-            if tag not in BLOCKS and self.stack[i][0] in BLOCKS:
+            if tag not in BLOCKS and tag not in HIDDEN and self.stack[i][0] in BLOCKS:
                 return
 
     def handle_data(self, data):
+        if self.hidden and data.strip():
+            self._leave_head("#text")
         if not self.hidden:
             self.runs[-1][1].append(data)
             if self.links:

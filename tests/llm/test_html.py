@@ -51,6 +51,26 @@ def test_tree_of_odd_markup():
     assert html.Tree("<p>one<script>no<p>no</script> two").blocks() == [(1, "one two")]
 
 
+@pytest.mark.parametrize("start", ["<html><head><title>t</title><body>", "<head><title>t</title>", "<title>t</title><body>", "<title>t</title>",
+                                   "<head><meta charset=x><style>p{}</style><noscript><img src=x></noscript><title>t</title><body class=y>"])
+def test_omitted_tags_of_the_head(trees, start):
+    page = start + "<article><h1>Heading</h1><p>The first paragraph, which has some words.<p>The second one, which has more of them.</article>"
+    want = ["Heading", "The first paragraph, which has some words.", "The second one, which has more of them."]
+    assert [t for _, t in html.Tree(page).blocks()] == want
+    assert html.main_text(page, trees) == "\n\n".join(want)
+
+
+def test_head_ends_at_text_and_at_elements_of_the_body():
+    texts = ["a", "b"]
+    for page in ("<head><title>t</title>a<p>b", "<head><p>a<p>b", "<head><img src=x>a<p>b", "<head></head>a<p>b", "<head><svg/>a<p>b",
+                 "<head><template><p>x</template><title>t</title><p>a<p>b"):
+        assert [t for _, t in html.Tree(page).blocks()] == texts, page
+
+
+def test_self_closed_svg_and_math_hide_nothing():
+    assert [t for _, t in html.Tree("<div>a <svg/> b<p>c <math/> d</p></div><svg><path/><text>no</text></svg>e").blocks()] == ["a b", "c d", "e"]
+
+
 def test_decoding_is_the_best_consistent_choice():
     rng = np.random.default_rng(3)
     for _ in range(40):
