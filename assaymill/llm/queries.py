@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaymill.llm import bpe, decontaminate, html, language, licenses, neighbours, repeats, resampling, secrets, simhash
+from assaymill.llm import bpe, decontaminate, html, language, licenses, neighbours, pairbpe, repeats, resampling, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -167,3 +167,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.clusters(docs, keep_text=False).select("doc_id", "fingerprint", "component_id")
+
+
+@query("op13_pair_index_bpe")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabulary = pairbpe.read_vocabulary(public_tokenizers.path("word_bpe_49k.json"))
+    return pairbpe.with_tokens(docs, vocabulary, keep_text=False, keep_ids=False)
