@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assaymill.llm import bpe, decontaminate, html, language, licenses, neighbours, pairbpe, repeats, resampling, secrets, simhash
+from assaymill.llm import alignment, bpe, decontaminate, html, language, lexical, licenses, neighbours, pairbpe, repeats, resampling, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -169,6 +169,34 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.clusters(docs, keep_text=False).select("doc_id", "fingerprint", "component_id")
 
 
+@query("op11_norm_buckets", f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {SQL_WORDS} AS w FROM documents),
+s AS (SELECT count(*) AS docs, sum(len(w))::BIGINT AS terms FROM d WHERE len(w) > 0),
+b AS (SELECT row_number() OVER () AS item, item_id, {SQL_WORDS} AS w FROM benchmark),
+q AS (SELECT item, term, count(*) AS times FROM (SELECT item, unnest(w) AS term FROM b) GROUP BY item, term),
+f AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY row, term),
+weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS weight
+            FROM (SELECT term, count(*) AS df FROM f GROUP BY term), s),
+m AS (SELECT row, doc_id, 100 - 75 + (75 * len(w) * docs) // terms AS m FROM d, s WHERE len(w) > 0),
+scores AS (SELECT item, row, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+           FROM q JOIN f USING (term) JOIN weights USING (term) JOIN m USING (row) GROUP BY item, row),
+ranked AS (SELECT item, doc_id, score, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank
+           FROM scores JOIN m USING (row) WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked JOIN b USING (item) WHERE rank <= 10
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical.search(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+@query("op12_pointer_jumping")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    a, b = (alignment.read_vocabulary(public_tokenizers.path(n)) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(docs, a, b, keep_text=False)
+
+
 @query("op13_pair_index_bpe")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
