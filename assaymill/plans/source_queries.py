@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from assaymill import dims
+from assaymill.functions import genes
 from assaymill.functions import text as T
 from assaymill.functions.reagents import stage_summary
 from assaymill.operators import backfill, crossref, export, extraction, manual_fetch, retrieval
@@ -12,6 +13,7 @@ from assaymill.plans import adapters as A
 from assaymill.plans.expression_queries import SHOWN, rounded
 from assaymill.plans.registry import query
 from assaymill.plans.table_queries import table
+from assaymill.session import cut
 from assaymill.sources import matrix, repositories, soft, tables
 
 # -- series matrices: one file per order, its lines are probes or genes ----------------------------------------
@@ -28,14 +30,22 @@ def _row(key):
     """Tab line of a probe: two numbers, one missing cell, one cell too many."""
     return F.concat(F.lit('"'), key, F.lit('"\t'), F.col("q").cast("string"), F.lit("\t"), F.col("e").cast("string"), F.lit("\tNA\t9"))
 
-def matrix_files(spark, sf, key=PROBE):
-    rows = _lines(spark, sf).select("l_orderkey", F.struct("l_linenumber", _row(F.expr(key)).alias("t")).alias("r"))
-    g = rows.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("r")).alias("r"))
-    head = ('!Series_title\t"x"\n!Series_platform_id\t"GPL570"\n!Sample_title\t"day 1"\t"day 2"\t"day 3"\n'
-            '!Sample_geo_accession\t"GSM1"\t"GSM2"\t"GSM3"\n!series_matrix_table_begin\n"ID_REF"\t"GSM1"\t"GSM2"\t"GSM3"\n')
-    body = F.array_join(F.transform("r", lambda x: x["t"]), "\n")
-    return g.select(F.col("l_orderkey").alias("path"),
-                    F.concat(F.lit(head), body, F.lit("\n!series_matrix_table_end\n")).alias("content"))
+def _laid_out(rows, heads, ends=()):
+    """Lines of one file per order: `heads` above its rows (l_linenumber, line) and `ends` below; texts may be columns of the order."""
+    def placed(texts, start):
+        return [F.struct(F.lit(start + i).alias("n"), (F.lit(t) if isinstance(t, str) else t).alias("line")) for i, t in enumerate(texts)]
+    edges = rows.select("l_orderkey").distinct().select(
+        "l_orderkey", F.inline(F.array(*placed(heads, -len(heads)), *placed(ends, 1000))))
+    every = rows.select("l_orderkey", F.col("l_linenumber").cast("int").alias("n"), "line").unionByName(edges)
+    return every.select(F.col("l_orderkey").alias("path"), F.struct(F.lit(0).cast("bigint").alias("block"), F.col("n").cast("bigint").alias("at")).alias("pos"), "line")
+
+MATRIX_HEAD = ['!Series_title\t"x"', '!Series_platform_id\t"GPL570"', '!Sample_title\t"day 1"\t"day 2"\t"day 3"',
+               '!Sample_geo_accession\t"GSM1"\t"GSM2"\t"GSM3"', "!series_matrix_table_begin", '"ID_REF"\t"GSM1"\t"GSM2"\t"GSM3"']
+
+def matrix_lines(spark, sf, key=PROBE):
+    """A series matrix per order; a gene row behind the end mark is no part of it."""
+    rows = _lines(spark, sf).select("l_orderkey", "l_linenumber", _row(F.expr(key)).alias("line"))
+    return _laid_out(rows, MATRIX_HEAD, ["!series_matrix_table_end", '"AFP"\t9\t9\t9'])
 
 SAMPLES3 = "(VALUES ('GSM1', 0), ('GSM2', 1), ('GSM3', 2)) s(sample, k)"
 CELL = "CASE k WHEN 0 THEN q WHEN 1 THEN e END"
@@ -44,22 +54,22 @@ CELL = "CASE k WHEN 0 THEN q WHEN 1 THEN e END"
     "SELECT l_orderkey AS path, CASE l_linenumber WHEN 1 THEN 'ALB' WHEN 2 THEN 'POU5F1' ELSE 'HNF4A' END AS gene_symbol, sample, "
     f"{CELL} AS value FROM ln, {SAMPLES3} WHERE l_linenumber IN (1, 2, 4)", ONE_LINE))
 def series_matrix(spark, sf):
-    return matrix.gene_cells(matrix.tables(matrix_files(spark, sf)))
+    return matrix.gene_cells(matrix.tables(matrix_lines(spark, sf)))
 
 @query("series_matrix_titles",
        "SELECT DISTINCT l_orderkey AS path, sample AS gsm_id, 'day ' || (k + 1) AS title FROM lineitem, " + SAMPLES3)
 def series_matrix_titles(spark, sf):
-    return matrix.sample_titles(matrix_files(spark, sf))
+    return matrix.sample_titles(matrix_lines(spark, sf))
 
 series_sql = series_matrix_titles
 
 def _annotations(spark, sf):
-    """A platform annotation listing a probe per line number of the data."""
-    p = table(spark, sf, "lineitem").select(F.col("l_linenumber").alias("n")).distinct()
+    """Lines of a platform annotation that lists a probe per line number of the data."""
+    p = table(spark, sf, "lineitem").select(F.col("l_linenumber").cast("bigint").alias("n")).distinct()
     line = F.concat(F.lit("p"), F.col("n").cast("string"), F.lit("\t"), F.when(F.col("n") % 2 == 1, "--- // foo").otherwise("LOC1;alb"),
                     F.lit("\tNM_1 // CYP3A4 // x"))
-    return p.agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("t")).select(
-        F.lit("GPL570").alias("platform"), F.concat(F.lit("#note\n!x\nID\tGene Symbol\tgene_assignment\n"), "t").alias("content"))
+    heads = spark.createDataFrame([(-3, "#note"), (-2, "!x"), (-1, "ID\tGene Symbol\tgene_assignment")], "n long, line string")
+    return p.select("n", line.alias("line")).unionByName(heads).select(F.lit("GPL570").alias("platform"), F.col("n").alias("pos"), "line")
 
 @query("probe_genes", "SELECT DISTINCT 'GPL570' AS platform, 'p' || l_linenumber AS probe, CASE WHEN l_linenumber % 2 = 1 THEN 'CYP3A4' ELSE 'ALB' END AS gene_symbol "
        "FROM lineitem")
@@ -73,46 +83,44 @@ PROBE_ROWS = ("pb AS (SELECT l_orderkey, l_linenumber, q, e, CASE WHEN l_linenum
     f"SELECT l_orderkey AS file, gene AS gene_symbol, 'p' || l_linenumber AS probe, sample, {CELL} AS value FROM bp, {SAMPLES3} WHERE rn = 1",
     ONE_LINE, PROBE_ROWS))
 def best_probe(spark, sf):
-    parsed = matrix.tables(matrix_files(spark, sf, "'p' || l_linenumber"))
-    rows = matrix.probe_rows(parsed, matrix.probe_genes(_annotations(spark, sf)))
-    return retrieval.best_probe(rows).select("file", "gene_symbol", "probe", "sample", "value")
+    probes = cut(matrix.probe_genes(_annotations(spark, sf)))
+    series = matrix.tables(matrix_lines(spark, sf, "'p' || l_linenumber"), probes)
+    return retrieval.best_probe(matrix.probe_rows(series, probes)).select("file", "gene_symbol", "probe", "sample", "value")
 
 # -- count tables and differential expression ------------------------------------------------------------------
 
-def _count_files(spark, sf):
+def _count_lines(spark, sf):
     """A comma table per order: gene names in the second column, a quoted header, an empty cell, a number with a suffix."""
     line = F.concat(F.lit("row,"), F.expr(PROBE), F.lit(","), F.col("q").cast("string"), F.lit(","),
                     F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.col("e").cast("string"), F.lit("d"))).otherwise(F.col("e").cast("string")))
-    g = _lines(spark, sf).groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", line.alias("t")))).alias("r"))
-    return g.select(F.col("l_orderkey").alias("path"), F.concat(
-        F.lit('n,gene,"s 1, a",s2\n'), F.array_join(F.transform("r", lambda x: x["t"]), "\n"), F.lit("\n")).alias("content"))
+    return _laid_out(_lines(spark, sf).select("l_orderkey", "l_linenumber", line.alias("line")), ['n,gene,"s 1, a",s2'], [""])
 
 @query("count_table", A.sql(
     "SELECT l_orderkey AS path, CASE l_linenumber WHEN 1 THEN 'ALB' WHEN 2 THEN 'POU5F1' ELSE 'HNF4A' END AS gene_symbol, sample, "
     "CASE sample WHEN 's2' THEN CASE WHEN l_linenumber % 2 = 1 THEN e END WHEN 'n' THEN NULL ELSE q END AS value FROM ln, "
     "(VALUES ('n'), ('s 1, a'), ('s2')) s(sample) WHERE l_linenumber IN (1, 2, 4)", ONE_LINE))
 def count_table(spark, sf):
-    return tables.count_cells(tables.parse(_count_files(spark, sf))).drop("gene")
+    lines = _count_lines(spark, sf)
+    return tables.count_cells(tables.panel_rows(lines, tables.profiles(lines))).drop("gene")
 
 @query("supplement_kinds",
        "SELECT DISTINCT l_orderkey AS path, CASE WHEN l_orderkey % 3 = 0 THEN 'deg_list' WHEN l_orderkey % 3 = 1 THEN 'pathway_table' "
        "ELSE 'other' END AS kind FROM lineitem")
 def supplement_kinds(spark, sf):
-    return tables.classify(tables.parse(_deg_files(spark, sf))).select("path", "kind")
+    return tables.classify(tables.profiles(_deg_lines(spark, sf))).select("path", "kind")
 
-def _deg_files(spark, sf):
+def _deg_lines(spark, sf):
     line = F.concat(F.expr(PROBE), F.lit("\t"), (F.col("q") / 10).cast("string"), F.lit("\t0.0"), F.col("l_linenumber").cast("string"))
-    g = _lines(spark, sf).groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", line.alias("t")))).alias("r"))
-    head = F.expr("CASE l_orderkey % 3 WHEN 0 THEN 'Gene\tlog2 Fold Change\tp.value padj\n' WHEN 1 THEN 'Gene\tkegg pathway\tterm\n' ELSE 'Gene\ta\tb\n' END")
-    return g.select(F.col("l_orderkey").alias("path"), F.concat(
-        head, F.array_join(F.transform("r", lambda x: x["t"]), "\n")).alias("content"))
+    head = F.expr("CASE l_orderkey % 3 WHEN 0 THEN 'Gene\tlog2 Fold Change\tp.value padj' WHEN 1 THEN 'Gene\tkegg pathway\tterm' ELSE 'Gene\ta\tb' END")
+    return _laid_out(_lines(spark, sf).select("l_orderkey", "l_linenumber", line.alias("line")), [head])
 
 @query("deg_table", A.sql(
     "SELECT l_orderkey AS path, CASE l_linenumber WHEN 1 THEN 'ALB' WHEN 2 THEN 'POU5F1' ELSE 'HNF4A' END AS gene_symbol, ROUND(q / 10, 6) AS log2fc, "
     "l_linenumber / CAST(100 AS DOUBLE) AS padj FROM ln WHERE l_linenumber IN (1, 2, 4) AND l_orderkey % 3 = 0", ONE_LINE))
 def deg_table(spark, sf):
-    p = tables.classify(tables.parse(_deg_files(spark, sf))).where("kind = 'deg_list'")
-    return rounded(tables.deg_rows(p).select("path", "gene_symbol", "log2fc", "padj"), "log2fc")
+    lines = _deg_lines(spark, sf)
+    found = tables.classify(tables.profiles(lines)).where("kind = 'deg_list'")
+    return rounded(tables.deg_rows(tables.panel_rows(lines, found)).select("path", "gene_symbol", "log2fc", "padj"), "log2fc")
 
 @query("merge_files",
        "WITH g AS (SELECT l_suppkey AS gse_id, CASE l_linenumber % 2 WHEN 0 THEN 'ALB' ELSE 'AFP' END AS gene_symbol, 's' || l_partkey AS sample, "
@@ -132,22 +140,15 @@ def merge_files(spark, sf):
     "CASE WHEN sample = 'GSM1' THEN 'label' ELSE sample END AS condition_label, CASE WHEN sample = 'GSM1' THEN 5 END AS time_point_day, "
     "CAST(0.95 AS DOUBLE) AS confidence FROM ln, " + SAMPLES3 + " WHERE l_linenumber IN (1, 2, 4) AND k < 2", ONE_LINE))
 def measurements(spark, sf):
-    files = matrix_files(spark, sf)
-    cells = matrix.gene_cells(matrix.tables(files)).join(_raw_names(files), ["path", "gene_symbol"]).select(
+    series = matrix.tables(matrix_lines(spark, sf))
+    names = series.body.where("gene").select("path", F.col("key").alias("gene"), genes.resolve_alias(F.col("key")).alias("gene_symbol"))
+    cells = matrix.gene_cells(series).join(names, ["path", "gene_symbol"]).select(
         F.col("path").alias("paper_id"), F.col("path").alias("protocol_id"), "gene", "sample", "value", F.lit("GSE1 series matrix").alias("source_detail"))
-    lookup = files.select(F.col("path").alias("protocol_id"), F.lit("GSM1").alias("sample_key"), F.lit("label").alias("condition_label"),
-                          F.lit(5).alias("time_point_day"))
+    lookup = series.frames.select(F.col("path").alias("protocol_id"), F.lit("GSM1").alias("sample_key"), F.lit("label").alias("condition_label"),
+                                  F.lit(5).alias("time_point_day"))
     return retrieval.measurements(cells, "series_matrix", lookup=lookup).select(
         "paper_id", "gene_symbol", "gene_alias", "value", "condition_label", "time_point_day", "confidence")
 
-def _raw_names(files):
-    """Spelling of each gene in its file."""
-    from assaymill.functions import genes
-    p = matrix.tables(files).select("path", F.explode("body").alias("l"))
-    raw = F.replace(F.substring_index("l", "\t", 1), F.lit('"'), F.lit(""))
-    return p.select("path", raw.alias("gene"), genes.resolve_alias(raw).alias("gene_symbol")).where(
-        genes.in_panel(F.col("gene_symbol")))
-
 @query("usable_accessions", "SELECT o_custkey AS paper_id, o_orderkey AS id FROM orders o WHERE o_orderstatus = 'F' OR NOT EXISTS (SELECT 1 FROM orders x "
        "WHERE x.o_custkey = o.o_custkey AND x.o_orderstatus = 'F')")
 def usable_accessions(spark, sf):

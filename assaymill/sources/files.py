@@ -50,6 +50,22 @@ def texts(spark: SparkSession, folder: str, pattern: str = "*", max_bytes: int |
             .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content")))
 
 
+def lines(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
+    """(path, pos, line) of text files. A large file is read by many tasks; `pos` orders the lines of a file within one scan.
+
+    Splits depend on the cluster at the time of a scan, so positions of two scans must not be compared: cut what is kept of a scan.
+    """
+    at = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    return (spark.read.format("text").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder)
+            .select(F.col("_metadata.file_path").alias("path"), at.alias("pos"), F.col("value").alias("line")))
+
+
+def split_lines(texts: DataFrame, key: str = "path", content: str = "content") -> DataFrame:
+    """(key, pos, line) of texts that are held in rows, such as archive members."""
+    return texts.select(key, F.posexplode(F.split(content, r"\r?\n")).alias("_n", "line")).select(
+        key, F.struct(F.lit(0).cast("bigint").alias("block"), F.col("_n").cast("bigint").alias("at")).alias("pos"), "line")
+
+
 def contents(spark: SparkSession, folder: str, pattern: str = "*", max_bytes: int | None = None) -> DataFrame:
     """(path, content) of binary files, up to a size where one is given."""
     return (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)

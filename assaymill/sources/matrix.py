@@ -1,21 +1,29 @@
-"""Series matrices and platform annotations: whole files in, long cells out."""
+"""Series matrices and platform annotations by lines: `(path, pos, line)` in, long cells out.
+
+A file may be of any size: its lines are read by many tasks (`files.lines`). One narrow pass keeps the few lines that matter (header
+marks, and rows named by a panel gene or a wanted probe); only those meet the file's header again.
+"""
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaymill.functions import genes
 from assaymill.functions.numbers import to_double, unquote
-from assaymill.session import settle
-
+from assaymill.session import cut
 
-def _lines(content: Column) -> Column:
-    return F.split(content, r"\r?\n")
+# Line starts of the table's header and end, and of the header lines that are read.
+HEAD, END = '"ID_REF"', "!series_matrix_table_end"
+PLATFORM, SAMPLE_IDS, SAMPLE_TITLES = "!Series_platform_id", "!Sample_geo_accession", "!Sample_title"
 
 
-def _first(lines: Column, prefix: str) -> Column:
-    return F.get(F.filter(lines, lambda l: l.startswith(prefix)), F.lit(0))
+class Series(NamedTuple):
+    """frames: (path, samples, platform, head, end), one row per file with a table. body: (path, pos, line, key, gene) of kept rows inside it."""
+    frames: DataFrame
+    body: DataFrame
 
 
 def _values(line: Column) -> Column:
@@ -24,30 +32,54 @@ def _values(line: Column) -> Column:
     return F.transform(F.slice(parts, F.lit(2), F.size(parts)), unquote)
 
 
-def tables(files: DataFrame) -> DataFrame:
-    """(path, samples, body, platform): the table between its header and its end marker or first blank line."""
-    f = files.withColumn("_l", _lines(F.col("content")))
-    at = F.array_position(F.transform("_l", lambda l: l.startswith('"ID_REF"')), True).cast("int")
-    f = settle(f.withColumn("_at", at)).where("_at > 0")
-    f = f.withColumn("_rest", F.slice("_l", F.col("_at") + 1, F.size("_l")))
-    end = F.array_position(F.transform("_rest", lambda l: (F.trim(l) == "") | l.startswith(
-        "!series_matrix_table_end")), True).cast("int")
-    body = F.when(end > 0, F.slice("_rest", F.lit(1), end - 1)).otherwise(F.col("_rest"))
-    head = F.slice("_l", F.lit(1), F.col("_at"))
-    return settle(f.select(
-        "path", _values(F.get("_l", F.col("_at") - 1)).alias("samples"), body.alias("body"),
-        F.nullif(F.regexp_extract(_first(head, "!Series_platform_id"), r"GPL\d+", 0), F.lit("")).alias("platform")))
+def _key(line: Column) -> Column:
+    return unquote(F.substring_index(line, "\t", 1))
+
+
+def _first(test: Column) -> Column:
+    """Position and text of the first line that passes."""
+    return F.min(F.when(test, F.struct("pos", "line")))
 
 
-def sample_titles(files: DataFrame) -> DataFrame:
+def tables(lines: DataFrame, probes: DataFrame | None = None) -> Series:
+    """The tables between their header and their end mark or first blank line; of their rows those named by a panel gene, and
+    those of `probes` (platform, probe, gene_symbol) where given.
+    """
+    line = F.col("line")
+    is_end = (F.trim(line) == "") | line.startswith(END)
+    kept = lines.select("path", "pos", "line", _key(line).alias("key"), is_end.alias("is_end"))
+    kept = kept.withColumn("gene", F.coalesce(genes.is_target_gene(F.col("key")), F.lit(False)))
+    wanted = F.col("gene") | F.col("is_end") | line.startswith(HEAD) | line.startswith(PLATFORM)
+    if probes is not None:
+        ids = probes.select(F.col("probe").alias("key"), F.lit(True).alias("probe")).distinct()
+        kept = kept.join(ids, "key", "left")
+        wanted = wanted | F.col("probe")
+        kept = kept.select("path", "pos", "line", "key", "is_end", "gene", F.coalesce("probe", F.lit(False)).alias("probe"))
+    kept = cut(kept.where(wanted))
+    marks = kept.groupBy("path").agg(_first(line.startswith(HEAD)).alias("h"), _first(line.startswith(PLATFORM)).alias("p")).where("h IS NOT NULL")
+    heads = marks.select("path", F.col("h.pos").alias("head"), _values(F.col("h.line")).alias("samples"), F.when(
+        F.col("p.pos") <= F.col("h.pos"), F.nullif(F.regexp_extract("p.line", r"GPL\d+", 0), F.lit(""))).alias("platform"))
+    ends = (kept.where("is_end").join(heads.select("path", "head"), "path").where(F.col("pos") > F.col("head"))
+            .groupBy("path").agg(F.min("pos").alias("end")))
+    frames = heads.join(ends, "path", "left")
+    rows = kept.where(F.col("gene") if probes is None else F.col("gene") | F.col("probe"))
+    inside = (F.col("pos") > F.col("head")) & (F.col("end").isNull() | (F.col("pos") < F.col("end")))
+    body = rows.join(frames.select("path", "head", "end"), "path").where(inside).select("path", "pos", "line", "key", "gene")
+    return Series(frames, body)
+
+
+def sample_titles(lines: DataFrame) -> DataFrame:
     """(path, gsm_id, title) from the two header lines that list them side by side."""
-    f = files.withColumn("_l", _lines(F.col("content")))
-    at = F.array_position(F.transform("_l", lambda l: l.startswith('"ID_REF"')), True).cast("int")
-    head = F.when(at > 0, F.slice("_l", F.lit(1), at)).otherwise(F.col("_l"))
-    f = f.select("path", head.alias("_h"))
-    pairs = F.arrays_zip(_values(_first(F.col("_h"), "!Sample_geo_accession")).alias("gsm_id"),
-                         _values(_first(F.col("_h"), "!Sample_title")).alias("title"))
-    return f.select("path", F.inline(pairs)).where(
+    line = F.col("line")
+    marks = lines.where(line.startswith(HEAD) | line.startswith(SAMPLE_IDS) | line.startswith(SAMPLE_TITLES))
+    first = marks.groupBy("path").agg(_first(line.startswith(HEAD)).alias("h"), _first(line.startswith(SAMPLE_IDS)).alias("i"),
+                                      _first(line.startswith(SAMPLE_TITLES)).alias("t"))
+
+    def before(name):
+        return F.when(F.col("h").isNull() | (F.col(f"{name}.pos") < F.col("h.pos")), F.col(f"{name}.line"))
+
+    pairs = F.arrays_zip(_values(before("i")).alias("gsm_id"), _values(before("t")).alias("title"))
+    return first.select("path", F.inline(pairs)).where(
         (F.coalesce("gsm_id", F.lit("")) != "") & (F.coalesce("title", F.lit("")) != ""))
 
 
@@ -60,28 +92,22 @@ def _cells(rows: DataFrame) -> DataFrame:
     return rows.select(*keep, F.inline(z)).select(*keep, "sample", to_double(F.col("v")).alias("value"))
 
 
-def _key(line: Column) -> Column:
-    return unquote(F.get(F.split(line, "\t"), F.lit(0)))
-
-
-def gene_cells(parsed: DataFrame) -> DataFrame:
+def gene_cells(series: Series) -> DataFrame:
     """(path, gene_symbol, sample, value) of rows named by gene; of a gene listed twice the last row counts."""
-    wanted = F.filter("body", lambda l: F.coalesce(genes.is_target_gene(_key(l)), F.lit(False)))
-    r = parsed.select("path", "samples", F.posexplode(wanted).alias("_row", "line"))
-    r = r.withColumn("gene_symbol", genes.resolve_alias(_key(F.col("line"))))
-    last = r.groupBy("path", "gene_symbol").agg(F.max_by(F.struct("samples", "line"), "_row").alias("x"))
-    return _cells(last.select("path", "gene_symbol", "x.*"))
+    r = series.body.where("gene").withColumn("gene_symbol", genes.resolve_alias(F.col("key")))
+    last = r.groupBy("path", "gene_symbol").agg(F.max_by("line", "pos").alias("line"))
+    return _cells(last.join(series.frames.select("path", "samples"), "path"))
 
 
-def probe_rows(parsed: DataFrame, probes: DataFrame) -> DataFrame:
+def probe_rows(series: Series, probes: DataFrame) -> DataFrame:
     """(file, gene_symbol, probe, pos, sample, value) of files without gene rows, through `(platform, probe, gene_symbol)`.
 
-    The probe table only holds panel genes, so the body is joined by probe before any cell is cut out.
+    `series` must have been read with the same probes.
     """
-    bare = parsed.where(~F.exists("body", lambda l: F.coalesce(genes.is_target_gene(_key(l)), F.lit(False))))
-    r = bare.select(F.col("path").alias("file"), "platform", "samples", F.posexplode("body").alias("pos", "line"))
-    r = r.withColumn("probe", _key(F.col("line"))).join(probes, ["platform", "probe"])
-    return _cells(r.select("file", "gene_symbol", "probe", "pos", "samples", "line"))
+    named = series.body.where("gene").select("path").distinct()
+    bare = series.frames.join(named, "path", "left_anti").select("path", "platform", "samples")
+    r = series.body.withColumnRenamed("key", "probe").join(bare, "path").join(probes, ["platform", "probe"])
+    return _cells(r.select(F.col("path").alias("file"), "gene_symbol", "probe", "pos", "samples", "line"))
 
 
 # Annotation column names with symbols, and with longer assignments.
@@ -91,25 +117,29 @@ ASSIGNMENT_COLUMNS = ["gene_assignment", "gene assignment", "mrna_assignment"]
 
 
 def probe_genes(annotations: DataFrame) -> DataFrame:
-    """(platform, probe, gene_symbol) from annotation files `(platform, content)`; panel genes only.
+    """(platform, probe, gene_symbol) from annotation lines `(platform, pos, line)`; panel genes only.
 
-    A probe takes the first panel gene in its symbol columns, else in its assignment columns.
+    A probe takes the first panel gene in its symbol columns, else in its assignment columns. Only header candidates and lines
+    that name a panel gene anywhere are kept for that.
     """
-    body = F.filter(_lines(F.col("content")), lambda l: ~l.rlike(r"^[#!^]") & (l != ""))
-    a = annotations.select("platform", F.transform(body, lambda l: F.transform(F.split(l, "\t"), unquote)).alias("_t"))
-    is_head = F.transform("_t", lambda c: F.array_contains(F.transform(c, F.lower), "id"))
-    a = a.withColumn("_at", F.array_position(is_head, True).cast("int")).where("_at > 0")
-    head = F.transform(F.get("_t", F.col("_at") - 1), F.lower)
-    a = a.withColumn("_h", head).withColumn("_id", (F.array_position(head, "id") - 1).cast("int"))
+    line = F.col("line")
+    body = annotations.where(~line.rlike(r"^[#!^]") & (line != ""))
+    lowered = F.transform(F.split(F.lower(line), "\t"), unquote)
+    named = F.exists(F.split(line, r"[;/|,\s\"]+"), lambda t: F.coalesce(genes.is_target_gene(t), F.lit(False)))
+    kept = cut(body.select("platform", "pos", "line", F.array_contains(lowered, "id").alias("is_head"), named.alias("named")).where("is_head OR named"))
+    heads = kept.where("is_head").groupBy("platform").agg(F.min("pos").alias("head"), F.min_by("line", "pos").alias("h"))
+    heads = heads.withColumn("h", F.transform(F.split(F.lower("h"), "\t"), unquote))
 
     def places(names):
-        spots = F.transform("_h", lambda h, i: F.when(h.isin(names), i))
+        spots = F.transform("h", lambda h, i: F.when(h.isin(names), i))
         return F.filter(spots, lambda i: i.isNotNull())
 
-    a = a.withColumn("_order", F.concat(places(SYMBOL_COLUMNS), places(ASSIGNMENT_COLUMNS)))
-    r = a.select("platform", "_id", "_order", F.posexplode(F.slice("_t", F.col("_at") + 1, F.size("_t"))).alias("pos", "c"))
-    names = F.flatten(F.transform("_order", lambda i: F.split(F.coalesce(F.get("c", i), F.lit("")), r"[;/|,\s]+")))
+    heads = heads.select("platform", "head", (F.array_position("h", "id") - 1).cast("int").alias("id"),
+                         F.concat(places(SYMBOL_COLUMNS), places(ASSIGNMENT_COLUMNS)).alias("order"))
+    r = kept.where("named").join(heads, "platform").where(F.col("pos") > F.col("head"))
+    r = r.withColumn("c", F.transform(F.split("line", "\t"), unquote))
+    names = F.flatten(F.transform("order", lambda i: F.split(F.coalesce(F.get("c", i), F.lit("")), r"[;/|,\s]+")))
     symbols = F.filter(F.transform(names, genes.resolve_alias), genes.in_panel)
-    r = r.select("platform", "pos", F.get("c", F.col("_id")).alias("probe"), F.get(symbols, F.lit(0)).alias("gene_symbol"))
+    r = r.select("platform", "pos", F.get("c", F.col("id")).alias("probe"), F.get(symbols, F.lit(0)).alias("gene_symbol"))
     r = r.where("gene_symbol IS NOT NULL AND probe IS NOT NULL")
     return r.groupBy("platform", "probe").agg(F.max_by("gene_symbol", "pos").alias("gene_symbol"))

@@ -1,7 +1,8 @@
 """Delimited tables of unknown layout: which column holds genes, which hold values, what kind of table it is.
 
-A table is a whole file in one row `(path, content)`. It is cut into rows and cells by array expressions, and
-only rows of panel genes leave the array, so a genome-wide matrix costs a scan and no shuffle.
+A table is its lines `(path, pos, line)`, read by as many tasks as its size asks for (`files.lines`). One aggregation per file learns the
+delimiter, the header and what all rows say about the columns (`profiles`); lines that name a panel gene are kept by a narrow pass and
+cut into cells then (`panel_rows`). `parse` holds a small table as arrays in one row, for its markdown.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from assaymill.functions import genes
 from assaymill.functions.numbers import to_double, unquote
 from assaymill.functions.text import cell, markdown_row
-from assaymill.session import settle
+from assaymill.session import cut, settle
 
 
 def lines(content: Column) -> Column:
@@ -43,30 +44,97 @@ def parse(files: DataFrame) -> DataFrame:
     ).drop("_d", "_lines", "content"))
 
 
-def gene_column(rows: Column, width: Column) -> Column:
-    """Index of the column with the most panel genes over all rows; the first if none has any."""
-    hits = F.transform(F.sequence(F.lit(0), F.greatest(width - 1, F.lit(0))), lambda c: F.size(F.filter(
-        rows, lambda r: F.coalesce(genes.is_target_gene(F.get(r, c)), F.lit(False)))))
-    return (F.array_position(hits, F.array_max(hits)) - 1).cast("int")
+#: Delimiters a table may have, in order of preference.
+DELIMITERS = ["\t", ";", ","]
 
 
-def count_cells(parsed: DataFrame) -> DataFrame:
-    """(path, gene, gene_symbol, sample, value) of panel genes; of a gene listed twice the last row counts.
+def _cut_line(line: Column, delimiter: str) -> Column:
+    """As `cells`, for one of DELIMITERS."""
+    quoted = F.split(line, delimiter + r'(?=(?:[^"]*"[^"]*")*[^"]*$)', -1)
+    return F.transform(F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, delimiter, -1)), unquote)
 
-    Cells that are no numbers give NULL.
+
+def _signs(line: Column, delimiter: str) -> Column:
+    """What a row says about its first two columns if cut at `delimiter`, as 0 or 1 each."""
+    parts = _cut_line(line, delimiter)
+    first, second = F.trim(F.get(parts, F.lit(0))), F.get(parts, F.lit(1))
+    tests = {"odd": (second != "") & to_double(second).isNull(), "filled": first != "",
+             "symbol": first.rlike(r"^[A-Z][A-Z0-9]{1,15}$"), "ensembl": first.startswith("ENSG")}
+    return F.struct(*[F.coalesce(t, F.lit(False)).cast("bigint").alias(n) for n, t in tests.items()])
+
+
+SIGNS = ["odd", "filled", "symbol", "ensembl"]
+
+
+def profiles(lines: DataFrame) -> DataFrame:
+    """One row per file: (path, delimiter, header, header_line, n_rows, odd, filled, symbol, ensembl), counts over all rows below the header."""
+    line = F.col("line")
+    signs = [_signs(line, d).alias(f"_s{i}") for i, d in enumerate(DELIMITERS)]
+    seen = settle(lines.where(line != "").select(
+        "path", "pos", "line", F.contains(line, F.lit("\t")).alias("_tab"), F.regexp_count(line, F.lit(";")).alias("_semis"),
+        F.regexp_count(line, F.lit(",")).alias("_commas"), *signs))
+    sums = [F.sum(f"_s{i}.{n}").alias(f"_{n}{i}") for i in range(3) for n in SIGNS]
+    f = seen.groupBy("path").agg(F.max("_tab").alias("_tab"), F.sum("_semis").alias("_semis"), F.sum("_commas").alias("_commas"),
+                                 F.min_by(F.struct("line", *[f"_s{i}" for i in range(3)]), "pos").alias("_h"), F.count("*").alias("_n"), *sums)
+    which = F.when(F.col("_tab"), 0).when((F.col("_semis") > 0) & (F.col("_semis") > F.col("_commas")), 1).when(F.col("_commas") > 0, 2).otherwise(0)
+    f = f.withColumn("_d", which)
+
+    def chosen(name):
+        return F.coalesce(*[F.when(F.col("_d") == i, F.col(f"_{name}{i}") - F.col(f"_h._s{i}.{name}")) for i in range(3)]).alias(name)
+
+    delimiter = F.element_at(F.lit(DELIMITERS), F.col("_d") + 1)
+    return f.select("path", delimiter.alias("delimiter"), cells(F.col("_h.line"), delimiter).alias("header"), F.col("_h.line").alias("header_line"),
+                    (F.col("_n") - 1).alias("n_rows"), *[chosen(n) for n in SIGNS])
+
+
+def panel_rows(lines: DataFrame, found: DataFrame) -> DataFrame:
+    """(path, pos, header, cells and the other columns of `found`, the profiles) of rows that name a panel gene in some column.
+
+    A line with a tab can only be cut at tabs. The header is left out: where it names a panel gene it is the first such line of its file.
     """
-    p = settle(parsed.withColumn("_g", gene_column(F.col("rows"), F.size("header"))))
-    g = F.col("_g")
-    wanted = F.filter("rows", lambda r: F.coalesce(genes.is_target_gene(F.get(r, g)), F.lit(False)))
-    r = p.select("path", "header", "_g", F.posexplode(wanted).alias("_row", "r"))
-    r = r.withColumn("gene", F.get("r", g)).withColumn("gene_symbol", genes.resolve_alias(F.get("r", g)))
-    last = r.groupBy("path", "gene_symbol").agg(F.max_by(F.struct("gene", "header", "_g", "r"), "_row").alias("x"))
+    line = F.col("line")
+
+    def named(d):
+        return F.exists(_cut_line(line, d), lambda c: F.coalesce(genes.is_target_gene(c), F.lit(False)))
+
+    some = F.when(F.contains(line, F.lit("\t")), named("\t")).otherwise(named(";") | named(",") | F.coalesce(genes.is_target_gene(unquote(line)), F.lit(False)))
+    kept = cut(lines.where((line != "") & some).select("path", "pos", "line"))
+    first = kept.groupBy("path").agg(F.min("pos").alias("_first"))
+    rows = kept.join(first, "path").join(found, "path").where((F.col("pos") != F.col("_first")) | (line != F.col("header_line")))
+    return settle(rows.withColumn("cells", cells(line, F.col("delimiter")))).drop("line", "_first", "header_line", "delimiter")
+
+
+def gene_columns(rows: DataFrame) -> DataFrame:
+    """(path, gene_at): the column with the most panel genes over all rows of a file; the first of equal ones."""
+    hits = F.filter(F.transform("cells", lambda c, i: F.when(F.coalesce(genes.is_target_gene(c), F.lit(False)), i)), lambda i: i.isNotNull())
+    inside = F.filter(hits, lambda i: i < F.size("header"))
+    counted = rows.select("path", F.explode(inside).alias("c")).groupBy("path", "c").agg(F.count("*").alias("n"))
+    return counted.groupBy("path").agg(F.min(F.struct((-F.col("n")).alias("n"), "c"))["c"].alias("gene_at"))
+
+
+def _named_at(rows: DataFrame) -> DataFrame:
+    """Rows whose cell at `gene_at` is a panel gene, with `gene` and `gene_symbol`."""
+    gene = F.get("cells", F.col("gene_at"))
+    return rows.where(F.coalesce(genes.is_target_gene(gene), F.lit(False))).withColumn("gene", gene).withColumn("gene_symbol", genes.resolve_alias(gene))
+
+
+def _last_cells(named: DataFrame) -> DataFrame:
+    """(path, gene, gene_symbol, gene_at, c, sample, v): the cells of each gene's last row, beside their header."""
+    last = named.groupBy("path", "gene_symbol").agg(F.max_by(F.struct("gene", "header", "gene_at", "cells"), "pos").alias("x"))
     r = last.select("path", "gene_symbol", "x.*")
-    width = F.least(F.size("header"), F.size("r"))
-    c = r.select("path", "gene", "gene_symbol", "_g", F.posexplode(F.arrays_zip(
-        F.slice("header", F.lit(1), width).alias("h"), F.slice("r", F.lit(1), width).alias("v"))).alias("_c", "z"))
-    return c.where(F.col("_c") != F.col("_g")).select(
-        "path", "gene", "gene_symbol", F.col("z.h").alias("sample"), to_double(F.col("z.v")).alias("value"))
+    width = F.least(F.size("header"), F.size("cells"))
+    return r.select("path", "gene", "gene_symbol", "gene_at", F.posexplode(F.arrays_zip(
+        F.slice("header", F.lit(1), width).alias("h"), F.slice("cells", F.lit(1), width).alias("v"))).alias("c", "z")).select(
+        "path", "gene", "gene_symbol", "gene_at", "c", F.col("z.h").alias("sample"), F.col("z.v").alias("v"))
+
+
+def count_cells(rows: DataFrame) -> DataFrame:
+    """(path, gene, gene_symbol, sample, value) of panel rows; of a gene listed twice the last row counts.
+
+    Cells that are no numbers give NULL.
+    """
+    c = _last_cells(_named_at(rows.join(gene_columns(rows), "path")))
+    return c.where(F.col("c") != F.col("gene_at")).select("path", "gene", "gene_symbol", "sample", to_double(F.col("v")).alias("value"))
 
 
 # Header words of gene, fold change, adjusted p and mean columns, tried in order.
@@ -84,15 +152,12 @@ def _index(tests: list[Column]) -> Column:
     return F.coalesce(*[F.nullif(t, F.lit(0)) for t in tests]).cast("int") - 1
 
 
-def header_gene_column(header: Column, rows: Column) -> Column:
-    """Gene column by its name, else the first column if five values and half of all look like symbols or Ensembl ids."""
+def header_gene_column(header: Column) -> Column:
+    """Gene column by its name, else the first column if five values and half of all (of a profile) look like symbols or Ensembl ids."""
     low = F.transform(header, lambda h: F.lower(F.trim(h)))
     named = _index([F.array_position(low, F.lit(n)) for n in GENE_HEADERS])
-    some = F.filter(F.transform(rows, lambda r: F.trim(F.get(r, F.lit(0)))), lambda v: v != "")
-    enough = F.greatest(F.lit(5), F.size(some) / 2)
-    symbols = F.size(F.filter(some, lambda v: v.rlike(r"^[A-Z][A-Z0-9]{1,15}$")))
-    ensembl = F.size(F.filter(some, lambda v: v.startswith("ENSG")))
-    return F.coalesce(named, F.when((symbols >= enough) | (ensembl >= enough), 0))
+    enough = F.greatest(F.lit(5), F.col("filled") / 2)
+    return F.coalesce(named, F.when((F.col("symbol") >= enough) | (F.col("ensembl") >= enough), 0))
 
 
 def named_column(header: Column, patterns: list[str]) -> Column:
@@ -106,53 +171,44 @@ def named_column(header: Column, patterns: list[str]) -> Column:
     return _index(exact + [containing(p) for p in patterns])
 
 
-def classify(parsed: DataFrame) -> DataFrame:
-    """Kind of each table: deg_list, count_matrix, pathway_table, sample_metadata or other; values are judged over all rows."""
+def classify(found: DataFrame) -> DataFrame:
+    """The profiles with `kind`: deg_list, count_matrix, pathway_table, sample_metadata or other; values are judged over all rows."""
     low = F.transform("header", lambda h: F.lower(F.trim(h)))
 
     def any_like(pattern):
         return F.exists(low, lambda h: h.rlike(pattern))
 
     numeric = F.size(F.filter(low, lambda h: ~h.rlike("gene|symbol|name|id|description|chr")))
-    odd = F.size(F.filter("rows", lambda r: (F.get(r, F.lit(1)) != "") & to_double(F.get(r, F.lit(1))).isNull()))
-    is_number = odd * 10 <= F.size("rows")
+    is_number = F.col("odd") * 10 <= F.col("n_rows")
     kind = (
-        F.when((F.size("header") < 2) | (F.size("rows") == 0), "other")
+        F.when((F.size("header") < 2) | (F.col("n_rows") == 0), "other")
         .when(any_like("log2|fold|logfc") & any_like(r"padj|fdr|pvalue|p\.value|p_value"), "deg_list")
         .when(F.exists(low, lambda h: h.isin(UNIT_HEADERS)), "count_matrix")
         .when((numeric >= 3) & (F.size("header") >= 5) & is_number, "count_matrix")
         .when(any_like("pathway|go_term|kegg|enrichment"), "pathway_table")
         .when(any_like("sample|condition|treatment"), "sample_metadata").otherwise("other"))
-    return settle(parsed.withColumn("kind", kind))
+    return settle(found.withColumn("kind", kind))
+
+
+def _by_header(rows: DataFrame) -> DataFrame:
+    return _named_at(settle(rows.withColumn("gene_at", header_gene_column(F.col("header")))).where("gene_at IS NOT NULL"))
 
 
-def deg_rows(parsed: DataFrame) -> DataFrame:
-    """(path, gene, gene_symbol, log2fc, padj, basemean) of panel genes in differential expression tables."""
-    p = settle(parsed.withColumn("_g", header_gene_column(F.col("header"), F.col("rows")))).where("_g IS NOT NULL")
+def deg_rows(rows: DataFrame) -> DataFrame:
+    """(path, gene, gene_symbol, log2fc, padj, basemean) of panel rows of differential expression tables."""
+    r = _by_header(rows)
     for name, patterns in (("_fc", FOLD_HEADERS), ("_p", PADJ_HEADERS), ("_m", MEAN_HEADERS)):
-        p = p.withColumn(name, named_column(F.col("header"), patterns))
-    p = settle(p)
-    r = p.select("path", "_g", "_fc", "_p", "_m", F.explode(F.filter(
-        "rows", lambda x: F.coalesce(genes.is_target_gene(F.get(x, F.col("_g"))), F.lit(False)))).alias("r"))
-    gene = F.get("r", F.col("_g"))
-    return r.select("path", gene.alias("gene"), genes.resolve_alias(gene).alias("gene_symbol"),
-                    *[to_double(F.get("r", F.col(c))).alias(n) for c, n in
-                      (("_fc", "log2fc"), ("_p", "padj"), ("_m", "basemean"))])
+        r = r.withColumn(name, named_column(F.col("header"), patterns))
+    r = settle(r)
+    return r.select("path", "gene", "gene_symbol", *[to_double(F.get("cells", F.col(c))).alias(n) for c, n in
+                                                     (("_fc", "log2fc"), ("_p", "padj"), ("_m", "basemean"))])
 
 
-def expression_cells(parsed: DataFrame) -> DataFrame:
+def expression_cells(rows: DataFrame) -> DataFrame:
     """(path, gene, gene_symbol, sample, value) of supplement matrices; annotation columns are no samples."""
-    p = settle(parsed.withColumn("_g", header_gene_column(F.col("header"), F.col("rows")))).where("_g IS NOT NULL")
-    r = p.select("path", "header", "_g", F.posexplode(F.filter(
-        "rows", lambda x: F.coalesce(genes.is_target_gene(F.get(x, F.col("_g"))), F.lit(False)))).alias("_row", "r"))
-    r = r.withColumn("gene", F.get("r", F.col("_g")))
-    r = r.withColumn("gene_symbol", genes.resolve_alias(F.col("gene")))
-    last = r.groupBy("path", "gene_symbol").agg(F.max_by(F.struct("gene", "header", "_g", "r"), "_row").alias("x"))
-    c = last.select("path", "gene_symbol", "x.*").select(
-        "path", "gene", "gene_symbol", "_g", F.posexplode(F.arrays_zip(
-            F.col("header").alias("h"), F.col("r").alias("v"))).alias("_c", "z"))
-    return c.where((F.col("_c") != F.col("_g")) & ~F.col("z.h").rlike(META_HEADER)).select(
-        "path", "gene", "gene_symbol", F.col("z.h").alias("sample"), to_double(F.col("z.v")).alias("value"))
+    c = _last_cells(_by_header(rows))
+    return c.where((F.col("c") != F.col("gene_at")) & ~F.col("sample").rlike(META_HEADER)).select(
+        "path", "gene", "gene_symbol", "sample", to_double(F.col("v")).alias("value"))
 
 
 def preview_markdown(parsed: DataFrame, limit: int | None = None) -> DataFrame:

@@ -1,6 +1,7 @@
 import gzip
 import io
 import json
+import random
 import zipfile
 
 from pyspark.sql import functions as F
@@ -13,6 +14,15 @@ def frame(spark, content, path="a.csv"):
     return spark.createDataFrame([(path, content)], "path string, content string")
 
 
+def lined(spark, content, path="a.csv", key="path"):
+    return files.split_lines(spark.createDataFrame([(path, content)], f"{key} string, content string"), key)
+
+
+def panel(spark, content):
+    lines = lined(spark, content)
+    return tables.panel_rows(lines, tables.profiles(lines))
+
+
 def test_triage_import(spark, tmp_path):
     lines = ['{"pmc_id": "PMC1", "title": "first", "category": "review", "confidence": 0.9}', "", "not json", '{"title": "no id"}',
              '{"pmc_id": "PMC1", "title": "second", "category": "review"}', '{"pmc_id": "PMC2", "title": "two", "supplement_signal": true}']
@@ -56,25 +66,25 @@ def test_count_table_delimiters(spark):
     for d in ("\t", ",", ";"):
         text = d.join(["id", "gene", '"s1"', "s2"]) + "\n" + d.join(["1", '"ALB"', "1.5", "x"]) + "\n" + d.join(["2", "FOO", "1", "2"]) + "\n" \
             + d.join(["3", "albumin", "7", "8"])
-        rows = tables.count_cells(tables.parse(frame(spark, text))).collect()
+        rows = tables.count_cells(panel(spark, text)).collect()
         assert {(r["gene_symbol"], r["sample"], r["value"]) for r in rows} == {("ALB", "id", 3.0), ("ALB", "s1", 7.0), ("ALB", "s2", 8.0)}
 
 
 def test_classify_and_deg(spark):
     deg = "Gene Symbol\tlog2 Fold Change\tp value\tpadj\nALB\t1.5\t0.1\t0.01\nFOO\t1\t1\t1\nOCT4\t-2\t0.2\tNA\n"
-    p = tables.classify(tables.parse(frame(spark, deg)))
+    p = tables.classify(tables.profiles(lined(spark, deg)))
     assert p.first()["kind"] == "deg_list"
     head = "gene\tlog2FC\tpadj\nALB\t1.5\t0.01\nOCT4\t-2\tNA\n"
-    rows = {r["gene_symbol"]: (r["log2fc"], r["padj"]) for r in tables.deg_rows(tables.parse(frame(spark, head))).collect()}
+    rows = {r["gene_symbol"]: (r["log2fc"], r["padj"]) for r in tables.deg_rows(panel(spark, head)).collect()}
     assert rows == {"ALB": (1.5, 0.01), "POU5F1": (-2.0, None)}
     kinds = {"gene,tpm\nA,1\n": "count_matrix", "gene,a,b,c,d\nA,1,2,3,4\n": "count_matrix", "pathway,x\nA,1\n": "pathway_table",
              "sample,x\nA,1\n": "sample_metadata", "a,b\n1,2\n": "other", "a\n1\n": "other"}
     for text, kind in kinds.items():
-        assert tables.classify(tables.parse(frame(spark, text))).first()["kind"] == kind, text
+        assert tables.classify(tables.profiles(lined(spark, text))).first()["kind"] == kind, text
 
 
 def test_expression_table_drops_annotation(spark):
-    rows = tables.expression_cells(tables.parse(frame(spark, "gene,description,WT,KO\nALB,x,1,2\n"))).collect()
+    rows = tables.expression_cells(panel(spark, "gene,description,WT,KO\nALB,x,1,2\n")).collect()
     assert {(r["sample"], r["value"]) for r in rows} == {("WT", 1.0), ("KO", 2.0)}
 
 
@@ -90,16 +100,52 @@ def test_previews(spark):
 def test_series_matrix(spark):
     text = ('!Series_platform_id\t"GPL570"\n!Sample_title\t"t1"\t"t2"\n!Sample_geo_accession\t"GSM1"\t"GSM2"\n"ID_REF"\t"GSM1"\t"GSM2"\n'
             '"p1"\t1\t3\t99\n"p2"\t5\tNA\n"p3"\t0\t0\n!series_matrix_table_end\n"ALB"\t9\t9\n')
-    f = frame(spark, text, "m")
+    f = lined(spark, text, "m")
     t = matrix.tables(f)
-    assert t.first()["platform"] == "GPL570" and len(t.first()["body"]) == 3
+    assert t.frames.first()["platform"] == "GPL570" and t.body.count() == 0
     assert matrix.gene_cells(t).count() == 0
-    ann = spark.createDataFrame([("GPL570", "#c\nID\tGene Symbol\nx\t---\np1\tFOO /// ALB\np2\talbumin\n")], "platform string, content string")
-    best = retrieval.best_probe(matrix.probe_rows(t, matrix.probe_genes(ann)))
+    ann = lined(spark, "#c\nID\tGene Symbol\nx\t---\np1\tFOO /// ALB\np2\talbumin\n", "GPL570", "platform")
+    probes = matrix.probe_genes(ann)
+    best = retrieval.best_probe(matrix.probe_rows(matrix.tables(f, probes), probes))
     assert {(r["probe"], r["sample"], r["value"]) for r in best.collect()} == {("p2", "GSM1", 5.0), ("p2", "GSM2", None)}
     assert {(r["gsm_id"], r["title"]) for r in matrix.sample_titles(f).collect()} == {("GSM1", "t1"), ("GSM2", "t2")}
 
 
+def test_files_are_read_by_lines_in_many_splits(spark, tmp_path):
+    rng = random.Random(3)
+    named = ["ALB", "OCT4", "AFP"]
+    body = [f'"{rng.choice(named) if i % 40 == 0 else f"p{i}"}"\t{i}\t{i + 0.5}' for i in range(600)]
+    for name, blanks in (("a", 3), ("b", 0)):
+        head = ['!Series_platform_id\t"GPL570"', *[""] * blanks, '"ID_REF"\t"GSM1"\t"GSM2"']
+        (tmp_path / f"{name}.txt").write_text("\n".join([*head, *body, "!series_matrix_table_end", '"CYP3A4"\t9\t9']) + "\n")
+    rows = [f"{rng.choice(named) if i % 30 == 0 else f'g{i}'},{i},{'' if i % 7 else 'x'}" for i in range(500)]
+    (tmp_path / "c.csv").write_text("\n".join(["ALB,s1,s2", *rows]))  # a header that itself names a panel gene
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        lines = files.lines(spark, str(tmp_path), "*.txt")
+        assert lines.rdd.getNumPartitions() > 10
+        whole = matrix.gene_cells(matrix.tables(files.split_lines(files.texts(spark, str(tmp_path), "*.txt"))))
+        key = lambda df: sorted((r["path"][-5:], r["gene_symbol"], r["sample"], r["value"]) for r in df.collect())
+        got = key(matrix.gene_cells(matrix.tables(lines)))
+        want = {}
+        for line in body:
+            gene, a, b = line.replace('"', "").split("\t")
+            if gene in named:
+                want[{"OCT4": "POU5F1"}.get(gene, gene)] = (float(a), float(b))
+        assert got == key(whole) == sorted((f"{f}.txt", g, s, v) for f in "ab" for g, vs in want.items() for s, v in zip(("GSM1", "GSM2"), vs))
+        lines = files.lines(spark, str(tmp_path), "*.csv")
+        found = tables.profiles(lines)
+        p = found.first()
+        assert (p["delimiter"], p["header"], p["n_rows"], p["filled"], p["odd"]) == (",", ["ALB", "s1", "s2"], 500, 500, 0)
+        last = {{"OCT4": "POU5F1"}.get(g, g): float(v) for g, v, _ in (r.split(",") for r in rows) if g in named}
+        cells = tables.count_cells(tables.panel_rows(lines, found)).collect()
+        assert {r["gene_symbol"]: r["value"] for r in cells if r["sample"] == "s1"} == last
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_soft(spark):
     text = ("^SAMPLE = GSM1\n!Sample_title = a = b\n!Sample_characteristics_ch1 = cell: iPSC\n!Sample_characteristics_ch1 = bare\n"
             "!Sample_characteristics_ch1 = cell: ESC\n!Sample_relation = SRA: https://x?term=SRX12\n^SAMPLE = GSM2\n!Sample_title = z\n")
