@@ -22,6 +22,7 @@ import hashlib
 import json
 import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ from assaymill.llm import arrowtext, bpe
 #: A vocabulary file of more bytes than this is refused: it travels to every executor.
 MAX_VOCABULARY_BYTES = 64 << 20
 #: Characters of text that are aligned at once.
-SLICE_CHARS = 4 << 20
+SLICE_CHARS = 1 << 20
 #: Bytes of the units whose ids a task keeps for each side; a full cache starts anew.
 CACHE_BYTES = 4 << 20
 #: Pairs that a task sums before it sends them.
@@ -63,7 +64,8 @@ class Side:
         digits = [str(i).encode() for i in range(len(tokens))]
         self.n_digits = np.array([len(d) for d in digits], np.int64)
         self.digits = np.frombuffer(b"".join(d.ljust(len(digits[-1])) for d in digits), np.uint8).reshape(len(digits), -1)
-        self.known: dict[bytes, tuple[bytes, bool]] = {}
+        self.known: dict[bytes, bytes] = {}
+        self.bad: set[bytes] = set()
         self.held = 0
 
     def units(self, data: bytes, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -73,26 +75,38 @@ class Side:
         raw = coded.dictionary.to_pylist()
         if self.held > CACHE_BYTES:
             self.known.clear()
+            self.bad.clear()
             self.held = 0
-        new = [u for u in raw if u not in self.known]
-        for unit, ids in zip(new, self.encode([u.decode() for u in new]) if new else [], strict=True):
-            same = b"".join([self.tokens[i] for i in ids]) == unit
-            self.known[unit] = np.array(ids, np.uint32).tobytes(), same
-        self.held += sum(map(len, new))
+        self.learn([u for u in raw if u not in self.known])
         found = [self.known[u] for u in raw]
-        flat = np.frombuffer(b"".join([f[0] for f in found]), np.uint32)
-        count = np.array([len(f[0]) // 4 for f in found], np.int64)
+        bad = np.array([u in self.bad for u in raw], bool) if self.bad else np.zeros(len(raw), bool)
+        flat = np.frombuffer(b"".join(found), np.uint32)
+        count = np.fromiter(map(len, found), np.int64, len(found)) // 4
         code = coded.indices.to_numpy()
         first, size = (np.cumsum(count) - count)[code], count[code]
         ends = np.cumsum(size)
         place = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first - (ends - size), size)
-        return flat[place], size, np.array([f[1] for f in found], bool)[code]
+        return flat[place], size, ~bad[code]
+
+    def learn(self, new: list[bytes]) -> None:
+        """Enter the ids of new units, and those among them whose ids have other bytes."""
+        found = self.encode([u.decode() for u in new]) if new else []
+        count = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), np.uint32, int(count.sum()))
+        ends = (4 * np.cumsum(count)).tolist()
+        raw = ids.tobytes()
+        self.known.update((u, raw[a:b]) for u, a, b in zip(new, [0, *ends], ends, strict=False))
+        whole = np.concatenate([[0], np.cumsum(self.size[ids])])[np.concatenate([[0], np.cumsum(count)])]
+        width = np.fromiter(map(len, new), np.int64, len(new))
+        if not np.array_equal(np.diff(whole), width) or b"".join([self.tokens[i] for i in ids.tolist()]) != b"".join(new):
+            self.bad.update(u for u, own in zip(new, found, strict=True) if b"".join([self.tokens[i] for i in own]) != u)
+        self.held += int(width.sum())
 
 
 class ByteLevel(Side):
-    """Byte-level BPE from a tokenizer file."""
+    """Byte-level BPE from a tokenizer file; classes: as `character_classes` gives them."""
 
-    def __init__(self, vocabulary: bytes):
+    def __init__(self, vocabulary: bytes, classes: np.ndarray):
         from tokenizers import Tokenizer
 
         spec = json.loads(vocabulary)
@@ -104,21 +118,7 @@ class ByteLevel(Side):
         letters = {_byte_letter(byte): byte for byte in range(256)}
         entry = {i: t for t, i in spec["model"]["vocab"].items()}
         super().__init__([bytes(letters[c] for c in entry.get(i, "")) for i in range(max(entry) + 1)])
-        self.classes = self._classes()
-
-    @staticmethod
-    def _classes() -> np.ndarray:
-        """The class of every code point as the library's patterns have it."""
-        from tokenizers import Regex, pre_tokenizers
-
-        points = np.array([*range(0xD800), *range(0xE000, 0x110000)])
-        every, out = "".join(map(chr, points.tolist())), np.zeros(0x110000, np.uint8)
-        for kind, pattern in ((bpe.LETTER, r"\p{L}+"), (bpe.NUMBER, r"\p{N}+"), (bpe.SPACE, r"\s+")):
-            left = np.zeros(len(points), bool)
-            for _, (a, b) in pre_tokenizers.Split(Regex(pattern), "removed").pre_tokenize_str(every):
-                left[a:b] = True
-            out[points[~left]] = kind
-        return out
+        self.classes = classes
 
     def encode(self, units: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(units, add_special_tokens=False)]
@@ -127,6 +127,24 @@ class ByteLevel(Side):
         return bpe.cut_starts(texts, self.classes)[1]
 
 
+def character_classes() -> np.ndarray:
+    """The class of every code point as the first library's patterns have it."""
+    from tokenizers import Regex, pre_tokenizers
+
+    out = np.zeros(0x110000, np.uint8)
+    kinds = [(kind, pre_tokenizers.Split(Regex(pattern), "removed")) for kind, pattern in
+             ((bpe.LETTER, r"\p{L}+"), (bpe.NUMBER, r"\p{N}+"), (bpe.SPACE, r"\s+"))]
+    for start in range(0, len(out), 1 << 14):
+        points = [c for c in range(start, min(start + (1 << 14), len(out))) if not 0xD800 <= c < 0xE000]
+        some = "".join(map(chr, points))
+        for kind, split in kinds if some else []:
+            left = np.zeros(len(points), bool)
+            for _, (a, b) in split.pre_tokenize_str(some):
+                left[a:b] = True
+            out[np.array(points)[~left]] = kind
+    return out
+
+
 def _byte_letter(byte: int) -> str:
     """The character that stands for a byte in a byte-level vocabulary: itself where printable, else the next from 256 on."""
     printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -153,7 +171,8 @@ class Pieces(Side):
         self.blank = self.library.piece_to_id("▁")
 
     def encode(self, units: list[str]) -> list[list[int]]:
-        return [self.library.encode(u[1:]) if len(u) > 1 else [self.blank] for u in units]
+        found = self.library.encode([u[1:] for u in units], num_threads=1)
+        return [ids if len(u) > 1 else [self.blank] for u, ids in zip(units, found, strict=True)]
 
     def starts(self, texts: list[str], data: bytes, edges: np.ndarray) -> np.ndarray:
         buf = np.frombuffer(data, np.uint8)
@@ -293,18 +312,30 @@ def _unpacked(data: bytes | None) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(both[:len(both) // 2]), both[len(both) // 2:]
 
 
+_HELD: dict[int, tuple[Side, Side]] = {}
+
+
+def _sides(held) -> tuple[Side, Side]:
+    """The two sides of a broadcast, kept by a worker for its next tasks."""
+    if held.id not in _HELD:
+        _HELD.clear()
+        a, b, classes = held.value
+        _HELD[held.id] = ByteLevel(a, classes), Pieces(b)
+    return _HELD[held.id]
+
+
 def linked(docs: DataFrame, a: bytes, b: bytes, keep_text: bool) -> tuple[DataFrame, DataFrame]:
     """(documents with their own counts, `chunk` and packed `links`; chunks with their sorted `pairs` and the documents that hold each)."""
     spark = docs.sparkSession
     arrowtext.bounded_batches(spark)
-    held = spark.sparkContext.broadcast((a, b))
+    held = spark.sparkContext.broadcast((a, b, character_classes()))
     kept = [T.StructField(f.name, f.dataType) for f in docs.schema.fields if f.name not in ADDED and (keep_text or f.name != "text")]
     own = [*(T.StructField(c, T.LongType()) for c in ADDED[:4]), T.StructField("groups_sha256", T.StringType()),
            T.StructField("_chunk", T.StringType()), T.StructField("_links", T.BinaryType())]
     schema = T.StructType([*kept, *own, T.StructField("_pairs", T.BinaryType()), T.StructField("_docs", T.BinaryType())])
 
     def run(batches):
-        sides = ByteLevel(held.value[0]), Pieces(held.value[1])
+        sides = _sides(held)
         for number, part in enumerate(arrowtext.chunks(batches)):
             chunk, n = f"{TaskContext.get().partitionId()}-{number}", part.num_rows
             found = Aligned(n)

@@ -25,7 +25,7 @@ def libraries():
 
 @pytest.fixture(scope="module")
 def sides():
-    return alignment.ByteLevel(A), alignment.Pieces(B)
+    return alignment.ByteLevel(A, alignment.character_classes()), alignment.Pieces(B)
 
 
 def tokens(libraries, sides, text):
