@@ -312,30 +312,30 @@ def _unpacked(data: bytes | None) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(both[:len(both) // 2]), both[len(both) // 2:]
 
 
-_HELD: dict[int, tuple[Side, Side]] = {}
+_HELD: dict[str, tuple[Side, Side]] = {}
 
 
-def _sides(held) -> tuple[Side, Side]:
-    """The two sides of a broadcast, kept by a worker for its next tasks."""
-    if held.id not in _HELD:
+def _sides(key: str, held) -> tuple[Side, Side]:
+    """The two sides of a broadcast, kept by a worker for its next tasks; key: a digest of the vocabularies."""
+    if key not in _HELD:
         _HELD.clear()
         a, b, classes = held.value
-        _HELD[held.id] = ByteLevel(a, classes), Pieces(b)
-    return _HELD[held.id]
+        _HELD[key] = ByteLevel(a, classes), Pieces(b)
+    return _HELD[key]
 
 
 def linked(docs: DataFrame, a: bytes, b: bytes, keep_text: bool) -> tuple[DataFrame, DataFrame]:
     """(documents with their own counts, `chunk` and packed `links`; chunks with their sorted `pairs` and the documents that hold each)."""
     spark = docs.sparkSession
     arrowtext.bounded_batches(spark)
-    held = spark.sparkContext.broadcast((a, b, character_classes()))
+    held, key = spark.sparkContext.broadcast((a, b, character_classes())), hashlib.sha256(a + b).hexdigest()
     kept = [T.StructField(f.name, f.dataType) for f in docs.schema.fields if f.name not in ADDED and (keep_text or f.name != "text")]
     own = [*(T.StructField(c, T.LongType()) for c in ADDED[:4]), T.StructField("groups_sha256", T.StringType()),
            T.StructField("_chunk", T.StringType()), T.StructField("_links", T.BinaryType())]
     schema = T.StructType([*kept, *own, T.StructField("_pairs", T.BinaryType()), T.StructField("_docs", T.BinaryType())])
 
     def run(batches):
-        sides = _sides(held)
+        sides = _sides(key, held)
         for number, part in enumerate(arrowtext.chunks(batches)):
             chunk, n = f"{TaskContext.get().partitionId()}-{number}", part.num_rows
             found = Aligned(n)
