@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assaymill import dims
@@ -52,38 +52,91 @@ def _empty(df: DataFrame) -> bool:
     return not df.take(1)
 
 
-def _peel(edges: DataFrame, cut_every: int = 4) -> tuple[list[DataFrame], DataFrame]:
-    """Peel sources round by round. Returns the per-round frames of peeled nodes and the edges left on cycles.
+#: Rounds of a graph computation that one job does before anything is asked of its outcome; a plan doubles with each.
+ROUNDS = 2
 
-    Round k holds the nodes whose longest path from a source has k edges. A node stays while an edge still
-    points at it; an edge stays while its source does.
+
+#: Nodes are hung while at least one edge in this many leads to such a node.
+WORTH = 8
+
+
+def _hang(edges: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """Take off every node with one predecessor: (nodes off `(id, root, dist)`, the edges `(src, dst, w)` between the others).
+
+    Such a node's level is its predecessor's plus the edge's weight, so it hangs from the first node above it that has none or several
+    predecessors. Pointer doubling finds that root in as many rounds as the logarithm of the longest chain. Chains that
+    end nowhere are cycles: their nodes stay, with an edge to themselves that keeps them from being peeled.
     """
-    levels, left, k = [], edges, 0
-    while True:
-        targets = left.select(F.col("dst").alias("id")).distinct()
-        free = left.select(F.col("src").alias("id")).distinct().join(targets, "id", "left_anti")
-        free = cut(free)
-        if _empty(free):
+    one = edges.groupBy("dst").agg(F.count("*").alias("n"), F.min("src").alias("to"), F.max("w").alias("dist"))
+    pointers = cut(one.where("n = 1 AND `to` <> dst").select(F.col("dst").alias("id"), "to", "dist"))
+    n = pointers.count()
+    if n * WORTH < edges.count() or not n:  # few nodes to hang: peeling is no dearer
+        return None
+    ids = pointers.select("id")
+    for _ in range(n.bit_length() + 1):
+        further = pointers.select(F.col("id").alias("to"), F.col("to").alias("_to"), F.col("dist").alias("_dist"))
+        found = cut(pointers.join(further, "to", "left").select(
+            "id", F.coalesce("_to", "to").alias("to"), (F.col("dist") + F.coalesce("_dist", F.lit(0))).alias("dist"), F.col("_to").isNotNull().alias("moved")))
+        pointers = found.drop("moved")
+        if _empty(found.where("moved")):
             break
-        levels.append(free.withColumn("level", F.lit(k)))
-        left = left.join(free.withColumnRenamed("id", "src"), "src", "left_anti")
-        k += 1
-        if k % cut_every == 0:
-            left = cut(left)
-    return levels, left
+    endless = cut(pointers.join(ids.withColumnRenamed("id", "to"), "to", "left_semi").select("id"))
+    hung = cut(pointers.join(endless, "id", "left_anti").select("id", F.col("to").alias("root"), "dist"))
+    up = hung.select(F.col("id").alias("src"), "root", "dist")
+    rest = (edges.join(ids.withColumnRenamed("id", "dst"), "dst", "left_anti").join(up, "src", "left")
+            .select(F.coalesce("root", "src").alias("src"), "dst", (F.col("w") + F.coalesce("dist", F.lit(0))).alias("w")))
+    rest = rest.unionByName(endless.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(1).cast("bigint").alias("w")))
+    return hung, cut(rest.groupBy("src", "dst").agg(F.max("w").alias("w")))
+
+
+def _peel(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((id, level) by the longest weighted path, the ids left on and behind cycles), sources first, ROUNDS levels in a job.
+
+    A node carries how many of its predecessors are still to come; it is sent on once that is none. One aggregation adds up what it gets.
+    """
+    ends = edges.select(F.col("src").alias("id"), F.lit(0).cast("bigint").alias("open")).unionByName(
+        edges.select(F.col("dst").alias("id"), F.lit(1).cast("bigint").alias("open")))
+    nodes = ends.groupBy("id").agg(F.sum("open").alias("open")).withColumn("level", F.lit(0).cast("bigint"))
+    nodes = cut(nodes.withColumn("fresh", F.col("open") == 0))
+    while not nodes.where("fresh").isEmpty():
+        for _ in range(ROUNDS):
+            free = nodes.where("fresh").select(F.col("id").alias("src"), "level")
+            sent = edges.join(free, "src").select(F.col("dst").alias("id"), F.lit(-1).cast("bigint").alias("open"), (F.col("level") + F.col("w")).alias("level"),
+                                                  F.lit(True).alias("fresh"))
+            nodes = nodes.withColumn("fresh", F.lit(False)).unionByName(sent).groupBy("id").agg(
+                F.sum("open").alias("open"), F.max("level").alias("level"), F.max("fresh").alias("fresh"))
+            nodes = nodes.withColumn("fresh", F.col("fresh") & (F.col("open") == 0))
+        nodes = cut(nodes)
+    return nodes.select("id", "level"), nodes.where("open > 0").select("id")
+
+
+def _levels(edges: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """((id, level) of the nodes of `edges`, the ids on or behind a cycle, None if there is none)."""
+    rest, off = cut(edges.select("src", "dst", F.lit(1).cast("bigint").alias("w"))), []
+    while (step := _hang(rest)) is not None:
+        off.append(step[0])
+        rest = step[1]
+    levels, left = _peel(rest)
+    stuck = None if left.isEmpty() else cut(left)
+    for hung in reversed(off):
+        roots = hung.select(F.col("root").alias("id")).distinct().join(levels.select("id"), "id", "left_anti")
+        levels = levels.unionByName(roots.withColumn("level", F.lit(0).cast("bigint")))
+        own = hung.join(levels.withColumnRenamed("id", "root"), "root").select("id", (F.col("level") + F.col("dist")).alias("level"))
+        if stuck is not None:
+            stuck = cut(stuck.unionByName(hung.join(stuck.withColumnRenamed("id", "root"), "root", "left_semi").select("id")))
+        levels = cut(levels.unionByName(own))
+    return levels, stuck
 
 
 def _spread(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Largest colour that reaches each node along edges (src -> dst), until nothing changes."""
+    """Largest colour that reaches each node along edges (src -> dst), until nothing changes; ROUNDS steps in a job."""
     while True:
-        best = (edges.join(nodes.select(F.col("id").alias("src"), "colour"), "src")
-                .groupBy(F.col("dst").alias("id")).agg(F.max("colour").alias("_in")))
-        nxt = cut(nodes.join(best, "id", "left").select(
-            "id", F.greatest("colour", F.coalesce("_in", "colour")).alias("colour"),
-            (F.coalesce("_in", "colour") > F.col("colour")).alias("_moved")))
-        moved = not _empty(nxt.where("_moved"))
-        nodes = nxt.drop("_moved")
-        if not moved:
+        begun = nodes
+        for _ in range(ROUNDS):
+            sent = edges.join(nodes.select(F.col("id").alias("src"), "colour"), "src").select(F.col("dst").alias("id"), "colour")
+            nodes = nodes.unionByName(sent).groupBy("id").agg(F.max("colour").alias("colour"))
+        nodes = cut(nodes)
+        if nodes.join(begun.withColumnRenamed("colour", "_old"), "id").where("colour > _old").isEmpty():
             return nodes
 
 
@@ -114,9 +167,13 @@ def break_cycles(edges: DataFrame) -> DataFrame:
 
     Every cycle has such an edge, and edges between components all stay.
     """
-    _, core = _peel(edges)
-    if _empty(core):
-        return edges
+    _, stuck = _levels(edges)
+    return edges if stuck is None else _without_cycles(edges, stuck)
+
+
+def _without_cycles(edges: DataFrame, stuck: DataFrame) -> DataFrame:
+    core = edges.join(stuck.select(F.col("id").alias("src")), "src", "left_semi").join(stuck.select(F.col("id").alias("dst")), "dst", "left_semi")
+    core = cut(core.select("src", "dst"))
     comp = strongly_connected(core)
     marked = (core.join(comp.select(F.col("id").alias("src"), F.col("component").alias("_a")), "src")
               .join(comp.select(F.col("id").alias("dst"), F.col("component").alias("_b")), "dst"))
@@ -125,26 +182,19 @@ def break_cycles(edges: DataFrame) -> DataFrame:
 
 
 def topological_levels(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
-    """(id, level) with level the longest path that ends at the node; nodes without edges get level 0."""
-    edges = edges.where(F.col("src") != F.col("dst")).select("src", "dst").distinct()
-    levels, left = _peel(edges)
-    if not _empty(left):
-        edges = break_cycles(edges)
-        levels, left = _peel(edges)
+    """(id, level) with level the longest path that ends at the node; nodes without edges get level 0.
+
+    Chains and trees of any depth take a number of jobs that grows with the logarithm of the depth; what is left after them is peeled
+    several levels in a job.
+    """
+    edges = cut(edges.where(F.col("src") != F.col("dst")).select("src", "dst").distinct())
+    levels, stuck = _levels(edges)
+    if stuck is not None:
+        levels, _ = _levels(_without_cycles(edges, stuck))
     ids = edges.select(F.col("src").alias("id")).union(edges.select("dst"))
     if nodes is not None:
         ids = ids.union(nodes.select("id"))
-    ids = ids.distinct()
-    peeled = None
-    for one in levels:
-        peeled = one if peeled is None else peeled.unionByName(one)
-    if peeled is None:
-        return ids.withColumn("level", F.lit(0))
-    # A node peeled last has no outgoing edge: its level is one past its deepest source.
-    sinks = (edges.join(peeled.select(F.col("id").alias("src"), "level"), "src")
-             .groupBy(F.col("dst").alias("id")).agg((F.max("level") + 1).alias("_sink")))
-    return (ids.join(peeled, "id", "left").join(sinks, "id", "left")
-            .select("id", F.coalesce("level", "_sink", F.lit(0)).alias("level")))
+    return ids.distinct().join(levels, "id", "left").select("id", F.coalesce("level", F.lit(0)).cast("int").alias("level"))
 
 
 def processing_order(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -152,8 +202,3 @@ def processing_order(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     levels = topological_levels(edges, nodes)
     ordered = numbered(levels, ["level", "id"], "processing_priority", start=0)
     return ordered.select("id", F.col("processing_priority").cast("int").alias("processing_priority"))
-
-
-def cited_text(doi: Column, pmid: Column) -> Column:
-    """Whether a request names anything to fetch."""
-    return F.coalesce(F.nullif(doi, F.lit("")), F.nullif(pmid, F.lit(""))).isNotNull()

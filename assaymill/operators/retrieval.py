@@ -67,10 +67,11 @@ def candidate_files(files: DataFrame, max_files: int | None = None, max_bytes: i
     return f.drop("_named", "_any")
 
 
-def measurements(cells: DataFrame, path: str, unit: str | None = None, lookup: DataFrame | None = None) -> DataFrame:
+def measurements(cells: DataFrame, path: str, unit: str | None = None, lookup: DataFrame | None = None,
+                 carry: list[str] | None = None) -> DataFrame:
     """Matrix cells `(paper_id, protocol_id, gene, sample, value, source_detail[, unit])` as measurement rows.
 
-    Missing values are dropped, the gene gets its symbol, the sample its stage; the path sets the confidence.
+    Missing values are dropped, the gene gets its symbol, the sample its stage; the path sets the confidence. Columns named in `carry` stay.
     """
     symbol = genes.resolve_alias(F.col("gene"))
     c = cells.where(F.col("value").isNotNull())
@@ -83,7 +84,7 @@ def measurements(cells: DataFrame, path: str, unit: str | None = None, lookup: D
     given = F.col("unit") if "unit" in cells.columns else F.lit(unit or "unknown")
     kind = "supplement_table" if path in ("deg", "supplement_matrix") else "geo_matrix"
     return c.select(
-        "paper_id", "protocol_id", symbol.alias("gene_symbol"),
+        *(carry or []), "paper_id", "protocol_id", symbol.alias("gene_symbol"),
         F.when(F.col("gene") != symbol, F.col("gene")).alias("gene_alias"), "value",
         F.coalesce(given, F.lit("unknown")).alias("unit"),
         F.coalesce(F.nullif(F.col("_label"), F.lit("")), F.col("sample")).alias("condition_label"),
@@ -102,16 +103,6 @@ def deg_measurements(degs: DataFrame) -> DataFrame:
         F.lit(dims.SOURCE_CONFIDENCE["deg"]).alias("confidence"))
 
 
-def waterfall(tiers: list[DataFrame]) -> DataFrame:
-    """Rows of the first tier that has any, per paper. Tiers are measurement rows, best first."""
-    every = None
-    for i, t in enumerate(tiers):
-        t = t.withColumn("_tier", F.lit(i))
-        every = t if every is None else every.unionByName(t, allowMissingColumns=True)
-    first = every.groupBy("paper_id").agg(F.min("_tier").alias("_tier"))
-    return every.join(first, ["paper_id", "_tier"], "left_semi").drop("_tier")
-
-
 def markers_by_paper(values: DataFrame, papers: DataFrame) -> DataFrame:
     """Marker records keyed by paper, one JSON object per row; written partitioned, never gathered per paper."""
     p = papers.select(F.col("id").alias("paper_id"), "pmc_id")

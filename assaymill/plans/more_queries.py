@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from assaymill.functions import text as T
-from assaymill.operators import crossref, extraction, grounding, manual_fetch, mapping, retrieval, search, stats, upserts, worklists
+from assaymill.operators import acquire, crossref, extraction, grounding, manual_fetch, mapping, retrieval, search, stats, upserts, worklists
 from assaymill.plans import adapters as A
 from assaymill.plans.registry import query
 from assaymill.plans.table_queries import table
@@ -133,9 +133,11 @@ def first_protocols(spark, sf):
     "WHERE (paper_id % 3 = 0 AND id % 2 = 0) OR (paper_id % 3 = 1 AND id % 3 = 0) OR (paper_id % 3 = 2 AND id % 5 = 0)", A.EV))
 def retrieval_waterfall(spark, sf):
     v = A.values(spark, sf).select("paper_id", "id")
-    tiers = [v.where("paper_id % 3 = 0 AND id % 2 = 0").withColumn("tier", F.lit("matrix")),
-             v.where("paper_id % 3 < 2 AND id % 3 = 0").withColumn("tier", F.lit("supplement")), v.where("id % 5 = 0").withColumn("tier", F.lit("text"))]
-    return retrieval.waterfall(tiers)
+
+    def tier(name, rule):
+        return lambda keys: v.where(rule).join(keys, "paper_id", "left_semi").withColumn("tier", F.lit(name))
+    return acquire.staged(v, ["paper_id"], [tier("matrix", "paper_id % 3 = 0 AND id % 2 = 0"), tier("supplement", "paper_id % 3 < 2 AND id % 3 = 0"),
+                                            tier("text", "id % 5 = 0")])
 
 
 @query("candidate_files", "SELECT doc_id % 50 AS gse_id, CASE doc_id % 3 WHEN 0 THEN 'raw_counts_' || doc_id || '.csv.gz' ELSE 'm' || doc_id || '.txt.gz' END AS filename FROM documents "

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from assaymill import dims
-from assaymill.functions import genes
 from assaymill.functions import text as T
 from assaymill.functions.reagents import stage_summary
-from assaymill.operators import backfill, crossref, export, extraction, manual_fetch, retrieval
+from assaymill.operators import acquire, backfill, crossref, export, extraction, manual_fetch, retrieval
 from assaymill.plans import adapters as A
 from assaymill.plans.expression_queries import SHOWN, rounded
 from assaymill.plans.registry import query
@@ -54,7 +53,7 @@ CELL = "CASE k WHEN 0 THEN q WHEN 1 THEN e END"
     "SELECT l_orderkey AS path, CASE l_linenumber WHEN 1 THEN 'ALB' WHEN 2 THEN 'POU5F1' ELSE 'HNF4A' END AS gene_symbol, sample, "
     f"{CELL} AS value FROM ln, {SAMPLES3} WHERE l_linenumber IN (1, 2, 4)", ONE_LINE))
 def series_matrix(spark, sf):
-    return matrix.gene_cells(matrix.tables(matrix_lines(spark, sf)))
+    return matrix.gene_cells(matrix.tables(matrix_lines(spark, sf))).drop("gene")
 
 @query("series_matrix_titles",
        "SELECT DISTINCT l_orderkey AS path, sample AS gsm_id, 'day ' || (k + 1) AS title FROM lineitem, " + SAMPLES3)
@@ -141,8 +140,7 @@ def merge_files(spark, sf):
     "CAST(0.95 AS DOUBLE) AS confidence FROM ln, " + SAMPLES3 + " WHERE l_linenumber IN (1, 2, 4) AND k < 2", ONE_LINE))
 def measurements(spark, sf):
     series = matrix.tables(matrix_lines(spark, sf))
-    names = series.body.where("gene").select("path", F.col("key").alias("gene"), genes.resolve_alias(F.col("key")).alias("gene_symbol"))
-    cells = matrix.gene_cells(series).join(names, ["path", "gene_symbol"]).select(
+    cells = matrix.gene_cells(series).select(
         F.col("path").alias("paper_id"), F.col("path").alias("protocol_id"), "gene", "sample", "value", F.lit("GSE1 series matrix").alias("source_detail"))
     lookup = series.frames.select(F.col("path").alias("protocol_id"), F.lit("GSM1").alias("sample_key"), F.lit("label").alias("condition_label"),
                                   F.lit(5).alias("time_point_day"))
@@ -162,7 +160,10 @@ def usable_accessions(spark, sf):
 def waterfall(spark, sf):
     v = A.values(spark, sf).withColumn("t", F.expr(
         "CASE WHEN id % 7 = 0 AND paper_id % 2 = 0 THEN 0 WHEN id % 2 = 0 AND paper_id % 3 <> 1 THEN 1 ELSE 2 END"))
-    return retrieval.waterfall([v.where(F.col("t") == i) for i in range(3)]).select("id", "paper_id")
+
+    def tier(i):
+        return lambda keys: v.where(F.col("t") == i).join(keys, "paper_id", "left_semi")
+    return acquire.staged(v.select("paper_id"), ["paper_id"], [tier(i) for i in range(3)]).select("id", "paper_id")
 
 # -- records ---------------------------------------------------------------------------------------------------
 

@@ -285,6 +285,21 @@ def processing_order(spark, sf):
     return graph.processing_order(_doc_edges(spark, sf), nodes)
 
 
+RINGS = ("e AS (SELECT a.doc_id AS src, b.doc_id AS dst FROM documents a JOIN documents b ON b.doc_id = a.doc_id - a.doc_id % 5 + (a.doc_id + 1) % 5 "
+         "OR (a.doc_id % 5 = 2 AND a.doc_id % 15 < 10 AND b.doc_id = a.doc_id + 5)), "
+         "reach AS (SELECT src, dst FROM e UNION SELECT r.src, e.dst FROM reach r JOIN e ON r.dst = e.src)")
+
+
+@query("cycles_broken", "WITH RECURSIVE " + RINGS + " SELECT src, dst FROM e WHERE NOT (src > dst AND EXISTS (SELECT 1 FROM reach WHERE reach.src = e.dst AND reach.dst = e.src))")
+def cycles_broken(spark, sf):
+    """Rings of five documents, three rings in a row joined by one-way edges."""
+    d = table(spark, sf, "documents").select(F.col("doc_id").alias("src"))
+    ring = d.withColumn("dst", F.expr("src - src % 5 + (src + 1) % 5"))
+    onward = d.where("src % 5 = 2 AND src % 15 < 10").withColumn("dst", F.expr("src + 5"))
+    edges = ring.unionByName(onward).join(d.withColumnRenamed("src", "dst"), "dst", "left_semi")
+    return graph.break_cycles(edges.select("src", "dst"))
+
+
 # -- search ----------------------------------------------------------------------------------------------------
 
 FOUND = ("SELECT pa.id AS paper_id, pa.pmc_id, pa.doi, pa.title, pr.id AS protocol_id, pr.protocol_arm, pr.extraction_confidence "

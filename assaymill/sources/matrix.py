@@ -68,6 +68,12 @@ def tables(lines: DataFrame, probes: DataFrame | None = None) -> Series:
     return Series(frames, body)
 
 
+def platforms(lines: DataFrame) -> DataFrame:
+    """(path, platform) from the header lines of series matrices."""
+    first = lines.where(F.col("line").startswith(PLATFORM)).groupBy("path").agg(F.min_by("line", "pos").alias("line"))
+    return first.select("path", F.nullif(F.regexp_extract("line", r"GPL\d+", 0), F.lit("")).alias("platform"))
+
+
 def sample_titles(lines: DataFrame) -> DataFrame:
     """(path, gsm_id, title) from the two header lines that list them side by side."""
     line = F.col("line")
@@ -93,10 +99,10 @@ def _cells(rows: DataFrame) -> DataFrame:
 
 
 def gene_cells(series: Series) -> DataFrame:
-    """(path, gene_symbol, sample, value) of rows named by gene; of a gene listed twice the last row counts."""
+    """(path, gene, gene_symbol, sample, value) of rows named by gene; of a gene listed twice the last row counts."""
     r = series.body.where("gene").withColumn("gene_symbol", genes.resolve_alias(F.col("key")))
-    last = r.groupBy("path", "gene_symbol").agg(F.max_by("line", "pos").alias("line"))
-    return _cells(last.join(series.frames.select("path", "samples"), "path"))
+    last = r.groupBy("path", "gene_symbol").agg(F.max_by(F.struct(F.col("key").alias("gene"), "line"), "pos").alias("x"))
+    return _cells(last.select("path", "x.gene", "gene_symbol", "x.line").join(series.frames.select("path", "samples"), "path"))
 
 
 def probe_rows(series: Series, probes: DataFrame) -> DataFrame:

@@ -9,16 +9,17 @@ from __future__ import annotations
 
 import argparse
 import logging
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assaymill import schemas
-from assaymill.operators import (backfill, crossref, discovery, documents, export, expression, extraction, graph, grounding, mapping,
-                                 normalize, readout, stats, supplements, upserts, worklists)
+from assaymill.operators import (acquire, backfill, crossref, discovery, documents, export, expression, extraction, graph, grounding, mapping,
+                                 normalize, readout, retrieval, stats, supplements, upserts, worklists)
 from assaymill.session import configure, cut
-from assaymill.sources import aliases, files, jsonl, office, snapshots, soft, xml
+from assaymill.sources import aliases, files, jsonl, matrix, office, snapshots, soft, xml
 from assaymill.sources.repositories import fetch
 
 log = logging.getLogger(__name__)
@@ -62,15 +63,44 @@ def convert_text(t: Tables, o: dict) -> Tables:
             "papers": upserts.patch(t["papers"], done, "id", ["parsed_text_path"])}
 
 
-def read_supplements(t: Tables, o: dict) -> Tables:
-    """Supplement texts of each paper from the files below its folder (`.../PMC123_supp/...`), whole and in file name order."""
-    if not o.get("supplement_folder"):
+def fetch_supplements(t: Tables, o: dict) -> Tables:
+    """Supplement files out of the articles' packages below the `package_folder` (`PMC123.tar.gz`), named by the article or by their look.
+
+    A paper whose package holds none is marked `none`; one without a package stays open.
+    """
+    if not o.get("package_folder"):
         return {}
     spark = t["papers"].sparkSession
+    todo = _limited(worklists.supplements_to_fetch(t["papers"]), o).select(F.col("id").alias("paper_id"), "pmc_id")
+    owner = F.regexp_extract("path", r"(PMC\d+)[^/]*$", 1)
+    packages = files.contents(spark, o["package_folder"], "*.{gz,tgz,tar,zip}").withColumn("pmc_id", owner).join(todo, "pmc_id", "left_semi")
+    members = files.archive_members(packages).withColumn("pmc_id", owner)
+    manifest = spark.createDataFrame([], "pmc_id string, filename string")
+    if o.get("xml_folder"):
+        named = documents.supplement_manifest(xml.shred(_articles(todo.withColumnRenamed("paper_id", "id"), o).select("path", "xml"), partitions=o.get("partitions")))
+        manifest = named.select(F.regexp_extract("path", r"([^/]+)\.xml$", 1).alias("pmc_id"), "filename")
+    found = files.supplement_members(members, manifest).join(todo, "pmc_id").select("paper_id", F.col("name").alias("filename"), "content")
+    # Of two members of one name the first in byte order stays.
+    found = cut(found.groupBy("paper_id", "filename").agg(F.min("content").alias("content")))
+    seen = packages.select("pmc_id").distinct().join(todo, "pmc_id").select(F.col("paper_id").alias("id"))
+    held = found.select(F.col("paper_id").alias("id"), F.lit(True).alias("_held")).distinct()
+    folder = F.when(F.col("_held"), F.concat(F.lit("supplement_files/"), "id")).otherwise("none")
+    done = seen.join(held, "id", "left").select("id", folder.alias("supplement_dir"))
+    return {"supplement_files": upserts.append_absent(t["supplement_files"], found, ["paper_id", "filename"]),
+            "papers": upserts.patch(t["papers"], done, "id", ["supplement_dir"])}
+
+
+def read_supplements(t: Tables, o: dict) -> Tables:
+    """Supplement texts of each paper, whole and in file name order: fetched files, and those below its folder (`.../PMC123_supp/...`)."""
+    spark = t["papers"].sparkSession
     owner = F.regexp_extract("path", r"/(PMC\d+)(?:_supp)?/", 1)
-    every = files.texts(spark, o["supplement_folder"], "*.{csv,tsv,txt}").select(
-        owner.alias("pmc_id"), F.substring_index("path", "/", -1).alias("filename"), F.col("content").alias("text"))
-    if o.get("office_converter") is not None:
+    fetched = t["supplement_files"].where(files.extension(F.col("filename")).isin(files.TEXT_KINDS))
+    every = fetched.join(t["papers"].select(F.col("id").alias("paper_id"), "pmc_id"), "paper_id").select(
+        "pmc_id", "filename", F.decode("content", "UTF-8").alias("text"))
+    if o.get("supplement_folder"):
+        every = every.unionByName(files.texts(spark, o["supplement_folder"], "*.{csv,tsv,txt}").select(
+            owner.alias("pmc_id"), F.substring_index("path", "/", -1).alias("filename"), F.col("content").alias("text")))
+    if o.get("supplement_folder") and o.get("office_converter") is not None:
         blobs = files.contents(spark, o["supplement_folder"], "*.{docx,pptx,pdf}")
         every = every.unionByName(office.convert(blobs, o["office_converter"]).select(
             owner.alias("pmc_id"), F.substring_index("path", "/", -1).alias("filename"), "text"))
@@ -186,6 +216,26 @@ def statistics(t: Tables, o: dict) -> Tables:
     return {}
 
 
+def extract_rnaseq(t: Tables, o: dict) -> Tables:
+    """Sequencing metadata of papers by the `model`, one call a paper. A failed call leaves the paper open; an answer that is no JSON closes it."""
+    if not o.get("model"):
+        return {}
+    todo = _limited(worklists.needing_rnaseq(t["papers"]), o).select(F.col("id").alias("paper_id"))
+    known = t["geo_accessions"].groupBy("paper_id").agg(F.array_sort(F.collect_set("gse_id")).alias("_known"))
+    texts = todo.join(t["paper_texts"].where(F.trim("text") != ""), "paper_id", "left").join(t["paper_supplements"], "paper_id", "left").join(
+        known, "paper_id", "left")
+    system = (o.get("systems") or {}).get("rnaseq", "Describe the paper's RNA sequencing data as JSON.")
+    prompt = extraction.rnaseq_prompt(F.col("text"), F.coalesce("_known", F.array().cast("array<string>")), F.col("supplement_text"))
+    asked = cut(extraction.ask(texts.where("text IS NOT NULL").select("paper_id", F.lit(system).alias("system"), prompt.alias("prompt")), o["model"]))
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in t["rnaseq_metadata"].schema.fields if f.name in upserts.RNASEQ_METADATA)
+    rows = asked.where("call_error IS NULL").select("paper_id", F.from_json("reply", fields).alias("r"), F.try_parse_json("reply").isNotNull().alias("_json"))
+    found = cut(rows.where("_json").select("paper_id", "r.*").withColumn("has_rnaseq", F.coalesce("has_rnaseq", F.lit(False))))
+    states = rows.select(F.col("paper_id").alias("id"), F.when(F.col("_json") & F.coalesce("r.has_rnaseq", F.lit(False)), "has_rnaseq").otherwise("checked_none").alias("rnaseq_status"))
+    silent = texts.where("text IS NULL").select(F.col("paper_id").alias("id"), F.lit("checked_none").alias("rnaseq_status"))
+    merged = upserts.upsert(t["rnaseq_metadata"], found.withColumn("seq", F.lit(0)), ["paper_id"], upserts.RNASEQ_METADATA)
+    return {"rnaseq_metadata": merged, "papers": upserts.patch(t["papers"], states.unionByName(silent), "id", ["rnaseq_status"])}
+
+
 def cross_reference(t: Tables, o: dict) -> Tables:
     """Accessions of a paper from all sources and what they make available."""
     llm = t["rnaseq_metadata"].select("paper_id", F.inline("accessions"))
@@ -203,10 +253,35 @@ def cross_reference(t: Tables, o: dict) -> Tables:
                 t["repository_metadata"], t["geo_accessions"], t["geo_samples"], t["repository_samples"]))}
 
 
-def backfill_values(t: Tables, o: dict) -> Tables:
-    """Comparison labels and days of measurements that lack them, in their fixed order."""
-    v = backfill.day_from_label(backfill.comparison(t["expression_values"]))
-    return {"expression_values": backfill.day_from_mapping(v, t["geo_sample_stage_mappings"])}
+def retrieve_expression(t: Tables, o: dict) -> Tables:
+    """Measurements of papers that have none, each source for what earlier ones left empty; then labels and days that are missing.
+
+    `matrix_folder` holds series matrices and other files of series (`GSE1_…`), `supplement_folder` the papers' own tables.
+    """
+    v = t["expression_values"]
+    spark = v.sparkSession
+    todo = cut(acquire.eligible(_limited(t["papers"], o), t["rnaseq_metadata"], v))
+    if o.get("matrix_folder"):
+        store = acquire.Store(files.lines(spark, o["matrix_folder"], "*_series_matrix*"), files.lines(spark, o["matrix_folder"], "GSE*.{csv,tsv,txt,gz}"))
+        geo = todo.where("route = 'geo'")
+        lookup = mapping.sample_lookup(t["geo_sample_stage_mappings"], t["geo_samples"], matrix.sample_titles(store.series))
+        new = acquire.geo_values(geo, t["geo_accessions"], t["protocols"], t["repository_metadata"], store, lookup)
+        v = v.unionByName(_measured(new), allowMissingColumns=True)
+    if o.get("supplement_folder"):
+        lines = files.lines(spark, o["supplement_folder"], "*.{csv,tsv,txt}")
+        new = acquire.supplement_values(todo.where("route = 'supplement'"), t["protocols"], lines)
+        v = v.unionByName(_measured(new), allowMissingColumns=True)
+    v = backfill.day_from_label(backfill.comparison(cut(v)))
+    v = cut(backfill.day_from_mapping(v, t["geo_sample_stage_mappings"]))
+    if o.get("export_folder"):
+        export.append_jsonl(retrieval.markers_by_paper(v.join(todo, "paper_id", "left_semi"), t["papers"]), f"{o['export_folder']}/markers")
+    return {"expression_values": v}
+
+
+def _measured(rows: DataFrame) -> DataFrame:
+    """Measurement rows with an id that follows from their content."""
+    shaped = snapshots.align(rows, schemas.TABLES["expression_values"])
+    return shaped.withColumn("id", F.xxhash64("paper_id", "protocol_id", "gene_symbol", "condition_label", "comparison", "source_detail"))
 
 
 def integrate(t: Tables, o: dict) -> Tables:
@@ -240,15 +315,18 @@ def analyze_readouts(t: Tables, o: dict) -> Tables:
 
 
 STEPS: list[tuple[float, str, Callable[[Tables, dict], Tables]]] = [
-    (1, "bootstrap", bootstrap), (2, "convert_text", convert_text), (4, "read_supplements", read_supplements),
+    (1, "bootstrap", bootstrap), (2, "convert_text", convert_text),
+    (3, "fetch_supplements", fetch_supplements), (4, "read_supplements", read_supplements),
     (5, "order_papers", order_papers), (6, "discover_series", discover_series), (6.5, "ground_accessions", ground_accessions),
     (7, "extract_protocols", extract_protocols),
     (8, "ground_protocols", ground_protocols), (9, "map_samples", map_samples), (10, "statistics", statistics),
-    (12, "cross_reference", cross_reference), (13, "backfill_values", backfill_values), (14, "integrate", integrate),
+    (11, "extract_rnaseq", extract_rnaseq),
+    (12, "cross_reference", cross_reference), (13, "retrieve_expression", retrieve_expression), (14, "integrate", integrate),
     (15, "export", export_sheets), (16, "readouts", analyze_readouts),
 ]
 EXTRA_TABLES = {"paper_texts": "paper_id bigint, text string, abstract string",
-                "paper_supplements": "paper_id bigint, supplement_text string"}
+                "paper_supplements": "paper_id bigint, supplement_text string",
+                "supplement_files": "paper_id bigint, filename string, content binary"}
 
 
 def load(spark: SparkSession, root: str) -> Tables:
@@ -285,6 +363,8 @@ def main() -> None:
     p.add_argument("--triage-log")
     p.add_argument("--xml-folder")
     p.add_argument("--supplement-folder")
+    p.add_argument("--package-folder", help="article packages with supplement files")
+    p.add_argument("--matrix-folder", help="series matrices and count tables of series")
     p.add_argument("--alias-file")
     p.add_argument("--limit", type=int, help="papers per step at most")
     p.add_argument("--single", help="PMC id of the one paper to work on")
@@ -295,7 +375,8 @@ def main() -> None:
     p.add_argument("--min-genes", type=int, default=3)
     a = p.parse_args()
     spark = configure(SparkSession.builder.appName("assaymill")).getOrCreate()
-    run(spark, a.root, vars(a), a.from_step, a.only_step)
+    wanted = [n for n, _, _ in STEPS if (n == a.only_step if a.only_step is not None else n >= a.from_step)]
+    sys.exit(0 if len(run(spark, a.root, vars(a), a.from_step, a.only_step)) == len(wanted) else 1)
 
 
 if __name__ == "__main__":

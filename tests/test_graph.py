@@ -45,6 +45,47 @@ def test_components_against_brute_force(spark):
     assert got == {(a, b) for a, b in edges if not ((b, a) in reach and a > b)}
 
 
+def longest(edges, ids):
+    level = dict.fromkeys(ids, 0)
+    for _ in ids:
+        for a, b in edges:
+            level[b] = max(level[b], level[a] + 1)
+    return level
+
+
+def levels(spark, edges):
+    e = spark.createDataFrame(edges, "src long, dst long")
+    return {r["id"]: r["level"] for r in graph.topological_levels(e).collect()}
+
+
+def test_levels_against_brute_force(spark):
+    rng = random.Random(5)
+    for n, m in ((12, 14), (20, 50)):
+        edges = sorted({tuple(sorted(rng.sample(range(n), 2))) for _ in range(m)})
+        assert levels(spark, edges) == longest(edges, sorted({x for e in edges for x in e}))
+    ladder = [e for i in range(0, 12, 2) for e in ((i, i + 1), (i, i + 2), (i + 1, i + 2), (i + 1, i + 3))]
+    assert levels(spark, ladder) == longest(ladder, sorted({x for e in ladder for x in e}))
+
+
+def test_a_deep_chain_takes_few_jobs(spark):
+    n, sc = 10_000, spark.sparkContext
+    sc.setJobGroup("deep", "deep")
+    # A chain, a diamond half-way, and a branch that hangs from the chain.
+    edges = [(i, i + 1) for i in range(n)] + [(5000, 20_001), (20_001, 20_002), (20_002, 5001), (17, 30_000)]
+    got = levels(spark, edges)
+    jobs = len(sc.statusTracker().getJobIdsForGroup("deep"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert got[5000] == 5000 and got[5001] == 5003 and got[n] == n + 2 and got[30_000] == 18
+    assert jobs < 250, jobs
+
+
+def test_a_ring_and_what_hangs_from_it(spark):
+    edges = [(i, (i + 1) % 6) for i in range(6)] + [(3, 10), (10, 11), (20, 4)]
+    kept = {(r["src"], r["dst"]) for r in graph.break_cycles(spark.createDataFrame(edges, "src long, dst long")).collect()}
+    assert kept == set(edges) - {(5, 0)}
+    assert levels(spark, edges) == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 10: 4, 11: 5, 20: 0}
+
+
 def test_resolution_order_and_duplicates(spark):
     papers = spark.createDataFrame(
         [(1, "PMC1", "d1", "p1"), (2, "PMC2", "d2", "p2"), (3, "PMC3", "d2", None)], "id long, pmc_id string, doi string, pmid string")
