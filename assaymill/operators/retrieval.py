@@ -25,14 +25,17 @@ def first_protocol(protocols: DataFrame) -> DataFrame:
 
 
 def best_probe(rows: DataFrame) -> DataFrame:
-    """Of several probes of a gene `(file, gene_symbol, probe, pos, sample, value)` the one with the highest mean.
+    """Of several probes of a gene `(file, gene_symbol, probe, pos, samples, values)` the rows of the one with the highest mean.
 
-    Means are aggregated per probe; ties and probes without numbers go to the first in the file.
+    Means are aggregated per probe from the rows' arrays, before these are spread into cells; ties and probes without numbers go to
+    the first in the file.
     """
-    means = rows.groupBy("file", "gene_symbol", "probe").agg(F.avg("value").alias("_mean"), F.min("pos").alias("_pos"))
+    known = F.filter("values", lambda v: v.isNotNull())
+    sums = rows.select("file", "gene_symbol", "probe", "pos", F.aggregate(known, F.lit(0.0), lambda a, v: a + v).alias("_sum"), F.size(known).alias("_n"))
+    means = sums.groupBy("file", "gene_symbol", "probe").agg(F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"), F.min("pos").alias("_pos"))
     worst = F.lit(float("-inf"))
-    best = means.groupBy("file", "gene_symbol").agg(
-        F.min(F.struct((-F.coalesce("_mean", worst)).alias("m"), F.col("_pos").alias("p"), "probe")).alias("b"))
+    mean = F.when(F.col("_n") > 0, F.col("_sum") / F.col("_n")).otherwise(worst)
+    best = means.groupBy("file", "gene_symbol").agg(F.min(F.struct((-mean).alias("m"), F.col("_pos").alias("p"), "probe")).alias("b"))
     best = best.select("file", "gene_symbol", F.col("b.probe").alias("probe"))
     return rows.join(best, ["file", "gene_symbol", "probe"], "left_semi")
 

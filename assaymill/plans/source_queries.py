@@ -84,7 +84,7 @@ PROBE_ROWS = ("pb AS (SELECT l_orderkey, l_linenumber, q, e, CASE WHEN l_linenum
 def best_probe(spark, sf):
     probes = cut(matrix.probe_genes(_annotations(spark, sf)))
     series = matrix.tables(matrix_lines(spark, sf, "'p' || l_linenumber"), probes)
-    return retrieval.best_probe(matrix.probe_rows(series, probes)).select("file", "gene_symbol", "probe", "sample", "value")
+    return matrix.cells(retrieval.best_probe(matrix.probe_rows(series, probes))).select("file", "gene_symbol", "probe", "sample", "value")
 
 # -- count tables and differential expression ------------------------------------------------------------------
 

@@ -21,7 +21,7 @@ PLATFORM, SAMPLE_IDS, SAMPLE_TITLES = "!Series_platform_id", "!Sample_geo_access
 
 
 class Series(NamedTuple):
-    """frames: (path, samples, platform, head, end), one row per file with a table. body: (path, pos, line, key, gene) of kept rows inside it."""
+    """frames: (path, head, end, samples, platform), one row per file with a table. body: (path, pos, line, key, gene, samples, platform) of kept rows in it."""
     frames: DataFrame
     body: DataFrame
 
@@ -61,10 +61,10 @@ def tables(lines: DataFrame, probes: DataFrame | None = None) -> Series:
         F.col("p.pos") <= F.col("h.pos"), F.nullif(F.regexp_extract("p.line", r"GPL\d+", 0), F.lit(""))).alias("platform"))
     ends = (kept.where("is_end").join(heads.select("path", "head"), "path").where(F.col("pos") > F.col("head"))
             .groupBy("path").agg(F.min("pos").alias("end")))
-    frames = heads.join(ends, "path", "left")
+    frames = cut(heads.join(ends, "path", "left"))
     rows = kept.where(F.col("gene") if probes is None else F.col("gene") | F.col("probe"))
     inside = (F.col("pos") > F.col("head")) & (F.col("end").isNull() | (F.col("pos") < F.col("end")))
-    body = rows.join(frames.select("path", "head", "end"), "path").where(inside).select("path", "pos", "line", "key", "gene")
+    body = rows.join(frames, "path").where(inside).select("path", "pos", "line", "key", "gene", "samples", "platform")
     return Series(frames, body)
 
 
@@ -89,31 +89,34 @@ def sample_titles(lines: DataFrame) -> DataFrame:
         (F.coalesce("gsm_id", F.lit("")) != "") & (F.coalesce("title", F.lit("")) != ""))
 
 
-def _cells(rows: DataFrame) -> DataFrame:
-    """Explode (…, samples, line) into one row per sample; cells beyond the header are ignored."""
-    keep = [c for c in rows.columns if c not in ("samples", "line")]
+def _with_values(rows: DataFrame) -> DataFrame:
+    """Rows `(…, samples, line)` with their numbers as `values` beside as many samples; cells beyond the header are ignored."""
     vals = _values(F.col("line"))
     n = F.least(F.size("samples"), F.size(vals))
-    z = F.arrays_zip(F.slice("samples", F.lit(1), n).alias("sample"), F.slice(vals, F.lit(1), n).alias("v"))
-    return rows.select(*keep, F.inline(z)).select(*keep, "sample", to_double(F.col("v")).alias("value"))
+    return rows.withColumn("values", F.transform(F.slice(vals, F.lit(1), n), to_double)).withColumn("samples", F.slice("samples", F.lit(1), n)).drop("line")
+
+
+def cells(rows: DataFrame) -> DataFrame:
+    """Rows `(…, samples, values)` as one row per sample with its value."""
+    keep = [c for c in rows.columns if c not in ("samples", "values")]
+    return rows.select(*keep, F.inline(F.arrays_zip(F.col("samples").alias("sample"), F.col("values").alias("value"))))
 
 
 def gene_cells(series: Series) -> DataFrame:
     """(path, gene, gene_symbol, sample, value) of rows named by gene; of a gene listed twice the last row counts."""
     r = series.body.where("gene").withColumn("gene_symbol", genes.resolve_alias(F.col("key")))
-    last = r.groupBy("path", "gene_symbol").agg(F.max_by(F.struct(F.col("key").alias("gene"), "line"), "pos").alias("x"))
-    return _cells(last.select("path", "x.gene", "gene_symbol", "x.line").join(series.frames.select("path", "samples"), "path"))
+    last = r.groupBy("path", "gene_symbol").agg(F.max_by(F.struct(F.col("key").alias("gene"), "line", "samples"), "pos").alias("x"))
+    return cells(_with_values(last.select("path", "x.gene", "gene_symbol", "x.line", "x.samples")))
 
 
 def probe_rows(series: Series, probes: DataFrame) -> DataFrame:
-    """(file, gene_symbol, probe, pos, sample, value) of files without gene rows, through `(platform, probe, gene_symbol)`.
+    """(file, gene_symbol, probe, pos, samples, values) of files without gene rows, through `(platform, probe, gene_symbol)`.
 
     `series` must have been read with the same probes.
     """
     named = series.body.where("gene").select("path").distinct()
-    bare = series.frames.join(named, "path", "left_anti").select("path", "platform", "samples")
-    r = series.body.withColumnRenamed("key", "probe").join(bare, "path").join(probes, ["platform", "probe"])
-    return _cells(r.select(F.col("path").alias("file"), "gene_symbol", "probe", "pos", "samples", "line"))
+    r = series.body.withColumnRenamed("key", "probe").join(probes, ["platform", "probe"]).join(named, "path", "left_anti")
+    return _with_values(r.select(F.col("path").alias("file"), "gene_symbol", "probe", "pos", "samples", "line"))
 
 
 # Annotation column names with symbols, and with longer assignments.
@@ -145,7 +148,7 @@ def probe_genes(annotations: DataFrame) -> DataFrame:
     r = kept.where("named").join(heads, "platform").where(F.col("pos") > F.col("head"))
     r = r.withColumn("c", F.transform(F.split("line", "\t"), unquote))
     names = F.flatten(F.transform("order", lambda i: F.split(F.coalesce(F.get("c", i), F.lit("")), r"[;/|,\s]+")))
-    symbols = F.filter(F.transform(names, genes.resolve_alias), genes.in_panel)
-    r = r.select("platform", "pos", F.get("c", F.col("id")).alias("probe"), F.get(symbols, F.lit(0)).alias("gene_symbol"))
+    first = F.get(F.filter(names, lambda t: F.coalesce(genes.is_target_gene(t), F.lit(False))), F.lit(0))
+    r = r.select("platform", "pos", F.get("c", F.col("id")).alias("probe"), genes.resolve_alias(first).alias("gene_symbol"))
     r = r.where("gene_symbol IS NOT NULL AND probe IS NOT NULL")
     return r.groupBy("platform", "probe").agg(F.max_by("gene_symbol", "pos").alias("gene_symbol"))

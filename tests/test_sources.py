@@ -106,7 +106,7 @@ def test_series_matrix(spark):
     assert matrix.gene_cells(t).count() == 0
     ann = lined(spark, "#c\nID\tGene Symbol\nx\t---\np1\tFOO /// ALB\np2\talbumin\n", "GPL570", "platform")
     probes = matrix.probe_genes(ann)
-    best = retrieval.best_probe(matrix.probe_rows(matrix.tables(f, probes), probes))
+    best = matrix.cells(retrieval.best_probe(matrix.probe_rows(matrix.tables(f, probes), probes)))
     assert {(r["probe"], r["sample"], r["value"]) for r in best.collect()} == {("p2", "GSM1", 5.0), ("p2", "GSM2", None)}
     assert {(r["gsm_id"], r["title"]) for r in matrix.sample_titles(f).collect()} == {("GSM1", "t1"), ("GSM2", "t2")}
 
