@@ -51,15 +51,33 @@ def test_recall_beyond_the_sample(spark, spread):
     assert [r["vec_id"] for r in sorted((r for r in got if r["query_id"] == 4), key=lambda r: r["rank"])] == list(range(5, 25))
 
 
-def test_small_tables_are_searched_in_full(spark):
-    sf = "/root/testdata/sf0.001"
-    rows = spark.read.parquet(f"{sf}/embeddings.parquet").collect()
-    ids, x = np.array([r["vec_id"] for r in rows]), np.array([r["embedding"] for r in rows], float)
-    got = queries.QUERIES["op8_cross_polytope"](spark, sf).collect()
-    assert recall(got, brute(ids, x, ids[ids % 20 == 0])) == 1.0
+@pytest.mark.parametrize("width", [64, 128, 256])
+@pytest.mark.parametrize("equal", [True, False])
+def test_vectors_without_structure(spark, width, equal):
+    x = np.random.default_rng(width).normal(size=(4000, width))
+    x = x / np.linalg.norm(x, axis=1)[:, None] if equal else x
+    ids = np.arange(len(x))
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>").repartition(3)
+    vectors, size = neighbours.usable(df)
+    got = neighbours.search(vectors, vectors.where("vec_id % 200 = 0"), size).collect()
+    assert len(got) == 20 * 20
+    assert recall(got, brute(ids, x, ids[ids % 200 == 0])) >= 0.9
+
+
+def test_two_axes_and_few_probes(spark):
+    """Buckets of two axes; queries whose buckets hold too little are searched in full."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(10, 8))[rng.integers(0, 10, 3000)] + 0.2 * rng.normal(size=(3000, 8))
+    ids = np.arange(len(x))
+    vectors, size = neighbours.usable(spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>"))
+    asked, want = vectors.where("vec_id % 100 = 0"), brute(ids, x, ids[ids % 100 == 0])
+    for probing in (None, neighbours.Probing(2, 4, 40), neighbours.Probing(2, 1, 1)):
+        got = neighbours.search(vectors, asked, size, probing=probing, hot_rows=100, hot_queries=4).collect()
+        assert len(got) == 30 * 20
+        assert recall(got, want) >= (0.3 if probing and probing.probes == 1 else 0.9)
 
 
-@pytest.mark.parametrize("name", ["sf0.01", "sf0.1"])
+@pytest.mark.parametrize("name", ["sf0.001", "sf0.01", "sf0.1"])
 def test_the_tables_alone_find_the_answer(spark, name):
     sf = f"/root/testdata/{name}"
     rows = spark.read.parquet(f"{sf}/embeddings.parquet").collect()
@@ -74,7 +92,7 @@ def test_the_sample_changes_no_answer(spark):
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(1500, 32)))], "vec_id long, embedding array<double>")
     vectors, size = neighbours.usable(df)
     asked = vectors.where("vec_id % 50 = 0")
-    answers = [sorted(tuple(r) for r in neighbours.search(vectors, asked, size, probes=64, sample=sample).collect()) for sample in (30, 1 << 14)]
+    answers = [sorted(tuple(r) for r in neighbours.search(vectors, asked, size, probing=neighbours.Probing(1, 8, 30), sample=sample).collect()) for sample in (30, 1 << 14)]
     assert answers[0] == answers[1] and len(answers[0]) == 30 * 20
 
 
