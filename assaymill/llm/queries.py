@@ -119,19 +119,19 @@ def _secret_check() -> str:
               r"""["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""")
     patterns = [("assign", assign, 2, 8), ("access", "AKIA[A-Z0-9]+", 0, 16), ("hex", "[0-9a-f]+", 0, 32), ("owner", "[A-Za-z0-9_-]{20,}", 0, 20)]
     parts = "\n  UNION ALL ".join(f"""
-  SELECT doc_id, source, {i} AS kind, '{name}' AS name, {least} AS least, unnest(range(1, len(m) + 1)) AS i, m, v, b FROM (
-    SELECT doc_id, source, regexp_extract_all(text, '{p}', 0) AS m, regexp_extract_all(text, '{p}', {g}) AS v,
+  SELECT doc_id, source, repo, {i} AS kind, '{name}' AS name, {least} AS least, unnest(range(1, len(m) + 1)) AS i, m, v, b FROM (
+    SELECT doc_id, source, md5(text) AS repo, regexp_extract_all(text, '{p}', 0) AS m, regexp_extract_all(text, '{p}', {g}) AS v,
            string_split_regex(text, '{p}') AS b FROM d)""" for i, (name, p, g, least) in enumerate(patterns))
     return f"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
 rows AS ({parts}),
-spans AS (SELECT doc_id, source, kind, name, least, v[i] AS value, length(m[i]) AS size,
+spans AS (SELECT doc_id, source, repo, kind, name, least, v[i] AS value, length(m[i]) AS size,
                  sum(length(b[i]) + length(m[i])) OVER (PARTITION BY doc_id, kind ORDER BY i) AS finish FROM rows),
 cand AS (SELECT *, (finish - size)::BIGINT AS start FROM spans WHERE length(value) >= least AND (kind < 3 OR (
            regexp_matches(value, '[0-9]') AND regexp_matches(value, '[a-z]') AND regexp_matches(value, '[A-Z]')))),
-own AS (SELECT value, count(DISTINCT source) AS n_owners FROM cand GROUP BY value),
-kept AS (SELECT doc_id, kind, start, name || ':' || start || ':' || finish::BIGINT AS span, n_owners <= 1 AS live
-         FROM cand JOIN own USING (value) WHERE kind < 3 OR n_owners <= 1),
+own AS (SELECT value, count(DISTINCT source) <= {secrets.MAX_OWNERS} AND count(DISTINCT repo) <= {secrets.MAX_REPOS} AS live FROM cand GROUP BY value),
+kept AS (SELECT doc_id, kind, start, name || ':' || start || ':' || finish::BIGINT AS span, live
+         FROM cand JOIN own USING (value) WHERE kind < 3 OR live),
 per AS (SELECT doc_id, count(*) FILTER (kind = 0) AS a, count(*) FILTER (kind = 1) AS k, count(*) FILTER (kind = 2) AS h,
                string_agg(span, ',' ORDER BY start, kind) FILTER (kind < 3) AS base, string_agg(span, ',' ORDER BY start, kind) AS spans,
                count(*) FILTER (live) AS live, count(*) FILTER (NOT live) AS copied FROM kept GROUP BY doc_id)

@@ -1,14 +1,16 @@
 """Secret scans by corpus-wide ownership of each candidate, in DataFrame operations.
 
 Candidates are the matches of three fixed kinds and of one broad kind (long tokens that mix cases and digits). Every candidate's
-value is hashed and the hashes are aggregated over the whole table by distinct owners (`source`) and repositories
-(`doc_id`). A value that many owners hold is a widely copied example; one that few hold looks live. The fixed kinds are always
-reported, with that verdict; the broad kind is reported as `owner` only where its value is owner-specific.
+value is hashed and the hashes are aggregated over the whole table by distinct owners (`source`) and repositories (documents of
+different text: a copied document is no other repository). A value that more than MAX_OWNERS owners or more than MAX_REPOS repositories hold is
+a widely copied example; any other looks live, be it in one source or shared by a few. The fixed kinds are always
+reported, with that verdict; the broad kind is reported as `owner` only where its value looks live. Texts are scanned once: the candidates
+are cut before they are aggregated and judged.
 
 Positions are code points: a text is split by the same pattern that gives its matches, and the lengths of the pieces before a
 match add up to its start.
 
-Null and empty texts have no spans. Values of rows with a null owner count that row as no owner. Repeated rows get equal results
+Null and empty texts have no spans. A row with a null owner counts as a repository, but as no owner. Repeated rows get equal results
 and count once. Extra columns are kept, those named like an output column are replaced.
 """
 
@@ -17,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from assaymill import session
 from assaymill.llm.rowkeys import row_key
 
 #: Kinds in their order, with pattern, group of the value, and least characters of it.
@@ -27,8 +30,9 @@ KINDS = [
     ("owner", r"[A-Za-z0-9_-]{20,}", 0, 20),
 ]
 BASE = ["assign", "access", "hex"]
-#: A value in more owners than this is a widely copied example.
-MAX_OWNERS = 1
+#: A value in more owners or in more repositories than these is a widely copied example.
+MAX_OWNERS = 3
+MAX_REPOS = 10
 
 ADDED = ["n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_copied"]
 
@@ -54,7 +58,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     any_kind = None
     for _, pattern, _, _ in KINDS:
         any_kind = F.col("text").rlike(pattern) if any_kind is None else any_kind | F.col("text").rlike(pattern)
-    one = docs.where(any_kind).select("_key", F.col("source").cast("string").alias("owner"), F.col("doc_id").cast("string").alias("repo"),
+    one = docs.where(any_kind).select("_key", F.col("source").cast("string").alias("owner"), F.sha2("text", 256).alias("repo"),
                                       _pieces(F.col("text")).alias("kinds"))
     one = one.dropDuplicates(["_key"]).select("_key", "owner", "repo", F.explode("kinds").alias("k"))
     rows = one.select("_key", "owner", "repo", F.col("k.kind").alias("kind"), F.posexplode("k.rows").alias("at", "m"))
@@ -68,14 +72,15 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 def ownership(found: DataFrame) -> DataFrame:
     """(hash, n_owners, n_repos) of each candidate value; distinct rows are summed map-side before they meet."""
-    return found.select(F.sha2("value", 256).alias("hash"), "owner", "repo").groupBy("hash").agg(
+    return found.select("hash", "owner", "repo").groupBy("hash").agg(
         F.countDistinct("owner").alias("n_owners"), F.countDistinct("repo").alias("n_repos"))
 
 
-def judged(docs: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
-    """The candidates with `live`: whether at most `max_owners` owners hold the value; copied `owner` ones are left out."""
-    found = candidates(docs).withColumn("hash", F.sha2("value", 256))
-    known = found.join(ownership(found), "hash").withColumn("live", F.col("n_owners") <= max_owners)
+def judged(docs: DataFrame, max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
+    """The candidates with `live`: whether at most `max_owners` owners and `max_repos` repositories hold the value; copied `owner` ones are left out."""
+    found = session.cut(candidates(docs).withColumn("hash", F.sha2("value", 256)))
+    live = (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos)
+    known = found.join(ownership(found), "hash").withColumn("live", live)
     return known.where((F.col("kind") < len(BASE)) | F.col("live"))
 
 
@@ -88,17 +93,17 @@ def _count(spans: str, kind: int) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
-def per_row(keyed: DataFrame, max_owners: int) -> DataFrame:
+def per_row(keyed: DataFrame, max_owners: int, max_repos: int) -> DataFrame:
     """(_key, _spans): the spans of each row with any, by start, then kind."""
-    return judged(keyed, max_owners).groupBy("_key").agg(
+    return judged(keyed, max_owners, max_repos).groupBy("_key").agg(
         F.sort_array(F.collect_list(F.struct("start", "kind", "end", "live"))).alias("_spans"))
 
 
-def scan(docs: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
+def scan(docs: DataFrame, max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
     """`docs` without their text, with the ADDED columns."""
     keyed = docs.drop(*ADDED).withColumn("_key", row_key("doc_id", "source"))
     none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,live:boolean>>")
-    out = keyed.drop("text").join(per_row(keyed, max_owners), "_key", "left").withColumn("_spans", F.coalesce("_spans", none))
+    out = keyed.drop("text").join(per_row(keyed, max_owners, max_repos), "_key", "left").withColumn("_spans", F.coalesce("_spans", none))
     base = F.filter("_spans", lambda s: s["kind"] < len(BASE))
     for number, name in enumerate(BASE):
         out = out.withColumn(f"n_{name}", _count("_spans", number))
@@ -108,10 +113,10 @@ def scan(docs: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
     return out.select(*[c for c in docs.columns if c not in [*ADDED, "text"]], *ADDED)
 
 
-def redact(docs: DataFrame, mark: str = "[secret]", max_owners: int = MAX_OWNERS) -> DataFrame:
+def redact(docs: DataFrame, mark: str = "[secret]", max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
     """`docs` with every live-looking span of a text replaced by `mark`; overlapping spans become one mark."""
     keyed = docs.withColumn("_key", row_key("doc_id", "source"))
-    live = per_row(keyed, max_owners).select("_key", F.filter("_spans", lambda s: s["live"]).alias("_live")).where(F.size("_live") > 0)
+    live = per_row(keyed, max_owners, max_repos).select("_key", F.filter("_spans", lambda s: s["live"]).alias("_live")).where(F.size("_live") > 0)
     first = F.filter("_live", lambda s: ~F.exists("_live", lambda o: (o["start"] < s["start"]) & (o["end"] >= s["start"])))
     starts = F.array_sort(F.array_distinct(F.transform(first, lambda s: s["start"])))
     ends = F.transform(starts, lambda a, i: F.array_max(F.transform(F.filter("_live", lambda s: (s["start"] >= a) & (

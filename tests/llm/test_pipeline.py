@@ -15,8 +15,8 @@ SMALL = "/root/testdata/sf0.001"
 
 
 def redacted(rows):
-    """rows of (doc_id, source, text): texts without spans of values that one owner holds."""
-    found, owners = {}, {}
+    """rows of (doc_id, source, text): texts without spans of values that at most three owners and ten texts hold."""
+    found, owners, texts = {}, {}, {}
     for i, (_, source, text) in enumerate(rows):
         for k, (_, p, g, least) in enumerate(test_secrets.PATTERNS):
             for m in p.finditer(text or ""):
@@ -25,9 +25,10 @@ def redacted(rows):
                 if len(v) >= least and (k < 3 or mixed):
                     found.setdefault(i, []).append((m.start(), m.end(), v))
                     owners.setdefault(v, set()).update({source} - {None})
+                    texts.setdefault(v, set()).add(text)
     out = []
     for i, (_, _, text) in enumerate(rows):
-        spans, merged = sorted(s[:2] for s in found.get(i, []) if len(owners[s[2]]) <= 1), []
+        spans, merged = sorted(s[:2] for s in found.get(i, []) if len(owners[s[2]]) <= 3 and len(texts[s[2]]) <= 10), []
         for a, b in spans:
             if merged and a <= merged[-1][1]:
                 merged[-1][1] = max(merged[-1][1], b)
