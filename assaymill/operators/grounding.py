@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaymill.functions import text as T
+from assaymill.operators import names
 from assaymill.operators.discovery import mine_text
 from assaymill.operators.ranking import null_safe_join
 
@@ -30,16 +31,32 @@ def alias_map(aliases: dict[str, list[str]]) -> Column:
     return F.create_map(*[x for k, vs in aliases.items() for x in (F.lit(k), F.array(*map(F.lit, vs)))])
 
 
-def terms_in_text(terms: DataFrame, texts: DataFrame) -> DataFrame:
+def named_in(name: Column, aliases: Column, low: Column, found: Column) -> Column:
+    """As `is_grounded`, with the aliases that stand in the text known; only a name without aliases is searched."""
+    own = _found(F.lower(name), low)
+    return (F.when(F.coalesce(name, F.lit("")) == "", F.lit(True)).when(aliases.isNull(), own)
+            .otherwise(F.arrays_overlap(F.filter(aliases, lambda a: a.isNotNull()), found)))
+
+
+def terms_in_text(terms: DataFrame, texts: DataFrame, max_chars: int = names.MAX_CHARS) -> DataFrame:
     """(paper_id, term, aliases) tested against the text of the same paper.
 
-    A paper's terms meet its text as one array, are tested inside the row, and only the outcomes are exploded: the text
-    is neither joined nor copied per term.
+    All aliases together are one automaton that reads every text once, while they fit a broadcast (`max_chars`, checked); else each is
+    searched. A paper's terms meet its text as one array, are tested inside the row, and only the outcomes are exploded.
     """
     others = [c for c in terms.columns if c != "paper_id"]
     per = terms.groupBy("paper_id").agg(F.collect_list(F.struct(*others)).alias("_terms"))
     low = texts.select("paper_id", F.lower("text").alias("_low"))
-    tested = F.transform("_terms", lambda t: t.withField("grounded", is_grounded(t["term"], t["aliases"], F.col("_low"))))
+    known = names.bounded_names(terms.where("aliases IS NOT NULL").select(F.explode("aliases")), max_chars)
+    if known is None:
+        def test(t):
+            return is_grounded(t["term"], t["aliases"], F.col("_low"))
+    else:
+        low = names.with_names(low, "_low", known, "_names") if known else low.withColumn("_names", F.array().cast("array<string>"))
+
+        def test(t):
+            return named_in(t["term"], t["aliases"], F.col("_low"), F.col("_names"))
+    tested = F.transform("_terms", lambda t: t.withField("grounded", test(t)))
     return per.join(low, "paper_id").select("paper_id", F.explode(tested).alias("_t")).select("paper_id", "_t.*")
 
 
@@ -54,14 +71,17 @@ def ground_protocols(protocols: DataFrame, texts: DataFrame,
 
     Adds `removals`, one struct per removed item in walk order. `tables` holds alias lists under
     `growth_factor`, `small_molecule` and `marker`. Items kept as plain text must be under `stages` as structs
-    with a NULL name, which always stays. Functional assays are not touched.
+    with a NULL name, which always stays. Functional assays are not touched. The aliases of all tables are one automaton that reads every
+    text once.
     """
-    joined = protocols.join(
-        texts.select("paper_id", F.lower(F.concat_ws("\n", "text", "supplement_text")).alias("_low")), "paper_id")
     low = F.col("_low")
+    whole = texts.select("paper_id", F.lower(F.concat_ws("\n", "text", "supplement_text")).alias("_low"))
+    known = sorted({a for t in tables.values() for own in t.values() for a in own})
+    whole = names.with_names(whole, "_low", known, "_names") if known else whole.withColumn("_names", F.array().cast("array<string>"))
+    joined = protocols.join(whole, "paper_id")
 
     def keep(item, field, category):
-        return is_grounded(item[field], F.try_element_at(alias_map(tables[category]), item[field]), low)
+        return named_in(item[field], F.try_element_at(alias_map(tables[category]), item[field]), low, F.col("_names"))
 
     def removed(items, field, category, stage):
         gone = F.filter(items, lambda i: ~keep(i, field, category))
@@ -87,7 +107,7 @@ def ground_protocols(protocols: DataFrame, texts: DataFrame,
             .withColumn("endpoint_assessment", F.when(
                 F.col("endpoint_assessment").isNotNull(), F.col("endpoint_assessment").withField(
                     "markers", kept(ends, "marker_name", "marker"))))
-            .withColumn("stages", F.transform("stages", cleaned_stage)).drop("_low"))
+            .withColumn("stages", F.transform("stages", cleaned_stage)).drop("_low", "_names"))
 
 
 def note_removals(grounded: DataFrame, prefix: str = "Grounding removed: ") -> DataFrame:
