@@ -31,8 +31,10 @@ from assaymill.llm.boosting import Trees
 MAX_PAGES = 150
 #: Grafted copies of each sample page.
 GRAFTS = 3
-#: Longest page that the sample takes.
-MAX_SAMPLE_CHARS = 200_000
+#: Blocks of a sample page, or of a grafted copy, that the trees are fitted on; texts of a page that are grafted elsewhere, and their length.
+MAX_BLOCKS = 400
+PAGE_TEXTS = 40
+TEXT_CHARS = 2000
 
 ADDED = ["text", "n_chars"]
 
@@ -266,22 +268,49 @@ def grafted(html: str, texts: list[str], rng: random.Random) -> str:
 
 
 def fit(pages: DataFrame, max_pages: int = MAX_PAGES) -> Trees | None:
-    """The trees from a bounded sample of the pages; none if no page has a block."""
-    usable = pages.where(F.col("html").isNotNull() & (F.length("html") <= MAX_SAMPLE_CHARS))
-    rows = sampling.by_hash(usable.select("page_id", "html"), max_pages).to_pylist()
-    rng, x, y, w = random.Random(5), [], [], []
-    texts = [t for r in rows for _, t in Tree(r["html"]).blocks()] or ["text"]
-    texts = [t.replace("<", "").replace("&", "") for t in rng.sample(texts, min(500, len(texts)))]
-    for r in rows:
-        for html in (r["html"], *(grafted(r["html"], texts, rng) for _ in range(GRAFTS))):
-            tree = Tree(html)
-            plain, label = features(tree), rule_labels(tree)
-            masked = plain.copy()
-            masked[:, N_SHAPE + len(TAG_GROUPS):] = 0
-            x += [plain, masked]
-            y += [label, label]
-            w += [np.ones(len(label)), np.full(len(label), 0.05)]
-    return Trees(depth=5, rounds=60).fit(np.concatenate(x), np.concatenate(y).astype(float), np.concatenate(w)) if x else None
+    """The trees from a bounded sample of the pages' blocks; none if no page has a block.
+
+    The sample takes pages of any length by their hash. They are parsed in tasks, which send features of at most MAX_BLOCKS blocks of each
+    page and copy; no page reaches the driver.
+    """
+    key = F.xxhash64("page_id", "html")
+    usable = pages.where(F.col("html").isNotNull())
+    keys = sampling.by_hash(usable.select(key.alias("key")), max_pages)["key"].to_pylist()
+    if not keys:
+        return None
+    chosen = usable.select(key.alias("key"), "html").where(F.col("key").isin(keys)).dropDuplicates(["key"])
+
+    def some_texts(batches):
+        for part in batches:
+            for k, html in zip(part.column("key").to_pylist(), part.column("html").to_pylist(), strict=True):
+                texts = [t[:TEXT_CHARS] for _, t in Tree(html).blocks()]
+                texts = random.Random(k).sample(texts, min(PAGE_TEXTS, len(texts)))
+                yield pa.RecordBatch.from_arrays([pa.array([k] * len(texts), pa.int64()), pa.array(texts, pa.string())], ["key", "t"])
+
+    rows = sorted(tuple(r) for r in chosen.mapInArrow(some_texts, "key long, t string").collect())  # max_pages x PAGE_TEXTS at most
+    texts = [t.replace("<", "").replace("&", "") for _, t in rows]
+    texts = [t for t in random.Random(5).sample(texts, min(500, len(texts))) if t.split()] or ["text"]
+
+    def sampled(batches):
+        for part in batches:
+            for k, html in zip(part.column("key").to_pylist(), part.column("html").to_pylist(), strict=True):
+                rng, found = random.Random(k), []
+                for copy in range(1 + GRAFTS):
+                    tree = Tree(grafted(html, texts, rng) if copy else html)
+                    x, y = features(tree), rule_labels(tree)
+                    at = np.sort(np.random.Generator(np.random.PCG64(k % (1 << 62))).permutation(len(y))[:MAX_BLOCKS])
+                    found.append(np.column_stack([x[at], y[at]]))
+                both = np.concatenate(found)
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([both.astype("<f8").tobytes()], pa.binary()),
+                                                  pa.array([both.shape[1]], pa.int64())], ["key", "rows", "width"])
+
+    parts = sorted(tuple(r) for r in chosen.mapInArrow(sampled, "key long, rows binary, width long").collect())
+    both = np.concatenate([np.frombuffer(data, "<f8").reshape(-1, width) for _, data, width in parts])
+    plain, label = both[:, :-1], both[:, -1]
+    masked = plain.copy()
+    masked[:, N_SHAPE + len(TAG_GROUPS):] = 0
+    weight = np.concatenate([np.ones(len(label)), np.full(len(label), 0.05)])
+    return Trees(depth=5, rounds=60).fit(np.concatenate([plain, masked]), np.concatenate([label, label]), weight)
 
 
 def kept_blocks(tree: Tree, odds: np.ndarray) -> np.ndarray:

@@ -101,3 +101,23 @@ def test_odd_rows(spark, trees):
     assert len(got) == len(rows) and got[0].asDict().keys() == {"page_id", "url", "text", "n_chars"}
     assert sorted(r["n_chars"] for r in got)[:2] == [0, 0] and max(r["n_chars"] for r in got) == 5 * 50_000 - 1
     assert html.extract(df.limit(0), html.fit(df.limit(0))).count() == 0
+
+
+def test_long_pages_shape_the_model_and_give_their_articles(spark):
+    """All pages of over 200 000 characters: nothing is too long for the sample, and no text is empty."""
+    pages, want = [], {}
+    for i in range(4):
+        body = [f"Sentence {k} of article {i} goes on about things that matter to its readers, and so on." for k in range(2600)]
+        menu = "".join(f"<li><a href='/{k}'>Item {k}</a></li>" for k in range(30))
+        pages.append((i, f"u{i}", f"<html><head><title>t</title></head><body><nav><ul>{menu}</ul></nav><article><h1>Title {i}</h1>"
+                      + "".join(f"<p>{p}</p>" for p in body) + "</article><footer>Copyright words here</footer></body></html>"))
+        want[i] = "\n\n".join([f"Title {i}", *body])
+    assert min(len(p[2]) for p in pages) > 200_000
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html.extract(df, html.fit(df)).collect()}
+    assert got == want
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "page_id long, url string, html string")
+    assert html.fit(df) is None and html.extract(df, html.fit(df)).count() == 0
