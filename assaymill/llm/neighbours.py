@@ -37,7 +37,9 @@ from assaymill import session
 from assaymill.llm import sampling
 
 #: Numbers of tables that are weighed against each other.
-TABLES = (1, 2, 4, 8, 16)
+TABLES = (1, 2, 4, 8)
+#: What indexing all vectors in one more table counts, as a share of reranking all of them.
+TABLE_COST = 0.005
 SAMPLE = 1 << 14
 CALIBRATING = 64
 #: Share of the calibrating queries' neighbours that the probes must reach.
@@ -151,7 +153,7 @@ def calibrated(rotations: Rotations, ids: np.ndarray, x: np.ndarray, query_ids:
             best[k] = np.minimum(best[k], place) if k in best else place
             if t + 1 in TABLES:
                 probes = int(np.sort(best[k])[math.ceil(TARGET * len(place)) - 1])
-                choices.append(((t + 1) * probes / width ** k, t + 1, Probing(k, t + 1, probes)))
+                choices.append(((t + 1) * (probes / width ** k + TABLE_COST), t + 1, Probing(k, t + 1, probes)))
     return min(choices, key=lambda c: c[:2])[2]
 
 
