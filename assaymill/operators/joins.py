@@ -1,4 +1,4 @@
-"""Joins that stay even when many rows have no key, and substring matching as an equi-join."""
+"""Joins that stay even when many rows have no key, and substring matching by an inverted index."""
 
 from __future__ import annotations
 
@@ -24,18 +24,32 @@ def left_lookup(left: DataFrame, right: DataFrame, on: list[str], spread_on: lis
     return salted.join(right.withColumn("_salt", F.lit(0).cast("bigint")), [*on, "_salt"], "left").drop("_salt")
 
 
-def substrings(text: Column) -> Column:
-    """All distinct non-empty substrings of a short text such as a file name."""
-    n = F.length(text)
-    from_each = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.transform(
-        F.sequence(F.lit(1), F.greatest(n - i + 1, F.lit(1))), lambda k: F.substring(text, i, k)))
-    return F.filter(F.array_distinct(F.flatten(from_each)), lambda s: s != "")
+#: Characters of an index entry. Shorter needles are looked up as they are.
+GRAM = 3
+
+
+def grams(text: Column, size: Column | int) -> Column:
+    """All distinct runs of `size` characters of a text; none if it is shorter."""
+    size = F.lit(size) if isinstance(size, int) else size
+    starts = F.when(F.length(text) >= size, F.sequence(F.lit(1), F.length(text) - size + 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, size)))
 
 
 def contained_in(outer: DataFrame, text: str, inner: DataFrame, needle: str) -> DataFrame:
-    """Pairs where `needle` occurs in `text`: an equi-join on the substrings of the (short) text.
+    """Pairs where `needle` occurs in `text`, by an inverted index of the texts' character runs.
 
-    The work grows with the texts and the matches, not with the product of the two sides.
+    A needle is looked up by its rarest run among the texts; one with a run that no text has is dropped. Candidates are then verified.
+    Index entries grow with the length of the texts, not with its square, and needles without a match cost no candidate.
     """
-    parts = outer.withColumn("_part", F.explode(substrings(F.col(text))))
-    return parts.join(inner, parts["_part"] == inner[needle]).drop("_part")
+    sizes = [r["n"] for r in inner.select(F.least(F.length(needle), F.lit(GRAM)).alias("n")).where("n > 0").distinct().collect()]  # GRAM rows at most
+    if not sizes:
+        sizes = [GRAM]
+    index = outer.withColumn("_gram", F.explode(F.flatten(F.array(*[grams(F.col(text), n) for n in sizes]))))
+    known = index.groupBy("_gram").agg(F.count("*").alias("_texts"))
+    own = inner.where(F.col(needle) != "").select(needle).distinct()
+    parts = own.withColumn("_gram", F.explode(grams(F.col(needle), F.least(F.length(needle), F.lit(GRAM)))))
+    rarest = parts.join(known, "_gram", "left").groupBy(needle).agg(
+        F.min(F.struct(F.coalesce("_texts", F.lit(0).cast("bigint")).alias("n"), F.col("_gram").alias("g"))).alias("_r"))
+    chosen = rarest.where("_r.n > 0").select(F.col(needle).alias("_needle"), F.col("_r.g").alias("_gram"))
+    hits = index.join(chosen, "_gram").where(F.contains(F.col(text), F.col("_needle"))).drop("_gram")
+    return hits.join(inner, hits["_needle"] == inner[needle]).drop("_needle")

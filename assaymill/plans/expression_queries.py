@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from assaymill import dims
 from assaymill.operators import backfill, normalize, readout
 from assaymill.operators import expression as E
 from assaymill.plans import adapters as A
 from assaymill.plans.registry import query
 from assaymill.session import cut
 
-SHOWN = ["AFP", "ALB", "HNF4A", "POU5F1", "SOX17", "VIM"]
+SHOWN = list(dims.PANEL)
 
 BEST = ("best AS (SELECT * FROM (SELECT *, COALESCE(CAST(protocol_id AS VARCHAR), 'paper_' || paper_id) AS protocol_key, "
         "ROW_NUMBER() OVER (PARTITION BY COALESCE(CAST(protocol_id AS VARCHAR), 'paper_' || paper_id), gene "

@@ -187,7 +187,9 @@ def cache_longest(spark, sf):
     new = table(spark, sf, "documents").selectExpr(
         "doc_id AS seq", "lang || '/' || source AS doi", "CAST(NULL AS STRING) AS pmc_id",
         "CASE WHEN doc_id % 3 = 0 THEN 'T' || doc_id END AS title", "text AS full_text", "'s' || doc_id AS source")
-    out = upserts.cache_longest(new.limit(0), new)
+    middle = new.agg(F.max("seq")).first()[0] / 2  # the earlier writes are merged first, the later ones into what they left
+    old = upserts.cache_longest(new.limit(0), new.where(F.col("seq") <= middle))
+    out = upserts.cache_longest(old, new.where(F.col("seq") > middle))
     return out.select("doi", "title", F.length("full_text").alias("text_length"), "source")
 
 
