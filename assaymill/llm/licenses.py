@@ -1,6 +1,6 @@
 """License scans by an exact set-similarity join of text blocks with license templates, in DataFrame operations.
 
-A block is a line of a text, as its set of words. Template T is found in block B where |B and T| >= threshold * |T|. The template
+A block is LINES consecutive lines of a text, as their set of words, so that a notice may be wrapped and may have comment marks. Template T is found in block B where |B and T| >= threshold * |T|. The template
 vocabulary is ordered by how many documents of the whole table hold a word, rarest first. With `need` = ceil(threshold * |T|), a
 block that meets the threshold holds one of T's first |T| - need + 1 words (prefix filter), has at least `need` words of the
 vocabulary (length filter), and after its first word common with T both sides have at least `need` - 1 words left
@@ -22,8 +22,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaymill.llm.rowkeys import row_key
+from assaymill.session import settle
 
 THRESHOLD = 0.8
+#: Lines of a block: the sentences below take no more at the usual widths.
+LINES = 3
 #: Template words that may be broadcast.
 MAX_TEMPLATE_WORDS = 100_000
 
@@ -45,6 +48,12 @@ TEMPLATES = [
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
     ("all-rights-reserved", "All rights reserved"),
+    ("apache", "you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("unlicense", "This is free and unencumbered software released into the public domain"),
+    ("epl", "This program and the accompanying materials are made available under the terms of the Eclipse Public License"),
+    ("lgpl", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License"),
+    ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"),
 ]
 
 ADDED = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
@@ -112,11 +121,12 @@ def matches(docs: DataFrame, templates=None, threshold: float = THRESHOLD) -> Da
     first_words = [by_rank[r] for r in sorted({r for r, _, _ in index})]
     least = min(need for _, _, need, _ in full)
     low = lowered(F.col("text"))
-    blocks = (docs.where(F.arrays_overlap(words(low), F.lit(first_words)))
-              .select("_key", F.posexplode(F.split(low, "\n")).alias("block", "line")))
-    held = F.array_intersect(words(F.col("line")), F.lit(vocabulary))
-    kept = blocks.where(F.arrays_overlap(words(F.col("line")), F.lit(first_words))).select("_key", "block", held.alias("held"))
-    kept = kept.where(F.size("held") >= least).select("_key", "block", F.sort_array(F.transform("held", lambda w: ranks[w])).alias("ranks"))
+    lines = settle(docs.where(F.arrays_overlap(words(low), F.lit(first_words))).select(
+        "_key", F.transform(F.split(low, "\n"), lambda line: F.array_intersect(words(line), F.lit(vocabulary))).alias("_lines")))
+    # A block starts at a line that holds some word of the vocabulary; any other adds nothing to the one that starts below it.
+    block = F.transform("_lines", lambda own, i: F.when(F.size(own) > 0, F.array_distinct(F.flatten(F.slice("_lines", i + 1, LINES)))))
+    blocks = lines.select("_key", F.posexplode(block).alias("block", "held")).where((F.size("held") >= least) & F.arrays_overlap("held", F.lit(first_words)))
+    kept = blocks.select("_key", "block", F.sort_array(F.transform("held", lambda w: ranks[w])).alias("ranks"))
     met = kept.select("_key", "block", "ranks", F.posexplode("ranks").alias("b_at", "rank")).join(prefixes, "rank")
     first = met.groupBy("_key", "block", "template").agg(F.min("t_at").alias("t_at"), F.min("b_at").alias("b_at"), F.min("ranks").alias("ranks"))
     overlap = F.size(F.array_intersect("ranks", "t_ranks"))

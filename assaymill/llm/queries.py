@@ -61,8 +61,9 @@ places AS (
   UNION ALL
   SELECT doc_id, p - 1, 'gpl' FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS p FROM d)
   WHERE w[p] = 'general' AND w[p + 1] = 'public' AND w[p + 2] = 'license'),
-lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS text FROM d WHERE text IS NOT NULL),
-sets AS (SELECT doc_id, list_distinct({SQL_WORDS}) AS held FROM lines),
+lines AS (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM d WHERE text IS NOT NULL)),
+sets AS (SELECT doc_id, list_distinct({SQL_WORDS}) AS held
+         FROM (SELECT doc_id, array_to_string(l[i:i + {licenses.LINES - 1}], ' ') AS text FROM lines)),
 found AS (SELECT doc_id, label, len(list_intersect(held, words)) / len(words) AS share FROM sets, t
           WHERE len(list_intersect(held, words)) >= ceil({licenses.THRESHOLD} * len(words))),
 base AS (SELECT doc_id, count(*) AS n, min(place) AS a, max(place) AS b, string_agg(DISTINCT label, ',' ORDER BY label) AS labels

@@ -19,8 +19,9 @@ def brute(text, templates, threshold):
         p = phrase.split()
         places += [(i, label) for i in range(len(w)) if w[i:i + len(p)] == p]
     share, labels = 0.0, {label for _, label in places}
-    for line in (text or "").split("\n"):
-        held = set(words(line))
+    lines = (text or "").split("\n")
+    for i in range(len(lines)):
+        held = set(words("\n".join(lines[i:i + licenses.LINES])))
         for label, t in templates:
             need = set(licenses.template_words(t))
             if len(held & need) >= threshold * len(need) - 1e-9:
@@ -38,6 +39,22 @@ TEXTS = [None, "", "\n\n", "MIT License", "mit license\nApache license, mit-lice
          "this program is free software you can redistribute it under the terms"]
 
 
+WRAPPED = [
+    ("bsd", " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following"),
+    ("mit", "# Permission is hereby granted, free of charge, to any person obtaining a copy\n# of this software and associated documentation\n# files (the \"Software\"), to deal"),
+    ("apache", "// Licensed under the Apache License,\n// Version 2.0 (the \"License\");\n// you may not use this file except in compliance with the License.\n// You may obtain a copy of the License at\n"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided"),
+    ("lgpl", "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published"),
+]
+
+
+def test_wrapped_notices(spark):
+    rows = [(i, f"code before\n\n{t}\n\nand code after") for i, (_, t) in enumerate(WRAPPED)]
+    rows += [(90, "redistribution and use in source\n\n\n\nand binary forms with or without\n\n\nmodification are permitted")]
+    got = {r["doc_id"]: r["labels"].split(",") for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(label in got[i] for i, (label, _) in enumerate(WRAPPED)) and got[90] == [""]
+
+
 @pytest.mark.parametrize("threshold", [0.5, 0.8, 1.0])
 def test_against_brute_force(spark, threshold):
     rows = [(i, t, 0.5) for i, t in enumerate(TEXTS)] + [(3, "MIT License", 0.5), (None, "MIT license", 0.5)]
