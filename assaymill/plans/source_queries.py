@@ -121,6 +121,23 @@ def deg_table(spark, sf):
     found = tables.classify(tables.profiles(lines)).where("kind = 'deg_list'")
     return rounded(tables.deg_rows(tables.panel_rows(lines, found)).select("path", "gene_symbol", "log2fc", "padj"), "log2fc")
 
+# -- wide files whose columns differ ----------------------------------------------------------------------------
+
+@query("drifting_matrices", A.sql(
+    "SELECT l_orderkey % 3 AS path, CAST(l_orderkey AS VARCHAR) AS key, CAST(l_linenumber AS VARCHAR) AS line_no, c AS \"column\", CASE c WHEN 'q' THEN q WHEN 'e' THEN e END AS value "
+    "FROM ln, (VALUES ('q', 0), ('e', 0), ('q', 1), ('e', 1), ('note', 1), ('e', 2)) t(c, f) WHERE f = l_orderkey % 3", ONE_LINE))
+def drifting_matrices(spark, sf):
+    """Three files: columns in another order, one more, one fewer."""
+    r = _lines(spark, sf)
+    row = F.expr("CASE l_orderkey % 3 WHEN 0 THEN concat_ws('\t', l_orderkey, l_linenumber, q, e) "
+                 "WHEN 1 THEN concat_ws('\t', e, l_orderkey, 'x', q, l_linenumber) ELSE concat_ws('\t', e, l_linenumber, l_orderkey, 'beyond') END")
+    at = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    rows = r.select((F.col("l_orderkey") % 3).alias("path"), F.struct(F.lit(0).cast("bigint").alias("block"), at.cast("bigint").alias("at")).alias("pos"), row.alias("line"))
+    head = F.expr("CASE path WHEN 0 THEN 'key\tline_no\tq\te' WHEN 1 THEN 'e\tkey\tnote\tq\tline_no' ELSE 'e\tline_no\tkey' END")
+    first = F.struct(F.lit(0).cast("bigint").alias("block"), F.lit(-1).cast("bigint").alias("at"))
+    heads = rows.select("path").distinct().select("path", first.alias("pos"), head.alias("line"))
+    return tables.wide_cells(rows.unionByName(heads), ["key", "line_no"])
+
 @query("merge_files",
        "WITH g AS (SELECT l_suppkey AS gse_id, CASE l_linenumber % 2 WHEN 0 THEN 'ALB' ELSE 'AFP' END AS gene_symbol, 's' || l_partkey AS sample, "
        "l_quantity AS value, l_orderkey * 10 + l_linenumber AS file_no, l_extendedprice FROM lineitem), "

@@ -7,13 +7,15 @@ cut into cells then (`panel_rows`). `parse` holds a small table as arrays in one
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assaymill.functions import genes
 from assaymill.functions.numbers import to_double, unquote
 from assaymill.functions.text import cell, markdown_row
 from assaymill.session import cut, settle
+from assaymill.sources import files
 
 
 def lines(content: Column) -> Column:
@@ -219,3 +221,40 @@ def preview_markdown(parsed: DataFrame, limit: int | None = None) -> DataFrame:
     body = F.transform(shown, lambda r: markdown_row(F.transform(r, cell)))
     return parsed.where(F.size("rows") > 0).select(
         "path", F.array_join(F.concat(F.array(head, rule), body), "\n").alias("markdown"))
+
+
+def wide_cells(lines: DataFrame, keys: list[str], delimiter: str = "\t") -> DataFrame:
+    """(path, keys…, column, value) of wide files, whose columns may differ in number and order: cells are named by their own file's header.
+
+    A key column that a file lacks is NULL; empty cells and cells that are no numbers give NULL; cells beyond the header are ignored.
+    """
+    full = lines.where(F.col("line") != "")
+    heads = full.groupBy("path").agg(F.min_by("line", "pos").alias("_head"))
+    rows = full.join(heads, "path").where(F.col("line") != F.col("_head")).select(
+        "path", cells(F.col("_head"), F.lit(delimiter)).alias("_h"), cells(F.col("line"), F.lit(delimiter)).alias("_c"))
+    rows = settle(rows)
+
+    def key(name):
+        at = F.array_position("_h", name)
+        return F.when(at > 0, F.get("_c", (at - 1).cast("int"))).alias(name)
+
+    n = F.least(F.size("_h"), F.size("_c"))
+    pairs = F.arrays_zip(F.slice("_h", F.lit(1), n).alias("column"), F.slice("_c", F.lit(1), n).alias("v"))
+    out = rows.select("path", *[key(k) for k in keys], F.inline(F.filter(pairs, lambda p: ~p["column"].isin(keys))))
+    return out.select("path", *keys, "column", to_double(F.col("v")).alias("value"))
+
+
+def aligned(found: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Cells as one wide row per file and keys, with the given columns by name; a column that a file lacks is NULL."""
+    return found.groupBy("path", *keys).agg(*[F.max(F.when(F.col("column") == c, F.col("value"))).alias(c) for c in columns])
+
+
+def integrated(spark: SparkSession, folder: str, keys: list[str]) -> DataFrame:
+    """`wide_cells` of the tab-separated matrices below a folder; no rows if there is none."""
+    try:
+        found = files.lines(spark, folder, "*.{csv,tsv}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = spark.createDataFrame([], "path string, pos struct<block:bigint,at:bigint>, line string")
+    return wide_cells(found, keys)

@@ -146,6 +146,19 @@ def test_files_are_read_by_lines_in_many_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_an_exported_matrix_comes_back(spark, tmp_path):
+    from assaymill.operators import export
+    a = spark.createDataFrame([("p1", "S 1", 1.5, None), ("p2", "S, 2", -2.0, 3.25)], "protocol_id string, stage_name string, ALB double, AFP double")
+    b = spark.createDataFrame([(7.0, "p3", 8.0)], "SOX17 double, protocol_id string, ALB double")
+    export.write_tsv(a.coalesce(1), str(tmp_path / "m" / "a"))
+    export.write_tsv(b.coalesce(1), str(tmp_path / "m" / "b"))
+    keys = ["protocol_id", "stage_name"]
+    found = tables.integrated(spark, str(tmp_path / "m"), keys)
+    wide = tables.aligned(found, keys, ["AFP", "ALB", "SOX17"])
+    assert {tuple(r)[1:] for r in wide.collect()} == {("p1", "S 1", None, 1.5, None), ("p2", "S, 2", 3.25, -2.0, None), ("p3", None, None, 8.0, 7.0)}
+    assert tables.integrated(spark, str(tmp_path / "none"), keys).count() == 0
+
+
 def test_soft(spark):
     text = ("^SAMPLE = GSM1\n!Sample_title = a = b\n!Sample_characteristics_ch1 = cell: iPSC\n!Sample_characteristics_ch1 = bare\n"
             "!Sample_characteristics_ch1 = cell: ESC\n!Sample_relation = SRA: https://x?term=SRX12\n^SAMPLE = GSM2\n!Sample_title = z\n")
