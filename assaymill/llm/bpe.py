@@ -28,7 +28,7 @@ from assaymill.llm import arrowtext
 LONG_WORD = 48
 #: A vocabulary file of more bytes than this is refused: the table travels to every executor.
 MAX_VOCABULARY_BYTES = 64 << 20
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 3 << 20
 #: Words whose ids a task keeps for its next chunks; a full cache starts anew.
 CACHE_WORDS = 400_000
 
