@@ -105,3 +105,69 @@ def test_nothing_to_learn_from(spark):
     df = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     learned = language.learn(df)
     assert learned == ({}, {}) and language.predict(df, learned).first()["lang_pred"] == "und"
+
+
+def many_languages(spark, n_langs):
+    """Documents of languages with alphabets of their own, and one without a language for each."""
+    rng = np.random.default_rng(7)
+    rows = []
+    for j in range(n_langs):
+        alphabet = rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 12, replace=False)
+        weight = rng.dirichlet(np.ones(12))
+        for i in range(8):
+            text = " ".join("".join(rng.choice(alphabet, rng.integers(2, 8), p=weight)) for _ in range(30))
+            rows.append((len(rows), text, f"l{j:02d}"))
+    rows += [(len(rows) + i, t, None) for i, t in enumerate(["", "12 !", "Zażółć gęślą", "ab " * 3000])] + [(None, "abc abd", None)] * 2
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+def test_no_gram_is_lost_whatever_the_shards(spark):
+    docs = many_languages(spark, 60).cache()
+    whole = language.learn(docs)
+    small = language.learn(docs, shard_cells=3000)
+    assert len(whole[0].shards) == 1 and len(small[0].shards) > 10 and dict(whole[0]) == dict(small[0]) and len(whole[0]) == 60
+    learning = docs.where(language.fold().isin(0, 1) & docs["lang"].isNotNull()).collect()
+    texts = {lang: [r["text"] for r in learning if r["lang"] == lang] for lang in whole[0]}
+    assert all(whole[0][lang] == len(brute(t)[4]) for lang, t in texts.items() if t)
+    want = language.predict(docs, whole).orderBy("doc_id").collect()
+    got = language.predict(docs, small).orderBy("doc_id").collect()
+    assert len(got) == len(want) == docs.count()
+    for a, b in zip(got, want):
+        assert (a["doc_id"], a["text"], a["lang"], a["lang_pred"], a["rejected"]) == (b["doc_id"], b["text"], b["lang"], b["lang_pred"], b["rejected"])
+        assert a["cross_entropy"] == pytest.approx(b["cross_entropy"], rel=1e-5) and a["score"] == pytest.approx(b["score"], rel=1e-3)
+
+
+def test_languages_split_by_third_symbol_equal_brute_force(spark):
+    docs = many_languages(spark, 3).cache()
+    learned = language.learn(docs, shard_cells=60)
+    assert any(held == ["l00"] for held in learned[0].held) and len(learned[0].shards) > 6
+    learning = docs.where(language.fold().isin(0, 1) & docs["lang"].isNotNull()).collect()
+    orders = {lang: brute([r["text"] for r in learning if r["lang"] == lang]) for lang in learned[0]}
+    alphabet = len(set().union(*(o[1] for o in orders.values())))
+    for r in language.predict(docs.where("length(text) < 400"), learned).collect():
+        p = padded(r["text"])
+        every = [-sum(math.log(probability(orders[g], alphabet, p[i:i + 4])) for i in range(len(p) - 3)) / (len(p) - 3) for g in sorted(orders)]
+        assert r["cross_entropy"] == pytest.approx(min(every), rel=1e-4)
+
+
+def test_shards_cover_each_language_once():
+    cells = {"a": [(1, 5), (2, 9), (40, 1)], "b": [(3, 1)], "c": [(3, 1), (9, 2)]}
+    assert language.deal(cells, 10) == [(["a"], (0, 2)), (["a"], (2, 65536)), (["b", "c"], (0, 65536))]
+    assert language.deal({}, 10) == [] and language.deal({"a": [(1, 50), (2, 1)]}, 10) == [(["a"], (0, 2)), (["a"], (2, 65536))]
+
+
+def test_limits_are_those_of_the_calibration_documents(spark):
+    docs = many_languages(spark, 4).cache()
+    learned = language.learn(docs)
+    share = docs.where((language.fold() == language.CALIBRATION) & docs["lang"].isNotNull())
+    rows = language.predict(share, (learned[0], {}), detail=True).collect()
+    for lang, (limit, allowance) in learned[1].items():
+        mine = [r for r in rows if r["lang"] == r["lang_pred"] == lang]
+        entropy = sorted(r["cross_entropy"] for r in mine)
+        middle, most = entropy[(len(entropy) + 1) // 2 - 1], entropy[-1]
+        assert limit == pytest.approx(most + 3 * (most - middle)) and allowance == pytest.approx(4 * np.mean([r["_variance"] for r in mine]) ** 0.5)
+    judged = language.predict(docs, learned, detail=True).collect()
+    for r in judged:
+        a, b = learned[1].get(r["lang_pred"], (math.inf, 0.0))
+        letters = any(c.isalpha() for c in r["text"])
+        assert r["rejected"] == (not letters or r["cross_entropy"] > a + b / max(r["_n"], 1) ** 0.5)
