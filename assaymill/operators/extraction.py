@@ -19,6 +19,7 @@ from assaymill.functions import text as T
 from assaymill.functions.genes import strip
 from assaymill.operators.ranking import top_per_group
 from assaymill.session import settle
+from assaymill.sources import pacing
 
 Model = Callable[[list[dict]], dict]
 MAX_RETRIES = 3
@@ -56,23 +57,19 @@ def complete(model: Model, messages: list[dict], sleep=time.sleep) -> tuple[str
 def ask(prompts: DataFrame, model: Model, calls_per_second: float | None = None) -> DataFrame:
     """`prompts` (…, system, prompt) with `reply` and `call_error` in place of the two message columns.
 
-    Spark partitions the calls; the limiter holds per task, so the job's rate is tasks x calls_per_second.
+    Spark partitions the calls; `calls_per_second` bounds the first tries of the whole job (`sources.pacing`).
     """
     keep = [f for f in prompts.schema.fields if f.name not in ("system", "prompt")]
     names = [f.name for f in keep]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keep]
                        + ["reply string", "call_error string"])
-    gap = 1.0 / calls_per_second if calls_per_second else 0.0
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last = 0.0
+        wait = pacing.slots(calls_per_second)
         for b in batches:
             answers = []
             for system, prompt in zip(b["system"], b["prompt"]):
-                wait = last + gap - time.monotonic() if gap else 0.0
-                if wait > 0:
-                    time.sleep(wait)
-                last = time.monotonic()
+                wait()
                 answers.append(complete(model, [{"role": "system", "content": system},
                                                 {"role": "user", "content": prompt}]))
             out = b[names].copy()
@@ -80,7 +77,7 @@ def ask(prompts: DataFrame, model: Model, calls_per_second: float | None = None)
             out["call_error"] = [a[1] for a in answers]
             yield out
 
-    return prompts.mapInPandas(run, schema)
+    return pacing.dealt(prompts, calls_per_second).mapInPandas(run, schema)
 
 
 def stub_model(messages: list[dict]) -> dict:

@@ -227,3 +227,15 @@ def removed_terms(spark, sf):
     d = table(spark, sf, "documents").where("doc_id % 2 = 0").selectExpr(
         "doc_id AS id", "array(named_struct('category', lang, 'term', source, 'stage', 'S', 'reason', 'x')) AS removals")
     return grounding.top_removed(grounding.removal_counts(d))
+
+
+@query("coalesced_answers", "SELECT o_orderkey, CASE WHEN o_custkey % 2 = 0 THEN c_name WHEN o_custkey % 7 <> 0 THEN reverse(CAST(o_custkey AS VARCHAR)) END AS answer "
+                            "FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
+def coalesced_answers(spark, sf):
+    def service(key):
+        if int(key) % 7 == 0:
+            raise OSError("no answer")
+        return key[::-1]
+    wants = table(spark, sf, "orders").selectExpr("o_orderkey", "CAST(o_custkey AS STRING) AS key")
+    known = table(spark, sf, "customer").where("c_custkey % 2 = 0").selectExpr("CAST(c_custkey AS STRING) AS key", "c_name AS answer")
+    return repositories.answered(wants, "key", known, service)[0].select("o_orderkey", "answer")

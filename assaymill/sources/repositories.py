@@ -5,7 +5,6 @@ Fetching is a callable `(key) -> text` the caller supplies; parsing and aggregat
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -13,6 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assaymill.functions import accessions as A
+from assaymill.operators.joins import left_lookup
+from assaymill.session import cut
+from assaymill.sources import pacing
 
 Transport = Callable[[str], str | None]
 
@@ -21,27 +23,40 @@ RUN = ("sample_alias string, instrument_model string, library_strategy string, s
 
 
 def fetch(keys: DataFrame, key: str, transport: Transport, per_second: float | None = None,
-          tries: int = 3) -> DataFrame:
-    """`keys` with the service's `answer` (NULL after failed tries). The limiter holds per task."""
+          tries: int = 3, lanes: int = pacing.LANES) -> DataFrame:
+    """`keys` with the service's `answer` (NULL after failed tries). `per_second` bounds the calls of the whole job, tries included."""
     fields = [f for f in keys.schema.fields]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["answer string"])
-    gap = 1.0 / per_second if per_second else 0.0
-
-    def one(k):
-        for _ in range(tries):
-            if gap:
-                time.sleep(gap)
-            try:
-                return transport(k)
-            except Exception:  # a failed fetch is a missing answer, tried again on the next run
-                continue
-        return None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        wait = pacing.slots(per_second, lanes)
+
+        def one(k):
+            for _ in range(tries):
+                wait()
+                try:
+                    return transport(k)
+                except Exception:  # a failed fetch is a missing answer, tried again on the next run
+                    continue
+            return None
+
         for b in batches:
             yield b.assign(answer=[one(k) for k in b[key]])
 
-    return keys.mapInPandas(run, schema)
+    return pacing.dealt(keys, per_second, lanes, key).mapInPandas(run, schema)
+
+
+def answered(wants: DataFrame, key: str, known: DataFrame, transport: Transport, per_second: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """(`wants` with `answer`, the new `(key, answer)` rows to be stored).
+
+    Equal wants become one call; what `known` `(key, answer)` has is not asked. The new answers are cut, so that handing them out
+    and storing them makes no second call. Rows without a key, and those whose call failed, have no answer. Of several known
+    answers to a key the largest counts. A column `answer` of `wants` is replaced.
+    """
+    known = known.where("answer IS NOT NULL").groupBy(key).agg(F.max("answer").alias("answer"))
+    asked = wants.where(F.col(key).isNotNull()).select(key).distinct()
+    new = cut(fetch(not_cached(asked, known, key), key, transport, per_second).where("answer IS NOT NULL"))
+    return left_lookup(wants.drop("answer"), known.unionByName(new), [key]), new
 
 
 def not_cached(keys: DataFrame, cached: DataFrame, key: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from assaymill import schemas
 from assaymill.operators import (acquire, backfill, crossref, discovery, documents, export, expression, extraction, graph, grounding, mapping,
-                                 normalize, readout, retrieval, stats, supplements, upserts, worklists)
+                                 normalize, readout, references, retrieval, stats, supplements, upserts, worklists)
 from assaymill.session import configure, cut
 from assaymill.sources import aliases, files, jsonl, matrix, office, snapshots, soft, xml
 from assaymill.sources.repositories import fetch
@@ -284,6 +284,17 @@ def _measured(rows: DataFrame) -> DataFrame:
     return shaped.withColumn("id", F.xxhash64("paper_id", "protocol_id", "gene_symbol", "condition_label", "comparison", "source_detail"))
 
 
+def fetch_references(t: Tables, o: dict) -> Tables:
+    """Texts of the protocols' base protocols into the text cache: what neither cache nor corpus has is asked of `reference_transport`, once each."""
+    if not o.get("reference_transport"):
+        return {}
+    wanted = t["protocols"].where("trim(base_protocol_doi) <> ''").select(F.trim("base_protocol_doi").alias("doi"), F.lit(None).cast("string").alias("pmid")).distinct()
+    texts = t["paper_texts"].select(F.col("paper_id").alias("id"), F.col("text").alias("full_text"))
+    _, new = references.fetch_references(wanted, t["corpus_cache"], t["papers"].select("id", "doi", "pmid", "title").join(texts, "id"),
+                                         o["reference_transport"], per_second=o.get("reference_rate"))
+    return {"corpus_cache": references.written_back(t["corpus_cache"], new)}
+
+
 def integrate(t: Tables, o: dict) -> Tables:
     """Protocol and stage matrices with normalised values, and the provenance of each value."""
     method = {"rank": "rank", "quantile": "quantile", "relative": "within_study_relative"}[o.get("normalize", "rank")]
@@ -319,7 +330,7 @@ STEPS: list[tuple[float, str, Callable[[Tables, dict], Tables]]] = [
     (3, "fetch_supplements", fetch_supplements), (4, "read_supplements", read_supplements),
     (5, "order_papers", order_papers), (6, "discover_series", discover_series), (6.5, "ground_accessions", ground_accessions),
     (7, "extract_protocols", extract_protocols),
-    (8, "ground_protocols", ground_protocols), (9, "map_samples", map_samples), (10, "statistics", statistics),
+    (8, "ground_protocols", ground_protocols), (8.5, "fetch_references", fetch_references), (9, "map_samples", map_samples), (10, "statistics", statistics),
     (11, "extract_rnaseq", extract_rnaseq),
     (12, "cross_reference", cross_reference), (13, "retrieve_expression", retrieve_expression), (14, "integrate", integrate),
     (15, "export", export_sheets), (16, "readouts", analyze_readouts),
