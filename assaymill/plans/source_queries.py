@@ -12,7 +12,7 @@ from assaymill.plans import adapters as A
 from assaymill.plans.expression_queries import SHOWN, rounded
 from assaymill.plans.registry import query
 from assaymill.plans.table_queries import table
-from assaymill.session import cut
+from assaymill.session import cut, spread
 from assaymill.sources import matrix, repositories, soft, tables
 
 # -- series matrices: one file per order, its lines are probes or genes ----------------------------------------
@@ -22,7 +22,7 @@ PROBE = "CASE l_linenumber WHEN 1 THEN 'ALB' WHEN 2 THEN 'oct4' WHEN 3 THEN 'x_a
 ONE_LINE = ("ln AS (SELECT l_orderkey, l_linenumber, MIN(l_quantity) AS q, MIN(l_extendedprice) AS e FROM lineitem GROUP BY 1, 2)")
 
 def _lines(spark, sf):
-    return table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
+    return spread(table(spark, sf, "lineitem"), "l_orderkey").groupBy("l_orderkey", "l_linenumber").agg(
         F.min("l_quantity").alias("q"), F.min("l_extendedprice").alias("e"))
 
 def _row(key):
