@@ -53,8 +53,18 @@ def in_panel(symbol: Column) -> Column:
 
 
 def is_target_gene(name: Column) -> Column:
-    """Whether a name means a panel gene: one hash-set test on its key."""
-    return lookup_key(name).isin([k for k, _ in lookup_rows()])
+    """Whether a name means a panel gene: one hash-set test on its key, which for most names is the name in upper case."""
+    return _means_target(F.upper(strip(name)))
+
+
+def any_target_gene(names: Column) -> Column:
+    """Whether some name of an array means a panel gene."""
+    return F.exists(F.transform(names, lambda n: F.upper(strip(n))), lambda u: F.coalesce(_means_target(u), F.lit(False)))
+
+
+def _means_target(upper: Column) -> Column:
+    keys = [k for k, _ in lookup_rows()]
+    return F.when(upper.startswith("ENSG") | upper.contains("_CHR"), lookup_key(upper).isin(keys)).otherwise(upper.isin(keys))
 
 
 def category(symbol: Column) -> Column:

@@ -18,7 +18,17 @@ def to_double(text: Column) -> Column:
 
 def unquote(text: Column) -> Column:
     """Trim, then drop double quotes at both ends."""
-    return F.regexp_replace(strip(text), r'^"+|"+$', "")
+    return _bare(strip(text))
+
+
+def unquote_all(texts: Column) -> Column:
+    """`unquote` of each, with one pass for either step."""
+    return F.transform(F.transform(texts, strip), _bare)
+
+
+def _bare(bare: Column) -> Column:
+    plain = ~(bare.endswith("\u0085") | bare.endswith("\u2028") | bare.endswith("\u2029"))  # `$` also stands before these
+    return F.when(plain, F.btrim(bare, F.lit('"'))).otherwise(F.regexp_replace(bare, r'^"+|"+$', ""))
 
 
 def first_int(text: Column) -> Column:

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaymill.functions import genes
-from assaymill.functions.numbers import to_double, unquote
-from assaymill.session import cut
+from assaymill.functions.numbers import to_double, unquote, unquote_all
+from assaymill.session import cut, few, settle
 
 # Line starts of the table's header and end, and of the header lines that are read.
 HEAD, END = '"ID_REF"', "!series_matrix_table_end"
@@ -29,7 +29,7 @@ class Series(NamedTuple):
 def _values(line: Column) -> Column:
     """Cells of a tab line after its first, unquoted."""
     parts = F.split(line, "\t")
-    return F.transform(F.slice(parts, F.lit(2), F.size(parts)), unquote)
+    return unquote_all(F.slice(parts, F.lit(2), F.size(parts)))
 
 
 def _key(line: Column) -> Column:
@@ -47,21 +47,21 @@ def tables(lines: DataFrame, probes: DataFrame | None = None) -> Series:
     """
     line = F.col("line")
     is_end = (F.trim(line) == "") | line.startswith(END)
-    kept = lines.select("path", "pos", "line", _key(line).alias("key"), is_end.alias("is_end"))
-    kept = kept.withColumn("gene", F.coalesce(genes.is_target_gene(F.col("key")), F.lit(False)))
+    kept = settle(lines.select("path", "pos", "line", _key(line).alias("key"), is_end.alias("is_end")))
+    kept = settle(kept.withColumn("gene", F.coalesce(genes.is_target_gene(F.col("key")), F.lit(False))))
     wanted = F.col("gene") | F.col("is_end") | line.startswith(HEAD) | line.startswith(PLATFORM)
     if probes is not None:
-        ids = probes.select(F.col("probe").alias("key"), F.lit(True).alias("probe")).distinct()
+        ids = few(probes.select(F.col("probe").alias("key"), F.lit(True).alias("probe")).distinct())
         kept = kept.join(ids, "key", "left")
         wanted = wanted | F.col("probe")
         kept = kept.select("path", "pos", "line", "key", "is_end", "gene", F.coalesce("probe", F.lit(False)).alias("probe"))
     kept = cut(kept.where(wanted))
-    marks = kept.groupBy("path").agg(_first(line.startswith(HEAD)).alias("h"), _first(line.startswith(PLATFORM)).alias("p")).where("h IS NOT NULL")
+    marks = kept.where(line.startswith(HEAD) | line.startswith(PLATFORM)).groupBy("path").agg(_first(line.startswith(HEAD)).alias("h"), _first(line.startswith(PLATFORM)).alias("p")).where("h IS NOT NULL")
     heads = marks.select("path", F.col("h.pos").alias("head"), _values(F.col("h.line")).alias("samples"), F.when(
         F.col("p.pos") <= F.col("h.pos"), F.nullif(F.regexp_extract("p.line", r"GPL\d+", 0), F.lit(""))).alias("platform"))
-    ends = (kept.where("is_end").join(heads.select("path", "head"), "path").where(F.col("pos") > F.col("head"))
-            .groupBy("path").agg(F.min("pos").alias("end")))
-    frames = cut(heads.join(ends, "path", "left"))
+    ends = kept.where("is_end").select(F.col("path").alias("_of"), F.col("pos").alias("_end"))
+    frames = cut(heads.join(ends, (F.col("_of") == F.col("path")) & (F.col("_end") > F.col("head")), "left").groupBy("path").agg(
+        F.first("head").alias("head"), F.first("samples").alias("samples"), F.first("platform").alias("platform"), F.min("_end").alias("end")))
     rows = kept.where(F.col("gene") if probes is None else F.col("gene") | F.col("probe"))
     inside = (F.col("pos") > F.col("head")) & (F.col("end").isNull() | (F.col("pos") < F.col("end")))
     body = rows.join(frames, "path").where(inside).select("path", "pos", "line", "key", "gene", "samples", "platform")
@@ -91,9 +91,9 @@ def sample_titles(lines: DataFrame) -> DataFrame:
 
 def _with_values(rows: DataFrame) -> DataFrame:
     """Rows `(…, samples, line)` with their numbers as `values` beside as many samples; cells beyond the header are ignored."""
-    vals = _values(F.col("line"))
-    n = F.least(F.size("samples"), F.size(vals))
-    return rows.withColumn("values", F.transform(F.slice(vals, F.lit(1), n), to_double)).withColumn("samples", F.slice("samples", F.lit(1), n)).drop("line")
+    n = F.least(F.size("samples"), F.size("values"))
+    return settle(rows.withColumn("values", _values(F.col("line"))).drop("line")).withColumns(
+        {"samples": F.slice("samples", F.lit(1), n), "values": F.transform(F.slice("values", F.lit(1), n), to_double)})
 
 
 def cells(rows: DataFrame) -> DataFrame:
@@ -115,7 +115,7 @@ def probe_rows(series: Series, probes: DataFrame) -> DataFrame:
     `series` must have been read with the same probes.
     """
     named = series.body.where("gene").select("path").distinct()
-    r = series.body.withColumnRenamed("key", "probe").join(probes, ["platform", "probe"]).join(named, "path", "left_anti")
+    r = series.body.withColumnRenamed("key", "probe").join(few(probes), ["platform", "probe"]).join(named, "path", "left_anti")
     return _with_values(r.select(F.col("path").alias("file"), "gene_symbol", "probe", "pos", "samples", "line"))
 
 
