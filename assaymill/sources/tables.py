@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assaymill.functions import genes
-from assaymill.functions.numbers import to_double, unquote
+from assaymill.functions.numbers import to_double, unquote, unquote_all
 from assaymill.functions.text import cell, markdown_row
-from assaymill.session import cut, settle
+from assaymill.session import cut, few, settle
 from assaymill.sources import files
 
 
@@ -50,15 +50,20 @@ def parse(files: DataFrame) -> DataFrame:
 DELIMITERS = ["\t", ";", ","]
 
 
-def _cut_line(line: Column, delimiter: str) -> Column:
-    """As `cells`, for one of DELIMITERS."""
-    quoted = F.split(line, delimiter + r'(?=(?:[^"]*"[^"]*")*[^"]*$)', -1)
-    return F.transform(F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, delimiter, -1)), unquote)
+def _cut_line(line: Column, delimiter: str, limit: int = -1) -> Column:
+    """As `cells`, for one of DELIMITERS; with a limit the last cell holds the rest."""
+    quoted = F.split(line, delimiter + r'(?=(?:[^"]*"[^"]*")*[^"]*$)', limit)
+    parts = F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, delimiter, limit))
+    return unquote_all(F.when(F.contains(line, F.lit(delimiter)), parts).otherwise(F.array(line)))
 
 
-def _signs(line: Column, delimiter: str) -> Column:
-    """What a row says about its first two columns if cut at `delimiter`, as 0 or 1 each."""
-    parts = _cut_line(line, delimiter)
+def _cut_at(line: Column, delimiter: Column) -> Column:
+    """As `cells`, for a column that holds DELIMITERS: each is a pattern of its own, none is built by row."""
+    return F.coalesce(*[F.when(delimiter == d, _cut_line(line, d)) for d in DELIMITERS])
+
+
+def _signs(parts: Column) -> Column:
+    """What a row says about its first two columns by its cells, as 0 or 1 each."""
     first, second = F.trim(F.get(parts, F.lit(0))), F.get(parts, F.lit(1))
     tests = {"odd": (second != "") & to_double(second).isNull(), "filled": first != "",
              "symbol": first.rlike(r"^[A-Z][A-Z0-9]{1,15}$"), "ensembl": first.startswith("ENSG")}
@@ -70,11 +75,15 @@ SIGNS = ["odd", "filled", "symbol", "ensembl"]
 
 def profiles(lines: DataFrame) -> DataFrame:
     """One row per file: (path, delimiter, header, header_line, n_rows, odd, filled, symbol, ensembl), counts over all rows below the header."""
-    line = F.col("line")
-    signs = [_signs(line, d).alias(f"_s{i}") for i, d in enumerate(DELIMITERS)]
-    seen = settle(lines.where(line != "").select(
-        "path", "pos", "line", F.contains(line, F.lit("\t")).alias("_tab"), F.regexp_count(line, F.lit(";")).alias("_semis"),
-        F.regexp_count(line, F.lit(",")).alias("_commas"), *signs))
+    line, tab = F.col("line"), F.contains("line", F.lit("\t"))
+
+    def count(sign):
+        return F.length(line) - F.length(F.replace(line, F.lit(sign), F.lit("")))
+
+    # One tab makes a file tab-separated, so a line with tabs need not be cut otherwise.
+    parts = [_cut_line(line, "\t", 3).alias("_p0"), *[F.when(~tab, _cut_line(line, d, 3)).alias(f"_p{i}") for i, d in enumerate(DELIMITERS) if i]]
+    seen = settle(lines.where(line != "").select("path", "pos", "line", tab.alias("_tab"), count(";").alias("_semis"), count(",").alias("_commas"), *parts))
+    seen = settle(seen.select("path", "pos", "line", "_tab", "_semis", "_commas", *[_signs(F.col(f"_p{i}")).alias(f"_s{i}") for i in range(3)]))
     sums = [F.sum(f"_s{i}.{n}").alias(f"_{n}{i}") for i in range(3) for n in SIGNS]
     f = seen.groupBy("path").agg(F.max("_tab").alias("_tab"), F.sum("_semis").alias("_semis"), F.sum("_commas").alias("_commas"),
                                  F.min_by(F.struct("line", *[f"_s{i}" for i in range(3)]), "pos").alias("_h"), F.count("*").alias("_n"), *sums)
@@ -85,7 +94,7 @@ def profiles(lines: DataFrame) -> DataFrame:
         return F.coalesce(*[F.when(F.col("_d") == i, F.col(f"_{name}{i}") - F.col(f"_h._s{i}.{name}")) for i in range(3)]).alias(name)
 
     delimiter = F.element_at(F.lit(DELIMITERS), F.col("_d") + 1)
-    return f.select("path", delimiter.alias("delimiter"), cells(F.col("_h.line"), delimiter).alias("header"), F.col("_h.line").alias("header_line"),
+    return f.select("path", delimiter.alias("delimiter"), _cut_at(F.col("_h.line"), delimiter).alias("header"), F.col("_h.line").alias("header_line"),
                     (F.col("_n") - 1).alias("n_rows"), *[chosen(n) for n in SIGNS])
 
 
@@ -97,13 +106,13 @@ def panel_rows(lines: DataFrame, found: DataFrame) -> DataFrame:
     line = F.col("line")
 
     def named(d):
-        return F.exists(_cut_line(line, d), lambda c: F.coalesce(genes.is_target_gene(c), F.lit(False)))
+        return F.contains(line, F.lit(d)) & genes.any_target_gene(_cut_line(line, d))
 
     some = F.when(F.contains(line, F.lit("\t")), named("\t")).otherwise(named(";") | named(",") | F.coalesce(genes.is_target_gene(unquote(line)), F.lit(False)))
     kept = cut(lines.where((line != "") & some).select("path", "pos", "line"))
     first = kept.groupBy("path").agg(F.min("pos").alias("_first"))
     rows = kept.join(first, "path").join(found, "path").where((F.col("pos") != F.col("_first")) | (line != F.col("header_line")))
-    return settle(rows.withColumn("cells", cells(line, F.col("delimiter")))).drop("line", "_first", "header_line", "delimiter")
+    return settle(rows.withColumn("cells", _cut_at(line, F.col("delimiter")))).drop("line", "_first", "header_line", "delimiter")
 
 
 def gene_columns(rows: DataFrame) -> DataFrame:
@@ -229,10 +238,11 @@ def wide_cells(lines: DataFrame, keys: list[str], delimiter: str = "\t") -> Data
     A key column that a file lacks is NULL; empty cells and cells that are no numbers give NULL; cells beyond the header are ignored.
     """
     full = lines.where(F.col("line") != "")
+    cut_up = _cut_line if delimiter in DELIMITERS else lambda line, d: cells(line, F.lit(d))
     heads = full.groupBy("path").agg(F.min_by("line", "pos").alias("_head"))
-    rows = full.join(heads, "path").where(F.col("line") != F.col("_head")).select(
-        "path", cells(F.col("_head"), F.lit(delimiter)).alias("_h"), cells(F.col("line"), F.lit(delimiter)).alias("_c"))
-    rows = settle(rows)
+    heads = few(heads.withColumn("_h", cut_up(F.col("_head"), delimiter)))
+    rows = settle(full.join(heads, "path").where(F.col("line") != F.col("_head")).select(
+        "path", "_h", cut_up(F.col("line"), delimiter).alias("_c")))
 
     def key(name):
         at = F.array_position("_h", name)
