@@ -22,8 +22,10 @@ PROBE = "CASE l_linenumber WHEN 1 THEN 'ALB' WHEN 2 THEN 'oct4' WHEN 3 THEN 'x_a
 ONE_LINE = ("ln AS (SELECT l_orderkey, l_linenumber, MIN(l_quantity) AS q, MIN(l_extendedprice) AS e FROM lineitem GROUP BY 1, 2)")
 
 def _lines(spark, sf):
-    return spread(table(spark, sf, "lineitem"), "l_orderkey").groupBy("l_orderkey", "l_linenumber").agg(
-        F.min("l_quantity").alias("q"), F.min("l_extendedprice").alias("e"))
+    return _least(spread(table(spark, sf, "lineitem"), "l_orderkey"))
+
+def _least(rows):
+    return rows.groupBy("l_orderkey", "l_linenumber").agg(F.min("l_quantity").alias("q"), F.min("l_extendedprice").alias("e"))
 
 def _row(key):
     """Tab line of a probe: two numbers, one missing cell, one cell too many."""
@@ -128,7 +130,7 @@ def deg_table(spark, sf):
     "FROM ln, (VALUES ('q', 0), ('e', 0), ('q', 1), ('e', 1), ('note', 1), ('e', 2)) t(c, f) WHERE f = l_orderkey % 3", ONE_LINE))
 def drifting_matrices(spark, sf):
     """Three files: columns in another order, one more, one fewer."""
-    r = _lines(spark, sf)
+    r = _least(table(spark, sf, "lineitem"))
     row = F.expr("CASE l_orderkey % 3 WHEN 0 THEN concat_ws('\t', l_orderkey, l_linenumber, q, e) "
                  "WHEN 1 THEN concat_ws('\t', e, l_orderkey, 'x', q, l_linenumber) ELSE concat_ws('\t', e, l_linenumber, l_orderkey, 'beyond') END")
     at = F.col("l_orderkey") * 10 + F.col("l_linenumber")
