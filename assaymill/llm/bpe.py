@@ -28,9 +28,13 @@ from assaymill.llm import arrowtext
 LONG_WORD = 48
 #: A vocabulary file of more bytes than this is refused: the table travels to every executor.
 MAX_VOCABULARY_BYTES = 64 << 20
-CHUNK_BYTES = 3 << 20
+#: Text bytes cut and looked up at once.
+CHUNK_BYTES = 1 << 20
+#: Rows of one encoding query, which holds those of all its rounds: n * n / 2 for a word of n bytes, if each round contracts one pair.
+#: A word of more rows has a query of its own.
+QUERY_ROWS = 1 << 20
 #: Words whose ids a task keeps for its next chunks; a full cache starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 
 #: The split pattern that is also known as a rule over character classes (see `cut_starts`).
 KNOWN_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -200,8 +204,11 @@ class Codec:
             self.cache.clear()
         new = [b for b in raw if b not in self.ranks and b not in self.cache]
         for some, query in (([b for b in new if len(b) <= LONG_WORD], _ENCODE), ([b for b in new if len(b) > LONG_WORD], _ENCODE_LONG)):
-            if some:
-                self._contract(some, query)
+            rows, start, held = np.cumsum([len(b) * (len(b) + 1) // 2 for b in some]), 0, 0
+            while start < len(some):
+                end = max(start + 1, int(np.searchsorted(rows, held + QUERY_ROWS, side="right")))
+                self._contract(some[start:end], query)
+                held, start = int(rows[end - 1]), end
         found = [self.cache[b] if b in self.cache else np.int32(self.ranks[b]).tobytes() for b in raw]
         return np.frombuffer(b"".join(found), np.int32).astype(np.uint32), np.array([len(b) // 4 for b in found], np.int64)
 
@@ -249,6 +256,12 @@ class Codec:
                 out[doc] = decoded.encode("latin-1")
         return out
 
+    def close(self) -> None:
+        """Gives the memory back: the process serves other tasks after this one."""
+        self.cache.clear()
+        self.db.close()
+        pa.default_memory_pool().release_unused()
+
 
 def with_tokens(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep_text: bool = True, keep_ids: bool = True,
                 digests: bool = True) -> DataFrame:
@@ -280,6 +293,7 @@ def with_tokens(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep_tex
                 out.append(pa.array([hashlib.sha256(raw[a:b].tobytes()).hexdigest() for a, b in zip(offs[:-1], offs[1:], strict=True)]))
                 out.append(pa.array([hashlib.sha256(b).hexdigest() for b in codec.decode(ids, offs)]))
             yield pa.RecordBatch.from_arrays(out, [f.name for f in fields])
+        codec.close()
 
     schema = T.StructType(fields)
     return docs.mapInArrow(run, schema)

@@ -60,6 +60,20 @@ def test_cache_starts_anew_when_full(vocabulary, library, monkeypatch):
         assert codec.encode([t])[0].tolist() == library.encode_ordinary(t)
 
 
+def test_a_query_holds_no_more_rows_than_allowed(vocabulary, library, monkeypatch):
+    """Rounds of a whole chunk's words stood in memory at once."""
+    sizes = []
+    contract = bpe.Codec._contract
+    monkeypatch.setattr(bpe, "QUERY_ROWS", 500)
+    monkeypatch.setattr(bpe.Codec, "_contract", lambda self, raw, query: (sizes.append([len(b) for b in raw]), contract(self, raw, query))[1])
+    rng = random.Random(4)
+    text = " ".join("".join(rng.choice("qzxvkwjab") for _ in range(rng.choice([3, 9, 15, 40, 70]))) for _ in range(400))
+    codec = bpe.Codec(*vocabulary)
+    assert codec.encode([text])[0].tolist() == library.encode_ordinary(text)
+    assert len(sizes) > 100 and all(len(s) == 1 or sum(n * (n + 1) // 2 for n in s) <= 500 for s in sizes)
+    codec.close()
+
+
 def test_query_on_the_small_table(spark, library):
     got = {r["doc_id"]: r for r in queries.QUERIES["op2_byte_bpe"](spark, SMALL).collect()}
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").collect()
